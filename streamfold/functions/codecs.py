@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType
 
 CORRUPT = "_corrupt"
+# Timestamps travel with full microsecond precision (the defaults print
+# milliseconds only, which would make encode/decode lossy).
+JSON_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def _c(col) -> Column:
@@ -28,12 +34,12 @@ def decode_json(col, schema: StructType | str) -> Column:
     field of the wrong type; missing fields are NULL."""
     text = _c(col).cast("string")
     return F.from_json(text, with_corrupt_field(schema),
-                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **JSON_OPTIONS})
 
 
 def encode_json(*cols, pretty: bool = False) -> Column:
     """COD-02 / COD-07: ``to_json(struct(...))``, optionally indented."""
-    opts = {"pretty": "true"} if pretty else {}
+    opts = dict(JSON_OPTIONS, **({"pretty": "true"} if pretty else {}))
     return F.to_json(F.struct(*[_c(c) for c in cols]), opts)
 
 

@@ -73,6 +73,19 @@ def mask_with_map(text, mask_map) -> Column:
     return F.when(mask_map.isNull() | (F.size(mask_map) == 0), text).otherwise(replaced)
 
 
+def mask_with_set(text, words: list[str]) -> Column:
+    """FN-06 with a word list: a segment whose lower-case form is in
+    ``words`` becomes its mask (FN-04).  ``words`` must hold letter runs
+    only, so gaps never match.  An empty list leaves text unchanged."""
+    text = _c(text)
+    if not words:
+        return text
+    return F.array_join(
+        F.transform(segments(text),
+                    lambda s: F.when(F.lower(s).isin(*words), word_mask(F.lower(s))).otherwise(s)),
+        "")
+
+
 @lru_cache(maxsize=1)
 def _special_upper_table() -> tuple[str, str, str]:
     """Characters whose full upper-case form is longer than one code point.

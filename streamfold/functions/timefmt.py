@@ -25,7 +25,8 @@ def now_nanos() -> Column:
 
 def nanos_to_timestamp(col) -> Column:
     """Back from nanoseconds: floor to microseconds, as TIMESTAMP_NTZ (UTC)."""
-    micros = F.floor(_c(col) / F.lit(1000)).cast("bigint")
+    # Decimal arithmetic: a double cannot hold 19-digit nanosecond counts.
+    micros = F.floor(_c(col).cast("decimal(20,0)") / F.lit(1000)).cast("bigint")
     return F.timestamp_micros(micros).cast("timestamp_ntz")
 
 

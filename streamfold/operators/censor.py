@@ -20,9 +20,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import is_letter_run, mask_with_map, segments
+from ..functions.text import is_letter_run, mask_with_map, mask_with_set, segments
 from .dictionary import dictionary_map
-from .joins import fits, maybe_broadcast
+from .joins import maybe_broadcast
 from .scan import DEFAULT_SPAN, running_last
 
 # Bounds behind the broadcast decisions (rows).  A dictionary row is a word
@@ -49,15 +49,48 @@ def blocked_messages(messages: DataFrame, blocks: DataFrame,
     return messages.join(b, cond, "left_semi")
 
 
+def matchable(dictionary: DataFrame) -> DataFrame:
+    """Only words that are one letter run can ever match (Q4)."""
+    return dictionary.filter(is_letter_run("word"))
+
+
 def mask_by_map(messages: DataFrame, dictionary: DataFrame, text_col: str = "text") -> DataFrame:
-    """JOIN-02: one-row map, broadcast; caller has checked its size."""
-    m = F.broadcast(dictionary_map(dictionary))
+    """JOIN-02: one-row ``MAP<word, mask>`` broadcast to every task.
+
+    Spark looks a map key up by scanning the keys, so this form costs
+    O(words) per segment; ``mask_by_set`` is the fast form of the same
+    lookup.  Kept for dictionaries whose masks are not FN-04 masks.
+    """
+    m = F.broadcast(dictionary_map(matchable(dictionary)))
     cols = messages.columns
     return (messages.crossJoin(m)
             .select(*[mask_with_map(text_col, "mask_map").alias(c) if c == text_col else F.col(c)
                       for c in cols]))
 
 
+def small_word_list(dictionary: DataFrame, max_words: int) -> list[str] | None:
+    """The matchable words when there are at most ``max_words`` of them,
+    else None.  One bounded job: ``limit(max_words + 1)`` both proves the
+    size and fetches the list."""
+    rows = matchable(dictionary).select("word").limit(max_words + 1).collect()
+    return None if len(rows) > max_words else [r.word for r in rows]
+
+
+def mask_by_set(messages: DataFrame, dictionary: DataFrame, text_col: str = "text",
+                words: list[str] | None = None, max_words: int = MAX_MAP_WORDS) -> DataFrame:
+    """JOIN-02, fast form: the size-checked word list becomes an ``IN``
+    set, which Spark evaluates with a hash set built once per task; a hit
+    is replaced by its FN-04 mask, one ``*`` per code point.  No shuffle:
+    the whole censor is scan, broadcast anti join and projection."""
+    if words is None:
+        words = small_word_list(dictionary, max_words)
+        if words is None:
+            raise ValueError(f"dictionary has more than {max_words} words; use mask_by_join")
+    cols = messages.columns
+    return messages.select(*[mask_with_set(text_col, words).alias(c) if c == text_col
+                             else F.col(c) for c in cols])
+
+
 def mask_by_join(messages: DataFrame, dictionary: DataFrame, text_col: str = "text") -> DataFrame:
     """JOIN-03: exact masking for dictionaries too large to broadcast."""
     cols = messages.columns
@@ -66,7 +99,7 @@ def mask_by_join(messages: DataFrame, dictionary: DataFrame, text_col: str = "te
                            F.posexplode_outer(segments(text_col)).alias("_sf_pos", "_sf_seg"))
     letter = F.coalesce(is_letter_run("_sf_seg"), F.lit(False))
     words = segs.filter(letter).withColumn("_sf_key", F.lower("_sf_seg"))
-    d = dictionary.select(F.col("word").alias("_sf_key"), F.col("mask").alias("_sf_mask"))
+    d = matchable(dictionary).select(F.col("word").alias("_sf_key"), F.col("mask").alias("_sf_mask"))
     looked = (words.join(d, "_sf_key", "left")
               .select(*carry, "_sf_null", "_sf_pos",
                       F.coalesce("_sf_mask", "_sf_seg").alias("_sf_seg")))
@@ -92,9 +125,14 @@ def censor_messages(messages: DataFrame, blocks: DataFrame, dictionary: DataFram
     has at most ``max_map_words`` rows).
     """
     kept = drop_blocked(messages, blocks, max_broadcast_pairs)
-    if strategy == "auto":
-        strategy = "map" if fits(dictionary, max_map_words) else "join"
+    words = None
+    if strategy in ("auto", "map"):
+        words = small_word_list(dictionary, max_map_words)
+        if strategy == "auto":
+            strategy = "map" if words is not None else "join"
     if strategy == "map":
+        return mask_by_set(kept, dictionary, text_col, words=words, max_words=max_map_words)
+    if strategy == "map-literal":
         return mask_by_map(kept, dictionary, text_col)
     if strategy == "join":
         return mask_by_join(kept, dictionary, text_col)

@@ -39,8 +39,10 @@ def _join_back(local: DataFrame, carry: DataFrame, cols: list[str]) -> DataFrame
 
 
 def _chunked(df: DataFrame, order: Column | str, span: int) -> DataFrame:
+    # The chunk id is the chunk's first value: integer arithmetic, exact and
+    # monotone in the ordering value.
     o = F.col(order) if isinstance(order, str) else order
-    return df.withColumn(_CHUNK, F.floor(o / F.lit(span)).cast("bigint"))
+    return df.withColumn(_CHUNK, o - F.pmod(o, F.lit(span)))
 
 
 def running_sums(df: DataFrame, keys: list[str], order: str, sums: dict[str, Column | str],

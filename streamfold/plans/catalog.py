@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.codecs import CORRUPT
+from ..functions.codecs import CORRUPT, decode_json
 from ..functions.text import LETTER_RUN
 from ..operators import (batching, blocklist, cdc, censor, dictionary, ingest, joins,
                          metrics, projections, spend)
@@ -135,10 +135,7 @@ def q_json_round_trip(spark, sf_dir):
     dec = recs.select(F.col("key").cast("string").alias("record_key"),
                       F.col("partition").alias("topic_partition"),
                       F.col("offset").alias("record_offset"),
-                      F.from_json(F.col("value").cast("string"),
-                                  EVENT_SCHEMA_DDL + f", {CORRUPT} STRING",
-                                  {"mode": "PERMISSIVE",
-                                   "columnNameOfCorruptRecord": CORRUPT}).alias("v"))
+                      decode_json("value", EVENT_SCHEMA_DDL).alias("v"))
     return dec.select("record_key", "topic_partition", "record_offset", "v.*") \
               .withColumn("is_corrupt", F.col(CORRUPT).isNotNull()).drop(CORRUPT)
 

@@ -61,7 +61,8 @@ arr AS (SELECT id, regexp_extract_all(text, '(\\p{L}+|[^\\p{L}]+)') AS a FROM ke
 segs AS (SELECT id, unnest(a) AS seg, generate_subscripts(a, 1) AS pos FROM arr),
 masked AS (
   SELECT s.id, string_agg(coalesce(d.mask, s.seg), '' ORDER BY s.pos) AS text
-  FROM segs s LEFT JOIN dict2 d ON d.word = lower(s.seg)
+  FROM segs s LEFT JOIN dict2 d
+    ON d.word = lower(s.seg) AND regexp_full_match(s.seg, '\\p{L}+')
   GROUP BY s.id)
 SELECT k.id, k.from_user_id, k.to_user_id, coalesce(m.text, k.text) AS text
 FROM kept k LEFT JOIN masked m ON m.id = k.id

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.codecs import encode_json
 from ..functions.text import LETTER_RUN
 from .tables import read_table
 
@@ -134,7 +135,7 @@ def message_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kafka_records(spark: SparkSession, sf_dir: str, topic: str = "events") -> DataFrame:
     """``events`` in the Kafka source's record layout."""
     e = read_table(spark, sf_dir, "events")
-    value = F.to_json(F.struct(*[F.col(c) for c in e.columns]))
+    value = encode_json(*e.columns)
     return e.select(F.col("user_id").cast("string").cast("binary").alias("key"),
                     value.cast("binary").alias("value"),
                     F.lit(topic).alias("topic"),
