@@ -43,9 +43,9 @@ def parse_block_events(events: DataFrame, key_col: str = "key", value_col: str =
 
 
 def block_pair_state(parsed: DataFrame) -> DataFrame:
-    """Last action per ``(user_id, blocked_id)``."""
+    """Last action per ``(user_id, blocked_id)``, with the offset it came at."""
     return parsed.groupBy("user_id", "blocked_id").agg(
-        F.max_by("action", "offset").alias("last_action"))
+        F.max_by("action", "offset").alias("last_action"), F.max("offset").alias("offset"))
 
 
 def block_list(parsed: DataFrame) -> DataFrame:
@@ -53,7 +53,12 @@ def block_list(parsed: DataFrame) -> DataFrame:
     ``(user_id, NULL)`` for users that have a (possibly emptied) store but no
     current block (Q8).  Flat rows: a user's set is never collected into one
     value."""
-    state = block_pair_state(parsed)
+    return block_list_from_state(block_pair_state(parsed))
+
+
+def block_list_from_state(state: DataFrame) -> DataFrame:
+    """``block_list`` from the pair-state table ``(user_id, blocked_id,
+    last_action)`` (the compacted table a stream maintains)."""
     pairs = state.filter(F.col("last_action") == "block").select("user_id", "blocked_id")
     empty_users = (state.groupBy("user_id")
                    .agg(F.max((F.col("last_action") == "block").cast("int")).alias("_sf_any"))

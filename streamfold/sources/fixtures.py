@@ -53,7 +53,10 @@ def _case(col: Column, mapping: dict, default=None) -> Column:
 def user_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as chat messages: id, from_user_id, to_user_id, text.
     User ids are canonical decimal strings (Q11)."""
-    d = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return user_messages_from(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def user_messages_from(d: DataFrame) -> DataFrame:
     return d.select(F.col("doc_id").alias("id"),
                     (F.col("doc_id") % 7).cast("string").alias("from_user_id"),
                     (F.col("doc_id") % 11).cast("string").alias("to_user_id"),
@@ -62,7 +65,11 @@ def user_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def block_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as the block-event topic: key, value, offset, ts."""
-    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    return block_events_from(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id",
+                                        "event_type"))
+
+
+def block_events_from(e: DataFrame) -> DataFrame:
     u = F.col("user_id").cast("string")
     b = (F.col("event_id") % 7).cast("string")
     value = _case(F.col("event_type"),
@@ -86,12 +93,18 @@ def timed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bad_word_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw dictionary additions: the letter runs of ``benchmark.text`` plus a
     small fixed list.  Columns: word, offset (item_id, position)."""
-    b = read_table(spark, sf_dir, "benchmark", "item_id", "text")
-    runs = b.select("item_id", F.posexplode(F.regexp_extract_all("text", F.lit(LETTER_RUN), 0))
+    runs = letter_runs_from(read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return runs.unionByName(fixed_bad_words(spark))
+
+
+def letter_runs_from(b: DataFrame) -> DataFrame:
+    return b.select("item_id", F.posexplode(F.regexp_extract_all("text", F.lit(LETTER_RUN), 0))
                     .alias("pos", "word"))
-    fixed = spark.createDataFrame([(-1, i, w) for i, w in enumerate(FIXED_BAD_WORDS)],
-                                  "item_id bigint, pos int, word string")
-    return runs.unionByName(fixed)
+
+
+def fixed_bad_words(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(-1, i, w) for i, w in enumerate(FIXED_BAD_WORDS)],
+                                 "item_id bigint, pos int, word string")
 
 
 def bad_word_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +116,11 @@ def bad_word_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as order events: user_id, order_id, order_amount, offset."""
-    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice")
+    return order_events_from(read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey",
+                                        "o_totalprice"))
+
+
+def order_events_from(o: DataFrame) -> DataFrame:
     return o.select(F.col("o_custkey").alias("user_id"),
                     F.col("o_orderkey").alias("order_id"),
                     F.floor("o_totalprice").cast("bigint").alias("order_amount"),
@@ -134,7 +151,10 @@ def message_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kafka_records(spark: SparkSession, sf_dir: str, topic: str = "events") -> DataFrame:
     """``events`` in the Kafka source's record layout."""
-    e = read_table(spark, sf_dir, "events")
+    return kafka_records_from(read_table(spark, sf_dir, "events"), topic)
+
+
+def kafka_records_from(e: DataFrame, topic: str = "events") -> DataFrame:
     value = encode_json(*e.columns)
     return e.select(F.col("user_id").cast("string").cast("binary").alias("key"),
                     value.cast("binary").alias("value"),
@@ -148,7 +168,11 @@ def kafka_records(spark: SparkSession, sf_dir: str, topic: str = "events") -> Da
 def cdc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as change records on the topics ``pg.public.users`` and
     ``pg.public.orders``: key JSON ``{"id":k}`` and a change envelope value."""
-    e = read_table(spark, sf_dir, "events", "event_id", "ts", "event_type", "value")
+    return cdc_records_from(read_table(spark, sf_dir, "events", "event_id", "ts", "event_type",
+                                       "value"))
+
+
+def cdc_records_from(e: DataFrame) -> DataFrame:
     k = (F.col("event_id") % CDC_KEY_SPACE).cast("int")
     table = F.when(k % 2 == 0, F.lit("users")).otherwise(F.lit("orders"))
     op = _case(F.col("event_type"), CDC_OP_BY_TYPE, "u")
@@ -181,7 +205,11 @@ def cdc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as JMX metric samples: sample_id, metric, ts, value."""
-    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    return metric_samples_from(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id",
+                                          "event_type", "value"))
+
+
+def metric_samples_from(e: DataFrame) -> DataFrame:
     conn = F.concat(F.lit("connector-"), (F.col("user_id") % 3).cast("string"))
     task = (F.col("user_id") % 2).cast("string")
     names = {}

@@ -1,3 +1,203 @@
-"""Placeholder registry; filled in below."""
-STREAM_QUERIES = {}
-STREAM_ORACLE = {}
+"""Streaming twins of the batch queries.
+
+Each twin runs real Structured Streaming queries (file-stream sources,
+checkpoints, state stores, ``foreachBatch``) over the driver's tables with
+``availableNow`` and returns a DataFrame over what they wrote, so it can
+be compared with its batch twin.  Output and checkpoints go to a fresh
+folder under the session's ``spark.checkpoint.dir``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.text import normalize_word
+from ..operators import batching, blocklist, cdc, censor, dictionary, metrics
+from ..session import scratch_path
+from ..sources import fixtures
+from .sinks import batch_writer, compacted_writer, read_batches, read_compacted, run_to_end
+from .sources import table_stream
+from .stateful import spend_category_stream
+
+CDC_TABLES = ("public.users", "public.orders")
+CDC_FIELDS = {"id": "int", "value": "double"}
+PAIR_STATE = "user_id string, blocked_id string, last_action string, offset bigint"
+
+
+# ---- table-building streams (STR-03, SNK-06, SNK-07) --------------------------
+
+def build_block_state(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Fold block events into the compacted pair-state table; returns its path.
+
+    A streaming aggregation (``max_by`` per pair) in update mode; every
+    micro-batch's updated pairs are merged into the compacted table."""
+    good, _ = blocklist.parse_block_events(
+        fixtures.block_events_from(table_stream(spark, sf_dir, "events")))
+    state = blocklist.block_pair_state(good)
+    table = f"{root}/block_state"
+    run_to_end(state, f"{root}/ckpt_block_state", output_mode="update",
+               foreach_batch=compacted_writer(spark, table, ["user_id", "blocked_id"], ["offset"]))
+    return table
+
+
+def build_dictionary(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Deduplicate streamed word events with ``dropDuplicates`` (state
+    store); returns the path of the word table."""
+    runs = fixtures.letter_runs_from(table_stream(spark, sf_dir, "benchmark"))
+    words = (runs.select(normalize_word("word").alias("word")).filter(F.col("word") != "")
+             .dropDuplicates(["word"]))
+    path = f"{root}/words"
+    run_to_end(words, f"{root}/ckpt_words", path=path)
+    return path
+
+
+def dictionary_table(spark: SparkSession, path: str) -> DataFrame:
+    streamed = spark.read.schema("word string").parquet(path)
+    extra = fixtures.fixed_bad_words(spark).select("word")
+    return dictionary.bad_word_dictionary(streamed.unionByName(extra))
+
+
+# ---- registered twins ------------------------------------------------------------
+
+def q_stream_block_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-01, STR-03, AGG-04: twin of ``block_list``."""
+    root = scratch_path(spark, "stream_block_list")
+    table = build_block_state(spark, sf_dir, root)
+    return blocklist.block_list_from_state(read_compacted(spark, table, PAIR_STATE))
+
+
+def q_stream_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-03, AGG-03: twin of ``bad_word_dictionary``."""
+    root = scratch_path(spark, "stream_dictionary")
+    return dictionary_table(spark, build_dictionary(spark, sf_dir, root))
+
+
+def q_stream_censor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-02, STR-04, STR-05, SNK-04, SNK-10: twin of ``censor_messages``.
+
+    The table queries are drained first (STR-04).  The message query then
+    re-reads both table snapshots in every micro-batch, so table changes
+    made while it runs are seen by later batches (STR-05)."""
+    root = scratch_path(spark, "stream_censor")
+    state_path = build_block_state(spark, sf_dir, root)
+    words_path = build_dictionary(spark, sf_dir, root)
+    out = f"{root}/delivered"
+    write = batch_writer(out)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        state = read_compacted(spark, state_path, PAIR_STATE)
+        blocks = state.filter(F.col("last_action") == "block").select("user_id", "blocked_id")
+        res = censor.censor_messages(batch, blocks, dictionary_table(spark, words_path))
+        write(res, batch_id)
+
+    msgs = fixtures.user_messages_from(table_stream(spark, sf_dir, "documents"))
+    run_to_end(msgs, f"{root}/ckpt_messages", foreach_batch=each)
+    return read_batches(spark, out, "id bigint, from_user_id string, to_user_id string, text string")
+
+
+def q_stream_spend_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-02, STR-03, UDF-02, SNK-11: twin of ``spend_category_changes``."""
+    root = scratch_path(spark, "stream_spend_category")
+    orders = fixtures.order_events_from(table_stream(spark, sf_dir, "orders"))
+    path = f"{root}/categories"
+    run_to_end(spend_category_stream(orders), f"{root}/ckpt", path=path)
+    return spark.read.parquet(path).select("user_id", "order_id", "total", "category")
+
+
+def q_stream_cdc_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CDC-06, SNK-07: twin of ``cdc_current_state``; the compacted table
+    keeps delete tombstones, readers drop them."""
+    root = scratch_path(spark, "stream_cdc_state")
+    rec = fixtures.cdc_records_from(table_stream(spark, sf_dir, "events"))
+    typed = cdc.typed_projection(cdc.decode_changes(rec, include=list(CDC_TABLES)), CDC_FIELDS)
+    table = f"{root}/state"
+    run_to_end(typed.select("table", "key_id", "op", "lsn", *CDC_FIELDS), f"{root}/ckpt",
+               foreach_batch=compacted_writer(spark, table, ["table", "key_id"], ["lsn"]))
+    st = read_compacted(spark, table)
+    return st.filter(F.col("op") != "d").select("table", "key_id", "lsn", *CDC_FIELDS)
+
+
+def q_stream_metric_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MET-04 with a watermark: twin of ``metric_rate``.  Update mode sends
+    each changed window to the compacted table, so open windows are there
+    too; append mode would hold them back until the watermark passes."""
+    root = scratch_path(spark, "stream_metric_rate")
+    samples = metrics.rename_metrics(fixtures.metric_samples_from(table_stream(spark, sf_dir, "events")))
+    sel = None
+    for panel, pattern in metrics.RATE_PANELS:
+        p = metrics.select_series(samples, pattern).withColumn("panel", F.lit(panel))
+        sel = p if sel is None else sel.unionByName(p)
+    iv = metrics.SCRAPE_INTERVAL_SECONDS
+    counts = (sel.withWatermark("ts", "10 minutes")
+              .groupBy("panel", F.window("ts", f"{iv} seconds").alias("w"))
+              .agg(F.count("*").alias("n_records"))
+              .select("panel", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                      "n_records"))
+    table = f"{root}/rates"
+    run_to_end(counts, f"{root}/ckpt", output_mode="update",
+               foreach_batch=compacted_writer(spark, table, ["panel", "window_start"], ["n_records"]))
+    return read_compacted(spark, table).select(
+        "panel", "window_start", "n_records",
+        (F.col("n_records") / F.lit(float(iv))).alias("per_second"))
+
+
+GROUPS = {"batch-10": 10, "single": 1}
+
+
+def q_stream_two_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-01, SRC-02, SRC-04, SNK-08, STR-06, STR-07: two consumer groups
+    over one record stream, each its own query and checkpoint, so each sees
+    every record; each cuts its micro-batches into consumer batches of N
+    per topic partition.  Returns per group: records and batches seen."""
+    root = scratch_path(spark, "stream_two_groups")
+    for group, n in GROUPS.items():
+        out = f"{root}/{group}/batches"
+        write = batch_writer(out)
+
+        def each(batch: DataFrame, batch_id: int, n=n, write=write) -> None:
+            write(batching.batch_groups(batch, n), batch_id)
+
+        recs = fixtures.kafka_records_from(table_stream(spark, sf_dir, "events"))
+        run_to_end(recs, f"{root}/{group}/ckpt", foreach_batch=each, name=None)
+    parts = [read_batches(spark, f"{root}/{g}/batches",
+                          "partition int, batch_no bigint, n_records bigint, first_offset bigint, "
+                          "last_offset bigint")
+             .agg(F.sum("n_records").alias("n_records"), F.count("*").alias("n_batches"))
+             .select(F.lit(g).alias("group_id"), "n_records", "n_batches") for g in GROUPS]
+    return parts[0].unionByName(parts[1])
+
+
+STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "stream_block_list": q_stream_block_list,
+    "stream_dictionary": q_stream_dictionary,
+    "stream_censor": q_stream_censor,
+    "stream_spend_category": q_stream_spend_category,
+    "stream_cdc_state": q_stream_cdc_state,
+    "stream_metric_rate": q_stream_metric_rate,
+    "stream_two_groups": q_stream_two_groups,
+}
+
+# Twin -> batch query whose oracle SQL states the same result.
+STREAM_ORACLE = {
+    "stream_block_list": "block_list",
+    "stream_dictionary": "bad_word_dictionary",
+    "stream_censor": "censor_messages",
+    "stream_spend_category": "spend_category_changes",
+    "stream_cdc_state": "cdc_current_state",
+    "stream_metric_rate": "metric_rate",
+}
+
+# With one input file the stream runs as one micro-batch, so consumer
+# batches are those of the batch query.
+TWO_GROUPS_SQL = """
+WITH r AS (
+  SELECT user_id % 3 AS p, row_number() OVER (PARTITION BY user_id % 3 ORDER BY event_id) AS rn
+  FROM events),
+g AS (SELECT p, (rn - 1) // 10 AS b, count(*) AS n FROM r GROUP BY 1, 2)
+SELECT 'batch-10' AS group_id, CAST(sum(n) AS BIGINT) AS n_records, count(*) AS n_batches FROM g
+UNION ALL
+SELECT 'single', count(*), count(*) FROM events
+"""
