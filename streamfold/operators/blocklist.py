@@ -43,9 +43,17 @@ def parse_block_events(events: DataFrame, key_col: str = "key", value_col: str =
 
 
 def block_pair_state(parsed: DataFrame) -> DataFrame:
-    """Last action per ``(user_id, blocked_id)``, with the offset it came at."""
-    return parsed.groupBy("user_id", "blocked_id").agg(
-        F.max_by("action", "offset").alias("last_action"), F.max("offset").alias("offset"))
+    """Last action per ``(user_id, blocked_id)``, with the offset it came at.
+
+    The action is folded as a 0/1 flag so that the aggregation buffer is
+    fixed-width and Spark plans a hash aggregate (a string buffer would
+    force a sort-based one)."""
+    flag = (F.col("action") == "block").cast("int")
+    agg = parsed.groupBy("user_id", "blocked_id").agg(
+        F.max_by(flag, F.col("offset")).alias("_sf_block"), F.max("offset").alias("offset"))
+    return agg.select("user_id", "blocked_id",
+                      F.when(F.col("_sf_block") == 1, F.lit("block")).otherwise(F.lit("unblock"))
+                      .alias("last_action"), "offset")
 
 
 def block_list(parsed: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
+from .joins import maybe_broadcast
 from .scan import latest_per_key, running_sums
 
 # --- fixed values -----------------------------------------------------------
@@ -41,6 +43,7 @@ RATE_PANELS = (
 )
 SCRAPE_INTERVAL_SECONDS = 5
 # ---------------------------------------------------------------------------
+MAX_BROADCAST_NAMES = 1_000_000
 
 
 def _anchored(p: str) -> str:
@@ -54,24 +57,61 @@ def safe_name(col: Column, lower: bool = True) -> Column:
     return F.regexp_replace(F.regexp_replace(c, "[^A-Za-z0-9:_]", "_"), "_+", "_")
 
 
-def rename_metrics(samples: DataFrame, metric_col: str = "metric", lower: bool = True
-                   ) -> DataFrame:
-    """MET-01: ``name`` plus one column per label; samples that match no
-    rule are dropped."""
+def rename_names(names: DataFrame, metric_col: str = "metric", lower: bool = True
+                 ) -> DataFrame:
+    """MET-01 row by row: adds ``name`` and one column per label; rows
+    whose metric matches no rule get a NULL name.  The rule is chosen once
+    per row; only its own pattern is applied for the name and labels."""
     m = F.col(metric_col)
+    rule = None
+    for i, (pattern, _, _) in enumerate(RENAME_RULES):
+        hit = m.rlike(_anchored(pattern))
+        rule = F.when(hit, F.lit(i)) if rule is None else rule.when(hit, F.lit(i))
+    tagged = names.withColumn("_sf_rule", rule)
     name = None
     labels = {lab: None for lab in LABELS}
-    for pattern, template, labs in RENAME_RULES:
+    for i, (pattern, template, labs) in enumerate(RENAME_RULES):
         a = _anchored(pattern)
-        hit = m.rlike(a)
+        hit = F.col("_sf_rule") == i
         v = F.regexp_replace(m, a, template)
         name = F.when(hit, v) if name is None else name.when(hit, v)
         for lab in LABELS:
-            lv = F.regexp_replace(m, a, labs[lab]) if lab in labs else F.lit(None).cast("string")
-            labels[lab] = F.when(hit, lv) if labels[lab] is None else labels[lab].when(hit, lv)
-    out = samples.select("*", safe_name(name, lower).alias("name"),
-                         *[labels[lab].alias(lab) for lab in LABELS])
-    return out.filter(F.col("name").isNotNull())
+            if lab in labs:
+                lv = F.regexp_replace(m, a, labs[lab])
+                labels[lab] = F.when(hit, lv) if labels[lab] is None else labels[lab].when(hit, lv)
+    return tagged.select("*", safe_name(name, lower).alias("name"),
+                         *[(labels[lab] if labels[lab] is not None else F.lit(None))
+                           .cast("string").alias(lab) for lab in LABELS]).drop("_sf_rule")
+
+
+def metric_names(samples: DataFrame, metric_col: str = "metric", lower: bool = True,
+                 panels=None) -> DataFrame:
+    """The rename table: one row per distinct metric that matches a rule
+    (and, with ``panels``, per panel its name is selected by).
+
+    Samples are many, metric names few (one per series), so the regular
+    expressions run once per distinct name.  The table is checkpointed to
+    the shared checkpoint folder: that cuts its lineage, so the optimizer
+    cannot push the rule predicates back below the ``distinct`` into the
+    scan, and the size check and the join read it without recomputing."""
+    names = samples.select(metric_col).distinct()
+    checkpoint_root(samples.sparkSession)
+    # Filter and tag only after the checkpoint: a predicate on ``name``
+    # placed earlier would be pushed below the distinct, with every rule
+    # expression copied into it, and run once per sample.
+    r = rename_names(names, metric_col, lower).checkpoint(eager=True)
+    r = r.filter(F.col("name").isNotNull())
+    return tag_panels(r, panels) if panels else r
+
+
+def rename_metrics(samples: DataFrame, metric_col: str = "metric", lower: bool = True,
+                   panels=None, max_broadcast_names: int = MAX_BROADCAST_NAMES) -> DataFrame:
+    """MET-01: ``name`` plus one column per label (plus ``panel`` when
+    ``panels`` is given); samples that match no rule are dropped.  The
+    rename table joins back broadcast when its row count is proven small,
+    so the samples are not shuffled for it."""
+    names = metric_names(samples, metric_col, lower, panels)
+    return samples.join(maybe_broadcast(names, max_broadcast_names), metric_col, "inner")
 
 
 def select_series(renamed: DataFrame, pattern: str) -> DataFrame:
@@ -87,17 +127,21 @@ def latest_per_series(renamed: DataFrame) -> DataFrame:
     return latest_per_key(renamed, SERIES, ["ts", "sample_id"], ["ts", "value"])
 
 
+def tag_panels(df: DataFrame, panels) -> DataFrame:
+    """One row per (row, panel whose pattern the series name matches)."""
+    hits = F.array(*[F.when(F.col("name").rlike(_anchored(pat)), F.lit(p)) for p, pat in panels])
+    return df.withColumn("panel", F.explode(F.filter(hits, lambda x: x.isNotNull())))
+
+
 def max_of_latest(renamed: DataFrame, panels=MAX_PANELS) -> DataFrame:
     """MET-03: per panel, ``max`` over the latest sample of every selected
     series.  A panel with no series gives a NULL value."""
-    latest = latest_per_series(renamed)
-    rows = None
-    for panel, pattern in panels:
-        p = (select_series(latest, pattern)
-             .agg(F.max("value").alias("value"), F.count("*").alias("n_series"))
-             .select(F.lit(panel).alias("panel"), "value", "n_series"))
-        rows = p if rows is None else rows.unionByName(p)
-    return rows
+    latest = tag_panels(latest_per_series(renamed), panels)
+    agg = latest.groupBy("panel").agg(F.max("value").alias("value"), F.count("*").alias("n_series"))
+    spark = renamed.sparkSession
+    all_panels = spark.createDataFrame([(p,) for p, _ in panels], "panel string")
+    return (all_panels.join(agg, "panel", "left")
+            .select("panel", "value", F.coalesce("n_series", F.lit(0)).alias("n_series")))
 
 
 def scrape(renamed: DataFrame, interval_s: int = SCRAPE_INTERVAL_SECONDS) -> DataFrame:
@@ -110,13 +154,10 @@ def scrape(renamed: DataFrame, interval_s: int = SCRAPE_INTERVAL_SECONDS) -> Dat
                     "value", "n_samples"))
 
 
-def record_rate(renamed: DataFrame, interval_s: int = SCRAPE_INTERVAL_SECONDS,
-                panels=RATE_PANELS) -> DataFrame:
-    """MET-04: records per second per interval for the rate panels."""
-    sel = None
-    for panel, pattern in panels:
-        p = select_series(renamed, pattern).withColumn("panel", F.lit(panel))
-        sel = p if sel is None else sel.unionByName(p)
+def record_rate(tagged: DataFrame, interval_s: int = SCRAPE_INTERVAL_SECONDS) -> DataFrame:
+    """MET-04: records per second per interval and panel; ``tagged`` has a
+    ``panel`` column (``rename_metrics(..., panels=RATE_PANELS)``)."""
+    sel = tagged
     w = F.window("ts", f"{interval_s} seconds")
     return (sel.groupBy("panel", w.alias("w")).agg(F.count("*").alias("n_records"))
             .select("panel", F.col("w.start").cast("timestamp_ntz").alias("window_start"),

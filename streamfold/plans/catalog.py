@@ -275,14 +275,19 @@ def q_metric_scrape(spark, sf_dir):
     return metrics.scrape(renamed_metrics(spark, sf_dir))
 
 
+def rate_tagged(spark, sf_dir):
+    return metrics.rename_metrics(fixtures.metric_samples(spark, sf_dir),
+                                  panels=metrics.RATE_PANELS)
+
+
 def q_metric_rate(spark, sf_dir):
     """MET-04."""
-    return metrics.record_rate(renamed_metrics(spark, sf_dir))
+    return metrics.record_rate(rate_tagged(spark, sf_dir))
 
 
 def q_metric_cumulative(spark, sf_dir):
     """MET-05."""
-    return metrics.cumulative(metrics.record_rate(renamed_metrics(spark, sf_dir)))
+    return metrics.cumulative(metrics.record_rate(rate_tagged(spark, sf_dir)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -14,6 +14,23 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Make sure a scan feeds every core.
+
+    A file with a single row group is a single split, so everything up to
+    the first shuffle would run as one task.  When a scan yields fewer
+    partitions than the cluster's default parallelism, rows are dealt
+    round-robin over that many partitions.  On large inputs (many splits,
+    the normal case at scale) this is a no-op and adds no shuffle.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str,
+               parallel: bool = True) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*cols) if cols else df
+    df = df.select(*cols) if cols else df
+    return spread(df) if parallel else df

@@ -63,3 +63,45 @@ def spend_category_stream(orders: DataFrame) -> DataFrame:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return (orders.groupBy("user_id")
             .transformWithStateInPandas(SpendCategoryProcessor(), SPEND_OUTPUT, "Append", "None"))
+
+
+SPEND_STATE = "user_id bigint, total bigint, category string, offset bigint"
+
+
+def spend_category_batches(spark, state_path: str, out_path: str):
+    """The same fold as ``SpendCategoryProcessor`` as a ``foreachBatch``
+    function over DataFrames only: per micro-batch, running totals come
+    from the chunked prefix scan (no per-key task), the carry-in is the
+    user's stored total, and the per-user state lives in a compacted table
+    (version ``v=<batch_id>``, rebuilt exactly on replay)."""
+    from pyspark.sql import functions as F
+
+    from ..operators.scan import latest_per_key, running_sums
+    from ..operators.spend import band
+    from .sinks import VERSION
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        try:
+            older = spark.read.parquet(state_path).filter(F.col(VERSION) < batch_id)
+            newest = older.agg(F.max(VERSION)).first()[0]
+            prev = (older.filter(F.col(VERSION) == newest).drop(VERSION) if newest is not None
+                    else spark.createDataFrame([], SPEND_STATE))
+        except Exception:  # no state yet
+            prev = spark.createDataFrame([], SPEND_STATE)
+        rt = running_sums(batch, ["user_id"], "offset",
+                          {"_bt": "order_amount", "seq": F.lit(1).cast("bigint")})
+        p = prev.select("user_id", F.col("total").alias("_pt"), F.col("category").alias("_pc"))
+        j = rt.join(p, "user_id", "left").withColumn(
+            "total", F.coalesce("_pt", F.lit(0).cast("bigint")) + F.col("_bt"))
+        cat = band("total")
+        before = F.when(F.col("seq") > 1, band(F.col("total") - F.col("order_amount"))) \
+                  .otherwise(F.col("_pc"))
+        j = j.withColumn("category", cat)
+        (j.filter(before.isNull() | (before != F.col("category")))
+          .select("user_id", "order_id", "offset", "total", "category")
+          .write.mode("overwrite").parquet(f"{out_path}/batch={batch_id:012d}"))
+        merged = prev.unionByName(j.select("user_id", "total", "category", "offset"))
+        (latest_per_key(merged, ["user_id"], "offset", ["total", "category", "offset"])
+         .write.mode("overwrite").parquet(f"{state_path}/{VERSION}={batch_id}"))
+
+    return each

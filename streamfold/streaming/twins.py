@@ -20,7 +20,7 @@ from ..session import scratch_path
 from ..sources import fixtures
 from .sinks import batch_writer, compacted_writer, read_batches, read_compacted, run_to_end
 from .sources import table_stream
-from .stateful import spend_category_stream
+from .stateful import SPEND_OUTPUT, spend_category_batches, spend_category_stream
 
 CDC_TABLES = ("public.users", "public.orders")
 CDC_FIELDS = {"id": "int", "value": "double"}
@@ -99,9 +99,21 @@ def q_stream_censor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_spend_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-02, STR-03, UDF-02, SNK-11: twin of ``spend_category_changes``."""
+    """STR-02, STR-03, SNK-11: twin of ``spend_category_changes`` with the
+    per-user state in a compacted table and all work in DataFrames."""
     root = scratch_path(spark, "stream_spend_category")
     orders = fixtures.order_events_from(table_stream(spark, sf_dir, "orders"))
+    out = f"{root}/categories"
+    run_to_end(orders, f"{root}/ckpt",
+               foreach_batch=spend_category_batches(spark, f"{root}/state", out))
+    return read_batches(spark, out, SPEND_OUTPUT).select("user_id", "order_id", "total", "category")
+
+
+def q_stream_spend_category_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-02, STR-03, UDF-02, SNK-11: the same with ``transformWithState``
+    (RocksDB state store, per-record output)."""
+    root = scratch_path(spark, "stream_spend_category_state")
+    orders = fixtures.order_events_from(table_stream(spark, sf_dir, "orders"))
     path = f"{root}/categories"
     run_to_end(spend_category_stream(orders), f"{root}/ckpt", path=path)
     return spark.read.parquet(path).select("user_id", "order_id", "total", "category")
@@ -125,11 +137,9 @@ def q_stream_metric_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     each changed window to the compacted table, so open windows are there
     too; append mode would hold them back until the watermark passes."""
     root = scratch_path(spark, "stream_metric_rate")
-    samples = metrics.rename_metrics(fixtures.metric_samples_from(table_stream(spark, sf_dir, "events")))
-    sel = None
-    for panel, pattern in metrics.RATE_PANELS:
-        p = metrics.select_series(samples, pattern).withColumn("panel", F.lit(panel))
-        sel = p if sel is None else sel.unionByName(p)
+    # A stream cannot be size-checked up front, so the rules run per record.
+    samples = _rename_stream(fixtures.metric_samples_from(table_stream(spark, sf_dir, "events")))
+    sel = metrics.tag_panels(samples, metrics.RATE_PANELS)
     iv = metrics.SCRAPE_INTERVAL_SECONDS
     counts = (sel.withWatermark("ts", "10 minutes")
               .groupBy("panel", F.window("ts", f"{iv} seconds").alias("w"))
@@ -144,6 +154,12 @@ def q_stream_metric_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_records") / F.lit(float(iv))).alias("per_second"))
 
 
+def _rename_stream(stream: DataFrame) -> DataFrame:
+    """MET-01 on a stream: regex rules per record (no distinct pre-pass).
+    Unmatched records keep a NULL name and drop out at panel tagging."""
+    return metrics.rename_names(stream, "metric")
+
+
 GROUPS = {"batch-10": 10, "single": 1}
 
 
@@ -175,6 +191,7 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dictionary": q_stream_dictionary,
     "stream_censor": q_stream_censor,
     "stream_spend_category": q_stream_spend_category,
+    "stream_spend_category_state": q_stream_spend_category_state,
     "stream_cdc_state": q_stream_cdc_state,
     "stream_metric_rate": q_stream_metric_rate,
     "stream_two_groups": q_stream_two_groups,
@@ -186,6 +203,7 @@ STREAM_ORACLE = {
     "stream_dictionary": "bad_word_dictionary",
     "stream_censor": "censor_messages",
     "stream_spend_category": "spend_category_changes",
+    "stream_spend_category_state": "spend_category_changes",
     "stream_cdc_state": "cdc_current_state",
     "stream_metric_rate": "metric_rate",
 }
