@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators.scan import latest_per_key
 
-VERSION = "v"
+VERSION = "sf_version"   # partition column of snapshot folders
 
 
 def run_to_end(stream: DataFrame, checkpoint: str, *, foreach_batch: Callable | None = None,
@@ -69,7 +69,7 @@ def compacted_writer(spark: SparkSession, path: str, keys: list[str], order: lis
     """SNK-07: keep only the last row per key, like a compacted topic.
 
     Each micro-batch is merged with the newest snapshot older than it
-    (``latest_per_key`` by ``order``) and written as snapshot ``v=<id>``.
+    (``latest_per_key`` by ``order``) and written as snapshot ``sf_version=<id>``.
     A replay of batch ``id`` reads the same older snapshot and rewrites the
     same version, so the table stays exact under retries.  Old versions can
     be removed once a newer one exists.

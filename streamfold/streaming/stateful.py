@@ -1,5 +1,10 @@
 """Per-record keyed state for streams (STR-03, UDF-02, AGG-01, AGG-05).
 
+Input order: a key's records must arrive in offset order across
+micro-batches, as they do from one Kafka partition.  Within a micro-batch
+both forms sort by offset themselves.  A file source takes files in
+modification-time order, so files must be written in log order.
+
 ``outputMode("update")`` gives one row per key per micro-batch; the spend
 chain emits per record (a running total per order, a category only when
 it changes), so it runs as one ``transformWithStateInPandas`` with two
@@ -73,7 +78,7 @@ def spend_category_batches(spark, state_path: str, out_path: str):
     function over DataFrames only: per micro-batch, running totals come
     from the chunked prefix scan (no per-key task), the carry-in is the
     user's stored total, and the per-user state lives in a compacted table
-    (version ``v=<batch_id>``, rebuilt exactly on replay)."""
+    (version ``sf_version=<batch_id>``, rebuilt exactly on replay)."""
     from pyspark.sql import functions as F
 
     from ..operators.scan import latest_per_key, running_sums
