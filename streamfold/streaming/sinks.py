@@ -38,6 +38,51 @@ def run_to_end(stream: DataFrame, checkpoint: str, *, foreach_batch: Callable |
         raise q.exception()
 
 
+def run_each(queries: dict[str, Callable[[], None]]) -> dict[str, BaseException]:
+    """STR-08: run independent queries (say one per topic) so that a failure
+    of one, such as a topic the principal may not read, does not stop the
+    others.  Returns the failures by name."""
+    failed: dict[str, BaseException] = {}
+    for name, start in queries.items():
+        try:
+            start()
+        except Exception as e:  # recorded, the rest go on
+            failed[name] = e
+    return failed
+
+
+class DeliveryCounter:
+    """SNK-03 / AGG-08: counts rows that streaming queries have processed,
+    from their progress events (``numInputRows``), without touching data.
+
+    ``spark.streams.addListener(counter.listener())``.
+    """
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+
+    def listener(self):
+        from pyspark.sql.streaming import StreamingQueryListener
+        counter = self
+
+        class _L(StreamingQueryListener):
+            def onQueryStarted(self, event):
+                pass
+
+            def onQueryProgress(self, event):
+                p = event.progress
+                key = p.name or str(p.id)
+                counter.rows[key] = counter.rows.get(key, 0) + int(p.numInputRows)
+
+            def onQueryIdle(self, event):
+                pass
+
+            def onQueryTerminated(self, event):
+                pass
+
+        return _L()
+
+
 def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     """SNK-08/SNK-10: write each micro-batch to ``path/batch=<id>``
     (overwrite: a replayed batch replaces its own output)."""

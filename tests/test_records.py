@@ -142,3 +142,41 @@ def test_kafka_options():
 def test_uint_parse(spark):
     df = spark.createDataFrame([("0",), ("18446744073709551615",), ("18446744073709551616",), (" 1",), ("+1",)], "s string")
     assert [r[0] for r in df.select(parse_uint64("s")).collect()] == ["0", "18446744073709551615", None, None, None]
+
+
+def test_pretty_json_and_snapshot(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, name string")
+    pretty = df.select(encode_json("id", "name", pretty=True).alias("j")).first().j
+    assert json.loads(pretty) == {"id": 1, "name": "a"} and "\n" in pretty
+    snap = spark.createDataFrame([("users", 1, 1, 9.0)], "table string, key_id bigint, id int, value double")
+    ch = spark.createDataFrame([("users", 1, "u", 5, 1, 10.0)],
+                               "table string, key_id bigint, op string, lsn bigint, id int, value double")
+    both = cdc.with_snapshot(snap, ch)
+    from streamfold.operators.scan import latest_per_key
+    last = latest_per_key(both, ["table", "key_id"], "lsn", ["op", "value"]).first()
+    assert (last.op, last.value) == ("u", 10.0)
+    assert sorted(r.op for r in both.collect()) == ["r", "u"]
+
+
+def test_insert_defaults(spark):
+    from streamfold.sources.jdbc import jdbc_options, with_insert_defaults
+    rows = spark.createDataFrame([(n, f"{n}@x") for n in ["John", "Jane", "Alice", "Bob"]],
+                                 "name string, email string").withColumn("seq", F.monotonically_increasing_id())
+    out = with_insert_defaults(rows, "seq", ts_col="created_at").orderBy("id").collect()
+    assert [(r.id, r.name) for r in out] == [(1, "John"), (2, "Jane"), (3, "Alice"), (4, "Bob")]
+    assert all(r.created_at is not None for r in out)
+    o = jdbc_options("jdbc:postgresql://h/db", "users", partition_column="id", lower=1, upper=9,
+                     num_partitions=3)
+    assert o["numPartitions"] == "3" and o["dbtable"] == "users"
+
+
+def test_run_each_and_counter(spark):
+    from streamfold.streaming.sinks import DeliveryCounter, run_each
+
+    def bad():
+        raise PermissionError("topic-2: not authorized")
+
+    failed = run_each({"topic-1": lambda: None, "topic-2": bad})
+    assert list(failed) == ["topic-2"]
+    c = DeliveryCounter()
+    assert c.listener() is not None and c.rows == {}
