@@ -30,7 +30,7 @@ def nanos_to_timestamp(col) -> Column:
     return F.timestamp_micros(micros).cast("timestamp_ntz")
 
 
-def go_quote(col) -> Column:
+def quote_text(col) -> Column:
     """Escape the way a double-quoted literal is printed: backslash, quote,
     and the common control characters."""
     out = F.regexp_replace(_c(col), r"\\", r"\\\\")
@@ -42,4 +42,4 @@ def go_quote(col) -> Column:
 
 def format_message(id_col, payload_col, ts_col) -> Column:
     """FN-15: ``Message{ID:<id>, Payload:"<payload>", Ts:<ts>}``."""
-    return F.format_string(MESSAGE_FORMAT, _c(id_col), go_quote(payload_col), _c(ts_col))
+    return F.format_string(MESSAGE_FORMAT, _c(id_col), quote_text(payload_col), _c(ts_col))
