@@ -7,8 +7,10 @@ chunks of ``span`` units; each (key, chunk) is scanned on its own, and a
 small table of per-chunk results carries the prefix across chunks:
 
 1. shuffle rows once by ``(key, chunk)`` and scan locally (bounded groups);
-2. reduce each (key, chunk) to one row (no further shuffle: the data is
-   already partitioned by that key);
+2. reduce each (key, chunk) to one row straight from the input with a
+   partial aggregation, so its exchange carries one row per (key, chunk,
+   task), not the records (deriving it from step 1 would need a second
+   full shuffle, since the two exchanges differ in their columns);
 3. exclusive prefix over the per-chunk rows of each key (rows = number of
    chunks, not number of records);
 4. join the carry back on ``(key, chunk)``; only the small side moves.
@@ -57,9 +59,7 @@ def running_sums(df: DataFrame, keys: list[str], order: str, sums: dict[str, Col
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.select("*", *[F.sum(v).over(w_local).alias(loc[o]) for o, v in vals.items()])
 
-    last_row = F.struct(*[F.col(c) for c in ob])
-    per_chunk = local.groupBy(*keys, _CHUNK).agg(
-        *[F.max_by(F.col(loc[o]), last_row).alias(loc[o]) for o in vals])
+    per_chunk = base.groupBy(*keys, _CHUNK).agg(*[F.sum(v).alias(loc[o]) for o, v in vals.items()])
     w_prev = (Window.partitionBy(*keys).orderBy(_CHUNK)
               .rowsBetween(Window.unboundedPreceding, -1))
     carry = per_chunk.select(*keys, _CHUNK, *[
@@ -85,7 +85,7 @@ def running_last(df: DataFrame, keys: list[str], order: str, value: str, out: st
     # One row per (key, chunk): its last non-null value, or NULL when it has
     # none (max_by skips rows whose ordering value is NULL).
     tail_order = F.when(F.col(value).isNotNull(), F.struct(*[F.col(c) for c in ob]))
-    per_chunk = local.groupBy(*keys, _CHUNK).agg(F.max_by(F.col(value), tail_order).alias("_sf_tail"))
+    per_chunk = base.groupBy(*keys, _CHUNK).agg(F.max_by(F.col(value), tail_order).alias("_sf_tail"))
     w_prev = (Window.partitionBy(*keys).orderBy(_CHUNK)
               .rowsBetween(Window.unboundedPreceding, -1))
     carry = per_chunk.select(*keys, _CHUNK,
