@@ -14,20 +14,38 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def utc_instant(ts) -> Column:
+    """A ``TIMESTAMP_NTZ`` wall clock read as UTC, as an instant
+    (``TIMESTAMP``), whatever the session time zone is.  A plain cast
+    would read it in the session zone."""
+    local_wall = F.convert_timezone(F.lit("UTC"), F.current_timezone(), _c(ts).cast("timestamp_ntz"))
+    return local_wall.cast("timestamp")
+
+
+def utc_wall_clock(ts) -> Column:
+    """An instant (``TIMESTAMP``) as its UTC wall clock (``TIMESTAMP_NTZ``)."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _c(ts).cast("timestamp_ntz"))
+
+
+def epoch_micros(ts) -> Column:
+    """Microseconds since the epoch; NTZ values are UTC wall clocks."""
+    return F.unix_micros(utc_instant(ts))
+
+
 def epoch_nanos(ts) -> Column:
     """Nanoseconds since the epoch of a timestamp (microsecond precision)."""
-    return F.unix_micros(_c(ts).cast("timestamp")) * F.lit(1000)
+    return epoch_micros(ts) * F.lit(1000)
 
 
 def now_nanos() -> Column:
-    return epoch_nanos(F.current_timestamp())
+    return F.unix_micros(F.current_timestamp()) * F.lit(1000)
 
 
 def nanos_to_timestamp(col) -> Column:
     """Back from nanoseconds: floor to microseconds, as TIMESTAMP_NTZ (UTC)."""
     # Decimal arithmetic: a double cannot hold 19-digit nanosecond counts.
     micros = F.floor(_c(col).cast("decimal(20,0)") / F.lit(1000)).cast("bigint")
-    return F.timestamp_micros(micros).cast("timestamp_ntz")
+    return utc_wall_clock(F.timestamp_micros(micros))
 
 
 def quote_text(col) -> Column:

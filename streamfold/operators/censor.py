@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_letter_run, mask_with_map, mask_with_set, segments
+from ..functions.timefmt import epoch_micros
 from .dictionary import dictionary_map
 from .joins import maybe_broadcast
 from .scan import DEFAULT_SPAN, running_last
@@ -155,7 +156,7 @@ def replay_blocks_asof(messages: DataFrame, block_events: DataFrame,
                              F.lit(None).cast("bigint").alias("id"))
     ms = messages.select(F.col("to_user_id").alias("_sf_to"), F.col("from_user_id").alias("_sf_from"),
                          "ts", "offset", F.lit(None).cast("string").alias("action"), "id")
-    u = ch.unionByName(ms).withColumn("_sf_us", F.unix_micros(F.col("ts").cast("timestamp")))
+    u = ch.unionByName(ms).withColumn("_sf_us", epoch_micros("ts"))
     scanned = running_last(u, ["_sf_to", "_sf_from"], "_sf_us", "action", "block_state",
                            span=span_micros, order_tiebreak=["offset"])
     return (scanned.filter(F.col("id").isNotNull()

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timefmt import epoch_micros, utc_wall_clock
 from ..session import checkpoint_root
 from .joins import maybe_broadcast
 from .scan import latest_per_key, running_sums
@@ -150,7 +151,7 @@ def scrape(renamed: DataFrame, interval_s: int = SCRAPE_INTERVAL_SECONDS) -> Dat
     return (renamed.groupBy(*SERIES, w.alias("w"))
             .agg(F.max_by("value", F.struct("ts", "sample_id")).alias("value"),
                  F.count("*").alias("n_samples"))
-            .select(*SERIES, F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+            .select(*SERIES, utc_wall_clock(F.col("w.start")).alias("window_start"),
                     "value", "n_samples"))
 
 
@@ -160,13 +161,13 @@ def record_rate(tagged: DataFrame, interval_s: int = SCRAPE_INTERVAL_SECONDS) ->
     sel = tagged
     w = F.window("ts", f"{interval_s} seconds")
     return (sel.groupBy("panel", w.alias("w")).agg(F.count("*").alias("n_records"))
-            .select("panel", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+            .select("panel", utc_wall_clock(F.col("w.start")).alias("window_start"),
                     "n_records", (F.col("n_records") / F.lit(float(interval_s))).alias("per_second")))
 
 
 def cumulative(rates: DataFrame) -> DataFrame:
     """MET-05: running total of records per panel over window starts."""
-    r = rates.withColumn("_sf_w", F.unix_micros(F.col("window_start").cast("timestamp")))
+    r = rates.withColumn("_sf_w", epoch_micros("window_start"))
     out = running_sums(r, ["panel"], "_sf_w", {"cumulative": "n_records"},
                        span=3600 * 1_000_000 * 24)
     return out.select("panel", "window_start", "n_records", "cumulative")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codecs import CORRUPT, decode_json
 from ..functions.text import LETTER_RUN
+from ..functions.timefmt import utc_wall_clock
 from ..operators import (batching, blocklist, cdc, censor, dictionary, ingest, joins,
                          metrics, projections, spend)
 from ..sources import fixtures
@@ -262,7 +263,7 @@ def q_metric_rename(spark, sf_dir):
     """MET-01, MET-02."""
     r = renamed_metrics(spark, sf_dir)
     return r.select("sample_id", "name", *metrics.LABELS,
-                    F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
+                    utc_wall_clock("ts").alias("ts"), "value")
 
 
 def q_metric_max_latest(spark, sf_dir):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codecs import encode_json
 from ..functions.text import LETTER_RUN
+from ..functions.timefmt import epoch_micros, utc_instant
 from .tables import read_table
 
 # --- fixed values -----------------------------------------------------------
@@ -161,7 +162,7 @@ def kafka_records_from(e: DataFrame, topic: str = "events") -> DataFrame:
                     F.lit(topic).alias("topic"),
                     (F.col("user_id") % 3).cast("int").alias("partition"),
                     F.col("event_id").alias("offset"),
-                    F.col("ts").cast("timestamp").alias("timestamp"),
+                    utc_instant("ts").alias("timestamp"),
                     F.lit(0).alias("timestampType"))
 
 
@@ -177,7 +178,7 @@ def cdc_records_from(e: DataFrame) -> DataFrame:
     table = F.when(k % 2 == 0, F.lit("users")).otherwise(F.lit("orders"))
     op = _case(F.col("event_type"), CDC_OP_BY_TYPE, "u")
     image = F.struct(k.alias("id"), F.col("value").alias("value"))
-    src_us = F.unix_micros(F.col("ts").cast("timestamp"))
+    src_us = epoch_micros("ts")
     delay_us = (F.col("event_id") * 7919) % 500000 + 1000
     source = F.struct(
         F.lit("postgresql").alias("connector"), F.lit("customers").alias("db"),
@@ -223,4 +224,4 @@ def metric_samples_from(e: DataFrame) -> DataFrame:
             names[t] = F.concat(F.lit(head), conn, F.lit(mid), task, F.lit(tail + attr))
     return e.select(F.col("event_id").alias("sample_id"),
                     _case(F.col("event_type"), names).alias("metric"),
-                    F.col("ts").cast("timestamp").alias("ts"), "value")
+                    utc_instant("ts").alias("ts"), "value")

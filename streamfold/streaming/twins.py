@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_word
+from ..functions.timefmt import utc_wall_clock
 from ..operators import batching, blocklist, cdc, censor, dictionary, metrics
 from ..session import scratch_path
 from ..sources import fixtures
@@ -144,7 +145,7 @@ def q_stream_metric_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = (sel.withWatermark("ts", "10 minutes")
               .groupBy("panel", F.window("ts", f"{iv} seconds").alias("w"))
               .agg(F.count("*").alias("n_records"))
-              .select("panel", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+              .select("panel", utc_wall_clock(F.col("w.start")).alias("window_start"),
                       "n_records"))
     table = f"{root}/rates"
     run_to_end(counts, f"{root}/ckpt", output_mode="update",
