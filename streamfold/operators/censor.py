@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.text import is_letter_run, mask_with_map, mask_with_set, segments
 from ..functions.timefmt import epoch_micros
 from .dictionary import dictionary_map
-from .joins import maybe_broadcast
+from .joins import fits, maybe_broadcast
 from .scan import DEFAULT_SPAN, running_last
 
 # Bounds behind the broadcast decisions (rows).  A dictionary row is a word
@@ -55,13 +55,16 @@ def matchable(dictionary: DataFrame) -> DataFrame:
     return dictionary.filter(is_letter_run("word"))
 
 
-def mask_by_map(messages: DataFrame, dictionary: DataFrame, text_col: str = "text") -> DataFrame:
+def mask_by_map(messages: DataFrame, dictionary: DataFrame, text_col: str = "text",
+                max_words: int = MAX_MAP_WORDS) -> DataFrame:
     """JOIN-02: one-row ``MAP<word, mask>`` broadcast to every task.
 
     Spark looks a map key up by scanning the keys, so this form costs
     O(words) per segment; ``mask_by_set`` is the fast form of the same
     lookup.  Kept for dictionaries whose masks are not FN-04 masks.
     """
+    if not fits(matchable(dictionary), max_words):
+        raise ValueError(f"dictionary has more than {max_words} words; use mask_by_join")
     m = F.broadcast(dictionary_map(matchable(dictionary)))
     cols = messages.columns
     return (messages.crossJoin(m)
@@ -134,7 +137,7 @@ def censor_messages(messages: DataFrame, blocks: DataFrame, dictionary: DataFram
     if strategy == "map":
         return mask_by_set(kept, dictionary, text_col, words=words, max_words=max_map_words)
     if strategy == "map-literal":
-        return mask_by_map(kept, dictionary, text_col)
+        return mask_by_map(kept, dictionary, text_col, max_words=max_map_words)
     if strategy == "join":
         return mask_by_join(kept, dictionary, text_col)
     raise ValueError(f"unknown strategy {strategy!r}")

@@ -23,10 +23,12 @@ def spread(df: DataFrame) -> DataFrame:
     round-robin over that many partitions.  On large inputs (many splits,
     the normal case at scale) this is a no-op and adds no shuffle.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (Spark Connect)
+        return df
+    return df.repartition(target) if parts < target else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str,
