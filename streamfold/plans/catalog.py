@@ -85,7 +85,7 @@ def q_bad_word_unmatchable(spark, sf_dir):
 
 def q_bad_word_lookup(spark, sf_dir):
     """JOIN-05, FN-05: every distinct letter run of the documents looked up."""
-    d = read_table(spark, sf_dir, "documents", "text")
+    d = read_table(spark, sf_dir, "documents", "text", parallel=True)
     req = d.select(F.explode(F.regexp_extract_all("text", F.lit(LETTER_RUN), 0)).alias("word")) \
            .distinct()
     return dictionary.lookup_words(req, bad_words(spark, sf_dir))

@@ -32,7 +32,9 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str,
-               parallel: bool = True) -> DataFrame:
+               parallel: bool = False) -> DataFrame:
+    """Scan ``name`` with only ``cols``.  ``parallel=True`` (for scans that
+    feed CPU-heavy per-row work: text, JSON) applies ``spread``."""
     df = spark.read.parquet(table_path(sf_dir, name))
     df = df.select(*cols) if cols else df
     return spread(df) if parallel else df
