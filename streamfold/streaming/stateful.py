@@ -39,7 +39,10 @@ class SpendCategoryProcessor(StatefulProcessor):
         self.category = handle.getValueState("category", "category string")
 
     def handleInputRows(self, key, rows, timerValues):
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("offset", kind="stable")
+        frames = list(rows)
+        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        if not batch["offset"].is_monotonic_increasing:
+            batch = batch.sort_values("offset", kind="stable")
         total = self.total.get()[0] if self.total.exists() else 0
         current = self.category.get()[0] if self.category.exists() else None
         # Vectorised fold: totals are a cumulative sum; a record emits when
@@ -50,6 +53,8 @@ class SpendCategoryProcessor(StatefulProcessor):
         emit = before != cats
         self.total.update((int(totals[-1]),))
         self.category.update((cats[-1],))
+        if not emit.any():
+            return
         yield pd.DataFrame({
             "user_id": np.full(int(emit.sum()), key[0], dtype=np.int64),
             "order_id": batch["order_id"].to_numpy(dtype=np.int64)[emit],
