@@ -92,8 +92,17 @@ def lookup_user_blocks(requests: DataFrame, blocks: DataFrame, user_col: str = "
 
     ``status`` is ``found`` when the user has a store (even an empty one;
     then ``blocked_id`` is NULL) and ``not_found`` otherwise.
+
+    Written as an inner join plus an anti join rather than one left outer
+    join: a user with a huge block list is a hot key on the right side,
+    and AQE can split a skewed partition on either side of an inner join,
+    but only on the left side of a left outer join.
     """
-    b = blocks.select(F.col("user_id").alias("_sf_u"), "blocked_id",
-                      F.lit("found").alias("status"))
-    out = requests.join(b, requests[user_col] == b["_sf_u"], "left").drop("_sf_u")
-    return out.withColumn("status", F.coalesce("status", F.lit("not_found")))
+    b = blocks.select(F.col("user_id").alias("_sf_u"), "blocked_id")
+    found = (requests.join(b, requests[user_col] == b["_sf_u"], "inner").drop("_sf_u")
+             .withColumn("status", F.lit("found")))
+    users = blocks.select(F.col("user_id").alias("_sf_u")).distinct()
+    missing = (requests.join(users, requests[user_col] == users["_sf_u"], "left_anti")
+               .withColumn("blocked_id", F.lit(None).cast("string"))
+               .withColumn("status", F.lit("not_found")))
+    return found.unionByName(missing)

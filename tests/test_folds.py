@@ -67,3 +67,21 @@ def test_batches_of_ten(spark):
     got = batching.batch_groups(recs, 10, span=7).orderBy("batch_no").collect()
     assert [r.n_records for r in got] == [10, 10, 5]
     assert [(r.first_offset, r.last_offset) for r in got] == [(0, 27), (30, 57), (60, 72)]
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """A key holding a third of the rows is scanned by many tasks: the
+    window stage is partitioned by (key, chunk), not by key."""
+    rows = [(0 if i % 3 == 0 else i % 50 + 1, i, 1) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k bigint, o bigint, v bigint")
+    # AQE would merge this tiny test's shuffle partitions into one.
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        out = scan.running_sums(df, ["k"], "o", {"s": "v"}, span=100)
+        hot = out.filter("k = 0").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert hot > 1
+        assert out.filter("k = 0").agg(F.max("s")).first()[0] == 1000
+    finally:
+        spark.conf.set(key, old)
