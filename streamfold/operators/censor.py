@@ -24,12 +24,15 @@ from ..functions.text import is_letter_run, mask_with_map, mask_with_set, segmen
 from ..functions.timefmt import epoch_micros
 from .dictionary import dictionary_map
 from .joins import fits, maybe_broadcast
-from .scan import DEFAULT_SPAN, running_last
+from .scan import running_last
 
 # Bounds behind the broadcast decisions (rows).  A dictionary row is a word
 # and its mask; a block row is two ids.  Both stay far below executor memory.
 MAX_MAP_WORDS = 200_000
 MAX_BROADCAST_PAIRS = 2_000_000
+# Time chunk of the as-of scan: a chunk holds one pair's events of one
+# minute; a pair's carry table holds one row per minute of its history.
+REPLAY_SPAN_MICROS = 60 * 1_000_000
 
 
 def drop_blocked(messages: DataFrame, blocks: DataFrame,
@@ -144,7 +147,7 @@ def censor_messages(messages: DataFrame, blocks: DataFrame, dictionary: DataFram
 
 
 def replay_blocks_asof(messages: DataFrame, block_events: DataFrame,
-                       span_micros: int = DEFAULT_SPAN * 1_000_000) -> DataFrame:
+                       span_micros: int = REPLAY_SPAN_MICROS) -> DataFrame:
     """JOIN-04: each message judged by the block state of its (receiver,
     sender) pair at the message's time; ties are broken by offset.
 

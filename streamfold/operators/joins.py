@@ -16,9 +16,23 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and cut its
+    lineage (reliable ``checkpoint``; survives executor loss)."""
+    from ..session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int, once: bool = True) -> DataFrame:
     """``broadcast(df)`` when its row count is proven bounded, else ``df``
-    unchanged (the planner then shuffles both sides; AQE splits hot keys)."""
+    (the planner then shuffles both sides; AQE splits hot keys).
+
+    With ``once`` the table is materialized first, so the size check and
+    the join read the same stored rows instead of computing ``df`` twice
+    (at scale that would be a second pass over its input)."""
+    if once:
+        df = materialize(df)
     return F.broadcast(df) if fits(df, max_rows) else df
 
 

@@ -112,7 +112,7 @@ def rename_metrics(samples: DataFrame, metric_col: str = "metric", lower: bool =
     rename table joins back broadcast when its row count is proven small,
     so the samples are not shuffled for it."""
     names = metric_names(samples, metric_col, lower, panels)
-    return samples.join(maybe_broadcast(names, max_broadcast_names), metric_col, "inner")
+    return samples.join(maybe_broadcast(names, max_broadcast_names, once=False), metric_col, "inner")
 
 
 def select_series(renamed: DataFrame, pattern: str) -> DataFrame:
