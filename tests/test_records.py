@@ -180,3 +180,18 @@ def test_run_each_and_counter(spark):
     assert list(failed) == ["topic-2"]
     c = DeliveryCounter()
     assert c.listener() is not None and c.rows == {}
+
+
+def test_route_quantiles_and_key_mismatch(spark):
+    from streamfold.operators import blocklist
+    from streamfold.sources import fixtures
+    d = cdc.decode_changes(fixtures.cdc_records(spark, "/root/testdata/sf0.001"),
+                           include=["public.users", "public.orders"])
+    users = cdc.route(d, "users")
+    assert users.count() > 0 and users.filter("table <> 'users'").count() == 0
+    q = {r.table: r.quantiles for r in cdc.delay_quantiles(d).collect()}
+    assert set(q) == {"users", "orders"} and all(len(v) == 3 and v[0] <= v[2] for v in q.values())
+    ev = spark.createDataFrame([("1", "block:1:2", 1), ("3", "block:4:2", 2)],
+                               "key string, value string, offset bigint")
+    good, _ = blocklist.parse_block_events(ev)
+    assert [r.user_id for r in blocklist.key_mismatches(good).collect()] == ["3"]
