@@ -51,13 +51,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when it is unset (local tests) do we create one of our own.
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="streamfold-ckpt-")
-        sc.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
-        root = sc.getCheckpointDir() or root
-    return root
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir() is None:
+        if not configured:            # local runs only: no shared folder named
+            configured = tempfile.mkdtemp(prefix="streamfold-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", configured)
+        sc.setCheckpointDir(configured)   # DataFrame.checkpoint() needs it registered
+    return configured or sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
