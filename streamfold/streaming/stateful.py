@@ -35,24 +35,24 @@ class SpendCategoryProcessor(StatefulProcessor):
     category)`` when the category differs from the stored one."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", "total bigint")
-        self.category = handle.getValueState("category", "category string")
+        # One value state holding both fields: every state access is a call
+        # to the state server, so per key there is one get and one update.
+        self.state = handle.getValueState("spend", "total bigint, category string")
 
     def handleInputRows(self, key, rows, timerValues):
         frames = list(rows)
         batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         if not batch["offset"].is_monotonic_increasing:
             batch = batch.sort_values("offset", kind="stable")
-        total = self.total.get()[0] if self.total.exists() else 0
-        current = self.category.get()[0] if self.category.exists() else None
+        stored = self.state.get()
+        total, current = (int(stored[0]), stored[1]) if stored is not None else (0, None)
         # Vectorised fold: totals are a cumulative sum; a record emits when
         # its band differs from the band before it (the stored one first).
         totals = total + np.cumsum(batch["order_amount"].to_numpy(dtype=np.int64))
         cats = _bands(totals)
         before = np.concatenate([np.array([current], dtype=object), cats[:-1]])
         emit = before != cats
-        self.total.update((int(totals[-1]),))
-        self.category.update((cats[-1],))
+        self.state.update((int(totals[-1]), str(cats[-1])))
         if not emit.any():
             return
         yield pd.DataFrame({
