@@ -86,7 +86,11 @@ def main(argv):
     names = argv[2:]
     from streamfold.session import build_session
     import __spark_entry__ as entry
-    spark = build_session(extra={"spark.sql.session.timeZone": os.environ.get("SF_TZ", "UTC")})
+    if os.environ.get("PLAIN_SESSION"):
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = build_session(extra={"spark.sql.session.timeZone": os.environ.get("SF_TZ", "UTC")})
     q, sqls = entry.queries(), entry.oracle_sql()
     con = duck(sf_dir)
     bad = 0
