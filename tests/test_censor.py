@@ -3,7 +3,6 @@ properties, for every masking strategy."""
 
 import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from streamfold.functions.text import normalize_word, rune_upper, unicode_trim
 from streamfold.operators import blocklist, censor, dictionary

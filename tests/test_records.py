@@ -9,7 +9,7 @@ from streamfold.functions.codecs import CORRUPT, decode_json, encode_json
 from streamfold.functions.ids import parse_uint64
 from streamfold.functions.timefmt import format_message, nanos_to_timestamp
 from streamfold.operators import cdc, ingest, metrics, projections
-from streamfold.schemas import CDC_ENVELOPE, PAYLOAD_MESSAGE
+from streamfold.schemas import PAYLOAD_MESSAGE
 from streamfold.sources import generators
 from streamfold.sources.kafka import TlsOptions, TopicScan, sink_options
 

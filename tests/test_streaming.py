@@ -5,7 +5,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from streamfold.plans import catalog
 from streamfold.streaming import sinks, twins
