@@ -99,37 +99,55 @@ def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def read_compacted(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    """The newest snapshot of a compacted table, or None if there is none."""
+KIND = "sf_kind"            # "delta" or "full"
+COMPACT_EVERY = 10
+
+
+def read_compacted(spark: SparkSession, path: str, keys: list[str], order: list[str],
+                   schema: str | None = None, before: int | None = None) -> DataFrame | None:
+    """The current content of a compacted table: the newest full snapshot
+    plus the deltas written after it, reduced to the last row per key
+    (ties go to the newer batch).  ``before`` reads the table as it was
+    before batch ``before``.  None (or an empty frame of ``schema``) when
+    nothing has been written."""
     try:
-        all_versions = spark.read.parquet(path)
+        versions = spark.read.parquet(path)
     except AnalysisException:
         return spark.createDataFrame([], schema) if schema else None
-    newest = all_versions.agg(F.max(VERSION)).first()[0]
-    return all_versions.filter(F.col(VERSION) == newest).drop(VERSION)
-
-
-def compacted_writer(spark: SparkSession, path: str, keys: list[str], order: list[str]
-                     ) -> Callable[[DataFrame, int], None]:
+    if before is not None:
+        versions = versions.filter(F.col(VERSION) < before)
+    last_full = versions.filter(F.col(KIND) == "full").agg(F.max(VERSION)).first()[0]
+    if last_full is not None:
+        versions = versions.filter(F.col(VERSION) >= last_full)   # partition pruning
+    cols = [c for c in versions.columns if c not in (VERSION, KIND)]
+    values = [c for c in cols if c not in keys]
+    latest = latest_per_key(versions, keys, [*order, VERSION], values)
+    return latest.select(*cols)
+
+
+def compacted_writer(spark: SparkSession, path: str, keys: list[str], order: list[str],
+                     compact_every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
     """SNK-07: keep only the last row per key, like a compacted topic.
 
-    Each micro-batch is merged with the newest snapshot older than it
-    (``latest_per_key`` by ``order``) and written as snapshot ``sf_version=<id>``.
-    A replay of batch ``id`` reads the same older snapshot and rewrites the
-    same version, so the table stays exact under retries.  Old versions can
-    be removed once a newer one exists.
+    A micro-batch writes only its own last row per key, as delta
+    ``sf_version=<id>/sf_kind=delta``: the write costs the size of the
+    batch, not of the table.  Every ``compact_every`` batches the deltas
+    are folded into a full snapshot (``sf_kind=full``), so a reader merges
+    at most that many deltas.  Both are pure functions of the batch and of
+    older versions, so a replayed batch rewrites exactly the same files.
+    Versions older than the newest full snapshot can be deleted.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         cols = batch.columns
-        merged = batch
-        try:
-            prev_all = spark.read.parquet(path)
-            older = prev_all.filter(F.col(VERSION) < batch_id)
-            newest = older.agg(F.max(VERSION)).first()[0]
-            if newest is not None:
-                merged = older.filter(F.col(VERSION) == newest).select(*cols).unionByName(batch)
-        except AnalysisException:
-            pass
-        latest = latest_per_key(merged, keys, order, [c for c in cols if c not in keys])
-        latest.write.mode("overwrite").parquet(f"{path}/{VERSION}={batch_id}")
+        latest = latest_per_key(batch, keys, order, [c for c in cols if c not in keys])
+        kind = "delta"
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            kind = "full"
+            prev = read_compacted(spark, path, keys, order, before=batch_id)
+            if prev is not None:
+                both = (prev.select(*cols).withColumn("_sf_new", F.lit(0))
+                        .unionByName(latest.select(*cols).withColumn("_sf_new", F.lit(1))))
+                latest = latest_per_key(both, keys, [*order, "_sf_new"],
+                                        [c for c in cols if c not in keys]).select(*cols)
+        latest.write.mode("overwrite").parquet(f"{path}/{VERSION}={batch_id}/{KIND}={kind}")
     return write

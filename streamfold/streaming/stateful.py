@@ -83,21 +83,18 @@ def spend_category_batches(spark, state_path: str, out_path: str):
     function over DataFrames only: per micro-batch, running totals come
     from the chunked prefix scan (no per-key task), the carry-in is the
     user's stored total, and the per-user state lives in a compacted table
-    (version ``sf_version=<batch_id>``, rebuilt exactly on replay)."""
+    (``compacted_writer``: a delta per batch, rebuilt exactly on replay)."""
     from pyspark.sql import functions as F
 
-    from ..operators.scan import latest_per_key, running_sums
+    from ..operators.scan import running_sums
     from ..operators.spend import band
-    from .sinks import VERSION
+    from .sinks import compacted_writer, read_compacted
+
+    save_state = compacted_writer(spark, state_path, ["user_id"], ["offset"])
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        try:
-            older = spark.read.parquet(state_path).filter(F.col(VERSION) < batch_id)
-            newest = older.agg(F.max(VERSION)).first()[0]
-            prev = (older.filter(F.col(VERSION) == newest).drop(VERSION) if newest is not None
-                    else spark.createDataFrame([], SPEND_STATE))
-        except Exception:  # no state yet
-            prev = spark.createDataFrame([], SPEND_STATE)
+        prev = read_compacted(spark, state_path, ["user_id"], ["offset"], SPEND_STATE,
+                              before=batch_id)
         rt = running_sums(batch, ["user_id"], "offset",
                           {"_bt": "order_amount", "seq": F.lit(1).cast("bigint")})
         p = prev.select("user_id", F.col("total").alias("_pt"), F.col("category").alias("_pc"))
@@ -110,8 +107,6 @@ def spend_category_batches(spark, state_path: str, out_path: str):
         (j.filter(before.isNull() | (before != F.col("category")))
           .select("user_id", "order_id", "offset", "total", "category")
           .write.mode("overwrite").parquet(f"{out_path}/batch={batch_id:012d}"))
-        merged = prev.unionByName(j.select("user_id", "total", "category", "offset"))
-        (latest_per_key(merged, ["user_id"], "offset", ["total", "category", "offset"])
-         .write.mode("overwrite").parquet(f"{state_path}/{VERSION}={batch_id}"))
+        save_state(j.select("user_id", "total", "category", "offset"), batch_id)
 
     return each

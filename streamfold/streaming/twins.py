@@ -26,6 +26,7 @@ from .stateful import SPEND_OUTPUT, spend_category_batches, spend_category_strea
 CDC_TABLES = ("public.users", "public.orders")
 CDC_FIELDS = {"id": "int", "value": "double"}
 PAIR_STATE = "user_id string, blocked_id string, last_action string, offset bigint"
+PAIR_KEYS = ["user_id", "blocked_id"]
 
 
 # ---- table-building streams (STR-03, SNK-06, SNK-07) --------------------------
@@ -40,7 +41,7 @@ def build_block_state(spark: SparkSession, sf_dir: str, root: str) -> str:
     state = blocklist.block_pair_state(good)
     table = f"{root}/block_state"
     run_to_end(state, f"{root}/ckpt_block_state", output_mode="update",
-               foreach_batch=compacted_writer(spark, table, ["user_id", "blocked_id"], ["offset"]))
+               foreach_batch=compacted_writer(spark, table, PAIR_KEYS, ["offset"]))
     return table
 
 
@@ -67,7 +68,8 @@ def q_stream_block_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-01, STR-03, AGG-04: twin of ``block_list``."""
     root = scratch_path(spark, "stream_block_list")
     table = build_block_state(spark, sf_dir, root)
-    return blocklist.block_list_from_state(read_compacted(spark, table, PAIR_STATE))
+    return blocklist.block_list_from_state(read_compacted(spark, table, PAIR_KEYS, ["offset"],
+                                                          PAIR_STATE))
 
 
 def q_stream_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +91,7 @@ def q_stream_censor(spark: SparkSession, sf_dir: str) -> DataFrame:
     write = batch_writer(out)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        state = read_compacted(spark, state_path, PAIR_STATE)
+        state = read_compacted(spark, state_path, PAIR_KEYS, ["offset"], PAIR_STATE)
         blocks = state.filter(F.col("last_action") == "block").select("user_id", "blocked_id")
         res = censor.censor_messages(batch, blocks, dictionary_table(spark, words_path))
         write(res, batch_id)
@@ -129,7 +131,7 @@ def q_stream_cdc_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{root}/state"
     run_to_end(typed.select("table", "key_id", "op", "lsn", *CDC_FIELDS), f"{root}/ckpt",
                foreach_batch=compacted_writer(spark, table, ["table", "key_id"], ["lsn"]))
-    st = read_compacted(spark, table)
+    st = read_compacted(spark, table, ["table", "key_id"], ["lsn"])
     return st.filter(F.col("op") != "d").select("table", "key_id", "lsn", *CDC_FIELDS)
 
 
@@ -150,7 +152,7 @@ def q_stream_metric_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{root}/rates"
     run_to_end(counts, f"{root}/ckpt", output_mode="update",
                foreach_batch=compacted_writer(spark, table, ["panel", "window_start"], ["n_records"]))
-    return read_compacted(spark, table).select(
+    return read_compacted(spark, table, ["panel", "window_start"], ["n_records"]).select(
         "panel", "window_start", "n_records",
         (F.col("n_records") / F.lit(float(iv))).alias("per_second"))
 

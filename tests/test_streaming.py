@@ -81,17 +81,26 @@ def test_restart_resumes_from_checkpoint(spark, split_dir):
     for f in files[2:]:
         os.symlink(f"{split_dir}/events/{f}", f"{src}/{f}")
     run_once()
-    got = blocklist.block_list_from_state(sinks.read_compacted(spark, f"{root}/t"))
+    got = blocklist.block_list_from_state(
+        sinks.read_compacted(spark, f"{root}/t", ["user_id", "blocked_id"], ["offset"]))
     assert same(got, catalog.QUERIES["block_list"](spark, SF))
 
 
 def test_compacted_replay_is_exact(spark):
     root = tempfile.mkdtemp(prefix="streamfold-replay-")
-    w = sinks.compacted_writer(spark, f"{root}/t", ["k"], ["o"])
-    b0 = spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], "k int, o int, v string")
-    b1 = spark.createDataFrame([(1, 3, "c")], "k int, o int, v string")
-    w(b0, 0)
-    w(b1, 1)
-    w(b1, 1)          # the same batch again after a failure
-    got = sorted(map(tuple, sinks.read_compacted(spark, f"{root}/t").select("k", "o", "v").collect()))
-    assert got == [(1, 3, "c"), (2, 2, "b")]
+    w = sinks.compacted_writer(spark, f"{root}/t", ["k"], ["o"], compact_every=2)
+    schema = "k int, o int, v string"
+    batches = [[(1, 1, "a"), (2, 2, "b")], [(1, 3, "c")], [(3, 4, "d"), (1, 5, "e")], [(2, 6, "f")]]
+    for i, rows in enumerate(batches):
+        w(spark.createDataFrame(rows, schema), i)
+        if i == 1:
+            w(spark.createDataFrame(rows, schema), i)      # the same batch after a failure
+
+    def read(before=None):
+        t = sinks.read_compacted(spark, f"{root}/t", ["k"], ["o"], before=before)
+        return sorted(map(tuple, t.select("k", "o", "v").collect()))
+
+    assert read(before=2) == [(1, 3, "c"), (2, 2, "b")]      # full snapshot of batch 1
+    assert read() == [(1, 5, "e"), (2, 6, "f"), (3, 4, "d")]  # snapshot 3 (full)
+    kinds = sorted(os.listdir(f"{root}/t/sf_version=2"))
+    assert kinds == ["sf_kind=delta"]
