@@ -190,11 +190,21 @@ SELECT conv_id, turn,
 FROM conversations
 """
 
+def _quoted(x: str) -> str:
+    """A double-quoted literal's escaping, in SQL: backslash, quote, named
+    escapes, then ``\\xNN`` for the other control characters."""
+    named = {7: "a", 8: "b", 9: "t", 10: "n", 11: "v", 12: "f", 13: "r"}
+    out = f"replace(replace({x}, '\\', '\\\\'), '\"', '\\\"')"
+    for cp in [*range(0x20), 0x7F]:
+        esc = "\\" + named[cp] if cp in named else "\\x%02x" % cp
+        out = f"replace({out}, chr({cp}), '{esc}')"
+    return out
+
+
 FORMAT_MESSAGES = """
 WITH m AS (SELECT event_id AS id, event_type AS payload, epoch_us(ts) * 1000 AS ts FROM events)
 SELECT id, payload, ts,
-       printf('Message{ID:%d, Payload:"%s", Ts:%d}', id,
-              replace(replace(payload, '\\', '\\\\'), '"', '\\"'), ts) AS text,
+       printf('Message{ID:%d, Payload:"%s", Ts:%d}', id, """ + _quoted("payload") + """, ts) AS text,
        make_timestamp(ts // 1000) AS sent_at
 FROM m
 """

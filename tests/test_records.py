@@ -195,3 +195,9 @@ def test_route_quantiles_and_key_mismatch(spark):
                                "key string, value string, offset bigint")
     good, _ = blocklist.parse_block_events(ev)
     assert [r.user_id for r in blocklist.key_mismatches(good).collect()] == ["3"]
+
+
+def test_message_text_escapes_controls(spark):
+    msgs = spark.createDataFrame([(2, 'a"b\\c\td\x01e\x7f', 5)], PAYLOAD_MESSAGE)
+    t = msgs.select(format_message("id", "payload", "ts").alias("t")).first().t
+    assert t == 'Message{ID:2, Payload:"a\\"b\\\\c\\td\\x01e\\x7f", Ts:5}'
