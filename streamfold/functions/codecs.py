@@ -37,6 +37,28 @@ def decode_json(col, schema: StructType | str) -> Column:
                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **JSON_OPTIONS})
 
 
+# --- fixed values -----------------------------------------------------------
+# Zero value per simple type, used where a missing JSON field must read as
+# the zero value rather than NULL (Q21).
+ZERO_BY_TYPE = {"bigint": 0, "int": 0, "smallint": 0, "tinyint": 0, "double": 0.0,
+                "float": 0.0, "string": "", "boolean": False}
+# ---------------------------------------------------------------------------
+
+
+def zero_filled(df: DataFrame, fields: list[str] | None = None) -> DataFrame:
+    """Q21: missing (NULL) values of simple-typed columns read as their zero
+    value; only ``fields`` when given.  Use after ``decode_json`` for keys
+    that are optional; the ``_corrupt`` column is left alone."""
+    out = []
+    for f in df.schema.fields:
+        zero = ZERO_BY_TYPE.get(f.dataType.simpleString())
+        if f.name != CORRUPT and zero is not None and (fields is None or f.name in fields):
+            out.append(F.coalesce(F.col(f.name), F.lit(zero).cast(f.dataType)).alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return df.select(*out)
+
+
 def encode_json(*cols, pretty: bool = False) -> Column:
     """COD-02 / COD-07: ``to_json(struct(...))``, optionally indented."""
     opts = dict(JSON_OPTIONS, **({"pretty": "true"} if pretty else {}))

@@ -201,3 +201,11 @@ def test_message_text_escapes_controls(spark):
     msgs = spark.createDataFrame([(2, 'a"b\\c\td\x01e\x7f', 5)], PAYLOAD_MESSAGE)
     t = msgs.select(format_message("id", "payload", "ts").alias("t")).first().t
     assert t == 'Message{ID:2, Payload:"a\\"b\\\\c\\td\\x01e\\x7f", Ts:5}'
+
+
+def test_zero_filled_missing_fields(spark):
+    from streamfold.functions.codecs import zero_filled
+    df = spark.createDataFrame([('{"payload": "only"}',)], "value string")
+    d = zero_filled(df.select(decode_json("value", PAYLOAD_MESSAGE).alias("d")).select("d.*"))
+    r = d.first()
+    assert (r.id, r.payload, r.ts, r[CORRUPT]) == (0, "only", 0, None)
