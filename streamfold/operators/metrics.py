@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import epoch_micros, utc_wall_clock
-from ..session import checkpoint_root
-from .joins import maybe_broadcast
+from .joins import materialize, maybe_broadcast
 from .scan import latest_per_key, running_sums
 
 # --- fixed values -----------------------------------------------------------
@@ -96,11 +95,10 @@ def metric_names(samples: DataFrame, metric_col: str = "metric", lower: bool = T
     cannot push the rule predicates back below the ``distinct`` into the
     scan, and the size check and the join read it without recomputing."""
     names = samples.select(metric_col).distinct()
-    checkpoint_root(samples.sparkSession)
     # Filter and tag only after the checkpoint: a predicate on ``name``
     # placed earlier would be pushed below the distinct, with every rule
     # expression copied into it, and run once per sample.
-    r = rename_names(names, metric_col, lower).checkpoint(eager=True)
+    r = materialize(rename_names(names, metric_col, lower))
     r = r.filter(F.col("name").isNotNull())
     return tag_panels(r, panels) if panels else r
 
