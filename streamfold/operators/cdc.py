@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codecs import decode_json
+from ..functions.timefmt import utc_wall_clock
 from ..schemas import CDC_ENVELOPE
 from .scan import latest_per_key
 
@@ -59,13 +60,26 @@ def image(col: str):
     return F.when(c.isNull() | F.is_variant_null(c), F.lit(None)).otherwise(c)
 
 
+MICROS_TIMESTAMP = "timestamp_micros"
+
+
+def _field(img, name: str, typ: str):
+    if typ == MICROS_TIMESTAMP:
+        # Row timestamps without zone travel as microseconds of wall-clock
+        # time; read them back as that wall clock.
+        micros = F.variant_get(img, f"$.{name}", "bigint")
+        return utc_wall_clock(F.timestamp_micros(micros))
+    return F.variant_get(img, f"$.{name}", typ)
+
+
 def typed_projection(decoded: DataFrame, fields: dict[str, str]) -> DataFrame:
     """CDC-02: typed columns from the current image (``after``, or
-    ``before`` for deletes).  ``fields`` maps column name to SQL type."""
+    ``before`` for deletes).  ``fields`` maps column name to SQL type, or
+    to ``timestamp_micros`` for a microsecond wall clock (TIMESTAMP_NTZ)."""
     img = F.coalesce(image("after"), image("before"))
     return decoded.select(
         "table", "op", "lsn", "key_id",
-        *[F.variant_get(img, f"$.{name}", typ).alias(name) for name, typ in fields.items()])
+        *[_field(img, name, typ).alias(name) for name, typ in fields.items()])
 
 
 def route(decoded: DataFrame, table: str) -> DataFrame:

@@ -209,3 +209,13 @@ def test_zero_filled_missing_fields(spark):
     d = zero_filled(df.select(decode_json("value", PAYLOAD_MESSAGE).alias("d")).select("d.*"))
     r = d.first()
     assert (r.id, r.payload, r.ts, r[CORRUPT]) == (0, "only", 0, None)
+
+
+def test_typed_users_projection(spark):
+    """CDC-02 on the printed envelope: users row with created_at."""
+    rec = spark.createDataFrame([('{"id":1}', json.dumps(SAMPLE_ENVELOPE), "pg.public.users", 0, 0)],
+                                "key string, value string, topic string, partition int, offset bigint")
+    users = cdc.typed_projection(cdc.decode_changes(rec), {
+        "id": "int", "name": "string", "email": "string", "created_at": "timestamp_micros"}).first()
+    assert (users.id, users.name, users.email) == (1, "John Doe", "john@example.com")
+    assert users.created_at == dt.datetime(2026, 8, 7, 21, 49, 55, 635838)
