@@ -59,20 +59,6 @@ def is_letter_run(col) -> Column:
     return _c(col).rlike("^" + LETTER_RUN + "$")
 
 
-def mask_with_map(text, mask_map) -> Column:
-    """FN-06/FN-07: replace each letter run whose lower-case form is a key
-    of ``mask_map`` by its mask; copy everything else.
-
-    A NULL or empty map leaves the text unchanged (fail-open, Q2).
-    """
-    text, mask_map = _c(text), _c(mask_map)
-    replaced = F.array_join(
-        F.transform(segments(text),
-                    lambda s: F.coalesce(F.try_element_at(mask_map, F.lower(s)), s)),
-        "")
-    return F.when(mask_map.isNull() | (F.size(mask_map) == 0), text).otherwise(replaced)
-
-
 def _sql_string(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

@@ -7,8 +7,8 @@ Two masking strategies give identical text:
 
 * ``map``  (JOIN-02): the dictionary, proven small by a bounded fetch,
   becomes an ``IN`` list that Spark evaluates as a hash set in every task;
-  masking is a projection with no shuffle.  (``map-literal`` is the same
-  lookup through one broadcast ``MAP`` row, which Spark searches linearly.)
+  masking is a projection with no shuffle.  (A broadcast ``MAP`` would be
+  searched linearly per lookup, and joining it needs a cross join.)
 * ``join`` (JOIN-03): for dictionaries of any size.  Texts are cut into
   letter runs and gaps; only letter runs are shuffled to meet the
   dictionary (gaps such as " " would be the hottest keys of all and never
@@ -21,10 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import is_letter_run, mask_with_map, mask_with_set, segments
+from ..functions.text import is_letter_run, mask_with_set, segments
 from ..functions.timefmt import epoch_micros
-from .dictionary import dictionary_map
-from .joins import fits, maybe_broadcast
+from .joins import maybe_broadcast
 from .scan import running_last
 
 # Bounds behind the broadcast decisions (rows).  A dictionary row is a word
@@ -60,23 +59,6 @@ def matchable(dictionary: DataFrame) -> DataFrame:
     return dictionary.filter(is_letter_run("word"))
 
 
-def mask_by_map(messages: DataFrame, dictionary: DataFrame, text_col: str = "text",
-                max_words: int = MAX_MAP_WORDS) -> DataFrame:
-    """JOIN-02: one-row ``MAP<word, mask>`` broadcast to every task.
-
-    Spark looks a map key up by scanning the keys, so this form costs
-    O(words) per segment; ``mask_by_set`` is the fast form of the same
-    lookup.  Kept for dictionaries whose masks are not FN-04 masks.
-    """
-    if not fits(matchable(dictionary), max_words):
-        raise ValueError(f"dictionary has more than {max_words} words; use mask_by_join")
-    m = F.broadcast(dictionary_map(matchable(dictionary)))
-    cols = messages.columns
-    return (messages.crossJoin(m)
-            .select(*[mask_with_map(text_col, "mask_map").alias(c) if c == text_col else F.col(c)
-                      for c in cols]))
-
-
 def small_word_list(dictionary: DataFrame, max_words: int) -> list[str] | None:
     """The matchable words when there are at most ``max_words`` of them,
     else None.  One bounded job: ``limit(max_words + 1)`` both proves the
@@ -141,8 +123,6 @@ def censor_messages(messages: DataFrame, blocks: DataFrame, dictionary: DataFram
             strategy = "map" if words is not None else "join"
     if strategy == "map":
         return mask_by_set(kept, dictionary, text_col, words=words, max_words=max_map_words)
-    if strategy == "map-literal":
-        return mask_by_map(kept, dictionary, text_col, max_words=max_map_words)
     if strategy == "join":
         return mask_by_join(kept, dictionary, text_col)
     raise ValueError(f"unknown strategy {strategy!r}")

@@ -41,14 +41,3 @@ def lookup_words(requests: DataFrame, dictionary: DataFrame, word_col: str = "wo
     return (req.join(d, "_sf_key", "left")
             .withColumn("found", F.col("mask").isNotNull())
             .drop("_sf_key"))
-
-
-def dictionary_map(dictionary: DataFrame) -> DataFrame:
-    """JOIN-02 build side: the whole dictionary as one ``MAP<word, mask>`` row.
-
-    Only for dictionaries of a checked, bounded size (see ``censor``); a
-    global aggregate always yields one row, so an empty dictionary gives an
-    empty map and texts pass unchanged (fail-open, Q2).
-    """
-    return dictionary.agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "mask"))).alias("mask_map"))

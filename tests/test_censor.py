@@ -7,7 +7,7 @@ from hypothesis import given, settings, strategies as st
 from streamfold.functions.text import normalize_word, rune_upper, unicode_trim
 from streamfold.operators import blocklist, censor, dictionary
 
-STRATEGIES = ["map", "join", "map-literal"]
+STRATEGIES = ["map", "join"]
 
 
 def words_df(spark, words):
