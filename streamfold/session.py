@@ -7,6 +7,7 @@ helpers here are for tests, the bench and the command-line entry point.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -53,7 +54,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
-        if not configured:            # local runs only: no shared folder named
+        if not configured:
+            # Local runs only: with executors elsewhere, a folder of this
+            # machine would be lost to them.
+            if not re.match(r"local(\[[^\]]*\])?$", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             configured = tempfile.mkdtemp(prefix="streamfold-ckpt-")
             spark.conf.set("spark.checkpoint.dir", configured)
         sc.setCheckpointDir(configured)   # DataFrame.checkpoint() needs it registered
