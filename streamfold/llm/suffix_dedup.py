@@ -155,6 +155,8 @@ def _from_planes(raw: bytes, width: int) -> np.ndarray:
 
 
 def _bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
+    """By the low 48 bits: an anchor's hash is the least of many, so its
+    high bits are mostly zero."""
     return ((key >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
@@ -295,7 +297,7 @@ def contexts(marked: DataFrame, buckets: int) -> DataFrame:
             for (h, omax, ctx), (doc, spots) in held.items():
                 g.append(h), o.append(omax), c.append(ctx), d.append(doc), at.append(spots)
             h = np.array(g, np.uint64)
-            bucket = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+            bucket = _bucket_of(h & KEY48, buckets).astype(np.int32)
             spans = [(doc, [x for s in merged(v) for x in s]) for doc, v in covered.items()]
             n = len(spans)
             yield pa.RecordBatch.from_arrays([
@@ -310,7 +312,7 @@ def contexts(marked: DataFrame, buckets: int) -> DataFrame:
                                              b.column(3).to_pylist()):
                 if keys and not copy and len(text) >= WINDOW:
                     add(doc, text, keys)
-                    if len(held) > FLUSH // 8:
+                    if len(held) > FLUSH // 16:
                         yield from flush()
         if held or covered:
             yield from flush()
