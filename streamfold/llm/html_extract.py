@@ -86,7 +86,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if words:
             text = " ".join(_html.unescape("".join(words)).split())
             if text:
-                lines.append((text, len(text) if link == 0 else max(0, len(text) - link), article > 0))
+                lines.append((text, max(0, len(text) - text.count(" ") - link), article > 0))
             words.clear()
         link = 0
 
@@ -103,7 +103,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if text and not out:
             words.append(text)
             if links:
-                link += len(text.strip())
+                link += len("".join(_html.unescape(text).split()))
 
     at = 0
     for m in TOKEN.finditer(page):
