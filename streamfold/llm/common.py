@@ -18,6 +18,7 @@ from ..sources.tables import table_path
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 # ---
+PIECE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -38,16 +39,28 @@ def nonnull_text(col: str = "text") -> Column:
     return F.coalesce(F.col(f"`{col}`").cast("string"), F.lit(""))
 
 
+def pieces(b: pa.RecordBatch, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """``b`` in slices of at most ``most`` bytes (one row at least), so that
+    Python never holds the values of a whole batch of long texts."""
+    if b.num_rows <= 1 or b.nbytes <= most:
+        if b.num_rows:
+            yield b
+    else:
+        half = b.num_rows // 2
+        yield from pieces(b.slice(0, half), most)
+        yield from pieces(b.slice(half), most)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]],
                 schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` batch by batch; the functions travel by value, so
+    """``mapInArrow`` piece by piece; the functions travel by value, so
     executors need not have this package installed."""
     ship()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                yield from fn(b)
+            for part in pieces(b):
+                yield from fn(part)
     return df.mapInArrow(run, schema)
 
 

@@ -30,7 +30,7 @@ from .common import map_batches
 
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
-MAX_CHUNKS = 500_000
+MAX_CHUNKS = 100_000
 MAX_CHUNK_CHARS = 64          # longer words are segmented without being kept
 SCHEMA = "doc_id bigint, ids array<int>, decoded string"
 DIGEST_SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -52,7 +52,7 @@ def chunkable(sp) -> bool:
     crossing = any(MARK in sp.id_to_piece(i).lstrip(MARK) for i in range(len(sp)))
     probe = "  a ﬁÅ é\n\tb  "
     plain = sp.normalize(probe) == MARK + probe.replace(" ", MARK)
-    return plain and not crossing
+    return plain and not crossing and sp.piece_to_id(MARK) != sp.unk_id()
 
 
 def encode_text(text: str, sp, table: dict) -> list[tuple[list[int], str]]:
@@ -63,7 +63,8 @@ def encode_text(text: str, sp, table: dict) -> list[tuple[list[int], str]]:
     for chunk in CHUNK.findall(MARK + text.replace(" ", MARK)):
         got = table.get(chunk)
         if got is None:
-            ids = sp.encode(chunk[1:])
+            # The library marks the start of a text, but leaves an empty one empty.
+            ids = sp.encode(chunk[1:]) if len(chunk) > 1 else [sp.piece_to_id(MARK)]
             got = (ids, " ".join(map(str, ids)))
             if len(chunk) <= MAX_CHUNK_CHARS:
                 if len(table) >= MAX_CHUNKS:
