@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, nonnull_text, ship, stored, utf8
+from .common import map_batches, nonnull_text, pieces, ship, stored, utf8
 
 WINDOW = 50
 GRAM = 26
@@ -212,15 +212,14 @@ def first_digits(docs: DataFrame, buckets: int) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
                 ["bucket", "doc", "keys", "docs", "many"])
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), utf8(batch.column(1))
-            for lo in range(0, len(ids), 512):
+            for b in pieces(batch):
                 mine = []
-                for i in range(lo, min(lo + 512, len(ids))):
+                for doc, text in zip(b.column(0).to_pylist(), utf8(b.column(1))):
                     # Of copies within a flush only the first is looked at.
-                    digest = hashlib.blake2b(texts[i], digest_size=16).digest()
-                    if seen.get(digest, LAST + 1) > ids[i]:
-                        seen[digest] = ids[i]
-                        mine.append((ids[i], texts[i]))
+                    digest = hashlib.blake2b(text, digest_size=16).digest()
+                    if seen.get(digest, LAST + 1) > doc:
+                        seen[digest] = doc
+                        mine.append((doc, text))
                 for d, _, _, _, h in _grouped_anchors(mine):
                     ds.append(d.astype(np.int64))
                     ks.append(h & KEY48)
@@ -232,10 +231,12 @@ def first_digits(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def repeated_digits(messages: DataFrame) -> DataFrame:
-    """Pass 1, reduce side: (doc, keys) of digits met in two documents."""
+    """Pass 1, reduce side: (doc, key) of digits met in two documents."""
     def run(t: pa.Table) -> pa.Table:
         if not t.num_rows or t.column("bucket")[0].as_py() < 0:
-            return t.select(["doc", "keys"])
+            known = [_from_planes(k, 6).view(np.int64) for k in t.column("keys").to_pylist()]
+            doc = np.repeat(t.column("doc").to_numpy(), [len(k) for k in known])
+            return pa.table({"doc": pa.array(doc, pa.int64()), "key": np.concatenate([np.zeros(0, np.int64), *known])})
         ks, ds, ms = [], [], []
         for k, d, m in zip(*(t.column(c).to_pylist() for c in ("keys", "docs", "many"))):
             key = _from_planes(k, 6)
@@ -250,13 +251,8 @@ def repeated_digits(messages: DataFrame) -> DataFrame:
         starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         hit = (np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)) | np.logical_or.reduceat(many, starts)
         sel = np.repeat(hit, np.diff(np.concatenate((starts, [len(key)]))))
-        key, doc = key[sel], doc[sel]
-        order = np.argsort(doc, kind="stable")
-        key, doc = key[order], doc[order]
-        cuts = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))) if len(doc) else []
-        return pa.table({"doc": pa.array(doc[cuts] if len(doc) else [], pa.int64()),
-                         "keys": pa.array([_planes(key[a:z], 6) for a, z in zip(cuts, [*cuts[1:], len(doc)])], pa.binary())})
-    return messages.groupBy("bucket").applyInArrow(run, "doc bigint, keys binary")
+        return pa.table({"doc": pa.array(doc[sel], pa.int64()), "key": pa.array(key[sel].view(np.int64), pa.int64())})
+    return messages.groupBy("bucket").applyInArrow(run, "doc bigint, key bigint")
 
 
 CONTEXT = "bucket int, h bigint, omax int, ctx binary, doc bigint, at array<bigint>"
@@ -273,7 +269,7 @@ def contexts(marked: DataFrame, buckets: int) -> DataFrame:
         covered: dict[int, list] = {}
 
         def add(doc, text, keys):
-            found = np.unique(np.concatenate([_from_planes(k, 6) for k in keys]))
+            found = np.unique(np.array(keys, np.uint64))
             for first, last, p, h in text_anchors(text):
                 k = h & KEY48
                 j = np.searchsorted(found, k)
@@ -307,13 +303,14 @@ def contexts(marked: DataFrame, buckets: int) -> DataFrame:
                 pa.array(at + [s[1] for s in spans], pa.list_(pa.int64()))], CONTEXT_NAMES)
             held.clear()
             covered.clear()
-        for b in batches:
-            for doc, text, keys, copy in zip(b.column(0).to_pylist(), utf8(b.column(1)), b.column(2).to_pylist(),
-                                             b.column(3).to_pylist()):
-                if keys and not copy and len(text) >= WINDOW:
-                    add(doc, text, keys)
-                    if len(held) > FLUSH // 16:
-                        yield from flush()
+        for batch in batches:
+            for b in pieces(batch):
+                for doc, text, keys, copy in zip(b.column(0).to_pylist(), utf8(b.column(1)), b.column(2).to_pylist(),
+                                                 b.column(3).to_pylist()):
+                    if keys and not copy and len(text) >= WINDOW:
+                        add(doc, text, keys)
+                        if len(held) > FLUSH // 16:
+                            yield from flush()
         if held or covered:
             yield from flush()
     return marked.select("doc", "text", "keys", "copy").mapInArrow(run, CONTEXT)
@@ -374,7 +371,7 @@ def repeated_windows(messages: DataFrame) -> DataFrame:
     def run(t: pa.Table) -> pa.Table:
         if not t.num_rows or t.column("bucket")[0].as_py() < 0:
             return t.select(["doc", "at"]).rename_columns(["doc", "spans"])
-        spans: dict[int, list] = {}
+        docs, spans = [], []                  # a row for each covered context: they grow with the input alone
         first: dict[tuple, int] = {}          # one entry per distinct context, its smallest document
         rows = list(zip(*(t.column(c).to_pylist() for c in ("h", "omax", "ctx", "doc", "at"))))
         for i, (_, o, ctx, doc, _) in enumerate(rows):
@@ -383,8 +380,8 @@ def repeated_windows(messages: DataFrame) -> DataFrame:
                 first[(o, ctx)] = i
         for _, o, ctx, doc, at in rows:
             if rows[first[(o, ctx)]][3] < doc:
-                for p in at:
-                    spans.setdefault(doc, []).append((p - o, p - o + len(ctx)))
+                docs.append(doc)
+                spans.append([x for p in at for x in (p - o, p - o + len(ctx))])
         own = list(first.values())
         g = np.array([rows[i][0] for i in own], np.int64)
         _, cls, n = np.unique(g, return_inverse=True, return_counts=True)
@@ -394,11 +391,9 @@ def repeated_windows(messages: DataFrame) -> DataFrame:
                               [rows[i][2] for i in left], np.array([rows[i][3] for i in left], np.int64))
             for i, a, z in zip(left, top.tolist(), low.tolist()):
                 if a >= 0:
-                    for p in rows[i][4]:
-                        spans.setdefault(rows[i][3], []).append((p - a, p - z + WINDOW))
-        docs = list(spans)
-        return pa.table({"doc": pa.array(docs, pa.int64()),
-                         "spans": pa.array([[x for s in merged(spans[d]) for x in s] for d in docs], pa.list_(pa.int64()))})
+                    docs.append(rows[i][3])
+                    spans.append([x for p in rows[i][4] for x in (p - a, p - z + WINDOW)])
+        return pa.table({"doc": pa.array(docs, pa.int64()), "spans": pa.array(spans, pa.list_(pa.int64()))})
     return messages.groupBy("bucket").applyInArrow(run, "doc bigint, spans array<bigint>")
 
 
@@ -435,7 +430,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                        nonnull_text(text_col).alias("text"))
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 + int(n_bytes * 2 / (SPAN + 1) * 8) // BUCKET_BYTES
-    digits = repeated_digits(first_digits(rows, buckets)).groupBy("doc").agg(F.collect_list("keys").alias("keys"))
+    digits = repeated_digits(first_digits(rows, buckets)).groupBy("doc").agg(F.collect_list("key").alias("keys"))
     whole = stored(copies(rows), "suffix_copied")
     shared = stored(digits, "suffix_digits")
     marked = (rows.join(shared, "doc", "left").join(whole, "doc", "left")
