@@ -91,11 +91,19 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def _missing(e: AnalysisException) -> bool:
+    """Whether the path does not exist; anything else must not read as an
+    empty table."""
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Everything ``batch_writer`` wrote (empty when nothing was)."""
     try:
         return spark.read.parquet(path).drop("batch")
-    except AnalysisException:
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -112,7 +120,9 @@ def read_compacted(spark: SparkSession, path: str, keys: list[str], order: list[
     nothing has been written."""
     try:
         versions = spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
         return spark.createDataFrame([], schema) if schema else None
     if before is not None:
         versions = versions.filter(F.col(VERSION) < before)

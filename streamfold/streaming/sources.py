@@ -7,17 +7,32 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.tables import table_path
 
 
+FILES_PER_TRIGGER = 64      # bounds a micro-batch; set per stream or by FILES_CONF
+FILES_CONF = "streamfold.maxFilesPerTrigger"
+
+
+def _is_directory(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder of part files; fails if nothing is there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(p).isDirectory()
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream the files of one table in ``sf_dir`` (``<name>.parquet``).
+    """Stream the files of one table in ``sf_dir``: the part files of the
+    folder ``<name>.parquet``, or that one file.
 
     The schema is taken from the file footer once; a stream never infers.
+    A micro-batch reads at most ``max_files_per_trigger`` files.
     """
-    schema = spark.read.parquet(table_path(sf_dir, name)).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(sf_dir)
+    path = table_path(sf_dir, name)
+    files = max_files_per_trigger or spark.conf.get(FILES_CONF, str(FILES_PER_TRIGGER))
+    r = (spark.readStream.schema(spark.read.parquet(path).schema)
+         .option("maxFilesPerTrigger", str(files)))
+    if _is_directory(spark, path):
+        return r.parquet(path)
+    return r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def dir_stream(spark: SparkSession, path: str, schema,

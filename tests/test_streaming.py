@@ -8,7 +8,7 @@ import pytest
 
 from streamfold.plans import catalog
 from streamfold.streaming import sinks, twins
-from streamfold.streaming.sources import dir_stream
+from streamfold.streaming.sources import FILES_CONF, dir_stream, table_stream
 
 SF = "/root/testdata/sf0.001"
 SPLIT = {"events": "event_id", "orders": "o_orderkey", "documents": "doc_id", "benchmark": "item_id"}
@@ -20,22 +20,21 @@ def split_dir(spark):
     root = tempfile.mkdtemp(prefix="streamfold-split-")
     for name, key in SPLIT.items():
         df = spark.read.parquet(f"{SF}/{name}.parquet")
-        df.repartitionByRange(4, key).sortWithinPartitions(key).write.parquet(f"{root}/{name}")
+        df.repartitionByRange(4, key).sortWithinPartitions(key).write.parquet(f"{root}/{name}.parquet")
         # The file source takes files in modification-time order; stamp the
         # range files so that they arrive in offset order, as a log would.
-        parts = sorted(f for f in os.listdir(f"{root}/{name}") if f.endswith(".parquet"))
+        parts = sorted(f for f in os.listdir(f"{root}/{name}.parquet") if f.endswith(".parquet"))
         for i, f in enumerate(parts):
-            os.utime(f"{root}/{name}/{f}", (1_700_000_000 + 60 * i,) * 2)
+            os.utime(f"{root}/{name}.parquet/{f}", (1_700_000_000 + 60 * i,) * 2)
     return root
 
 
 @pytest.fixture()
-def multi_batch(monkeypatch, spark, split_dir):
-    def fake(spark_, sf_dir, name, max_files_per_trigger=None):
-        schema = spark.read.parquet(f"{SF}/{name}.parquet").schema
-        return dir_stream(spark_, f"{split_dir}/{name}", schema, max_files_per_trigger=1)
-    monkeypatch.setattr(twins, "table_stream", fake)
-    return split_dir
+def multi_batch(spark, split_dir):
+    """One file a micro-batch."""
+    spark.conf.set(FILES_CONF, "1")
+    yield split_dir
+    spark.conf.unset(FILES_CONF)
 
 
 def same(a, b):
@@ -55,7 +54,7 @@ def same(a, b):
     ("stream_censor", "censor_messages"),
 ])
 def test_twin_over_many_batches(spark, multi_batch, twin, batch):
-    assert same(twins.STREAM_QUERIES[twin](spark, SF), catalog.QUERIES[batch](spark, SF))
+    assert same(twins.STREAM_QUERIES[twin](spark, multi_batch), catalog.QUERIES[batch](spark, SF))
 
 
 def test_restart_resumes_from_checkpoint(spark, split_dir):
@@ -64,7 +63,7 @@ def test_restart_resumes_from_checkpoint(spark, split_dir):
     from streamfold.operators import blocklist
     from streamfold.sources import fixtures
     schema = spark.read.parquet(f"{SF}/events.parquet").schema
-    files = sorted(f for f in os.listdir(f"{split_dir}/events") if f.endswith(".parquet"))
+    files = sorted(f for f in os.listdir(f"{split_dir}/events.parquet") if f.endswith(".parquet"))
     src = tempfile.mkdtemp(prefix="streamfold-src-")
     root = tempfile.mkdtemp(prefix="streamfold-restart-")
 
@@ -76,10 +75,10 @@ def test_restart_resumes_from_checkpoint(spark, split_dir):
                                                              ["user_id", "blocked_id"], ["offset"]))
 
     for f in files[:2]:
-        os.symlink(f"{split_dir}/events/{f}", f"{src}/{f}")
+        os.symlink(f"{split_dir}/events.parquet/{f}", f"{src}/{f}")
     run_once()
     for f in files[2:]:
-        os.symlink(f"{split_dir}/events/{f}", f"{src}/{f}")
+        os.symlink(f"{split_dir}/events.parquet/{f}", f"{src}/{f}")
     run_once()
     got = blocklist.block_list_from_state(
         sinks.read_compacted(spark, f"{root}/t", ["user_id", "blocked_id"], ["offset"]))
@@ -111,7 +110,12 @@ def test_two_groups_over_many_batches(spark, multi_batch):
     cut inside each micro-batch, so the last one of a micro-batch may be
     short (Q20)."""
     got = {r.group_id: (r.n_records, r.n_batches)
-           for r in twins.STREAM_QUERIES["stream_two_groups"](spark, SF).collect()}
+           for r in twins.STREAM_QUERIES["stream_two_groups"](spark, multi_batch).collect()}
     n = spark.read.parquet(f"{SF}/events.parquet").count()
     assert got["single"] == (n, n)
     assert got["batch-10"][0] == n and n / 10 <= got["batch-10"][1] < n / 10 + 4 * 3
+
+
+def test_missing_table_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception):
+        table_stream(spark, str(tmp_path), "events")
