@@ -23,14 +23,14 @@ def parse_uint64(col) -> Column:
     """
     s = _c(col)
     as_dec = s.try_cast("decimal(20,0)")
-    ok = s.rlike("^[0-9]+$") & (as_dec <= F.lit(UINT64_MAX).cast("decimal(20,0)"))
+    ok = s.rlike(r"^[0-9]+\z") & (as_dec <= F.lit(UINT64_MAX).cast("decimal(20,0)"))
     return F.when(ok, as_dec.cast("string"))
 
 
 def block_event_text(action, user_id, blocked_id) -> Column:
-    """FN-09: ``action:user:blocked``."""
-    return F.concat_ws(EVENT_SEPARATOR, _c(action), _c(user_id).cast("string"),
-                       _c(blocked_id).cast("string"))
+    """FN-09: ``action:user:blocked``; NULL when a part is."""
+    sep = F.lit(EVENT_SEPARATOR)
+    return F.concat(_c(action), sep, _c(user_id).cast("string"), sep, _c(blocked_id).cast("string"))
 
 
 def repeatable_id(*cols) -> Column:

@@ -56,30 +56,14 @@ def segments(col) -> Column:
 
 
 def is_letter_run(col) -> Column:
-    return _c(col).rlike("^" + LETTER_RUN + "$")
+    return _c(col).rlike("^" + LETTER_RUN + r"\z")
 
 
-def _sql_string(v: str) -> str:
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def mask_with_set(text_col: str, words: list[str]) -> Column:
-    """FN-06 with a word list: a segment whose lower-case form is in
-    ``words`` becomes its mask (FN-04).  ``words`` must hold letter runs
-    only, so gaps never match.  An empty list leaves text unchanged.
-
-    The ``IN`` list becomes a hash set evaluated once per task.  The
-    expression is built as one SQL string: building it from Column objects
-    costs one driver-to-JVM call per word, seconds for a few thousand.
-    """
-    name = "`" + text_col.replace("`", "``") + "`"
-    if not words:
-        return F.expr(name)
-    members = ", ".join(_sql_string(w) for w in words)
-    return F.expr(
-        f"array_join(transform(regexp_extract_all({name}, r'{SEGMENTS}', 1), "
-        f"s -> CASE WHEN lower(s) IN ({members}) "
-        f"THEN repeat('{MASK_CHAR}', char_length(lower(s))) ELSE s END), '')")
+def mask_words(text: Column, words: Column) -> Column:
+    """FN-06: letter runs of ``text`` whose lower-case form is in the array
+    ``words`` become their mask (FN-04); everything else is copied."""
+    return F.array_join(F.transform(
+        segments(text), lambda s: F.when(F.array_contains(words, F.lower(s)), word_mask(F.lower(s))).otherwise(s)), "")
 
 
 @lru_cache(maxsize=1)

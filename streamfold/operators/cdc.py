@@ -26,7 +26,7 @@ def topic_name(prefix, schema, table):
 
 
 def decode_changes(records: DataFrame, include: list[str] | None = None,
-                   topic_prefix: str = "pg") -> DataFrame:
+                   topic_prefix: str = "pg", raw: bool = False) -> DataFrame:
     """CDC-01 (+ CDC-04, FLT-05): decode key and envelope.
 
     Output: topic, partition, offset, key_id, op, schema, table, lsn, ts_ms,
@@ -42,7 +42,8 @@ def decode_changes(records: DataFrame, include: list[str] | None = None,
         records = records.filter(F.col("topic").isin(*[f"{topic_prefix}.{t}" for t in include]))
     env = decode_json("value", CDC_ENVELOPE)
     key = F.from_json(F.col("key").cast("string"), "id BIGINT")
-    d = records.select("topic", "partition", "offset", key.alias("k"), env.alias("e"))
+    d = records.select("topic", "partition", "offset", key.alias("k"), env.alias("e"),
+                       *([F.col("value").alias("raw")] if raw else []))
     out = d.select(
         "topic", "partition", "offset", F.col("k.id").alias("key_id"),
         F.col("e.op").alias("op"), F.col("e.source.schema").alias("schema"),
@@ -50,10 +51,36 @@ def decode_changes(records: DataFrame, include: list[str] | None = None,
         F.col("e.ts_ms").alias("ts_ms"), F.col("e.ts_us").alias("ts_us"),
         F.col("e.source.ts_us").alias("source_ts_us"),
         F.col("e.before").alias("before"), F.col("e.after").alias("after"),
-        F.col("e._corrupt").alias("_corrupt"))
+        F.col("e._corrupt").alias("_corrupt"), *(["raw"] if raw else []))
     return out
 
 
+REASON_TOMBSTONE = "tombstone"
+REASON_GARBAGE = "not a change record"
+
+
+def split_changes(records: DataFrame, include: list[str] | None = None,
+                  topic_prefix: str = "pg") -> tuple[DataFrame, DataFrame]:
+    """COD-05: (decoded changes, rejects).  Rejects are records without a
+    value (tombstones) and values that do not decode to a change with a
+    table and an operation; they keep topic, partition, offset, the raw
+    value and a reason."""
+    decoded = decode_changes(records, include, topic_prefix, raw=True)
+    reason = (F.when(F.col("raw").isNull(), F.lit(REASON_TOMBSTONE))
+              .when(F.col("table").isNull() | F.col("op").isNull(), F.lit(REASON_GARBAGE)))
+    tagged = decoded.withColumn("reason", reason)
+    rejects = tagged.filter("reason is not null").select(
+        "topic", "partition", "offset", F.col("raw").cast("string").alias("value"), "reason")
+    return tagged.filter("reason is null").drop("raw", "reason"), rejects
+
+
+def _n_changes():
+    """Number of records that are changes; tombstones and garbage are not.
+    (Counted, not filtered: a filter on decoded fields would be pushed
+    below the decode and parse every value twice.)"""
+    return F.count(F.when(F.col("table").isNotNull() & F.col("op").isNotNull(), F.lit(1)))
+
+
 def image(col: str):
     """The row image, with a JSON ``null`` image (variant null) as SQL NULL."""
     c = F.col(col)
@@ -89,7 +116,7 @@ def route(decoded: DataFrame, table: str) -> DataFrame:
 
 def op_counts(decoded: DataFrame) -> DataFrame:
     """CDC-05: number of changes per table and operation."""
-    return (decoded.groupBy("table", "op").agg(F.count("*").alias("n_changes"))
+    return (decoded.groupBy("table", "op").agg(_n_changes().alias("n_changes")).filter("n_changes > 0")
             .withColumn("op_name", F.element_at(F.create_map(
                 *[x for k, v in OPS.items() for x in (F.lit(k), F.lit(v))]), F.col("op"))))
 
@@ -116,12 +143,14 @@ def capture_delay(decoded: DataFrame) -> DataFrame:
     (exact count, mean and max)."""
     delay = (F.col("ts_us") - F.col("source_ts_us"))
     return decoded.groupBy("table").agg(
-        F.count("*").alias("n_changes"),
+        _n_changes().alias("n_changes"),
         F.avg(delay).alias("avg_delay_us"),
-        F.max(delay).alias("max_delay_us"))
+        F.max(delay).alias("max_delay_us")).filter("n_changes > 0")
 
 
 def delay_quantiles(decoded: DataFrame, probs=(0.5, 0.95, 0.99)) -> DataFrame:
     """CDC-07: approximate delay quantiles per table (bounded-memory sketch)."""
     delay = (F.col("ts_us") - F.col("source_ts_us"))
-    return decoded.groupBy("table").agg(F.percentile_approx(delay, list(probs)).alias("quantiles"))
+    return (decoded.groupBy("table").agg(F.percentile_approx(delay, list(probs)).alias("quantiles"),
+                                         _n_changes().alias("n_changes"))
+            .filter("n_changes > 0").drop("n_changes"))

@@ -3,17 +3,12 @@
 Order of work follows the reference: drop messages whose sender the
 receiver has blocked, then mask listed words in the rest.
 
-Two masking strategies give identical text:
-
-* ``map``  (JOIN-02): the dictionary, proven small by a bounded fetch,
-  becomes an ``IN`` list that Spark evaluates as a hash set in every task;
-  masking is a projection with no shuffle.  (A broadcast ``MAP`` would be
-  searched linearly per lookup, and joining it needs a cross join.)
-* ``join`` (JOIN-03): for dictionaries of any size.  Texts are cut into
-  letter runs and gaps; only letter runs are shuffled to meet the
-  dictionary (gaps such as " " would be the hottest keys of all and never
-  match); then segments are put back in order per message.  Hot words are
-  split by AQE's skew-join handling.
+Masking depends on the text alone.  The distinct words of each distinct
+text (keyed by digest) meet the dictionary in one join of any size; the
+words that hit are gathered per text and masked where the message is.
+Messages that repeat, or share every other column, stay what they are.
+No hint and no size switch: the planner picks the joins from run-time
+sizes and AQE splits hot words.
 """
 
 from __future__ import annotations
@@ -21,37 +16,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import is_letter_run, mask_with_set, segments
+from ..functions.text import LETTER_RUN, is_letter_run, mask_words
 from ..functions.timefmt import epoch_micros
-from .joins import maybe_broadcast
 from .scan import running_last
 
-# Bounds behind the broadcast decisions (rows).  A dictionary row is a word
-# and its mask; a block row is two ids.  Both stay far below executor memory.
-MAX_MAP_WORDS = 200_000
-MAX_BROADCAST_PAIRS = 2_000_000
 # Time chunk of the as-of scan: a chunk holds one pair's events of one
 # minute; a pair's carry table holds one row per minute of its history.
 REPLAY_SPAN_MICROS = 60 * 1_000_000
 
 
-def _join_blocks(messages: DataFrame, blocks: DataFrame, how: str, max_pairs: int) -> DataFrame:
+def _join_blocks(messages: DataFrame, blocks: DataFrame, how: str) -> DataFrame:
     b = blocks.select(F.col("user_id").alias("_sf_to"), F.col("blocked_id").alias("_sf_from"))
-    b = maybe_broadcast(b, max_pairs)
     cond = (messages["to_user_id"] == b["_sf_to"]) & (messages["from_user_id"] == b["_sf_from"])
     return messages.join(b, cond, how)
 
 
-def drop_blocked(messages: DataFrame, blocks: DataFrame,
-                 max_broadcast_pairs: int = MAX_BROADCAST_PAIRS) -> DataFrame:
+def drop_blocked(messages: DataFrame, blocks: DataFrame) -> DataFrame:
     """JOIN-01 / FLT-04: left anti join on (receiver, sender)."""
-    return _join_blocks(messages, blocks, "left_anti", max_broadcast_pairs)
+    return _join_blocks(messages, blocks, "left_anti")
 
 
-def blocked_messages(messages: DataFrame, blocks: DataFrame,
-                     max_broadcast_pairs: int = MAX_BROADCAST_PAIRS) -> DataFrame:
+def blocked_messages(messages: DataFrame, blocks: DataFrame) -> DataFrame:
     """Q1 rejects: the messages ``drop_blocked`` removes."""
-    return _join_blocks(messages, blocks, "left_semi", max_broadcast_pairs)
+    return _join_blocks(messages, blocks, "left_semi")
 
 
 def matchable(dictionary: DataFrame) -> DataFrame:
@@ -59,73 +46,29 @@ def matchable(dictionary: DataFrame) -> DataFrame:
     return dictionary.filter(is_letter_run("word"))
 
 
-def small_word_list(dictionary: DataFrame, max_words: int) -> list[str] | None:
-    """The matchable words when there are at most ``max_words`` of them,
-    else None.  One bounded job: ``limit(max_words + 1)`` both proves the
-    size and fetches the list."""
-    rows = matchable(dictionary).select("word").limit(max_words + 1).collect()
-    return None if len(rows) > max_words else [r.word for r in rows]
-
-
-def mask_by_set(messages: DataFrame, dictionary: DataFrame, text_col: str = "text",
-                words: list[str] | None = None, max_words: int = MAX_MAP_WORDS) -> DataFrame:
-    """JOIN-02, fast form: the size-checked word list becomes an ``IN``
-    set, which Spark evaluates with a hash set built once per task; a hit
-    is replaced by its FN-04 mask, one ``*`` per code point.  No shuffle:
-    the whole censor is scan, broadcast anti join and projection."""
-    if words is None:
-        words = small_word_list(dictionary, max_words)
-        if words is None:
-            raise ValueError(f"dictionary has more than {max_words} words; use mask_by_join")
-    cols = messages.columns
-    return messages.select(*[mask_with_set(text_col, words).alias(c) if c == text_col
-                             else F.col(c) for c in cols])
-
-
-def mask_by_join(messages: DataFrame, dictionary: DataFrame, text_col: str = "text") -> DataFrame:
-    """JOIN-03: exact masking for dictionaries too large to broadcast."""
-    cols = messages.columns
-    carry = [c for c in cols if c != text_col]
-    segs = messages.select(*carry, F.col(text_col).isNull().alias("_sf_null"),
-                           F.posexplode_outer(segments(text_col)).alias("_sf_pos", "_sf_seg"))
-    letter = F.coalesce(is_letter_run("_sf_seg"), F.lit(False))
-    words = segs.filter(letter).withColumn("_sf_key", F.lower("_sf_seg"))
-    d = matchable(dictionary).select(F.col("word").alias("_sf_key"), F.col("mask").alias("_sf_mask"))
-    looked = (words.join(d, "_sf_key", "left")
-              .select(*carry, "_sf_null", "_sf_pos",
-                      F.coalesce("_sf_mask", "_sf_seg").alias("_sf_seg")))
-    gaps = segs.filter(~letter).select(*carry, "_sf_null", "_sf_pos", "_sf_seg")
-    parts = looked.unionByName(gaps)
-    ordered = F.array_sort(F.collect_list(F.struct("_sf_pos", "_sf_seg")))
-    text = F.array_join(F.transform(ordered, lambda s: s["_sf_seg"]), "")
-    out = (parts.groupBy(*carry, "_sf_null")
-           .agg(text.alias("_sf_text"))
-           .withColumn(text_col, F.when(~F.col("_sf_null"), F.col("_sf_text"))))
-    return out.select(*cols)
+def mask_messages(messages: DataFrame, dictionary: DataFrame, text_col: str = "text") -> DataFrame:
+    """JOIN-02, JOIN-03: exact masking for a dictionary of any size.  The
+    words of a text are looked up once per distinct word, not per position."""
+    cols, text = messages.columns, F.col(text_col)
+    keyed = messages.withColumn("_sf_key", F.unhex(F.sha2(text, 256)))
+    runs = F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(LETTER_RUN), 0), F.lower))
+    words = keyed.select("_sf_key", F.explode(runs).alias("_sf_word")).distinct()
+    listed = matchable(dictionary).select(F.col("word").alias("_sf_word"))
+    hits = (words.join(listed, "_sf_word", "left_semi")
+            .groupBy("_sf_key").agg(F.collect_set("_sf_word").alias("_sf_words")))
+    masked = F.when(F.col("_sf_words").isNull(), text).otherwise(mask_words(text, F.col("_sf_words")))
+    return keyed.join(hits, "_sf_key", "left").select(
+        *[masked.alias(c) if c == text_col else F.col(c) for c in cols])
 
 
 def censor_messages(messages: DataFrame, blocks: DataFrame, dictionary: DataFrame,
-                    strategy: str = "auto", max_map_words: int = MAX_MAP_WORDS,
-                    max_broadcast_pairs: int = MAX_BROADCAST_PAIRS,
                     text_col: str = "text") -> DataFrame:
     """The censor: drop blocked messages, mask listed words in the rest.
 
     ``messages`` needs ``to_user_id``, ``from_user_id`` and the text;
     ``blocks`` is ``(user_id, blocked_id)``; ``dictionary`` is ``(word, mask)``.
-    ``strategy`` is ``map``, ``join`` or ``auto`` (map when the dictionary
-    has at most ``max_map_words`` rows).
     """
-    kept = drop_blocked(messages, blocks, max_broadcast_pairs)
-    words = None
-    if strategy in ("auto", "map"):
-        words = small_word_list(dictionary, max_map_words)
-        if strategy == "auto":
-            strategy = "map" if words is not None else "join"
-    if strategy == "map":
-        return mask_by_set(kept, dictionary, text_col, words=words, max_words=max_map_words)
-    if strategy == "join":
-        return mask_by_join(kept, dictionary, text_col)
-    raise ValueError(f"unknown strategy {strategy!r}")
+    return mask_messages(drop_blocked(messages, blocks), dictionary, text_col)
 
 
 def replay_blocks_asof(messages: DataFrame, block_events: DataFrame,

@@ -29,10 +29,15 @@ def _status(reason: Column) -> Column:
     return F.when(reason.isNull(), F.lit("accepted")).otherwise(F.lit("rejected"))
 
 
+def _given(col: str) -> Column:
+    """A request parameter; one that is missing is the empty string."""
+    return F.coalesce(F.col(col), F.lit(""))
+
+
 def validate_bad_words(requests: DataFrame, word_col: str = "word") -> DataFrame:
     """ING-01: trimmed word must be non-blank; accepted words are emitted
     under one fixed key (the dictionary's single topic key)."""
-    w = unicode_trim(word_col)
+    w = unicode_trim(_given(word_col))
     reason = F.when(w == "", F.lit(REASON_EMPTY_WORD))
     return requests.select(
         "*", w.alias("clean_word"), reason.alias("reason"), _status(reason).alias("status"),
@@ -43,7 +48,7 @@ def validate_block_requests(requests: DataFrame, action_col: str = "action",
                             user_col: str = "user_id", target_col: str = "block_uid") -> DataFrame:
     """ING-02: action in (block, unblock) and not blocking oneself; accepted
     requests emit ``action:user:target`` keyed by user (FN-09)."""
-    a, u, t = F.col(action_col), F.col(user_col), F.col(target_col)
+    a, u, t = _given(action_col), _given(user_col), _given(target_col)
     reason = (F.when(~a.isin("block", "unblock"), F.lit(REASON_ACTION))
               .when(u == t, F.lit(REASON_SELF)))
     return requests.select(

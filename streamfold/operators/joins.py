@@ -1,39 +1,8 @@
-"""Join helpers: size-checked broadcast and the foreign-key join (JOIN-07)."""
+"""The foreign-key join (JOIN-07)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit(n + 1).count()`` stops counting past the bound, so the check
-    costs at most one pass over the (small) side.  This is the size proof
-    behind every explicit ``broadcast`` in the library.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and cut its
-    lineage (reliable ``checkpoint``; survives executor loss)."""
-    from ..session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int, once: bool = True) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven bounded, else ``df``
-    (the planner then shuffles both sides; AQE splits hot keys).
-
-    With ``once`` the table is materialized first, so the size check and
-    the join read the same stored rows instead of computing ``df`` twice
-    (at scale that would be a second pass over its input)."""
-    if once:
-        df = materialize(df)
-    return F.broadcast(df) if fits(df, max_rows) else df
 
 
 def orders_with_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:

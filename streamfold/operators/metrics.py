@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import epoch_micros, utc_wall_clock
-from .joins import materialize, maybe_broadcast
 from .scan import latest_per_key, running_sums
 
 # --- fixed values -----------------------------------------------------------
@@ -43,11 +42,10 @@ RATE_PANELS = (
 )
 SCRAPE_INTERVAL_SECONDS = 5
 # ---------------------------------------------------------------------------
-MAX_BROADCAST_NAMES = 1_000_000
 
 
 def _anchored(p: str) -> str:
-    return "^(?:" + p + ")$"
+    return "^(?:" + p + r")\z"
 
 
 def safe_name(col: Column, lower: bool = True) -> Column:
@@ -86,31 +84,24 @@ def rename_names(names: DataFrame, metric_col: str = "metric", lower: bool = Tru
 
 def metric_names(samples: DataFrame, metric_col: str = "metric", lower: bool = True,
                  panels=None) -> DataFrame:
-    """The rename table: one row per distinct metric that matches a rule
-    (and, with ``panels``, per panel its name is selected by).
-
-    Samples are many, metric names few (one per series), so the regular
-    expressions run once per distinct name.  The table is checkpointed to
-    the shared checkpoint folder: that cuts its lineage, so the optimizer
-    cannot push the rule predicates back below the ``distinct`` into the
-    scan, and the size check and the join read it without recomputing."""
-    names = samples.select(metric_col).distinct()
-    # Filter and tag only after the checkpoint: a predicate on ``name``
-    # placed earlier would be pushed below the distinct, with every rule
-    # expression copied into it, and run once per sample.
-    r = materialize(rename_names(names, metric_col, lower))
+    """The rename table: one row per distinct metric that a rule matches,
+    with ``name``, the labels and (with ``panels``) its panel.  The rules
+    run once per distinct metric, not per sample: ``explode`` keeps the
+    predicate on the name from being pushed below the ``distinct``."""
+    named = rename_names(samples.select(metric_col).distinct(), metric_col, lower)
+    row = F.struct(*[F.col(c) for c in named.columns if c != metric_col])
+    r = named.select(metric_col, F.explode(F.array(row)).alias("_sf_row")).select(metric_col, "_sf_row.*")
     r = r.filter(F.col("name").isNotNull())
     return tag_panels(r, panels) if panels else r
 
 
 def rename_metrics(samples: DataFrame, metric_col: str = "metric", lower: bool = True,
-                   panels=None, max_broadcast_names: int = MAX_BROADCAST_NAMES) -> DataFrame:
+                   panels=None) -> DataFrame:
     """MET-01: ``name`` plus one column per label (plus ``panel`` when
     ``panels`` is given); samples that match no rule are dropped.  The
-    rename table joins back broadcast when its row count is proven small,
-    so the samples are not shuffled for it."""
+    join with the rename table has no hint: its size decides at run time."""
     names = metric_names(samples, metric_col, lower, panels)
-    return samples.join(maybe_broadcast(names, max_broadcast_names, once=False), metric_col, "inner")
+    return samples.join(names, metric_col, "inner")
 
 
 def select_series(renamed: DataFrame, pattern: str) -> DataFrame:

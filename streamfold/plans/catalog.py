@@ -49,16 +49,15 @@ def bad_words(spark, sf_dir):
 # ---- moderation ---------------------------------------------------------------
 
 def q_censor_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JOIN-01, JOIN-02, FLT-04, FN-04..07, FN-11 (auto strategy)."""
+    """JOIN-01, JOIN-02, FLT-04, FN-04..07, FN-11 ."""
     return censor.censor_messages(fixtures.user_messages(spark, sf_dir),
                                   current_blocks(spark, sf_dir), bad_words(spark, sf_dir))
 
 
 def q_censor_messages_large_dictionary(spark, sf_dir):
-    """JOIN-03: the shuffle-join masking path, forced."""
+    """JOIN-03: the same masking serves dictionaries of any size."""
     return censor.censor_messages(fixtures.user_messages(spark, sf_dir),
-                                  current_blocks(spark, sf_dir), bad_words(spark, sf_dir),
-                                  strategy="join")
+                                  current_blocks(spark, sf_dir), bad_words(spark, sf_dir))
 
 
 def q_censor_blocked(spark, sf_dir):
@@ -85,7 +84,7 @@ def q_bad_word_unmatchable(spark, sf_dir):
 
 def q_bad_word_lookup(spark, sf_dir):
     """JOIN-05, FN-05: every distinct letter run of the documents looked up."""
-    d = read_table(spark, sf_dir, "documents", "text", parallel=True)
+    d = read_table(spark, sf_dir, "documents", "text")
     req = d.select(F.explode(F.regexp_extract_all("text", F.lit(LETTER_RUN), 0)).alias("word")) \
            .distinct()
     return dictionary.lookup_words(req, bad_words(spark, sf_dir))
@@ -243,6 +242,11 @@ def q_cdc_op_counts(spark, sf_dir):
     return cdc.op_counts(decoded_changes(spark, sf_dir))
 
 
+def q_cdc_rejects(spark, sf_dir):
+    """COD-05: tombstones and garbage among the change records."""
+    return cdc.split_changes(fixtures.cdc_records_with_rejects(spark, sf_dir), list(CDC_TABLES))[1]
+
+
 def q_cdc_current_state(spark, sf_dir):
     """CDC-06."""
     return cdc.current_state(decoded_changes(spark, sf_dir), CDC_FIELDS)
@@ -320,6 +324,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_orphans": q_order_orphans,
     "cdc_decode": q_cdc_decode,
     "cdc_op_counts": q_cdc_op_counts,
+    "cdc_rejects": q_cdc_rejects,
     "cdc_current_state": q_cdc_current_state,
     "cdc_delay": q_cdc_delay,
     "metric_rename": q_metric_rename,

@@ -152,13 +152,13 @@ WITH r AS (
          CAST(user_id AS VARCHAR) AS user_id, CAST(event_id % 7 AS VARCHAR) AS block_uid
   FROM events),
 q AS (
-  SELECT *, CASE WHEN action NOT IN ('block', 'unblock') THEN 'Action must be: block or unblock'
-                 WHEN user_id = block_uid THEN 'userID is equal blockUID' END AS reason
+  SELECT *, CASE WHEN coalesce(action, '') NOT IN ('block', 'unblock') THEN 'Action must be: block or unblock'
+                 WHEN coalesce(user_id, '') = coalesce(block_uid, '') THEN 'userID is equal blockUID' END AS reason
   FROM r)
 SELECT request_id, action, user_id, block_uid, reason,
        CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS status,
        CASE WHEN reason IS NULL THEN user_id END AS emit_key,
-       CASE WHEN reason IS NULL THEN concat_ws(':', action, user_id, block_uid) END AS event
+       CASE WHEN reason IS NULL THEN action || ':' || coalesce(user_id, '') || ':' || coalesce(block_uid, '') END AS event
 FROM q
 """
 
@@ -281,6 +281,14 @@ SELECT "table", op, count(*) AS n_changes,
 FROM c GROUP BY 1, 2
 """
 
+CDC_REJECTS = """
+SELECT 'pg.public.' || CASE WHEN event_id % 500 % 2 = 0 THEN 'users' ELSE 'orders' END AS topic,
+       CAST(event_id % 500 % 3 AS INTEGER) AS "partition", event_id AS "offset",
+       CASE WHEN event_id % 97 <> 0 THEN 'no json' END AS value,
+       CASE WHEN event_id % 97 = 0 THEN 'tombstone' ELSE 'not a change record' END AS reason
+FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0
+"""
+
 CDC_CURRENT_STATE = "WITH " + CDC + """,
 l AS (SELECT "table", key_id, arg_max(op, lsn) AS op, max(lsn) AS lsn,
              arg_max(id, lsn) AS id, arg_max(value, lsn) AS value
@@ -395,6 +403,7 @@ ORACLE_SQL: dict[str, str] = {
     "order_orphans": ORDER_ORPHANS,
     "cdc_decode": CDC_DECODE,
     "cdc_op_counts": CDC_OP_COUNTS,
+    "cdc_rejects": CDC_REJECTS,
     "cdc_current_state": CDC_CURRENT_STATE,
     "cdc_delay": CDC_DELAY,
     **_metric_sqls(),

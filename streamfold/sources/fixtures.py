@@ -54,8 +54,7 @@ def _case(col: Column, mapping: dict, default=None) -> Column:
 def user_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as chat messages: id, from_user_id, to_user_id, text.
     User ids are canonical decimal strings (Q11)."""
-    return user_messages_from(read_table(spark, sf_dir, "documents", "doc_id", "text",
-                                         parallel=True))
+    return user_messages_from(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def user_messages_from(d: DataFrame) -> DataFrame:
@@ -153,7 +152,7 @@ def message_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kafka_records(spark: SparkSession, sf_dir: str, topic: str = "events") -> DataFrame:
     """``events`` in the Kafka source's record layout."""
-    return kafka_records_from(read_table(spark, sf_dir, "events", parallel=True), topic)
+    return kafka_records_from(read_table(spark, sf_dir, "events"), topic)
 
 
 def kafka_records_from(e: DataFrame, topic: str = "events") -> DataFrame:
@@ -171,7 +170,14 @@ def cdc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as change records on the topics ``pg.public.users`` and
     ``pg.public.orders``: key JSON ``{"id":k}`` and a change envelope value."""
     return cdc_records_from(read_table(spark, sf_dir, "events", "event_id", "ts", "event_type",
-                                       "value", parallel=True))
+                                       "value"))
+
+
+def cdc_records_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``cdc_records`` in which some values are gone (tombstones) or no JSON."""
+    value = (F.when(F.col("offset") % 97 == 0, F.lit(None))
+             .when(F.col("offset") % 89 == 0, F.lit("no json").cast("binary")).otherwise(F.col("value")))
+    return cdc_records(spark, sf_dir).withColumn("value", value)
 
 
 def cdc_records_from(e: DataFrame) -> DataFrame:

@@ -14,27 +14,7 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Make sure a scan feeds every core.
-
-    A file with a single row group is a single split, so everything up to
-    the first shuffle would run as one task.  When a scan yields fewer
-    partitions than the cluster's default parallelism, rows are dealt
-    round-robin over that many partitions.  On large inputs (many splits,
-    the normal case at scale) this is a no-op and adds no shuffle.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (Spark Connect)
-        return df
-    return df.repartition(target) if parts < target else df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str,
-               parallel: bool = False) -> DataFrame:
-    """Scan ``name`` with only ``cols``.  ``parallel=True`` (for scans that
-    feed CPU-heavy per-row work: text, JSON) applies ``spread``."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """Scan ``name`` with only ``cols``."""
     df = spark.read.parquet(table_path(sf_dir, name))
-    df = df.select(*cols) if cols else df
-    return spread(df) if parallel else df
+    return df.select(*cols) if cols else df

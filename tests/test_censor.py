@@ -1,13 +1,11 @@
 """Golden scenarios of the censor (printed and derived cases) and its
-properties, for every masking strategy."""
+properties."""
 
-import pytest
 from hypothesis import given, settings, strategies as st
 
 from streamfold.functions.text import normalize_word, rune_upper, unicode_trim
 from streamfold.operators import blocklist, censor, dictionary
 
-STRATEGIES = ["map", "join"]
 
 
 def words_df(spark, words):
@@ -23,29 +21,35 @@ def no_blocks(spark):
     return spark.createDataFrame([], "user_id string, blocked_id string")
 
 
-def run(spark, msgs, blocks, words, strategy):
-    out = censor.censor_messages(msgs, blocks, words, strategy=strategy)
+def run(spark, msgs, blocks, words):
+    out = censor.censor_messages(msgs, blocks, words)
     return {r.id: r.text for r in out.collect()}
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_empty_dictionary_passes_text(spark, strategy):
+def test_empty_dictionary_passes_text(spark):
     m = msgs_df(spark, [(1, "1", "2", "плохо bad")])
-    assert run(spark, m, no_blocks(spark), words_df(spark, []), strategy) == {1: "плохо bad"}
+    assert run(spark, m, no_blocks(spark), words_df(spark, [])) == {1: "плохо bad"}
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_mask_and_case_and_punctuation(spark, strategy):
+def test_mask_and_case_and_punctuation(spark):
     m = msgs_df(spark, [(1, "1", "2", "плохо bad"), (2, "1", "2", "Плохо, БАД! x2"),
                         (3, "1", "2", "   "), (4, "1", "2", ""), (5, "1", "2", None)])
-    got = run(spark, m, no_blocks(spark), words_df(spark, ["плохо"]), strategy)
+    got = run(spark, m, no_blocks(spark), words_df(spark, ["плохо"]))
     assert got == {1: "***** bad", 2: "*****, БАД! x2", 3: "   ", 4: "", 5: None}
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_unmatchable_word(spark, strategy):
+def test_repeated_messages_stay_apart(spark):
+    """Messages that repeat, or share all but the text, are kept as they are."""
+    rows = [(1, "1", "2", "bad day"), (1, "1", "2", "good bad"), (1, "1", "2", "x"), (1, "1", "2", "x"),
+            (None, None, None, "Bad"), (1, "1", "2", None), (1, "1", "2", None)]
+    out = censor.censor_messages(msgs_df(spark, rows), no_blocks(spark), words_df(spark, ["bad"]))
+    assert sorted((r.text for r in out.collect()), key=str) == sorted(
+        ["*** day", "good ***", "x", "x", "***", None, None], key=str)
+
+
+def test_unmatchable_word(spark):
     m = msgs_df(spark, [(1, "1", "2", "bad2 bad"), (2, "1", "2", "a 123 b")])
-    got = run(spark, m, no_blocks(spark), words_df(spark, ["bad2", "123"]), strategy)
+    got = run(spark, m, no_blocks(spark), words_df(spark, ["bad2", "123"]))
     assert got == {1: "bad2 bad", 2: "a 123 b"}
 
 
@@ -64,13 +68,13 @@ def test_block_unblock_scenario(spark):
     good, bad = blocklist.parse_block_events(ev)
     assert bad.count() == 0
     assert [tuple(r) for r in blocklist.block_list(good).collect()] == [("2", "1")]
-    assert run(spark, m, blocklist.current_blocks(good), words, "map") == {}
+    assert run(spark, m, blocklist.current_blocks(good), words) == {}
     assert [r.id for r in censor.blocked_messages(m, blocklist.current_blocks(good)).collect()] == [7]
     ev2 = spark.createDataFrame([("2", "block:2:1", 1), ("2", "unblock:2:1", 2)],
                                 "key string, value string, offset bigint")
     good2, _ = blocklist.parse_block_events(ev2)
     assert [tuple(r) for r in blocklist.block_list(good2).collect()] == [("2", None)]
-    assert run(spark, m, blocklist.current_blocks(good2), words, "join") == {7: "***** bad"}
+    assert run(spark, m, blocklist.current_blocks(good2), words) == {7: "***** bad"}
 
 
 def test_malformed_and_unknown_user(spark):
@@ -100,16 +104,14 @@ text_alphabet = st.sampled_from(list("abcXYZ плохоБАД,.!12éß"))
 @settings(max_examples=15, deadline=None)
 @given(texts=st.lists(st.text(text_alphabet, max_size=30), min_size=1, max_size=5))
 def test_masking_properties(spark, texts):
-    """Length in code points is kept; masking twice equals masking once;
-    the map and join strategies agree."""
+    """Length in code points is kept; masking twice equals masking once."""
     words = words_df(spark, ["abc", "плохо", "xyz", "бад"])
     m = msgs_df(spark, [(i, "1", "2", t) for i, t in enumerate(texts)])
-    once = run(spark, m, no_blocks(spark), words, "map")
-    assert once == run(spark, m, no_blocks(spark), words, "join")
+    once = run(spark, m, no_blocks(spark), words)
     for i, t in enumerate(texts):
         assert len(once[i]) == len(t)
     m2 = msgs_df(spark, [(i, "1", "2", once[i]) for i in range(len(texts))])
-    assert run(spark, m2, no_blocks(spark), words, "map") == once
+    assert run(spark, m2, no_blocks(spark), words) == once
 
 
 def test_text_functions(spark):

@@ -17,12 +17,26 @@ def plan(df, mode="formatted") -> str:
     return buf.getvalue()
 
 
-def test_censor_is_one_stage_over_the_text(spark):
+def test_plans_start_no_job(spark):
+    """Building a batch query runs nothing, and pins no join strategy."""
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+    for name, query in catalog.QUERIES.items():
+        group = f"plan-{name}"
+        sc.setJobGroup(group, name)
+        try:
+            df = query(spark, SF)
+            started = [j for j in tracker.getJobIdsForGroup(group)]
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        # A scan may read a footer for its schema (one task); nothing else.
+        stages = [tracker.getStageInfo(s) for j in started for s in (tracker.getJobInfo(j).stageIds or [])]
+        assert all(s is None or s.numTasks <= 1 for s in stages), name
+        assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString(), name
+
+
+def test_censor_reads_only_what_it_needs(spark):
     p = plan(catalog.QUERIES["censor_messages"](spark, SF))
-    assert "BroadcastHashJoin LeftAnti" in p
-    assert "SortMergeJoin" not in p
-    assert "ReadSchema: struct<doc_id:bigint,text:string>" in p
-    assert " INSET " in p or "INSET" in p          # hash-set word lookup
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in p and "INSET" not in p
 
 
 def test_block_fold_is_a_partial_hash_aggregate(spark):
@@ -39,9 +53,8 @@ def test_cdc_filter_runs_before_decoding(spark):
 
 def test_metric_rules_run_per_name_not_per_sample(spark):
     p = plan(catalog.QUERIES["metric_rename"](spark, SF))
-    scan_side = [line for line in p.splitlines() if "RLIKE" in line]
-    assert not scan_side                       # rules live in the checkpointed names table
-    assert "BroadcastHashJoin" in p
+    filters = [line for line in p.splitlines() if line.startswith("Condition")]
+    assert filters and not any("RLIKE" in f for f in filters)      # no rule below the distinct
 
 
 @pytest.mark.parametrize("name", ["spend_running_total", "batch_groups"])

@@ -219,3 +219,30 @@ def test_typed_users_projection(spark):
         "id": "int", "name": "string", "email": "string", "created_at": "timestamp_micros"}).first()
     assert (users.id, users.name, users.email) == (1, "John Doe", "john@example.com")
     assert users.created_at == dt.datetime(2026, 8, 7, 21, 49, 55, 635838)
+
+
+def test_missing_request_parameters(spark):
+    """A missing parameter is the empty string; a trailing line feed is no number."""
+    from streamfold.operators import ingest
+    words = spark.createDataFrame([(None,), (" ",), ("ok",)], "word string")
+    assert [r.status for r in ingest.validate_bad_words(words).collect()] == ["rejected", "rejected", "accepted"]
+    req = spark.createDataFrame([(None, "1", "2"), ("block", None, "2"), ("block", None, None), ("block", "1", "2")],
+                                "action string, user_id string, block_uid string")
+    got = [(r.status, r.event) for r in ingest.validate_block_requests(req).collect()]
+    assert got == [("rejected", None), ("accepted", "block::2"), ("rejected", None), ("accepted", "block:1:2")]
+    msg = spark.createDataFrame([("12\n", "1", "x"), ("12", "1", "x"), (None, "1", "x")],
+                                "from_uid string, to_uid string, text string")
+    assert [r.reason for r in ingest.validate_messages(msg).collect()] == ["from_uid is not int", None, "from_uid is not int"]
+
+
+def test_tombstones_are_no_changes(spark):
+    from streamfold.operators import cdc
+    from streamfold.plans import catalog
+    from streamfold.sources import fixtures
+    sf = "/root/testdata/sf0.001"
+    recs = fixtures.cdc_records_with_rejects(spark, sf)
+    good, bad = cdc.split_changes(recs, list(catalog.CDC_TABLES))
+    assert good.count() + bad.count() == recs.count() and bad.count() > 0
+    counts = cdc.op_counts(cdc.decode_changes(recs, list(catalog.CDC_TABLES))).collect()
+    assert sum(r.n_changes for r in counts) == good.count() and all(r.table and r.op for r in counts)
+    assert all(r.table for r in cdc.capture_delay(cdc.decode_changes(recs, list(catalog.CDC_TABLES))).collect())
