@@ -67,31 +67,32 @@ def mask_words(text: Column, words: Column) -> Column:
 
 
 @lru_cache(maxsize=1)
-def _special_upper_table() -> tuple[str, str, str]:
-    """Characters whose full upper-case form is longer than one code point.
+def _special_upper_table() -> tuple[str, str]:
+    """Characters whose full upper-case form is longer than one code point,
+    and their simple upper form.
 
     Spark's ``upper`` applies the full (SpecialCasing) mapping, e.g.
     ``ß`` -> ``SS``; the reference upper-cases rune by rune with the simple
     mapping, which keeps such a character or maps it to its single-code-point
     title case.  The table is derived from Python's Unicode database by that
-    rule; each special character is shielded with a private-use placeholder
-    around Spark's ``upper`` and then restored to its simple upper form.
+    rule.
     """
-    src, hold, dst = [], [], []
+    src, dst = [], []
     for cp in range(sys.maxunicode + 1):
         ch = chr(cp)
-        up = ch.upper()
-        if len(up) > 1:
+        if len(ch.upper()) > 1:
             title = ch.title()
-            simple = title if len(title) == 1 else ch
             src.append(ch)
-            hold.append(chr(0xF0000 + len(hold)))   # plane-15 private use
-            dst.append(simple)
-    return "".join(src), "".join(hold), "".join(dst)
+            dst.append(title if len(title) == 1 else ch)
+    return "".join(src), "".join(dst)
 
 
 def rune_upper(col) -> Column:
-    """FN-02: upper-case with the per-code-point simple mapping."""
-    src, hold, dst = _special_upper_table()
-    shielded = F.translate(_c(col), src, hold)
-    return F.translate(F.upper(shielded), hold, dst)
+    """FN-02: upper-case with the per-code-point simple mapping.  Runs of
+    special characters are mapped by table, everything else by ``upper``."""
+    src, dst = _special_upper_table()
+    c, special = _c(col), "[" + src + "]"
+    runs = F.regexp_extract_all(c, F.lit(f"({special}+|[^{src}]+)"), 1)
+    slow = F.array_join(F.transform(
+        runs, lambda r: F.when(r.rlike(special), F.translate(r, src, dst)).otherwise(F.upper(r))), "")
+    return F.when(c.rlike(special), slow).otherwise(F.upper(c))

@@ -49,30 +49,35 @@ def nanos_to_timestamp(col) -> Column:
 
 
 # --- fixed values -----------------------------------------------------------
-# Escapes of a double-quoted literal: named ones, then \xNN for every other
-# control character (C0 and DEL).  Printable characters stay as they are.
+# Escapes of a double-quoted literal: named ones, then \xNN, \uNNNN or
+# \UNNNNNNNN for every other character that is not printable (controls,
+# formats, unassigned, and separators but the blank).
+UNPRINTABLE = r"[\p{C}\p{Z}&&[^ ]]"
 NAMED_ESCAPES = {"\a": "\\a", "\b": "\\b", "\f": "\\f", "\n": "\\n", "\r": "\\r",
                  "\t": "\\t", "\v": "\\v"}
 # ---------------------------------------------------------------------------
 
 
-def _control_escapes() -> list[tuple[str, str]]:
-    out = []
-    for cp in [*range(0x20), 0x7F]:
-        ch = chr(cp)
-        out.append((ch, NAMED_ESCAPES.get(ch, "\\x%02x" % cp)))
-    return out
+def _escape(ch: Column) -> Column:
+    """One character as a double-quoted literal prints it."""
+    code = F.ascii(ch)
+    out = F.when(ch.isin("\\", '"'), F.concat(F.lit("\\"), ch))
+    for c, esc in NAMED_ESCAPES.items():
+        out = out.when(ch == c, F.lit(esc))
+    digits = F.lower(F.hex(code))
+    return (out.when(~ch.rlike(UNPRINTABLE), ch)
+            .when(code < 0x80, F.concat(F.lit("\\x"), F.lpad(digits, 2, "0")))
+            .when(code < 0x10000, F.concat(F.lit("\\u"), F.lpad(digits, 4, "0")))
+            .otherwise(F.concat(F.lit("\\U"), F.lpad(digits, 8, "0"))))
 
 
 def quote_text(col) -> Column:
-    """Escape the way a double-quoted literal is printed: backslash and
-    quote first, then every control character (plain replacements, no
-    regular expressions)."""
-    out = F.replace(_c(col), F.lit("\\"), F.lit("\\\\"))
-    out = F.replace(out, F.lit('"'), F.lit('\\"'))
-    for ch, esc in _control_escapes():
-        out = F.replace(out, F.lit(ch), F.lit(esc))
-    return out
+    """Escape the way a double-quoted literal is printed: backslash, quote
+    and every character that is not printable.  Texts without any, nearly
+    all, are passed through after one search."""
+    c = _c(col)
+    slow = F.array_join(F.transform(F.split(c, ""), _escape), "")
+    return F.when(c.rlike('[\\\\"]|' + UNPRINTABLE), slow).otherwise(c)
 
 
 def format_message(id_col, payload_col, ts_col) -> Column:

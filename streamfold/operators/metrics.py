@@ -154,6 +154,15 @@ def record_rate(tagged: DataFrame, interval_s: int = SCRAPE_INTERVAL_SECONDS) ->
                     "n_records", (F.col("n_records") / F.lit(float(interval_s))).alias("per_second")))
 
 
+def gauge_steps(tagged: DataFrame, interval_s: int = SCRAPE_INTERVAL_SECONDS) -> DataFrame:
+    """MET-04 as the panel shows it: the gauge's own value, the last sample
+    of each series and step (the gauge is a rate already)."""
+    w = F.window("ts", f"{interval_s} seconds")
+    return (tagged.groupBy("panel", *SERIES, w.alias("w"))
+            .agg(F.max_by("value", F.struct("ts", "sample_id")).alias("value"))
+            .select("panel", *SERIES, utc_wall_clock(F.col("w.start")).alias("window_start"), "value"))
+
+
 def cumulative(rates: DataFrame) -> DataFrame:
     """MET-05: running total of records per panel over window starts."""
     r = rates.withColumn("_sf_w", epoch_micros("window_start"))

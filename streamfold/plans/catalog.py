@@ -285,6 +285,11 @@ def rate_tagged(spark, sf_dir):
                                   panels=metrics.RATE_PANELS)
 
 
+def q_metric_gauge(spark, sf_dir):
+    """MET-04: value of the rate gauges per series and step."""
+    return metrics.gauge_steps(rate_tagged(spark, sf_dir))
+
+
 def q_metric_rate(spark, sf_dir):
     """MET-04."""
     return metrics.record_rate(rate_tagged(spark, sf_dir))
@@ -330,6 +335,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metric_rename": q_metric_rename,
     "metric_max_latest": q_metric_max_latest,
     "metric_scrape": q_metric_scrape,
+    "metric_gauge": q_metric_gauge,
     "metric_rate": q_metric_rate,
     "metric_cumulative": q_metric_cumulative,
 }

@@ -361,7 +361,14 @@ FROM r GROUP BY ALL
         for p, pat in RATE_PANELS)
     rate_cte = (head + ",\nsel AS (" + sel + "),\nrate AS (SELECT panel, make_timestamp(epoch_us(ts) // 5000000 * 5000000) AS window_start,"
                 " count(*) AS n_records, count(*) / 5.0 AS per_second FROM sel GROUP BY 1, 2)\n")
+    gauge = head + ",\nsel AS (" + "\nUNION ALL\n".join(
+        f"SELECT '{p}' AS panel, * FROM r WHERE regexp_full_match(name, '{pat}')" for p, pat in RATE_PANELS) + """)
+SELECT panel, name, connector, task, client_id,
+       make_timestamp(epoch_us(ts) // 5000000 * 5000000) AS window_start, arg_max(value, ts) AS value
+FROM sel GROUP BY ALL
+"""
     return {
+        "metric_gauge": gauge,
         "metric_rename": rename,
         "metric_max_latest": latest + panels + "\n",
         "metric_scrape": scrape,

@@ -17,10 +17,11 @@ from ..schemas import KAFKA_RECORD
 
 @dataclass
 class TlsOptions:
-    """SRC-07: mutual TLS with PEM files, passed through to the client."""
+    """SRC-07: mutual TLS with PEM files, passed through to the client.
+    ``keystore_location`` is one file with the private key and the
+    certificate chain; the client reads a PEM key from no other file."""
     ca_location: str
-    certificate_location: str
-    key_location: str
+    keystore_location: str
     key_password: str | None = None
 
     def options(self) -> dict[str, str]:
@@ -29,8 +30,7 @@ class TlsOptions:
             "kafka.ssl.truststore.type": "PEM",
             "kafka.ssl.truststore.location": self.ca_location,
             "kafka.ssl.keystore.type": "PEM",
-            "kafka.ssl.keystore.location": self.certificate_location,
-            "kafka.ssl.keystore.key": self.key_location,
+            "kafka.ssl.keystore.location": self.keystore_location,
         }
         if self.key_password:
             opts["kafka.ssl.key.password"] = self.key_password
@@ -62,6 +62,8 @@ class TopicScan:
     extra: dict[str, str] = field(default_factory=dict)
 
     def options(self, streaming: bool = True) -> dict[str, str]:
+        if not streaming and self.starting_offsets == "latest":
+            raise ValueError("a batch read cannot start at the latest offsets")
         o = {"kafka.bootstrap.servers": self.bootstrap_servers,
              "startingOffsets": self.starting_offsets,
              "includeHeaders": str(self.include_headers).lower(),

@@ -11,6 +11,7 @@ replayed batch overwrites its own output instead of duplicating it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -42,13 +43,9 @@ def run_each(queries: dict[str, Callable[[], None]]) -> dict[str, BaseException]
     """STR-08: run independent queries (say one per topic) so that a failure
     of one, such as a topic the principal may not read, does not stop the
     others.  Returns the failures by name."""
-    failed: dict[str, BaseException] = {}
-    for name, start in queries.items():
-        try:
-            start()
-        except Exception as e:  # recorded, the rest go on
-            failed[name] = e
-    return failed
+    with ThreadPoolExecutor(max_workers=max(1, len(queries))) as pool:   # all run at the same time
+        running = {name: pool.submit(start) for name, start in queries.items()}
+    return {name: f.exception() for name, f in running.items() if f.exception() is not None}
 
 
 class DeliveryCounter:

@@ -131,9 +131,10 @@ def test_projections(spark):
 
 
 def test_kafka_options():
-    tls = TlsOptions("/ca.pem", "/cert.pem", "/key.pem", "pw")
+    tls = TlsOptions("/ca.pem", "/client.pem", "pw")
     o = TopicScan("b:9092", ["t1"], group_id="g", max_records_per_trigger=10, tls=tls).options()
     assert o["subscribe"] == "t1" and o["maxOffsetsPerTrigger"] == "10"
+    assert o["kafka.ssl.keystore.location"] == "/client.pem" and "kafka.ssl.keystore.key" not in o
     assert o["kafka.security.protocol"] == "SSL" and o["kafka.ssl.key.password"] == "pw"
     assert TopicScan("b:9092", pattern="pg\\.public\\..*").options(False)["subscribePattern"] == "pg\\.public\\..*"
     assert sink_options("b:9092", "t")["kafka.acks"] == "all"
@@ -246,3 +247,31 @@ def test_tombstones_are_no_changes(spark):
     counts = cdc.op_counts(cdc.decode_changes(recs, list(catalog.CDC_TABLES))).collect()
     assert sum(r.n_changes for r in counts) == good.count() and all(r.table and r.op for r in counts)
     assert all(r.table for r in cdc.capture_delay(cdc.decode_changes(recs, list(catalog.CDC_TABLES))).collect())
+
+
+def test_unprintable_characters_are_escaped(spark):
+    from streamfold.functions.text import rune_upper
+    from streamfold.functions.timefmt import quote_text
+    rows = [("plain é 中",), ('a"b\\c',), ("\t\x01\x7f",), ("\x85\xa0​﻿",), ("\U000F0000 ß",), (None,), ("",)]
+    got = [tuple(r) for r in spark.createDataFrame(rows, "t string").select(quote_text("t"), rune_upper("t")).collect()]
+    assert [g[0] for g in got] == ["plain é 中", 'a\\"b\\\\c', "\\t\\x01\\x7f", "\\u0085\\u00a0\\u200b\\ufeff",
+                                   "\\U000f0000 ß", None, ""]
+    assert got[4][1] == "\U000F0000 ß" and got[0][1] == "PLAIN É 中" and got[5][1] is None
+
+
+def test_batch_read_cannot_start_at_the_end():
+    import pytest
+    from streamfold.sources.kafka import TopicScan
+    with pytest.raises(ValueError):
+        TopicScan("b:9092", ["t"], starting_offsets="latest").options(streaming=False)
+
+
+def test_queries_run_at_the_same_time():
+    import threading
+    from streamfold.streaming.sinks import run_each
+    met = threading.Barrier(2, timeout=20)
+
+    def fail():
+        met.wait()
+        raise RuntimeError("no access")
+    assert list(run_each({"a": met.wait, "b": fail})) == ["b"]
