@@ -14,8 +14,11 @@ checkpointed with the query.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -70,6 +73,8 @@ def spend_category_stream(orders: DataFrame) -> DataFrame:
     """Category changes of a stream of orders (``user_id, order_id,
     order_amount, offset``)."""
     spark = orders.sparkSession
+    # The processor travels by value: workers need not have this package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return (orders.groupBy("user_id")
             .transformWithStateInPandas(SpendCategoryProcessor(), SPEND_OUTPUT, "Append", "None"))
