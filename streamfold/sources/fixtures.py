@@ -54,7 +54,7 @@ def _case(col: Column, mapping: dict, default=None) -> Column:
 def user_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as chat messages: id, from_user_id, to_user_id, text.
     User ids are canonical decimal strings (Q11)."""
-    return user_messages_from(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return user_messages_from(read_table(spark, sf_dir, "documents", "doc_id", "text", parallel=True))
 
 
 def user_messages_from(d: DataFrame) -> DataFrame:
@@ -152,7 +152,7 @@ def message_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kafka_records(spark: SparkSession, sf_dir: str, topic: str = "events") -> DataFrame:
     """``events`` in the Kafka source's record layout."""
-    return kafka_records_from(read_table(spark, sf_dir, "events"), topic)
+    return kafka_records_from(read_table(spark, sf_dir, "events", parallel=True), topic)
 
 
 def kafka_records_from(e: DataFrame, topic: str = "events") -> DataFrame:
@@ -170,7 +170,7 @@ def cdc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as change records on the topics ``pg.public.users`` and
     ``pg.public.orders``: key JSON ``{"id":k}`` and a change envelope value."""
     return cdc_records_from(read_table(spark, sf_dir, "events", "event_id", "ts", "event_type",
-                                       "value"))
+                                       "value", parallel=True))
 
 
 def cdc_records_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
