@@ -59,13 +59,23 @@ def is_letter_run(col) -> Column:
     return _c(col).rlike("^" + LETTER_RUN + r"\z")
 
 
-def mask_words(text: Column, words: Column) -> Column:
-    """FN-06: letter runs of ``text`` whose lower-case form is in ``words``
-    become their mask (FN-04); everything else is copied.  ``words`` is one
-    string, a blank before and after each word: a word has no blank, so a
-    plain search for `` word `` is exact, and far cheaper than an array."""
-    return F.array_join(F.transform(
-        segments(text), lambda s: F.when(F.contains(words, F.concat(F.lit(" "), F.lower(s), F.lit(" "))), word_mask(F.lower(s))).otherwise(s)), "")
+def word_buckets(words: Column) -> Column:
+    """``words`` (an array) as about sqrt(n) strings by hash, each with a
+    blank before and after every word: what ``mask_words`` looks into."""
+    n = F.ceil(F.sqrt(F.size(words))).cast("int")
+    return F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.concat(F.lit(" "), F.array_join(F.filter(
+        words, lambda w: F.pmod(F.hash(w), n) == b), " "), F.lit(" ")))
+
+
+def mask_words(text: Column, buckets: Column) -> Column:
+    """FN-06: letter runs of ``text`` whose lower-case form is in ``buckets``
+    (``word_buckets``) become their mask (FN-04); everything else is copied.
+    A word has no blank, so a search for `` word `` in its bucket is exact."""
+    def masked(s: Column) -> Column:
+        w = F.lower(s)
+        bucket = F.get(buckets, F.pmod(F.hash(w), F.size(buckets)))
+        return F.when(F.contains(bucket, F.concat(F.lit(" "), w, F.lit(" "))), word_mask(w)).otherwise(s)
+    return F.array_join(F.transform(segments(text), masked), "")
 
 
 @lru_cache(maxsize=1)

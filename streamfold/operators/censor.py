@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import LETTER_RUN, is_letter_run, mask_words
+from ..functions.text import LETTER_RUN, is_letter_run, mask_words, word_buckets
 from ..functions.timefmt import epoch_micros
 from .scan import running_last
 
@@ -55,7 +55,8 @@ def mask_messages(messages: DataFrame, dictionary: DataFrame, text_col: str = "t
     words = keyed.select("_sf_key", F.explode(runs).alias("_sf_word")).distinct()
     listed = matchable(dictionary).select(F.col("word").alias("_sf_word"))
     hits = (words.join(listed, "_sf_word", "left_semi")
-            .groupBy("_sf_key").agg(F.concat(F.lit(" "), F.array_join(F.collect_set("_sf_word"), " "), F.lit(" ")).alias("_sf_words")))
+            .groupBy("_sf_key").agg(F.collect_set("_sf_word").alias("_sf_words"))
+            .select("_sf_key", word_buckets(F.col("_sf_words")).alias("_sf_words")))
     masked = F.when(F.col("_sf_words").isNull(), text).otherwise(mask_words(text, F.col("_sf_words")))
     return keyed.join(hits, "_sf_key", "left").select(
         *[masked.alias(c) if c == text_col else F.col(c) for c in cols])
