@@ -124,10 +124,10 @@ def op_counts(decoded: DataFrame) -> DataFrame:
 def current_state(decoded: DataFrame, fields: dict[str, str]) -> DataFrame:
     """CDC-06: table state replayed from the log: the last change per primary
     key by ``lsn``; keys whose last change is a delete are gone.  A hash
-    aggregate with partial aggregation (no per-key sort)."""
-    typed = typed_projection(decoded, fields)
-    last = latest_per_key(typed, ["table", "key_id"], "lsn", ["op", "lsn", *fields])
-    return last.filter(F.col("op") != "d").drop("op")
+    aggregate with partial aggregation where all ``fields`` are of fixed width."""
+    typed = typed_projection(decoded, fields).withColumn("_sf_live", F.col("op") != "d").drop("op")
+    last = latest_per_key(typed, ["table", "key_id"], "lsn", ["_sf_live", "lsn", *fields])
+    return last.filter("_sf_live").drop("_sf_live")
 
 
 def with_snapshot(snapshot: DataFrame, changes: DataFrame, lsn: int = 0) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import epoch_micros, utc_wall_clock
-from .scan import latest_per_key, running_sums
+from .scan import latest_per_key, running_sums, time_order
 
 # --- fixed values -----------------------------------------------------------
 # Rename rules, first match wins: (pattern, name template, label templates).
@@ -138,7 +138,7 @@ def scrape(renamed: DataFrame, interval_s: int = SCRAPE_INTERVAL_SECONDS) -> Dat
     """MET-06: one sample per series per scrape interval (the last one)."""
     w = F.window("ts", f"{interval_s} seconds")
     return (renamed.groupBy(*SERIES, w.alias("w"))
-            .agg(F.max_by("value", F.struct("ts", "sample_id")).alias("value"),
+            .agg(F.max_by("value", time_order("ts", "sample_id")).alias("value"),
                  F.count("*").alias("n_samples"))
             .select(*SERIES, utc_wall_clock(F.col("w.start")).alias("window_start"),
                     "value", "n_samples"))
@@ -159,7 +159,7 @@ def gauge_steps(tagged: DataFrame, interval_s: int = SCRAPE_INTERVAL_SECONDS) ->
     of each series and step (the gauge is a rate already)."""
     w = F.window("ts", f"{interval_s} seconds")
     return (tagged.groupBy("panel", *SERIES, w.alias("w"))
-            .agg(F.max_by("value", F.struct("ts", "sample_id")).alias("value"))
+            .agg(F.max_by("value", time_order("ts", "sample_id")).alias("value"))
             .select("panel", *SERIES, utc_wall_clock(F.col("w.start")).alias("window_start"), "value"))
 
 

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.timefmt import epoch_micros
+
 # Chunk width in units of the ordering column (offsets / microseconds).
 DEFAULT_SPAN = 1 << 20
 _CHUNK = "_sf_chunk"
@@ -95,12 +97,35 @@ def running_last(df: DataFrame, keys: list[str], order: str, value: str, out: st
     return res.drop(_CHUNK, "_sf_loc", "_sf_carry")
 
 
+# Types whose aggregation buffers are updated in place (hash aggregation).
+_FIXED = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz"}
+
+
+def time_order(ts: str, tiebreak: str) -> Column:
+    """One number that sorts like ``(ts, tiebreak)``, nulls first: fixed
+    width, so that ``max_by`` over it is a hash aggregate (a struct would
+    make Spark sort all rows by key).  ``tiebreak`` is a bigint."""
+    micros = F.coalesce(epoch_micros(ts), F.lit(-(1 << 60))).cast("decimal(19,0)")
+    least = F.coalesce(F.col(tiebreak), F.lit(-(1 << 63)))
+    return (micros * F.lit(str(1 << 64)).cast("decimal(20,0)") + least.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str] | str,
                    values: list[str]) -> DataFrame:
-    """AGG-06: the row with the greatest ``order`` per key, as a hash
-    aggregate (``max_by``) with map-side partial aggregation, so a hot key
-    is reduced before the shuffle."""
+    """AGG-06: the row with the greatest ``order`` per key by ``max_by``, with
+    map-side partial aggregation, so a hot key is reduced before the shuffle.
+    With fixed-width values and order (one column, or a time and a bigint)
+    this is a hash aggregate; strings among them make Spark aggregate by sort."""
     order = [order] if isinstance(order, str) else order
-    o = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
+    types = dict(df.dtypes)
+    if len(order) == 1:
+        o = F.col(order[0])
+    elif len(order) == 2 and types[order[0]].startswith("timestamp") and types[order[1]] == "bigint":
+        o = time_order(*order)
+    else:
+        o = F.struct(*[F.col(c) for c in order])
+    if all(types[v] in _FIXED for v in values):
+        return (df.withColumn("_sf_o", o).groupBy(*keys)
+                .agg(*[F.max_by(v, "_sf_o").alias(v) for v in values]))
     picked = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(v) for v in values]), o).alias("_sf_v"))
     return picked.select(*keys, *[F.col(f"_sf_v.{v}").alias(v) for v in values])

@@ -67,3 +67,10 @@ def test_chunked_scan_shuffles_records_once(spark, name):
     # carry comes from a partial aggregate
     assert "partial_sum" in final
     assert final.count("Window [") >= 2
+
+
+@pytest.mark.parametrize("name", ["cdc_current_state", "spend_category_latest", "metric_max_latest", "metric_scrape",
+                                  "metric_gauge"])
+def test_latest_per_key_is_a_hash_aggregate(spark, name):
+    p = plan(catalog.QUERIES[name](spark, SF))
+    assert "partial_max_by" in p and "SortAggregate" not in p
