@@ -125,7 +125,12 @@ def current_state(decoded: DataFrame, fields: dict[str, str]) -> DataFrame:
     """CDC-06: table state replayed from the log: the last change per primary
     key by ``lsn``; keys whose last change is a delete are gone.  A hash
     aggregate with partial aggregation where all ``fields`` are of fixed width."""
-    typed = typed_projection(decoded, fields).withColumn("_sf_live", F.col("op") != "d").drop("op")
+    return latest_state(typed_projection(decoded, fields), list(fields))
+
+
+def latest_state(typed: DataFrame, fields: list[str]) -> DataFrame:
+    """CDC-06 on typed changes (``typed_projection``, ``with_snapshot``)."""
+    typed = typed.withColumn("_sf_live", F.col("op") != "d").drop("op")
     last = latest_per_key(typed, ["table", "key_id"], "lsn", ["_sf_live", "lsn", *fields])
     return last.filter("_sf_live").drop("_sf_live")
 

@@ -25,6 +25,9 @@ BATCH_SIZE = 10                       # records per consumer batch (AGG-07)
 FAN_OUT_TOPICS = ("topic-1", "topic-2")
 CDC_TABLES = ("public.users", "public.orders")
 CDC_FIELDS = {"id": "int", "value": "double"}
+USER_FIELDS = {"id": "int", "name": "string", "email": "string", "created_at": "timestamp_micros"}
+ORDER_FIELDS = {"id": "int", "user_id": "int", "product_name": "string", "quantity": "int",
+                "order_date": "timestamp_micros"}
 PAYLOAD = "Hello from producer"
 EVENT_SCHEMA_DDL = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
                     "value DOUBLE, props STRING")
@@ -252,6 +255,29 @@ def q_cdc_current_state(spark, sf_dir):
     return cdc.current_state(decoded_changes(spark, sf_dir), CDC_FIELDS)
 
 
+def row_changes(spark, sf_dir, table, fields):
+    changes = cdc.decode_changes(fixtures.row_change_records(spark, sf_dir), include=[f"public.{table}"])
+    return cdc.typed_projection(changes, fields)
+
+
+def q_cdc_users(spark, sf_dir):
+    """CDC-02, CDC-03, FLT-05: every change of a user, full row image."""
+    return row_changes(spark, sf_dir, "users", USER_FIELDS)
+
+
+def q_cdc_orders(spark, sf_dir):
+    """CDC-02, CDC-03, FLT-05: every change of an order, full row image."""
+    return row_changes(spark, sf_dir, "orders", ORDER_FIELDS)
+
+
+def q_cdc_snapshot_state(spark, sf_dir):
+    """SRC-11, CDC-06: the snapshot of the users, then the updates and
+    deletes captured after it."""
+    after = row_changes(spark, sf_dir, "users", USER_FIELDS).filter("op <> 'c'")
+    both = cdc.with_snapshot(fixtures.users_snapshot(spark, sf_dir), after)
+    return cdc.latest_state(both, list(USER_FIELDS))
+
+
 def q_cdc_delay(spark, sf_dir):
     """CDC-07 (exact count, mean, max)."""
     return cdc.capture_delay(decoded_changes(spark, sf_dir))
@@ -332,6 +358,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cdc_rejects": q_cdc_rejects,
     "cdc_current_state": q_cdc_current_state,
     "cdc_delay": q_cdc_delay,
+    "cdc_users": q_cdc_users,
+    "cdc_orders": q_cdc_orders,
+    "cdc_snapshot_state": q_cdc_snapshot_state,
     "metric_rename": q_metric_rename,
     "metric_max_latest": q_metric_max_latest,
     "metric_scrape": q_metric_scrape,

@@ -19,10 +19,11 @@ be AS (
            WHEN 'click'  THEN concat_ws(':', 'block', CAST(user_id AS VARCHAR), CAST(event_id % 7 AS VARCHAR))
            WHEN 'error'  THEN concat_ws(':', 'unblock', CAST(user_id AS VARCHAR), CAST(event_id % 7 AS VARCHAR))
            WHEN 'signup' THEN concat_ws(':', 'mute', CAST(user_id AS VARCHAR), CAST(event_id % 7 AS VARCHAR))
+           WHEN 'view' THEN concat_ws(':', 'view', CAST(user_id AS VARCHAR), CAST(event_id % 7 AS VARCHAR))
            WHEN 'purchase' THEN concat_ws(':', CAST(user_id AS VARCHAR), CAST(event_id % 7 AS VARCHAR))
          END AS value,
          event_id AS ev_offset, ts
-  FROM events WHERE event_type <> 'view'),
+  FROM events),
 bp AS (SELECT *, string_split(value, ':') AS p FROM be),
 valid AS (
   SELECT key AS user_id, p[1] AS action, p[3] AS blocked_id, ev_offset, ts
@@ -296,6 +297,31 @@ l AS (SELECT "table", key_id, arg_max(op, lsn) AS op, max(lsn) AS lsn,
 SELECT "table", key_id, lsn, id, value FROM l WHERE op <> 'd'
 """
 
+CDC_USERS = """
+WITH ops(op, n, every) AS (VALUES ('c', 1, 1), ('u', 2, 3), ('d', 3, 5))
+SELECT 'users' AS "table", op, c_custkey * 4 + n AS lsn, c_custkey AS key_id, CAST(c_custkey AS INTEGER) AS id,
+       c_name AS name,
+       'user' || c_custkey || CASE op WHEN 'c' THEN '@example.com' ELSE '@example.org' END AS email,
+       TIMESTAMP '2024-01-01' + to_seconds(c_custkey) AS created_at
+FROM customer JOIN ops ON c_custkey % every = 0
+"""
+
+CDC_ORDERS = """
+WITH ops(op, n, every) AS (VALUES ('c', 1, 1), ('u', 2, 4))
+SELECT 'orders' AS "table", op, o_orderkey * 4 + n AS lsn, o_orderkey AS key_id, CAST(o_orderkey AS INTEGER) AS id,
+       CAST(o_custkey AS INTEGER) AS user_id, o_orderpriority AS product_name,
+       CAST(o_orderkey % 10 + n AS INTEGER) AS quantity, o_orderdate AS order_date
+FROM orders JOIN ops ON o_orderkey % every = 0
+"""
+
+CDC_SNAPSHOT_STATE = """
+SELECT 'users' AS "table", c_custkey AS key_id, CASE WHEN c_custkey % 3 = 0 THEN c_custkey * 4 + 2 ELSE 0 END AS lsn,
+       CAST(c_custkey AS INTEGER) AS id, c_name AS name,
+       'user' || c_custkey || CASE WHEN c_custkey % 3 = 0 THEN '@example.org' ELSE '@example.com' END AS email,
+       TIMESTAMP '2024-01-01' + to_seconds(c_custkey) AS created_at
+FROM customer WHERE c_custkey % 5 <> 0
+"""
+
 CDC_DELAY = "WITH " + CDC + """
 SELECT "table", count(*) AS n_changes, avg(delay_us) AS avg_delay_us,
        max(delay_us) AS max_delay_us
@@ -413,5 +439,8 @@ ORACLE_SQL: dict[str, str] = {
     "cdc_rejects": CDC_REJECTS,
     "cdc_current_state": CDC_CURRENT_STATE,
     "cdc_delay": CDC_DELAY,
+    "cdc_users": CDC_USERS,
+    "cdc_orders": CDC_ORDERS,
+    "cdc_snapshot_state": CDC_SNAPSHOT_STATE,
     **_metric_sqls(),
 }

@@ -13,19 +13,20 @@ from pyspark.sql import functions as F
 
 from ..functions.codecs import encode_json
 from ..functions.text import LETTER_RUN
-from ..functions.timefmt import epoch_micros, utc_instant
+from ..functions.timefmt import epoch_micros, utc_instant, utc_wall_clock
 from .tables import read_table
 
 # --- fixed values -----------------------------------------------------------
 # Extra dictionary entries besides the letter runs of `benchmark`.
 FIXED_BAD_WORDS = (" The ", "that", "ipsum", "der", "bad word")
-# Block-event action per event type; `view` events carry no block event,
+# Block-event action per event type (`mute` and `view` are unknown actions);
 # `purchase` events carry a two-part (malformed) value.
-BLOCK_ACTION_BY_TYPE = {"click": "block", "error": "unblock", "signup": "mute"}
+BLOCK_ACTION_BY_TYPE = {"click": "block", "error": "unblock", "signup": "mute", "view": "view"}
 # Change-feed mapping.
 CDC_PREFIX = "pg"
 CDC_SCHEMA = "public"
 CDC_KEY_SPACE = 500
+USERS_FROM_US = 1_704_067_200_000_000      # 2024-01-01
 CDC_OP_BY_TYPE = {"signup": "c", "error": "d"}      # everything else: "u"
 # Metric samples: bean and attribute per event type.
 METRIC_BY_TYPE = {
@@ -76,9 +77,7 @@ def block_events_from(e: DataFrame) -> DataFrame:
     value = _case(F.col("event_type"),
                   {**{t: F.concat_ws(":", F.lit(a), u, b) for t, a in BLOCK_ACTION_BY_TYPE.items()},
                    "purchase": F.concat_ws(":", u, b)})
-    return (e.filter(F.col("event_type") != "view")
-             .select(u.alias("key"), value.alias("value"),
-                     F.col("event_id").alias("offset"), "ts"))
+    return e.select(u.alias("key"), value.alias("value"), F.col("event_id").alias("offset"), "ts")
 
 
 def timed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,20 +181,25 @@ def cdc_records_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_records_from(e: DataFrame) -> DataFrame:
     k = (F.col("event_id") % CDC_KEY_SPACE).cast("int")
-    table = F.when(k % 2 == 0, F.lit("users")).otherwise(F.lit("orders"))
-    op = _case(F.col("event_type"), CDC_OP_BY_TYPE, "u")
-    image = F.struct(k.alias("id"), F.col("value").alias("value"))
-    src_us = epoch_micros("ts")
-    delay_us = (F.col("event_id") * 7919) % 500000 + 1000
+    return _change_records(
+        e, table=F.when(k % 2 == 0, F.lit("users")).otherwise(F.lit("orders")), key=k,
+        op=_case(F.col("event_type"), CDC_OP_BY_TYPE, "u"),
+        image=F.struct(k.alias("id"), F.col("value").alias("value")), lsn=F.col("event_id"),
+        src_us=epoch_micros("ts"), delay_us=(F.col("event_id") * 7919) % 500000 + 1000)
+
+
+def _change_records(df: DataFrame, table: Column, key: Column, op: Column, image: Column, lsn: Column,
+                    src_us: Column, delay_us: Column) -> DataFrame:
+    """Change records of rows: key JSON, envelope, topic, partition, offset."""
     source = F.struct(
         F.lit("postgresql").alias("connector"), F.lit("customers").alias("db"),
-        F.col("event_id").alias("lsn"), F.lit(CDC_PREFIX).alias("name"),
+        lsn.alias("lsn"), F.lit(CDC_PREFIX).alias("name"),
         F.lit(CDC_SCHEMA).alias("schema"),
-        F.format_string('[null,"%d"]', F.col("event_id")).alias("sequence"),
+        F.format_string('[null,"%d"]', lsn).alias("sequence"),
         F.lit("false").alias("snapshot"), table.alias("table"),
         F.floor(src_us / 1000).cast("bigint").alias("ts_ms"),
         (src_us * 1000).alias("ts_ns"), src_us.alias("ts_us"),
-        (F.col("event_id") + 700).alias("txId"), F.lit("3.0.0.Final").alias("version"),
+        (lsn + 700).alias("txId"), F.lit("3.0.0.Final").alias("version"),
         F.lit(None).cast("bigint").alias("xmin"))
     env_us = src_us + delay_us
     envelope = F.struct(
@@ -204,11 +208,65 @@ def cdc_records_from(e: DataFrame) -> DataFrame:
         source.alias("source"), F.lit(None).cast("string").alias("transaction"),
         op.alias("op"), F.floor(env_us / 1000).cast("bigint").alias("ts_ms"),
         env_us.alias("ts_us"), (env_us * 1000).alias("ts_ns"))
-    return e.select(
-        F.to_json(F.struct(k.alias("id"))).cast("binary").alias("key"),
+    return df.select(
+        F.to_json(F.struct(key.alias("id"))).cast("binary").alias("key"),
         F.to_json(envelope, {"ignoreNullFields": "false"}).cast("binary").alias("value"),
         F.concat_ws(".", F.lit(CDC_PREFIX), F.lit(CDC_SCHEMA), table).alias("topic"),
-        (k % 3).alias("partition"), F.col("event_id").alias("offset"))
+        (key % 3).cast("int").alias("partition"), lsn.alias("offset"))
+
+
+def _with_ops(df: DataFrame, key: str, update_every: int, delete_every: int | None = None) -> DataFrame:
+    """A row per change of each row (``op``; ``lsn`` rises per key): all are
+    created, some updated, some deleted at last."""
+    k = F.col(key)
+    ops = [F.lit("c"), F.when(k % update_every == 0, F.lit("u"))]
+    if delete_every:
+        ops.append(F.when(k % delete_every == 0, F.lit("d")))
+    return (df.select("*", F.posexplode(F.array(*ops)).alias("_sf_n", "op")).filter(F.col("op").isNotNull())
+            .withColumn("lsn", k * 4 + F.col("_sf_n") + 1))
+
+
+def users_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer`` as the rows of ``users``: table, key_id, id, name, email,
+    created_at (one second of 2024 per customer)."""
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name")
+    return c.select(F.lit("users").alias("table"), F.col("c_custkey").alias("key_id"), *[
+        x.alias(n) for n, x in _user(F.lit("example.com")).items() if n != "created_us"],
+        utc_wall_clock(F.timestamp_micros(_user(F.lit(""))["created_us"])).alias("created_at"))
+
+
+def _user(domain: Column) -> dict[str, Column]:
+    return {"id": F.col("c_custkey").cast("int"), "name": F.col("c_name"),
+            "email": F.concat(F.lit("user"), F.col("c_custkey").cast("string"), F.lit("@"), domain),
+            "created_us": F.lit(USERS_FROM_US) + F.col("c_custkey") * 1_000_000}
+
+
+def row_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records with full row images: ``customer`` as ``users``,
+    ``orders`` as ``orders``, and ``part`` as ``products``, a table that
+    consumers leave out (FLT-05)."""
+    delay = F.lit(1000).cast("bigint")
+    c = _with_ops(read_table(spark, sf_dir, "customer", "c_custkey", "c_name"), "c_custkey", 3, 5)
+    u = _user(F.when(F.col("op") == "c", F.lit("example.com")).otherwise(F.lit("example.org")))
+    users = _change_records(
+        c, F.lit("users"), F.col("c_custkey"), F.col("op"),
+        F.struct(u["created_us"].alias("created_at"), u["email"].alias("email"), u["id"].alias("id"),
+                 u["name"].alias("name")), F.col("lsn"), u["created_us"], delay)
+    o = _with_ops(read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),
+                  "o_orderkey", 4)
+    date_us = epoch_micros("o_orderdate")
+    orders = _change_records(
+        o, F.lit("orders"), F.col("o_orderkey"), F.col("op"),
+        F.struct(F.col("o_orderkey").cast("int").alias("id"), F.col("o_custkey").cast("int").alias("user_id"),
+                 F.col("o_orderpriority").alias("product_name"),
+                 (F.col("o_orderkey") % 10 + F.when(F.col("op") == "u", 2).otherwise(1)).cast("int").alias("quantity"),
+                 date_us.alias("order_date")), F.col("lsn"), date_us, delay)
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_name")
+    products = _change_records(
+        p, F.lit("products"), F.col("p_partkey"), F.lit("c"),
+        F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")), F.col("p_partkey"),
+        F.lit(USERS_FROM_US), delay)
+    return users.unionByName(orders).unionByName(products)
 
 
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
