@@ -66,7 +66,7 @@ def block_list(parsed: DataFrame) -> DataFrame:
 
 def block_list_from_state(state: DataFrame) -> DataFrame:
     """``block_list`` from the pair-state table ``(user_id, blocked_id,
-    last_action)`` (the compacted table a stream maintains)."""
+    last_action)`` (the table a stream keeps in its state)."""
     pairs = state.filter(F.col("last_action") == "block").select("user_id", "blocked_id")
     empty_users = (state.groupBy("user_id")
                    .agg(F.max((F.col("last_action") == "block").cast("int")).alias("_sf_any"))

@@ -55,7 +55,7 @@ def category_changes(orders: DataFrame, span: int = DEFAULT_SPAN) -> DataFrame:
 
 
 def latest_category(changes: DataFrame) -> DataFrame:
-    """AGG-06: the compacted category table: last emitted category per user
+    """AGG-06: the category table: last emitted category per user
     (the band of the total it was emitted with)."""
     last = latest_per_key(changes, ["user_id"], "offset", ["total"])
     return last.select("user_id", band("total").alias("category"), "total")

@@ -1,5 +1,5 @@
-"""Sinks for streaming queries (SNK-04, SNK-07, SNK-08, SNK-10, STR-01,
-STR-06, STR-07).
+"""Sinks for streaming queries (SNK-04, SNK-08, SNK-10, STR-01, STR-06,
+STR-07).
 
 ``run_to_end`` starts a query with ``availableNow``: it reads what is
 there, commits every micro-batch to its checkpoint, and stops (STR-07).
@@ -17,22 +17,21 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.scan import latest_per_key
-
-VERSION = "sf_version"   # partition column of snapshot folders
-
 
 def run_to_end(stream: DataFrame, checkpoint: str, *, foreach_batch: Callable | None = None,
                path: str | None = None, fmt: str = "parquet", output_mode: str = "append",
                name: str | None = None) -> None:
-    """Run ``stream`` over all available input, then stop (STR-01, STR-07)."""
+    """Run ``stream`` over all available input, then stop (STR-01, STR-07).
+    Without ``path`` and ``foreach_batch`` only the state is kept."""
     w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
-    else:
+    elif path is not None:
         w = w.format(fmt).option("path", path)
+    else:
+        w = w.format("noop")
     q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:       # STR-08: surface the failure
@@ -94,67 +93,13 @@ def _missing(e: AnalysisException) -> bool:
     return e.getCondition() == "PATH_NOT_FOUND"
 
 
-def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Everything ``batch_writer`` wrote (empty when nothing was)."""
+def read_batches(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
+    """Everything ``batch_writer`` wrote (empty when nothing was), or what
+    it wrote before batch ``before`` (a partition filter)."""
     try:
-        return spark.read.parquet(path).drop("batch")
+        got = spark.read.schema(f"{schema}, batch bigint").parquet(path)
+        return (got if before is None else got.filter(F.col("batch") < before)).drop("batch")
     except AnalysisException as e:
         if not _missing(e):
             raise
         return spark.createDataFrame([], schema)
-
-
-KIND = "sf_kind"            # "delta" or "full"
-COMPACT_EVERY = 10
-
-
-def read_compacted(spark: SparkSession, path: str, keys: list[str], order: list[str],
-                   schema: str | None = None, before: int | None = None) -> DataFrame | None:
-    """The current content of a compacted table: the newest full snapshot
-    plus the deltas written after it, reduced to the last row per key
-    (ties go to the newer batch).  ``before`` reads the table as it was
-    before batch ``before``.  None (or an empty frame of ``schema``) when
-    nothing has been written."""
-    try:
-        versions = spark.read.parquet(path)
-    except AnalysisException as e:
-        if not _missing(e):
-            raise
-        return spark.createDataFrame([], schema) if schema else None
-    if before is not None:
-        versions = versions.filter(F.col(VERSION) < before)
-    last_full = versions.filter(F.col(KIND) == "full").agg(F.max(VERSION)).first()[0]
-    if last_full is not None:
-        versions = versions.filter(F.col(VERSION) >= last_full)   # partition pruning
-    cols = [c for c in versions.columns if c not in (VERSION, KIND)]
-    values = [c for c in cols if c not in keys]
-    latest = latest_per_key(versions, keys, [*order, VERSION], values)
-    return latest.select(*cols)
-
-
-def compacted_writer(spark: SparkSession, path: str, keys: list[str], order: list[str],
-                     compact_every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
-    """SNK-07: keep only the last row per key, like a compacted topic.
-
-    A micro-batch writes only its own last row per key, as delta
-    ``sf_version=<id>/sf_kind=delta``: the write costs the size of the
-    batch, not of the table.  Every ``compact_every`` batches the deltas
-    are folded into a full snapshot (``sf_kind=full``), so a reader merges
-    at most that many deltas.  Both are pure functions of the batch and of
-    older versions, so a replayed batch rewrites exactly the same files.
-    Versions older than the newest full snapshot can be deleted.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        cols = batch.columns
-        latest = latest_per_key(batch, keys, order, [c for c in cols if c not in keys])
-        kind = "delta"
-        if compact_every and batch_id % compact_every == compact_every - 1:
-            kind = "full"
-            prev = read_compacted(spark, path, keys, order, before=batch_id)
-            if prev is not None:
-                both = (prev.select(*cols).withColumn("_sf_new", F.lit(0))
-                        .unionByName(latest.select(*cols).withColumn("_sf_new", F.lit(1))))
-                latest = latest_per_key(both, keys, [*order, "_sf_new"],
-                                        [c for c in cols if c not in keys]).select(*cols)
-        latest.write.mode("overwrite").parquet(f"{path}/{VERSION}={batch_id}/{KIND}={kind}")
-    return write

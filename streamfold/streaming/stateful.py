@@ -86,32 +86,33 @@ SPEND_STATE = "user_id bigint, total bigint, category string, offset bigint"
 def spend_category_batches(spark, state_path: str, out_path: str):
     """The same fold as ``SpendCategoryProcessor`` as a ``foreachBatch``
     function over DataFrames only: per micro-batch, running totals come
-    from the chunked prefix scan (no per-key task), the carry-in is the
-    user's stored total, and the per-user state lives in a compacted table
-    (``compacted_writer``: a delta per batch, rebuilt exactly on replay)."""
+    from the chunked prefix scan (no per-key task), and the carry-in is the
+    user's last total.  Each batch writes one row per user it met, in its
+    own folder (exact on replay); a reader takes the last row per user of
+    the batches before it.  What it reads grows with the batches run, so a
+    stream without an end keeps its state in ``SpendCategoryProcessor``."""
     from pyspark.sql import functions as F
 
-    from ..operators.scan import running_sums
+    from ..operators.scan import latest_per_key, running_sums
     from ..operators.spend import band
-    from .sinks import compacted_writer, read_compacted
+    from .sinks import batch_writer, read_batches
 
-    save_state = compacted_writer(spark, state_path, ["user_id"], ["offset"])
+    emit, keep = batch_writer(out_path), batch_writer(state_path)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        prev = read_compacted(spark, state_path, ["user_id"], ["offset"], SPEND_STATE,
-                              before=batch_id)
+        prev = latest_per_key(read_batches(spark, state_path, SPEND_STATE, before=batch_id),
+                              ["user_id"], "offset", ["total", "category"])
         rt = running_sums(batch, ["user_id"], "offset",
                           {"_bt": "order_amount", "seq": F.lit(1).cast("bigint")})
         p = prev.select("user_id", F.col("total").alias("_pt"), F.col("category").alias("_pc"))
         j = rt.join(p, "user_id", "left").withColumn(
             "total", F.coalesce("_pt", F.lit(0).cast("bigint")) + F.col("_bt"))
-        cat = band("total")
         before = F.when(F.col("seq") > 1, band(F.col("total") - F.col("order_amount"))) \
                   .otherwise(F.col("_pc"))
-        j = j.withColumn("category", cat)
-        (j.filter(before.isNull() | (before != F.col("category")))
-          .select("user_id", "order_id", "offset", "total", "category")
-          .write.mode("overwrite").parquet(f"{out_path}/batch={batch_id:012d}"))
-        save_state(j.select("user_id", "total", "category", "offset"), batch_id)
+        j = j.withColumn("category", band("total"))
+        emit(j.filter(before.isNull() | (before != F.col("category")))
+             .select("user_id", "order_id", "offset", "total", "category"), batch_id)
+        keep(latest_per_key(j.select("user_id", "total", "category", "offset"), ["user_id"], "offset",
+                            ["total", "category", "offset"]), batch_id)
 
     return each

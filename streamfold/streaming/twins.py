@@ -19,30 +19,33 @@ from ..functions.timefmt import utc_wall_clock
 from ..operators import batching, blocklist, cdc, censor, dictionary, metrics
 from ..session import scratch_path
 from ..sources import fixtures
-from .sinks import batch_writer, compacted_writer, read_batches, read_compacted, run_to_end
+from .sinks import batch_writer, read_batches, run_to_end
 from .sources import table_stream
+from .state import latest_stream, read_latest, read_state
 from .stateful import SPEND_OUTPUT, spend_category_batches, spend_category_stream
 
 CDC_TABLES = ("public.users", "public.orders")
 CDC_FIELDS = {"id": "int", "value": "double"}
-PAIR_STATE = "user_id string, blocked_id string, last_action string, offset bigint"
-PAIR_KEYS = ["user_id", "blocked_id"]
+CDC_STATE = "table string, key_id bigint, lsn bigint, op string, id int, value double"
+PAIR_STATE = "user_id string, blocked_id string, offset bigint, last_action string"
+DELIVERED = "id bigint, from_user_id string, to_user_id string, text string"
 
 
 # ---- table-building streams (STR-03, SNK-06, SNK-07) --------------------------
 
-def build_block_state(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """Fold block events into the compacted pair-state table; returns its path.
+def build_block_state(spark: SparkSession, events: DataFrame, checkpoint: str) -> None:
+    """Fold streamed block events into the pair table: the last action per
+    pair, kept in Spark's state at ``checkpoint``."""
+    good, _ = blocklist.parse_block_events(fixtures.block_events_from(events))
+    pairs = latest_stream(good.withColumnRenamed("action", "last_action"), ["user_id", "blocked_id"], "offset",
+                          ["last_action"])
+    run_to_end(pairs, checkpoint, output_mode="update")
 
-    A streaming aggregation (``max_by`` per pair) in update mode; every
-    micro-batch's updated pairs are merged into the compacted table."""
-    good, _ = blocklist.parse_block_events(
-        fixtures.block_events_from(table_stream(spark, sf_dir, "events")))
-    state = blocklist.block_pair_state(good)
-    table = f"{root}/block_state"
-    run_to_end(state, f"{root}/ckpt_block_state", output_mode="update",
-               foreach_batch=compacted_writer(spark, table, PAIR_KEYS, ["offset"]))
-    return table
+
+def current_blocks(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The current block pairs, as of the last committed micro-batch."""
+    return (read_latest(spark, checkpoint, PAIR_STATE).filter(F.col("last_action") == "block")
+            .select("user_id", "blocked_id"))
 
 
 def build_dictionary(spark: SparkSession, sf_dir: str, root: str) -> str:
@@ -65,11 +68,10 @@ def dictionary_table(spark: SparkSession, path: str) -> DataFrame:
 # ---- registered twins ------------------------------------------------------------
 
 def q_stream_block_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-01, STR-03, AGG-04: twin of ``block_list``."""
-    root = scratch_path(spark, "stream_block_list")
-    table = build_block_state(spark, sf_dir, root)
-    return blocklist.block_list_from_state(read_compacted(spark, table, PAIR_KEYS, ["offset"],
-                                                          PAIR_STATE))
+    """STR-01, STR-03, SNK-06, SNK-07, AGG-04: twin of ``block_list``."""
+    ckpt = scratch_path(spark, "stream_block_list")
+    build_block_state(spark, table_stream(spark, sf_dir, "events"), ckpt)
+    return blocklist.block_list_from_state(read_latest(spark, ckpt, PAIR_STATE))
 
 
 def q_stream_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,32 +80,34 @@ def q_stream_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dictionary_table(spark, build_dictionary(spark, sf_dir, root))
 
 
+def censor_batches(blocks: Callable[[], DataFrame], words: Callable[[], DataFrame],
+                   write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """STR-05: a batch function that censors each micro-batch by the tables
+    as they are when it starts."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write(censor.censor_messages(batch, blocks(), words()), batch_id)
+    return each
+
+
 def q_stream_censor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-02, STR-04, STR-05, SNK-04, SNK-10: twin of ``censor_messages``.
 
     The table queries are drained first (STR-04).  The message query then
-    re-reads both table snapshots in every micro-batch, so table changes
-    made while it runs are seen by later batches (STR-05)."""
+    reads both tables anew in every micro-batch, so table changes made
+    while it runs are seen by later batches (STR-05)."""
     root = scratch_path(spark, "stream_censor")
-    state_path = build_block_state(spark, sf_dir, root)
-    words_path = build_dictionary(spark, sf_dir, root)
-    out = f"{root}/delivered"
-    write = batch_writer(out)
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        state = read_compacted(spark, state_path, PAIR_KEYS, ["offset"], PAIR_STATE)
-        blocks = state.filter(F.col("last_action") == "block").select("user_id", "blocked_id")
-        res = censor.censor_messages(batch, blocks, dictionary_table(spark, words_path))
-        write(res, batch_id)
-
+    ckpt, out = f"{root}/ckpt_blocks", f"{root}/delivered"
+    build_block_state(spark, table_stream(spark, sf_dir, "events"), ckpt)
+    words = build_dictionary(spark, sf_dir, root)
+    each = censor_batches(lambda: current_blocks(spark, ckpt), lambda: dictionary_table(spark, words), batch_writer(out))
     msgs = fixtures.user_messages_from(table_stream(spark, sf_dir, "documents"))
     run_to_end(msgs, f"{root}/ckpt_messages", foreach_batch=each)
-    return read_batches(spark, out, "id bigint, from_user_id string, to_user_id string, text string")
+    return read_batches(spark, out, DELIVERED)
 
 
 def q_stream_spend_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-02, STR-03, SNK-11: twin of ``spend_category_changes`` with the
-    per-user state in a compacted table and all work in DataFrames."""
+    """STR-02, STR-03, SNK-11: twin of ``spend_category_changes`` with one
+    state row per user and batch and all work in DataFrames."""
     root = scratch_path(spark, "stream_spend_category")
     orders = fixtures.order_events_from(table_stream(spark, sf_dir, "orders"))
     out = f"{root}/categories"
@@ -123,38 +127,32 @@ def q_stream_spend_category_state(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def q_stream_cdc_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CDC-06, SNK-07: twin of ``cdc_current_state``; the compacted table
-    keeps delete tombstones, readers drop them."""
-    root = scratch_path(spark, "stream_cdc_state")
+    """CDC-06, SNK-07: twin of ``cdc_current_state``; the state keeps a
+    deleted key's last change, readers drop it."""
+    ckpt = scratch_path(spark, "stream_cdc_state")
     rec = fixtures.cdc_records_from(table_stream(spark, sf_dir, "events"))
     typed = cdc.typed_projection(cdc.decode_changes(rec, include=list(CDC_TABLES)), CDC_FIELDS)
-    table = f"{root}/state"
-    run_to_end(typed.select("table", "key_id", "op", "lsn", *CDC_FIELDS), f"{root}/ckpt",
-               foreach_batch=compacted_writer(spark, table, ["table", "key_id"], ["lsn"]))
-    st = read_compacted(spark, table, ["table", "key_id"], ["lsn"])
+    run_to_end(latest_stream(typed, ["table", "key_id"], "lsn", ["op", *CDC_FIELDS]), ckpt, output_mode="update")
+    st = read_latest(spark, ckpt, CDC_STATE)
     return st.filter(F.col("op") != "d").select("table", "key_id", "lsn", *CDC_FIELDS)
 
 
 def q_stream_metric_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MET-04 with a watermark: twin of ``metric_rate``.  Update mode sends
-    each changed window to the compacted table, so open windows are there
-    too; append mode would hold them back until the watermark passes."""
-    root = scratch_path(spark, "stream_metric_rate")
-    # A stream cannot be size-checked up front, so the rules run per record.
+    """MET-04: twin of ``metric_rate``; the counts are Spark's state.  No
+    watermark, so that a late sample counts like any other; the state holds
+    one row per panel and five seconds, however many samples there are."""
+    ckpt = scratch_path(spark, "stream_metric_rate")
     samples = _rename_stream(fixtures.metric_samples_from(table_stream(spark, sf_dir, "events")))
     sel = metrics.tag_panels(samples, metrics.RATE_PANELS)
     iv = metrics.SCRAPE_INTERVAL_SECONDS
-    counts = (sel.withWatermark("ts", "10 minutes")
-              .groupBy("panel", F.window("ts", f"{iv} seconds").alias("w"))
-              .agg(F.count("*").alias("n_records"))
-              .select("panel", utc_wall_clock(F.col("w.start")).alias("window_start"),
-                      "n_records"))
-    table = f"{root}/rates"
-    run_to_end(counts, f"{root}/ckpt", output_mode="update",
-               foreach_batch=compacted_writer(spark, table, ["panel", "window_start"], ["n_records"]))
-    return read_compacted(spark, table, ["panel", "window_start"], ["n_records"]).select(
-        "panel", "window_start", "n_records",
-        (F.col("n_records") / F.lit(float(iv))).alias("per_second"))
+    step = sel.select("panel", F.window("ts", f"{iv} seconds")["start"].alias("step"))
+    run_to_end(step.groupBy("panel", "step").agg(F.count("*").alias("n_records")), ckpt, output_mode="update")
+    counts = read_state(spark, ckpt)
+    if counts is None:
+        return spark.createDataFrame([], "panel string, window_start timestamp_ntz, n_records bigint, per_second double")
+    return counts.select("key.panel", utc_wall_clock(F.col("key.step")).alias("window_start"),
+                         F.col("value.count").alias("n_records"),
+                         (F.col("value.count") / F.lit(float(iv))).alias("per_second"))
 
 
 def _rename_stream(stream: DataFrame) -> DataFrame:

@@ -1,5 +1,5 @@
 """Streaming twins over several micro-batches, restart from a checkpoint,
-and replay of a compacted-table batch."""
+replay of a batch, and tables that change while a stream runs."""
 
 import os
 import tempfile
@@ -7,8 +7,9 @@ import tempfile
 import pytest
 
 from streamfold.plans import catalog
-from streamfold.streaming import sinks, twins
+from streamfold.streaming import sinks, stateful, twins
 from streamfold.streaming.sources import FILES_CONF, dir_stream, table_stream
+from streamfold.streaming.state import read_latest
 
 SF = "/root/testdata/sf0.001"
 SPLIT = {"events": "event_id", "orders": "o_orderkey", "documents": "doc_id", "benchmark": "item_id"}
@@ -59,50 +60,68 @@ def test_twin_over_many_batches(spark, multi_batch, twin, batch):
 
 def test_restart_resumes_from_checkpoint(spark, split_dir):
     """Two files, stop, two more files, restart on the same checkpoint:
-    the compacted block table equals one run over all four."""
+    the block table in Spark's state equals one run over all four."""
     from streamfold.operators import blocklist
-    from streamfold.sources import fixtures
     schema = spark.read.parquet(f"{SF}/events.parquet").schema
     files = sorted(f for f in os.listdir(f"{split_dir}/events.parquet") if f.endswith(".parquet"))
     src = tempfile.mkdtemp(prefix="streamfold-src-")
-    root = tempfile.mkdtemp(prefix="streamfold-restart-")
-
-    def run_once():
-        ev = fixtures.block_events_from(dir_stream(spark, src, schema, 1))
-        good, _ = blocklist.parse_block_events(ev)
-        sinks.run_to_end(blocklist.block_pair_state(good), f"{root}/ckpt", output_mode="update",
-                         foreach_batch=sinks.compacted_writer(spark, f"{root}/t",
-                                                             ["user_id", "blocked_id"], ["offset"]))
-
-    for f in files[:2]:
-        os.symlink(f"{split_dir}/events.parquet/{f}", f"{src}/{f}")
-    run_once()
-    for f in files[2:]:
-        os.symlink(f"{split_dir}/events.parquet/{f}", f"{src}/{f}")
-    run_once()
-    got = blocklist.block_list_from_state(
-        sinks.read_compacted(spark, f"{root}/t", ["user_id", "blocked_id"], ["offset"]))
+    ckpt = tempfile.mkdtemp(prefix="streamfold-restart-")
+    assert read_latest(spark, f"{ckpt}/none", twins.PAIR_STATE).count() == 0      # nothing committed yet
+    for part in (files[:2], files[2:]):
+        for f in part:
+            os.symlink(f"{split_dir}/events.parquet/{f}", f"{src}/{f}")
+        twins.build_block_state(spark, dir_stream(spark, src, schema, 1), ckpt)
+    got = blocklist.block_list_from_state(read_latest(spark, ckpt, twins.PAIR_STATE))
     assert same(got, catalog.QUERIES["block_list"](spark, SF))
 
 
-def test_compacted_replay_is_exact(spark):
-    root = tempfile.mkdtemp(prefix="streamfold-replay-")
-    w = sinks.compacted_writer(spark, f"{root}/t", ["k"], ["o"], compact_every=2)
-    schema = "k int, o int, v string"
-    batches = [[(1, 1, "a"), (2, 2, "b")], [(1, 3, "c")], [(3, 4, "d"), (1, 5, "e")], [(2, 6, "f")]]
-    for i, rows in enumerate(batches):
-        w(spark.createDataFrame(rows, schema), i)
-        if i == 1:
-            w(spark.createDataFrame(rows, schema), i)      # the same batch after a failure
-
-    def read(before=None):
-        t = sinks.read_compacted(spark, f"{root}/t", ["k"], ["o"], before=before)
-        return sorted(map(tuple, t.select("k", "o", "v").collect()))
-
-    assert read(before=2) == [(1, 3, "c"), (2, 2, "b")]      # full snapshot of batch 1
-    assert read() == [(1, 5, "e"), (2, 6, "f"), (3, 4, "d")]  # snapshot 3 (full)
-    kinds = sorted(os.listdir(f"{root}/t/sf_version=2"))
-    assert kinds == ["sf_kind=delta"]
+def test_replayed_batch_is_exact(spark, tmp_path):
+    """A batch that runs again after a failure rewrites its own output and
+    state, and sees the state as it was before it."""
+    state, out = f"{tmp_path}/state", f"{tmp_path}/out"
+    each = stateful.spend_category_batches(spark, state, out)
+    schema = "user_id bigint, order_id bigint, order_amount bigint, offset bigint"
+    first = spark.createDataFrame([(1, 1, 400000, 1), (2, 2, 600000, 2), (1, 3, 90000, 3)], schema)
+    second = spark.createDataFrame([(1, 4, 20000, 4), (1, 5, 600000, 5)], schema)
+    for batch_id, batch in ((0, first), (0, first), (1, second), (1, second)):
+        each(batch, batch_id)
+    got = sinks.read_batches(spark, out, stateful.SPEND_OUTPUT).orderBy("offset").collect()
+    assert [(r.user_id, r.total, r.category) for r in got] == [
+        (1, 400000, "bronze"), (2, 600000, "silver"), (1, 510000, "silver"), (1, 1110000, "gold")]
+
+
+def test_table_changes_between_micro_batches(spark, tmp_path):
+    """STR-05: a block that commits while the message stream runs stops the
+    next micro-batch's messages, and an unblock lets them pass again."""
+    from pyspark.sql import functions as F
+    src, ckpt, out = f"{tmp_path}/events", f"{tmp_path}/ckpt", f"{tmp_path}/out"
+    events = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string"
+
+    def commit(event_id: int, kind: str) -> None:
+        """User 7's event about user 1 (event_id mod 7)."""
+        row = spark.createDataFrame([(event_id, 7, kind)], "event_id bigint, user_id bigint, event_type string")
+        row.withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz")).select(
+            "event_id", "ts", "user_id", "event_type").coalesce(1).write.mode("append").parquet(src)
+        twins.build_block_state(spark, dir_stream(spark, src, events), ckpt)
+
+    changes = {0: (1, "click"), 1: (8, "error")}        # block, then unblock
+    write = sinks.batch_writer(out)
+
+    def write_then_change(batch, batch_id: int) -> None:
+        write(batch, batch_id)
+        if batch_id in changes:
+            commit(*changes[batch_id])
+    each = twins.censor_batches(lambda: twins.current_blocks(spark, ckpt),
+                                lambda: spark.createDataFrame([("bad", "***")], "word string, mask string"),
+                                write_then_change)
+    msgs = f"{tmp_path}/msgs"
+    for i in range(3):
+        spark.createDataFrame([(i, "1", "7", f"bad {i}")], twins.DELIVERED).coalesce(1).write.mode("append").parquet(msgs)
+        part = max((f for f in os.listdir(msgs) if f.endswith(".parquet")), key=lambda f: os.stat(f"{msgs}/{f}").st_ctime_ns)
+        os.utime(f"{msgs}/{part}", (1_700_000_000 + 60 * i,) * 2)
+    sinks.run_to_end(dir_stream(spark, msgs, twins.DELIVERED, 1), f"{tmp_path}/ckpt_msgs", foreach_batch=each)
+    got = sinks.read_batches(spark, out, twins.DELIVERED).orderBy("id").collect()
+    assert [(r.id, r.text) for r in got] == [(0, "*** 0"), (2, "*** 2")]
 
 
 def test_two_groups_over_many_batches(spark, multi_batch):
