@@ -20,8 +20,9 @@ from ..functions.text import LETTER_RUN, is_letter_run, mask_words, word_buckets
 from ..functions.timefmt import epoch_micros
 from .scan import running_last
 
-# Time chunk of the as-of scan: a chunk holds one pair's events of one
-# minute; a pair's carry table holds one row per minute of its history.
+# Pairs with more rows than this are cut into chunks of one minute in the
+# as-of scan; all others are scanned whole and carry nothing.
+REPLAY_HOT_ROWS = 100_000
 REPLAY_SPAN_MICROS = 60 * 1_000_000
 
 
@@ -73,15 +74,15 @@ def censor_messages(messages: DataFrame, blocks: DataFrame, dictionary: DataFram
 
 
 def replay_blocks_asof(messages: DataFrame, block_events: DataFrame,
-                       span_micros: int = REPLAY_SPAN_MICROS) -> DataFrame:
+                       span_micros: int = REPLAY_SPAN_MICROS, hot_rows: int = REPLAY_HOT_ROWS) -> DataFrame:
     """JOIN-04: each message judged by the block state of its (receiver,
     sender) pair at the message's time; ties are broken by offset.
 
     ``messages``: id, from_user_id, to_user_id, ts, offset.
     ``block_events``: parsed events with user_id, blocked_id, action, ts, offset.
     Returns the delivered messages with ``block_state`` (last action before
-    them, or NULL).  The union is scanned per pair in bounded time chunks, so
-    a hot pair does not end up in one task.
+    them, or NULL).  The union is scanned per pair, pairs above ``hot_rows``
+    rows in bounded time chunks, so a hot pair does not end up in one task.
     """
     ch = block_events.select(F.col("user_id").alias("_sf_to"), F.col("blocked_id").alias("_sf_from"),
                              "ts", "offset", "action",
@@ -90,7 +91,7 @@ def replay_blocks_asof(messages: DataFrame, block_events: DataFrame,
                          "ts", "offset", F.lit(None).cast("string").alias("action"), "id")
     u = ch.unionByName(ms).withColumn("_sf_us", epoch_micros("ts"))
     scanned = running_last(u, ["_sf_to", "_sf_from"], "_sf_us", "action", "block_state",
-                           span=span_micros, order_tiebreak=["offset"])
+                           span=span_micros, order_tiebreak=["offset"], hot_rows=hot_rows)
     return (scanned.filter(F.col("id").isNotNull()
                            & (F.col("block_state").isNull() | (F.col("block_state") != "block")))
             .select("id", F.col("_sf_from").alias("from_user_id"),

@@ -30,8 +30,8 @@ DEFAULT_SPAN = 1 << 20
 _CHUNK = "_sf_chunk"
 
 
-def _join_back(local: DataFrame, carry: DataFrame, cols: list[str]) -> DataFrame:
-    """Inner join on ``cols`` with null-safe equality (a NULL key is a key)."""
+def _join_back(local: DataFrame, carry: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``cols`` with null-safe equality (a NULL key is a key)."""
     ren = {c: f"_sf_j{i}" for i, c in enumerate(cols)}
     right = carry.select(*[F.col(c).alias(ren[c]) if c in ren else F.col(c)
                            for c in carry.columns])
@@ -39,7 +39,7 @@ def _join_back(local: DataFrame, carry: DataFrame, cols: list[str]) -> DataFrame
     for c in cols:
         e = local[c].eqNullSafe(right[ren[c]])
         cond = e if cond is None else cond & e
-    return local.join(right, cond, "inner").drop(*ren.values())
+    return local.join(right, cond, how).drop(*ren.values())
 
 
 def _chunked(df: DataFrame, order: Column | str, span: int) -> DataFrame:
@@ -74,12 +74,25 @@ def running_sums(df: DataFrame, keys: list[str], order: str, sums: dict[str, Col
 
 
 def running_last(df: DataFrame, keys: list[str], order: str, value: str, out: str,
-                 span: int = DEFAULT_SPAN, order_tiebreak: list[str] | None = None) -> DataFrame:
+                 span: int = DEFAULT_SPAN, order_tiebreak: list[str] | None = None,
+                 hot_rows: int = 0) -> DataFrame:
     """Add ``out``: the last non-null ``value`` per ``keys`` up to and
     including the current row in ``order`` (``last(value, true)`` over an
-    unbounded-preceding frame)."""
+    unbounded-preceding frame).
+
+    Keys of at most ``hot_rows`` rows are one chunk and carry nothing; only
+    the keys above are cut by ``span``.  So the carry table has a row per
+    chunk of a hot key, and none for the many small keys."""
     ob = [order, *(order_tiebreak or [])]
     base = _chunked(df, order, span)
+    if hot_rows:
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sf_n"))
+        hot = counted.filter(F.col("_sf_n") > hot_rows).withColumn("_sf_hot", F.lit(True)).drop("_sf_n")
+        # Dealt by key and chunk at once: dealt by key alone, as the join
+        # leaves them, a hot key's rows would meet in one task.
+        base = (_join_back(base, hot, keys, "left")
+                .withColumn(_CHUNK, F.when(F.col("_sf_hot"), F.col(_CHUNK))).drop("_sf_hot")
+                .repartition(*keys, _CHUNK))
     w_local = (Window.partitionBy(*keys, _CHUNK).orderBy(*ob)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.withColumn("_sf_loc", F.last(value, ignorenulls=True).over(w_local))
@@ -87,12 +100,13 @@ def running_last(df: DataFrame, keys: list[str], order: str, value: str, out: st
     # One row per (key, chunk): its last non-null value, or NULL when it has
     # none (max_by skips rows whose ordering value is NULL).
     tail_order = F.when(F.col(value).isNotNull(), F.struct(*[F.col(c) for c in ob]))
-    per_chunk = base.groupBy(*keys, _CHUNK).agg(F.max_by(F.col(value), tail_order).alias("_sf_tail"))
+    tails = base.filter(F.col(_CHUNK).isNotNull()) if hot_rows else base
+    per_chunk = tails.groupBy(*keys, _CHUNK).agg(F.max_by(F.col(value), tail_order).alias("_sf_tail"))
     w_prev = (Window.partitionBy(*keys).orderBy(_CHUNK)
               .rowsBetween(Window.unboundedPreceding, -1))
     carry = per_chunk.select(*keys, _CHUNK,
                              F.last("_sf_tail", ignorenulls=True).over(w_prev).alias("_sf_carry"))
-    res = (_join_back(local, carry, [*keys, _CHUNK])
+    res = (_join_back(local, carry, [*keys, _CHUNK], "left" if hot_rows else "inner")
            .withColumn(out, F.coalesce(F.col("_sf_loc"), F.col("_sf_carry"))))
     return res.drop(_CHUNK, "_sf_loc", "_sf_carry")
 

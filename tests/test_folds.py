@@ -42,15 +42,17 @@ def test_running_sums_match_window(spark, span):
         sorted(map(tuple, exp.collect()))
 
 
-@pytest.mark.parametrize("span", [1, 4, 1000])
-def test_running_last_matches_window(spark, span):
+@pytest.mark.parametrize("span,hot_rows", [(1, 0), (4, 0), (1000, 0), (4, 50), (4, 10_000)])
+def test_running_last_matches_window(spark, span, hot_rows):
     rnd = random.Random(9)
-    rows = [(rnd.randint(0, 2), i, rnd.choice([None, None, "a", "b"])) for i in range(400)]
+    # key 0 is hot, and a NULL key is a key
+    rows = [(0 if i % 3 == 0 else rnd.choice([None, *range(1, 40)]), i, rnd.choice([None, None, "a", "b"]))
+            for i in range(400)]
     df = spark.createDataFrame(rows, "k bigint, o bigint, v string")
-    got = scan.running_last(df, ["k"], "o", "v", "last", span=span)
+    got = scan.running_last(df, ["k"], "o", "v", "last", span=span, hot_rows=hot_rows)
     w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
     exp = df.select("k", "o", "v", F.last("v", ignorenulls=True).over(w).alias("last"))
-    key = lambda r: (r[0], r[1])
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
     assert sorted(map(tuple, got.select("k", "o", "v", "last").collect()), key=key) == \
         sorted(map(tuple, exp.collect()), key=key)
 
@@ -85,3 +87,23 @@ def test_hot_key_is_spread_over_tasks(spark):
         assert out.filter("k = 0").agg(F.max("s")).first()[0] == 1000
     finally:
         spark.conf.set(key, old)
+
+
+def test_only_hot_keys_are_cut(spark):
+    """With ``hot_rows`` a hot key's rows are spread over tasks by chunk, and
+    the carry has rows for its chunks alone."""
+    rows = [(0 if i % 3 == 0 else i % 500 + 1, i, "a") for i in range(3000)]
+    df = spark.createDataFrame(rows, "k bigint, o bigint, v string")
+    key = "spark.sql.adaptive.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        out = scan.running_last(df, ["k"], "o", "v", "last", span=300, hot_rows=100)
+        assert out.filter("k = 0").select(F.spark_partition_id().alias("p")).distinct().count() > 1
+        out.select("last").collect()
+    finally:
+        spark.conf.set(key, old)
+    carried = scan.running_last(df.withColumn("v", F.when(F.col("o") < 300, "a")), ["k"], "o", "v", "last",
+                                span=300, hot_rows=100)
+    # the hot key's value is carried into every later chunk
+    assert carried.filter("k = 0 and last is null").isEmpty()
