@@ -36,3 +36,8 @@ def block_event_text(action, user_id, blocked_id) -> Column:
 def repeatable_id(*cols) -> Column:
     """FN-13: a 64-bit id from a natural key (repeatable, unlike a random id)."""
     return F.xxhash64(*[_c(c) for c in cols])
+
+
+def topic_name(prefix, schema, table) -> Column:
+    """FN-16: ``<prefix>.<schema>.<table>`` of text or columns."""
+    return F.concat_ws(".", *[F.lit(x) if isinstance(x, str) else x for x in (prefix, schema, table)])

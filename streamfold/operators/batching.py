@@ -32,8 +32,3 @@ def batch_groups(records: DataFrame, n: int, partition_col: str = "partition",
             .agg(F.count("*").alias("n_records"),
                  F.min(offset_col).alias("first_offset"),
                  F.max(offset_col).alias("last_offset")))
-
-
-def delivered_count(records: DataFrame) -> DataFrame:
-    """AGG-08: number of records (a global count, partial per task)."""
-    return records.agg(F.count("*").alias("n_records"))

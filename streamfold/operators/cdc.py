@@ -20,11 +20,6 @@ OPS = {"c": "insert", "u": "update", "d": "delete", "r": "snapshot"}
 # ---------------------------------------------------------------------------
 
 
-def topic_name(prefix, schema, table):
-    """FN-16: ``<prefix>.<schema>.<table>``."""
-    return F.concat_ws(".", *[F.lit(x) if isinstance(x, str) else x for x in (prefix, schema, table)])
-
-
 def decode_changes(records: DataFrame, include: list[str] | None = None,
                    topic_prefix: str = "pg", raw: bool = False) -> DataFrame:
     """CDC-01 (+ CDC-04, FLT-05): decode key and envelope.

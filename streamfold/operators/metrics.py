@@ -104,11 +104,6 @@ def rename_metrics(samples: DataFrame, metric_col: str = "metric", lower: bool =
     return samples.join(names, metric_col, "inner")
 
 
-def select_series(renamed: DataFrame, pattern: str) -> DataFrame:
-    """MET-02: series whose full name matches ``pattern`` (anchored)."""
-    return renamed.filter(F.col("name").rlike(_anchored(pattern)))
-
-
 SERIES = ["name", *LABELS]
 
 

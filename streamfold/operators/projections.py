@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codecs import decode_json, encode_json, int64_codec
+from ..functions.codecs import encode_json, int64_codec, string_codec
 from ..functions.text import rune_upper
 from ..functions.timefmt import epoch_nanos, format_message, nanos_to_timestamp
 
@@ -55,6 +55,10 @@ def to_records(df: DataFrame, key_col: str | None, value_cols: list[str]) -> Dat
     return df.select(key.alias("key"), encode_json(*value_cols).alias("value"))
 
 
-def decode_records(records: DataFrame, schema) -> DataFrame:
-    """COD-01 / SRC-08: decode ``value`` into typed columns plus ``_corrupt``."""
-    return records.select("key", decode_json("value", schema).alias("v")).select("key", "v.*")
+def header_values(records: DataFrame, names: list[str]) -> DataFrame:
+    """SRC-06: the named record headers as text columns ``header_<name>``
+    (NULL when a record has no such header; the last of repeated ones)."""
+    def last(name: str):
+        hits = F.filter("headers", lambda h: h["key"] == name)
+        return F.try_element_at(hits, F.lit(-1))["value"]
+    return records.select("*", *[string_codec(last(n)).alias(f"header_{n}") for n in names])

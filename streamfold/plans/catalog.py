@@ -12,12 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.codecs import CORRUPT, decode_json
+from ..functions.codecs import CORRUPT, string_codec
 from ..functions.text import LETTER_RUN
 from ..functions.timefmt import utc_wall_clock
 from ..operators import (batching, blocklist, cdc, censor, dictionary, ingest, joins,
                          metrics, projections, spend)
-from ..sources import fixtures
+from ..sources import fixtures, kafka
 from ..sources.tables import read_table
 
 # --- fixed values -----------------------------------------------------------
@@ -134,13 +134,30 @@ def q_ingest_bad_words(spark, sf_dir):
 
 def q_json_round_trip(spark, sf_dir):
     """COD-01..04, SNK-01/02: encode events as keyed records, decode back."""
-    recs = fixtures.kafka_records(spark, sf_dir)
-    dec = recs.select(F.col("key").cast("string").alias("record_key"),
-                      F.col("partition").alias("topic_partition"),
-                      F.col("offset").alias("record_offset"),
-                      decode_json("value", EVENT_SCHEMA_DDL).alias("v"))
-    return dec.select("record_key", "topic_partition", "record_offset", "v.*") \
-              .withColumn("is_corrupt", F.col(CORRUPT).isNotNull()).drop(CORRUPT)
+    dec = kafka.decode_value(fixtures.kafka_records(spark, sf_dir), EVENT_SCHEMA_DDL, ("key", "partition", "offset"))
+    return (dec.withColumnsRenamed({"partition": "topic_partition", "offset": "record_offset"})
+            .withColumn("record_key", string_codec("key")).drop("key")
+            .withColumn("is_corrupt", F.col(CORRUPT).isNotNull()).drop(CORRUPT))
+
+
+def q_order_records(spark, sf_dir):
+    """SNK-01, SNK-02, COD-02: orders as sink records, once keyed by user and
+    once without a key."""
+    o, cols = fixtures.order_events(spark, sf_dir), ["user_id", "order_id", "order_amount"]
+    keyed, plain = projections.to_records(o, "user_id", cols), projections.to_records(o, None, cols)
+    return keyed.withColumn("topic", F.lit("keyed")).unionByName(plain.withColumn("topic", F.lit("plain")))
+
+
+def q_record_headers(spark, sf_dir):
+    """SRC-06: partition, offset and headers of every record."""
+    return header_rows(fixtures.kafka_records(spark, sf_dir))
+
+
+def header_rows(records: DataFrame) -> DataFrame:
+    got = projections.header_values(records, ["type", "user", "trace"])
+    return got.select(F.col("partition").alias("topic_partition"), F.col("offset").alias("record_offset"),
+                      "header_type", "header_user", "header_trace",
+                      F.coalesce(F.size("headers"), F.lit(0)).alias("n_headers"))
 
 
 def q_square_values(spark, sf_dir):
@@ -341,6 +358,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_block_requests": q_ingest_block_requests,
     "ingest_bad_words": q_ingest_bad_words,
     "json_round_trip": q_json_round_trip,
+    "order_records": q_order_records,
+    "record_headers": q_record_headers,
     "square_values": q_square_values,
     "upper_text": q_upper_text,
     "format_messages": q_format_messages,

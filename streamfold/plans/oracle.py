@@ -181,6 +181,21 @@ SELECT CAST(user_id AS VARCHAR) AS record_key, CAST(user_id % 3 AS INTEGER) AS t
 FROM events
 """
 
+ORDER_RECORDS = """
+WITH v AS (SELECT CAST(o_custkey AS VARCHAR) AS u, '{"user_id":' || o_custkey || ',"order_id":' || o_orderkey
+           || ',"order_amount":' || CAST(floor(o_totalprice) AS BIGINT) || '}' AS value FROM orders)
+SELECT u AS key, value, 'keyed' AS topic FROM v UNION ALL SELECT NULL, value, 'plain' FROM v
+"""
+
+RECORD_HEADERS = """
+SELECT CAST(user_id % 3 AS INTEGER) AS topic_partition, event_id AS record_offset,
+       CASE WHEN event_type <> 'purchase' THEN event_type END AS header_type,
+       CASE WHEN event_type <> 'purchase' THEN CAST(user_id AS VARCHAR) END AS header_user,
+       CAST(NULL AS VARCHAR) AS header_trace,
+       CAST(CASE WHEN event_type <> 'purchase' THEN 2 ELSE 0 END AS INTEGER) AS n_headers
+FROM events
+"""
+
 SQUARE_VALUES = "SELECT event_id, event_id AS n, event_id * event_id AS squared FROM events\n"
 
 # The reference upper-cases rune by rune: a character without a one-rune
@@ -422,6 +437,8 @@ ORACLE_SQL: dict[str, str] = {
     "ingest_block_requests": INGEST_BLOCK_REQUESTS,
     "ingest_bad_words": INGEST_BAD_WORDS,
     "json_round_trip": JSON_ROUND_TRIP,
+    "order_records": ORDER_RECORDS,
+    "record_headers": RECORD_HEADERS,
     "square_values": SQUARE_VALUES,
     "upper_text": UPPER_TEXT,
     "format_messages": FORMAT_MESSAGES,

@@ -1,4 +1,4 @@
-"""Schemas of every record shape as DDL strings.
+"""Schemas of the decoded record shapes as DDL strings.
 
 DDL is accepted wherever Spark takes a schema (``from_json``,
 ``readStream.schema``, ``createDataFrame``) and needs no live session to define."""
@@ -7,25 +7,12 @@ from __future__ import annotations
 
 
 KAFKA_RECORD = ("key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, "
-    "timestamp TIMESTAMP, timestampType INT")
-KAFKA_HEADERS_DDL = "headers ARRAY<STRUCT<key: STRING, value: BINARY>>"
+    "timestamp TIMESTAMP, timestampType INT, headers ARRAY<STRUCT<key: STRING, value: BINARY>>")
 
 PAYLOAD_MESSAGE = ("id BIGINT, payload STRING, ts BIGINT")
-# Ids are unsigned 64-bit in the reference; DECIMAL(20,0) holds them all.
-USER_MESSAGE = ("id BIGINT, from_user_id DECIMAL(20,0), to_user_id DECIMAL(20,0), text STRING")
-BAD_WORD = ("word STRING, mask STRING")
-BLOCK_EVENT = ("key STRING, value STRING, offset BIGINT")
-BLOCK_PAIR = ("user_id STRING, blocked_id STRING")
-ORDER_EVENT = ("user_id BIGINT, order_id BIGINT, order_amount BIGINT")
-USER_SUM = ("total BIGINT")
-USER_CATEGORY = ("category STRING")
-USER = ("name STRING")
-PG_USERS = ("id INT, name STRING, email STRING, created_at TIMESTAMP_NTZ")
-PG_ORDERS = ("id INT, user_id INT, product_name STRING, quantity INT, order_date TIMESTAMP_NTZ")
 CDC_SOURCE_DDL = (
     "STRUCT<connector: STRING, db: STRING, lsn: BIGINT, name: STRING, schema: STRING, "
     "sequence: STRING, snapshot: STRING, table: STRING, ts_ms: BIGINT, ts_ns: BIGINT, "
     "ts_us: BIGINT, txId: BIGINT, version: STRING, xmin: BIGINT>")
 CDC_ENVELOPE = (f"before VARIANT, after VARIANT, source {CDC_SOURCE_DDL}, transaction VARIANT, "
     "op STRING, ts_ms BIGINT, ts_us BIGINT, ts_ns BIGINT")
-METRIC_SAMPLE = ("metric STRING, labels MAP<STRING, STRING>, ts TIMESTAMP, value DOUBLE")

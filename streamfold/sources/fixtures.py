@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codecs import encode_json
+from ..functions.ids import topic_name
 from ..functions.text import LETTER_RUN
 from ..functions.timefmt import epoch_micros, utc_instant, utc_wall_clock
 from .tables import read_table
@@ -150,7 +151,8 @@ def message_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kafka_records(spark: SparkSession, sf_dir: str, topic: str = "events") -> DataFrame:
-    """``events`` in the Kafka source's record layout."""
+    """``events`` in the Kafka source's record layout; the event type and
+    the sender travel as headers, purchases have none."""
     return kafka_records_from(read_table(spark, sf_dir, "events", parallel=True), topic)
 
 
@@ -162,7 +164,14 @@ def kafka_records_from(e: DataFrame, topic: str = "events") -> DataFrame:
                     (F.col("user_id") % 3).cast("int").alias("partition"),
                     F.col("event_id").alias("offset"),
                     utc_instant("ts").alias("timestamp"),
-                    F.lit(0).alias("timestampType"))
+                    F.lit(0).alias("timestampType"),
+                    F.when(F.col("event_type") != "purchase", F.array(
+                        _header("type", F.col("event_type")), _header("user", F.col("user_id").cast("string"))))
+                    .alias("headers"))
+
+
+def _header(name: str, value: Column) -> Column:
+    return F.struct(F.lit(name).alias("key"), value.cast("binary").alias("value"))
 
 
 def cdc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +220,7 @@ def _change_records(df: DataFrame, table: Column, key: Column, op: Column, image
     return df.select(
         F.to_json(F.struct(key.alias("id"))).cast("binary").alias("key"),
         F.to_json(envelope, {"ignoreNullFields": "false"}).cast("binary").alias("value"),
-        F.concat_ws(".", F.lit(CDC_PREFIX), F.lit(CDC_SCHEMA), table).alias("topic"),
+        topic_name(CDC_PREFIX, CDC_SCHEMA, table).alias("topic"),
         (key % 3).cast("int").alias("partition"), lsn.alias("offset"))
 
 

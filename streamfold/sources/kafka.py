@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.codecs import decode_json
 from ..schemas import KAFKA_RECORD
 
 
@@ -124,7 +125,7 @@ def read_record_stream(spark: SparkSession, path: str, max_files_per_trigger: in
 
 def decode_value(records: DataFrame, schema, keep=("key", "topic", "partition", "offset")
                  ) -> DataFrame:
-    """SRC-08: record scan plus typed JSON decode of the value."""
-    from ..functions.codecs import decode_json
+    """SRC-08: record scan plus typed JSON decode of the value (COD-01);
+    fields that do not decode are NULL and ``_corrupt`` holds the text."""
     return records.select(*[F.col(c) for c in keep],
                           decode_json("value", schema).alias("v")).select(*keep, "v.*")

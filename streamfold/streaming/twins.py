@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from ..functions.text import normalize_word
 from ..functions.timefmt import utc_wall_clock
 from ..operators import batching, blocklist, cdc, censor, dictionary, metrics
+from ..plans.catalog import header_rows
 from ..session import scratch_path
 from ..sources import fixtures
+from ..sources.kafka import read_record_stream
 from .sinks import batch_writer, read_batches, run_to_end
 from .sources import table_stream
 from .state import latest_stream, read_latest, read_state
@@ -187,6 +189,16 @@ def q_stream_two_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def q_stream_record_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-01, SRC-06: records with their headers go to a topic folder in the
+    Kafka layout, and a second query streams that folder and reads them."""
+    root = scratch_path(spark, "stream_record_headers")
+    run_to_end(fixtures.kafka_records_from(table_stream(spark, sf_dir, "events")), f"{root}/ckpt_topic",
+               path=f"{root}/topic")
+    run_to_end(header_rows(read_record_stream(spark, f"{root}/topic")), f"{root}/ckpt", path=f"{root}/out")
+    return spark.read.parquet(f"{root}/out")
+
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_block_list": q_stream_block_list,
     "stream_dictionary": q_stream_dictionary,
@@ -196,6 +208,7 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_cdc_state": q_stream_cdc_state,
     "stream_metric_rate": q_stream_metric_rate,
     "stream_two_groups": q_stream_two_groups,
+    "stream_record_headers": q_stream_record_headers,
 }
 
 # Twin -> batch query whose oracle SQL states the same result.
@@ -207,6 +220,7 @@ STREAM_ORACLE = {
     "stream_spend_category_state": "spend_category_changes",
     "stream_cdc_state": "cdc_current_state",
     "stream_metric_rate": "metric_rate",
+    "stream_record_headers": "record_headers",
 }
 
 # With one input file the stream runs as one micro-batch, so consumer

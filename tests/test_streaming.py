@@ -53,6 +53,7 @@ def same(a, b):
     ("stream_cdc_state", "cdc_current_state"),
     ("stream_metric_rate", "metric_rate"),
     ("stream_censor", "censor_messages"),
+    ("stream_record_headers", "record_headers"),
 ])
 def test_twin_over_many_batches(spark, multi_batch, twin, batch):
     assert same(twins.STREAM_QUERIES[twin](spark, multi_batch), catalog.QUERIES[batch](spark, SF))
