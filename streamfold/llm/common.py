@@ -19,6 +19,8 @@ SPACE_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 # ---
 PIECE_BYTES = 2 << 20
+LAST = (1 << 63) - 1
+PART_BITS = 33                  # of monotonically_increasing_id: bits of the row within its part
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -35,6 +37,34 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keyed(docs: DataFrame, id_col: str, name: str) -> tuple[DataFrame, Column]:
+    """``docs`` with _sf_doc, the order of its documents: the id, and for
+    each row without one a number of its own after all ids; and the id that
+    a _sf_doc stands for.  Rows without an id are stored, to be numbered
+    once; one count per part of them reaches the driver."""
+    key = F.col(f"`{id_col}`").cast("bigint")
+    least, most, without = docs.agg(F.min(key), F.max(key), F.count(F.when(key.isNull(), 1))).first()
+    if not without:
+        return docs.withColumn("_sf_doc", key), F.col("_sf_doc")
+    least, most = (0, -1) if most is None else (least, most)
+    shift = max(0, most + without - LAST)       # ids move down where the numbers would not fit above
+    if least - shift < -LAST - 1:
+        raise ValueError("the ids leave no numbers for rows without one")
+    loose = stored(docs.filter(key.isNull()).withColumn("_sf_at", F.monotonically_increasing_id()), name)
+    part = F.shiftright("_sf_at", PART_BITS)
+    counts = sorted((r["p"], r["n"]) for r in loose.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    starts, at = [], most - shift + 1
+    for p, n in counts:
+        starts.append((p, at))
+        at += n
+    firsts = F.broadcast(docs.sparkSession.createDataFrame(starts, "_sf_part bigint, _sf_first bigint"))
+    numbered = loose.join(firsts, part == F.col("_sf_part")).withColumn(
+        "_sf_doc", F.col("_sf_first") + F.col("_sf_at").bitwiseAND(F.lit((1 << PART_BITS) - 1)))
+    cols = [F.col(f"`{c}`") for c in [*docs.columns, "_sf_doc"]]
+    both = docs.filter(key.isNotNull()).withColumn("_sf_doc", key - F.lit(shift)).select(*cols).unionAll(numbered.select(*cols))
+    return both, F.when(F.col("_sf_doc") <= most - shift, F.col("_sf_doc") + F.lit(shift))
+
+
 def nonnull_text(col: str = "text") -> Column:
     return F.coalesce(F.col(f"`{col}`").cast("string"), F.lit(""))
 

@@ -25,8 +25,9 @@ The text is shuffled once, by document; both joins reuse that exchange.
 
 Defined results: a null text counts as empty; texts under ``WINDOW`` bytes
 stay whole; rows that repeat a doc_id are taken as one document and must
-repeat its text; rows without an id count as one document, after all
-others; an empty table gives an empty result; other columns are ignored.
+repeat its text; each row without an id is a document of its own, after
+all that have one; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -38,12 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, nonnull_text, pieces, ship, stored, utf8
+from .common import LAST, keyed, map_batches, nonnull_text, pieces, ship, stored, utf8
 
 WINDOW = 50
 GRAM = 26
 SPAN = WINDOW - GRAM + 1          # first digits a window can begin with
-LAST = (1 << 63) - 1
 SEGMENT = 1 << 20                 # bytes hashed at a time
 FLUSH = 1 << 21                   # anchors settled at a time within a task
 BUCKET_BYTES = 8 << 20            # pass-1 bytes aimed at per bucket
@@ -426,8 +426,8 @@ def cut(text: bytes, spans: list[int] | None, copy: bool) -> tuple[bytes, list[t
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
     """doc_id, kept (the remaining bytes) and spans (removed runs) per
     document; with ``digests`` n_bytes, n_removed, n_spans, kept_sha256."""
-    rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(LAST)).alias("doc"),
-                       nonnull_text(text_col).alias("text"))
+    rows, doc_id = keyed(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), "id", "suffix_loose")
+    rows = rows.select(F.col("_sf_doc").alias("doc"), nonnull_text("text").alias("text"))
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 + int(n_bytes * 2 / (SPAN + 1) * 8) // BUCKET_BYTES
     digits = repeated_digits(first_digits(rows, buckets)).groupBy("doc").agg(F.collect_list("key").alias("keys"))
@@ -436,9 +436,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     marked = (rows.join(shared, "doc", "left").join(whole, "doc", "left")
               .select("doc", "text", "keys", F.coalesce("copy", F.lit(False)).alias("copy")))
     spans = repeated_spans(marked.filter("keys is not null and not copy"), 2 * buckets)
-    full = rows.join(spans, "doc", "left").join(whole, "doc", "left").select(
-        F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"), "text", "spans",
-        F.coalesce("copy", F.lit(False)).alias("copy"))
+    full = rows.join(spans, "doc", "left").join(whole, "doc", "left").withColumnRenamed("doc", "_sf_doc").select(
+        doc_id.alias("doc_id"), "text", "spans", F.coalesce("copy", F.lit(False)).alias("copy"))
 
     def run(b: pa.RecordBatch):
         got, texts = [], utf8(b.column(1))

@@ -2,6 +2,7 @@
 clashing extra columns, for every operator and every stage."""
 
 import html
+from itertools import permutations
 
 import pyarrow as pa
 import public_tokenizers
@@ -77,6 +78,27 @@ def test_substrings(spark, docs, empty):
     assert suffix_dedup.dedup_substrings(empty).count() == 0
 
 
+def loose_orders(rows, brute_force):
+    """The results when rows without an id come after all others, as a
+    document each, in any order: (kept texts by id, sorted kept texts)."""
+    ids, loose = [r for r in rows if r[0] is not None], [t for d, t in rows if d is None]
+    top = max([d for d, _ in ids], default=0)
+    for order in permutations(loose):
+        kept = brute_force([*ids, *[(top + 1 + i, t) for i, t in enumerate(order)]])
+        yield {d: kept[d] for d, _ in ids}, sorted(kept[top + 1 + i] for i in range(len(order)))
+
+
+@pytest.mark.parametrize("top", [(1 << 63) - 1, None])         # the largest id there is, and no ids at all
+def test_substrings_without_id(spark, top):
+    own, said = ROWS[15][1], "a passage of more than fifty bytes that two rows without any id hold"
+    rows = [(None, t) for t in (None, own, own, f"one {said}", f"other {said} and more", f"known {ROWS[6][1]}")]
+    rows += [(3, ""), (6, ROWS[6][1]), (top, said)] if top else []
+    got = suffix_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    have = ({r.doc_id: bytes(r.kept) for r in got if r.doc_id is not None}, sorted(bytes(r.kept) for r in got if r.doc_id is None))
+    assert len(got) == len(rows) and own.encode() in have[1]
+    assert have in loose_orders(rows, lambda r: {d: w[3] for d, w in brute.substrings(r).items()})
+
+
 def test_mixing(spark, docs, empty):
     rows = mixing.mix_report(docs).collect()
     assert len(rows) == len(ROWS)
