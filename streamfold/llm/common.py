@@ -42,10 +42,12 @@ def keyed(docs: DataFrame, id_col: str, name: str) -> tuple[DataFrame, Column]:
     each row without one a number of its own after all ids; and the id that
     a _sf_doc stands for.  Rows without an id are stored, to be numbered
     once; one count per part of them reaches the driver."""
+    def whole(c: Column) -> Column:             # never null: joins add no filter of theirs, and share an exchange
+        return F.coalesce(c, F.lit(LAST))
     key = F.col(f"`{id_col}`").cast("bigint")
     least, most, without = docs.agg(F.min(key), F.max(key), F.count(F.when(key.isNull(), 1))).first()
     if not without:
-        return docs.withColumn("_sf_doc", key), F.col("_sf_doc")
+        return docs.withColumn("_sf_doc", whole(key)), F.col("_sf_doc")
     least, most = (0, -1) if most is None else (least, most)
     shift = max(0, most + without - LAST)       # ids move down where the numbers would not fit above
     if least - shift < -LAST - 1:
@@ -61,7 +63,8 @@ def keyed(docs: DataFrame, id_col: str, name: str) -> tuple[DataFrame, Column]:
     numbered = loose.join(firsts, part == F.col("_sf_part")).withColumn(
         "_sf_doc", F.col("_sf_first") + F.col("_sf_at").bitwiseAND(F.lit((1 << PART_BITS) - 1)))
     cols = [F.col(f"`{c}`") for c in [*docs.columns, "_sf_doc"]]
-    both = docs.filter(key.isNotNull()).withColumn("_sf_doc", key - F.lit(shift)).select(*cols).unionAll(numbered.select(*cols))
+    ids = docs.filter(key.isNotNull()).withColumn("_sf_doc", key - F.lit(shift))
+    both = ids.unionAll(numbered.select(*cols)).withColumn("_sf_doc", whole(F.col("_sf_doc")))
     return both, F.when(F.col("_sf_doc") <= most - shift, F.col("_sf_doc") + F.lit(shift))
 
 

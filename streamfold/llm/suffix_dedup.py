@@ -18,6 +18,11 @@ by byte, to the right and to the left of the anchor, with exact ranks;
 windows are equal when both ranks are.  Each task first settles
 what repeats among its own documents, so a passage that a third of the
 corpus holds is one record per flush of a task, not one per document.
+A digit with over ``HOT`` different contexts (a phrase with other
+neighbours in each document) is not refined in one group: its contexts are
+halved by the offset of the anchor, and the bytes that all windows of a
+half have left or right of it become part of the grouping key; halves that
+are still crowded are halved again, down to single windows.
 Exact copies of a whole text are found by digest: all but the first go
 whole, and take no part in pass 2.
 
@@ -36,6 +41,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +53,9 @@ SPAN = WINDOW - GRAM + 1          # first digits a window can begin with
 SEGMENT = 1 << 20                 # bytes hashed at a time
 FLUSH = 1 << 21                   # anchors settled at a time within a task
 BUCKET_BYTES = 8 << 20            # pass-1 bytes aimed at per bucket
+HOT = 1 << 17                     # contexts of one digit that are refined in one group
+SAMPLE = 1 << 11                  # contexts of a sample by which a digit is found to be hot
+DEPTH = 5                         # halvings of SPAN offsets to single ones
 KEY48 = np.uint64((1 << 48) - 1)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                                0xFF51AFD7ED558CCD)]
@@ -259,41 +268,54 @@ CONTEXT = "bucket int, h bigint, omax int, ctx binary, doc bigint, at array<bigi
 
 
 def contexts(marked: DataFrame, buckets: int) -> DataFrame:
-    """Pass 2, map side.  ``marked``: doc, text, keys (list), copy.  Rows
-    with a context go to the bucket of their digit; rows without one
-    (bucket < 0) are spans already known to be covered: at = start, end."""
+    """Pass 2, map side.  ``marked``: doc, text, keys (list), copy, hot
+    (list of digit + (halvings << 48)).  Rows with a context go to the
+    bucket of their digit, those of a hot digit to that of the bytes which
+    the windows of a part share; rows without one (bucket < 0) are spans
+    already known to be covered: at = start, end."""
+    edges = [[SPAN * i >> k for i in range((1 << k) + 1)] for k in range(DEPTH + 1)]
     ship()
 
     def run(batches):
         held: dict[tuple, list] = {}
         covered: dict[int, list] = {}
 
-        def add(doc, text, keys):
-            found = np.unique(np.array(keys, np.uint64))
+        def add(doc, text, keys, hot):
+            found, levels = np.unique(np.array(keys, np.uint64)), {x & int(KEY48): x >> 48 for x in hot or ()}
             for first, last, p, h in text_anchors(text):
                 k = h & KEY48
                 j = np.searchsorted(found, k)
                 j[j == len(found)] = 0
                 for a, z, at, g in zip(*(x[found[j] == k].tolist() for x in (first, last, p, h))):
-                    key = (g, at - a, text[a:z + WINDOW])
-                    other = held.get(key)
-                    if other is None:
-                        held[key] = [doc, [at]]
-                    elif other[0] == doc:
-                        other[1].append(at)
-                    else:
-                        late, spots = (doc, [at]) if doc > other[0] else other
-                        if doc < other[0]:
-                            held[key] = [doc, [at]]
-                        for s in spots:
-                            covered.setdefault(late, []).append((s - (at - a), s - (at - a) + len(key[2])))
+                    level = levels and levels.get(g & int(KEY48))
+                    if not level:
+                        hold(doc, at, (g, at - a, text[a:z + WINDOW], None))
+                        continue
+                    for lo, end in zip(edges[level], edges[level][1:]):
+                        o, least = min(end - 1, at - a), max(lo, at - z)
+                        if least <= o:
+                            said = xxhash.xxh3_64_intdigest(text[at - lo:at - end + 1 + WINDOW], lo)
+                            hold(doc, at, (g, o, text[at - o:at - least + WINDOW], said % buckets))
+
+        def hold(doc, at, key):
+            other = held.get(key)
+            if other is None:
+                held[key] = [doc, [at]]
+            elif other[0] == doc:
+                other[1].append(at)
+            else:
+                late, spots = (doc, [at]) if doc > other[0] else other
+                if doc < other[0]:
+                    held[key] = [doc, [at]]
+                for s in spots:
+                    covered.setdefault(late, []).append((s - key[1], s - key[1] + len(key[2])))
 
         def flush():
-            g, o, c, d, at = [], [], [], [], []
-            for (h, omax, ctx), (doc, spots) in held.items():
-                g.append(h), o.append(omax), c.append(ctx), d.append(doc), at.append(spots)
-            h = np.array(g, np.uint64)
-            bucket = _bucket_of(h & KEY48, buckets).astype(np.int32)
+            g, o, c, own, d, at = [], [], [], [], [], []
+            for (h, omax, ctx, b), (doc, spots) in held.items():
+                g.append(h), o.append(omax), c.append(ctx), own.append(-1 if b is None else b), d.append(doc), at.append(spots)
+            h, own = np.array(g, np.uint64), np.array(own, np.int64)
+            bucket = np.where(own < 0, _bucket_of(h & KEY48, buckets), own).astype(np.int32)
             spans = [(doc, [x for s in merged(v) for x in s]) for doc, v in covered.items()]
             n = len(spans)
             yield pa.RecordBatch.from_arrays([
@@ -305,15 +327,15 @@ def contexts(marked: DataFrame, buckets: int) -> DataFrame:
             covered.clear()
         for batch in batches:
             for b in pieces(batch):
-                for doc, text, keys, copy in zip(b.column(0).to_pylist(), utf8(b.column(1)), b.column(2).to_pylist(),
-                                                 b.column(3).to_pylist()):
+                for doc, text, keys, copy, hot in zip(b.column(0).to_pylist(), utf8(b.column(1)),
+                                                      *(b.column(i).to_pylist() for i in (2, 3, 4))):
                     if keys and not copy and len(text) >= WINDOW:
-                        add(doc, text, keys)
+                        add(doc, text, keys, hot)
                         if len(held) > FLUSH // 16:
                             yield from flush()
         if held or covered:
             yield from flush()
-    return marked.select("doc", "text", "keys", "copy").mapInArrow(run, CONTEXT)
+    return marked.select("doc", "text", "keys", "copy", "hot").mapInArrow(run, CONTEXT)
 
 
 CONTEXT_NAMES = ["bucket", "h", "omax", "ctx", "doc", "at"]
@@ -405,6 +427,32 @@ def copies(docs: DataFrame) -> DataFrame:
     return rows.join(groups, "d").filter("doc > least").groupBy("doc").agg(F.lit(True).alias("copy"))
 
 
+def crowded(marked: DataFrame, buckets: int, hot: int) -> DataFrame:
+    """(key,): digits with over about ``hot`` different contexts in a
+    bucket, judged by a sample of documents; which these are changes no
+    result."""
+    share = max(1, hot // SAMPLE)
+    some = contexts(marked.filter(F.pmod(F.xxhash64("doc"), F.lit(share)) == 0), buckets).filter("bucket >= 0")
+    return stored(some.groupBy("bucket", "h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot // share)
+                  .select(F.col("h").bitwiseAND(F.lit(int(KEY48))).alias("key")).distinct(), "suffix_crowded")
+
+
+def with_hot(marked: DataFrame, shared: DataFrame, buckets: int, hot: int) -> DataFrame:
+    """``marked`` with the hot digits of each document (null: none)."""
+    out, levels = marked.withColumn("hot", F.lit(None).cast("array<bigint>")), None
+    for _ in range(DEPTH):
+        more = crowded(out, buckets, hot)
+        if more.isEmpty():
+            break
+        more = more.withColumn("level", F.lit(1).cast("bigint"))
+        levels = more if levels is None else stored(
+            levels.unionAll(more).groupBy("key").agg(F.sum("level").alias("level")), "suffix_hot")
+        own = (shared.select("doc", F.explode("keys").alias("key")).join(levels, "key")
+               .groupBy("doc").agg(F.collect_set(F.col("key") + F.shiftleft("level", 48)).alias("hot")))
+        out = marked.join(stored(own, "suffix_hot_docs"), "doc", "left")
+    return out
+
+
 def repeated_spans(marked: DataFrame, buckets: int) -> DataFrame:
     """(doc, spans): the covered bytes of each document."""
     return (repeated_windows(contexts(marked, buckets))
@@ -423,7 +471,8 @@ def cut(text: bytes, spans: list[int] | None, copy: bool) -> tuple[bytes, list[t
     return b"".join([*out, text[at:]]), runs
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
+def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: bool = False,
+                     hot: int = HOT) -> DataFrame:
     """doc_id, kept (the remaining bytes) and spans (removed runs) per
     document; with ``digests`` n_bytes, n_removed, n_spans, kept_sha256."""
     rows, doc_id = keyed(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), "id", "suffix_loose")
@@ -435,7 +484,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     shared = stored(digits, "suffix_digits")
     marked = (rows.join(shared, "doc", "left").join(whole, "doc", "left")
               .select("doc", "text", "keys", F.coalesce("copy", F.lit(False)).alias("copy")))
-    spans = repeated_spans(marked.filter("keys is not null and not copy"), 2 * buckets)
+    marked = with_hot(marked.filter("keys is not null and not copy"), shared, 2 * buckets, hot)
+    spans = repeated_spans(marked, 2 * buckets)
     full = rows.join(spans, "doc", "left").join(whole, "doc", "left").withColumnRenamed("doc", "_sf_doc").select(
         doc_id.alias("doc_id"), "text", "spans", F.coalesce("copy", F.lit(False)).alias("copy"))
 

@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and
 clashing extra columns, for every operator and every stage."""
 
+import hashlib
 import html
 from itertools import permutations
 
@@ -99,6 +100,24 @@ def test_substrings_without_id(spark, top):
     assert have in loose_orders(rows, lambda r: {d: w[3] for d, w in brute.substrings(r).items()})
 
 
+def test_substrings_hot_digit(spark):
+    """A phrase with other neighbours in each document is not one group."""
+    phrase, n = "a phrase of thirty-nine bytes, all told", 400
+    noise = [hashlib.sha256(str(i % 390).encode()).hexdigest() for i in range(n)]        # ten documents are copies but for an end
+    rows = [(i, f"{s[:32]} {phrase} {s[32 - i % 3:]}{i}") for i, s in enumerate(noise)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {d: w[3] for d, w in brute.substrings(rows).items()}
+    assert {r.doc_id: bytes(r.kept) for r in suffix_dedup.dedup_substrings(df, hot=20).collect()} == want
+    docs = df.select(F.col("doc_id").alias("doc"), "text")
+    shared = suffix_dedup.repeated_digits(suffix_dedup.first_digits(docs, 4)).groupBy("doc").agg(F.collect_list("key").alias("keys"))
+    marked = docs.join(shared, "doc").withColumn("copy", F.lit(False))
+    sizes = []
+    for hot in (10 * n, 20):
+        got = suffix_dedup.contexts(suffix_dedup.with_hot(marked, shared, 4096, hot), 4096).filter("bucket >= 0")
+        sizes.append(max(r["count"] for r in got.groupBy("bucket", "h").count().collect()))
+    assert sizes[0] > n // 2 and sizes[1] <= 20
+
+
 def test_mixing(spark, docs, empty):
     rows = mixing.mix_report(docs).collect()
     assert len(rows) == len(ROWS)
