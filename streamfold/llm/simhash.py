@@ -23,7 +23,8 @@ Defined results: a null text counts as empty; a text without words has
 fingerprint zero and is linked like any other; rows that repeat a doc_id
 count each and share the component of the smallest id they reach; rows
 without an id link documents, and belong to a component without id when
-none in it has one; an empty table gives an empty result.
+none in it has one; near-dedup leaves one row of each component, also of
+rows that repeat an id or have none; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -72,14 +73,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp): fp is the fingerprint as a signed long."""
-    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                 *carry: str) -> DataFrame:
+    """(id, fp): fp is the fingerprint as a signed long; and the bigint
+    columns ``carry``."""
+    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"), *carry)
 
     def run(b: pa.RecordBatch):
         fp = np.array([fingerprint(t, shingle) for t in utf8(b.column(1))], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["id", "fp"])
-    return map_batches(rows, run, "id bigint, fp bigint")
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *b.columns[2:]], ["id", "fp", *carry])
+    return map_batches(rows, run, ", ".join(f"{c} bigint" for c in ("id", "fp", *carry)))
 
 
 class Tree:
@@ -212,8 +215,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                radius: int = RADIUS) -> DataFrame:
-    """One document of each component, the one with the smallest id; all
-    columns.  Rows without an id stay: they cannot be told apart."""
-    gone = (near_duplicates(docs, id_col, text_col, shingle, radius).filter("id != component")
-            .select(F.col("id").alias("_sf_id")).distinct())
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("_sf_id"), "left_anti")
+    """One row of each component, all columns: the one with the smallest
+    id, of rows that repeat it or have none any one.  The rows are stored
+    with a key of their own, so that equal ones can be told apart."""
+    cols = docs.columns
+    rows = stored(docs.withColumn("_sf_row", F.monotonically_increasing_id()), "simhash_rows")
+    prints = stored(fingerprints(rows, id_col, text_col, shingle, "_sf_row"), "simhash_row_prints")
+    nodes = stored(prints.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_sf_row")).alias("first")),
+                   "simhash_row_nodes")
+    comps = components(links(nodes.select("fp"), radius))
+    kept = (nodes.join(comps, nodes["fp"] == comps["node"], "left").groupBy(F.coalesce("component", "fp").alias("c"))
+            .agg(F.min("first").alias("first")).select(F.col("first._sf_row").alias("_sf_kept")))
+    return rows.join(kept, F.col("_sf_row") == F.col("_sf_kept"), "left_semi").select(*[F.col(f"`{c}`") for c in cols])
