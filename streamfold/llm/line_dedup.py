@@ -15,8 +15,8 @@ as a plain stored table, so that AQE can split a hot window.
 Defined results: a null text counts as empty (and stays null when nothing
 is removed); texts under three lines have no window and stay as they are;
 rows that repeat a doc_id count as one document; rows without an id come
-after all others, as one document, and lose what others have; an empty
-table gives an empty result; extra columns are carried unchanged.
+after all others, each as a document of its own; an empty table gives an
+empty result; extra columns are carried unchanged.
 """
 
 from __future__ import annotations
@@ -28,11 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import map_batches, stored
+from .common import keyed, map_batches, stored
 
 WINDOW = 3
 BLANK = " \t\r\x0b\x0c"
-LAST = (1 << 63) - 1            # order of rows without an id
 
 
 def windows(text: str | None) -> tuple[list[str], list[int], list[bytes]]:
@@ -64,10 +63,9 @@ def uncovered(text: str | None, elsewhere: set[bytes]) -> tuple[str | None, int,
     return "\n".join(s for s, d in zip(lines, drop) if not d), len(lines), int(drop.sum()), runs
 
 
-def window_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(h, doc): one row per distinct window of a document."""
-    rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(LAST)).alias("doc"),
-                       F.col(f"`{text_col}`").alias("text"))
+def window_rows(docs: DataFrame, text_col: str) -> DataFrame:
+    """(h, doc): one row per distinct window of a document (of ``keyed``)."""
+    rows = docs.select(F.col("_sf_doc").alias("doc"), F.col(f"`{text_col}`").alias("text"))
 
     def run(b: pa.RecordBatch):
         hs, ds = [], []
@@ -79,9 +77,9 @@ def window_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return map_batches(rows, run, "h binary, doc bigint")
 
 
-def later_windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def later_windows(docs: DataFrame, text_col: str) -> DataFrame:
     """(doc, hs): the windows of each document that an earlier one has."""
-    rows = window_rows(docs, id_col, text_col)
+    rows = window_rows(docs, text_col)
     shared = stored(rows.groupBy("h").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
                     .filter("first < last").select("h", "first"), "line_windows")
     return (rows.join(shared, "h").filter("doc > first")
@@ -92,10 +90,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 report: bool = False) -> DataFrame:
     """All columns with the covered lines gone from the text; with
     ``report`` the columns _sf_lines, _sf_removed and _sf_runs as well."""
-    later = later_windows(docs, id_col, text_col).withColumnRenamed("doc", "_sf_doc")
     cols = docs.columns
-    key = F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(LAST))
-    both = docs.join(later, key == F.col("_sf_doc"), "left").select(
+    rows, _ = keyed(docs, id_col, "line_loose")
+    later = later_windows(rows, text_col).withColumnRenamed("doc", "_sf_later")
+    both = rows.join(later, F.col("_sf_doc") == F.col("_sf_later"), "left").select(
         *[F.col(f"`{c}`") for c in cols], "_sf_hs")
     k = cols.index(text_col)
     fields = list(both.schema.fields[:-1])
