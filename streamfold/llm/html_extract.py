@@ -45,10 +45,18 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 OUT = frozenset("nav footer aside form menu dialog head header".split())
 OUT_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu".split())
+# Whole class tokens or ids, with a few compounds; "content-sidebar-wrap" is none of them.
 OUT_WORD = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banners?|promo\w*|sponsor\w*|menu|nav\w*|breadcrumbs?|sidebar|side|footer|header|masthead"
-    r"|comments?|disqus|replies|reply|notice|notices|cookies?|consent|gdpr|newsletter|subscribe|signup|popup|modal|overlay"
-    r"|share|sharing|social|related|recommended|widget|pagination|pager|login|toolbar|alert)(?:$|[\s_-])", re.I)
+    r"(?:^|\s)(?:ads?|advert\w*|banners?|promo\w*|sponsor\w*|menu|nav|navbar|navigation|breadcrumbs?|sidebar|side|footer|header"
+    r"|masthead|comments?|disqus|replies|reply|notice|notices|cookies?|consent|gdpr|newsletter|subscribe|signup|popup|modal"
+    r"|overlay|share|sharing|social|related|recommended|widget|pagination|pager|login|toolbar|alert"
+    r"|(?:site|page|main|global)[_-](?:header|footer|nav|navigation|menu|sidebar)|(?:top|left|right|side)[_-](?:nav|menu|bar|sidebar)"
+    r"|nav[_-](?:bar|menu|links)|(?:left|right|primary|secondary)[_-]?sidebar|sidebar[_-](?:left|right|primary|secondary)"
+    r"|(?:cookie|gdpr|consent)[_-](?:banner|notice|bar|consent|popup)|ad[_-](?:banner|box|container|slot|unit|wrapper)"
+    r"|(?:banner|google)[_-]ads?|(?:social|share|sharing)[_-](?:links|share|buttons|icons|bar)|related[_-](?:posts|articles|links|stories)"
+    r"|comments?[_-](?:list|area|section|form|body|wrapper)|newsletter[_-](?:signup|form|box)|skip[_-]link)(?=\s|$)", re.I)
+COMMENT = re.compile(r"(?:^|\s)(?:comments?|comment[_-](?:body|content)|(?:div-)?comment-\d+)(?=\s|$)", re.I)
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 ATTR = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 # What a start tag ends if it is still open.
 ENDED_BY = {"p": BLOCKS, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
@@ -56,7 +64,8 @@ ENDED_BY = {"p": BLOCKS, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]),
 
 
 def _kind(name: str, attrs: str, in_article: bool) -> str:
-    """'out', 'main' or '' for an element."""
+    """'out', 'main', 'named' (out by its class or id alone) or '' for an
+    element."""
     got = {}
     if attrs and ("=" in attrs or "hidden" in attrs):
         got = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in ATTR.finditer(attrs)}
@@ -68,42 +77,50 @@ def _kind(name: str, attrs: str, in_article: bool) -> str:
         return "out"
     if name in ("article", "main") or role == "main" or got.get("itemprop", "").lower() == "articlebody":
         named = f"{got.get('class', '')} {got.get('id', '')}"
-        return "out" if re.search(r"(?:^|[\s_-])comments?(?:$|[\s_-])", named, re.I) else "main"
+        return "out" if COMMENT.search(named) else "main"
     if name not in ("body", "html") and OUT_WORD.search(f"{got.get('class', '')} {got.get('id', '')}"):
-        return "out"
+        return "named"
     return ""
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """(text, length outside links, inside a marked article) of each block
-    of text that may belong to the article."""
-    lines, words, link = [], [], 0
-    stack: list[tuple[str, str]] = []
+    of text that may belong to the article.  An element that is out by name
+    alone stays when it holds, or is, a marked article or its heading: the
+    first h1 of the article or, without a marked one, of the page; else the
+    heading with which the article begins."""
+    held, words = [], []                                # words: (text, in a link, named elements around it)
+    stack: list[tuple[str, str, list[bool]]] = []       # [True] while an element is out by name
+    named: tuple = ()
+    first: dict[bool, tuple] = {}                       # named elements around the first h1, inside an article or not
+    opening: tuple | None = None                        # ... around the heading with which the article begins
     out = article = links = 0
 
     def flush() -> None:
-        nonlocal link
-        if words:
-            text = " ".join(_html.unescape("".join(words)).split())
-            if text:
-                lines.append((text, max(0, len(text) - text.count(" ") - link), article > 0))
-            words.clear()
-        link = 0
+        nonlocal opening
+        about = next((w[2] for w in words if w[0].strip()), None)
+        if about is not None:
+            tag = next((e[0] for e in reversed(stack) if e[0] in HEADING), "")
+            if tag == "h1":
+                first.setdefault(article > 0, about)
+            if article and opening is None:
+                opening = about if tag else ()
+            held.append((words.copy(), article > 0))
+        words.clear()
 
     def leave(k: int) -> None:
-        nonlocal out, article, links
-        for name, kind in stack[k:]:
+        nonlocal out, article, links, named
+        for name, kind, _ in stack[k:]:
             out -= kind == "out"
             article -= kind == "main"
             links -= name == "a"
+        if any(e[1] == "named" for e in stack[k:]):
+            named = tuple(e[2] for e in stack[:k] if e[1] == "named")
         del stack[k:]
 
     def say(text: str) -> None:
-        nonlocal link
         if text and not out:
-            words.append(text)
-            if links:
-                link += len("".join(_html.unescape(text).split()))
+            words.append((text, links > 0, named))
 
     at = 0
     for m in TOKEN.finditer(page):
@@ -127,12 +144,26 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         while stack and name in ENDED_BY.get(_open_block(stack), ()):
             leave(_last_block(stack))
         kind = _kind(name, m["attrs"] or m["attrs2"] or "", article > 0)
-        stack.append((name, kind))
+        if kind == "main" and not out:
+            for e in stack:
+                e[2][0] = False
+        stack.append((name, kind, [kind == "named"]))
+        if kind == "named":
+            named = (*named, stack[-1][2])
         out += kind == "out"
         article += kind == "main"
         links += name == "a"
     say(page[at:])
     flush()
+    for e in first.get(any(a for _, a in held), opening or ()):
+        e[0] = False
+    lines = []
+    for ws, inside in held:
+        ws = [w for w in ws if not any(e[0] for e in w[2])]
+        text = " ".join(_html.unescape("".join(w[0] for w in ws)).split())
+        if text:
+            link = sum(len("".join(_html.unescape(w[0]).split())) for w in ws if w[1])
+            lines.append((text, max(0, len(text) - text.count(" ") - link), inside))
     return lines
 
 
