@@ -5,12 +5,14 @@ length is its text outside links; lines inside elements that never hold
 the article (menus, headers, footers, sidebars, notices, adverts, forms,
 comments; by element, role, class or id) have no length.  Lengths are
 summed over sliding windows of ``WINDOW`` lines.  Text surges at a line
-that begins a window of at least ``SURGE`` characters, and dives where a
-window has none left; the lines between are the main text.
+that begins a window of at least ``SURGE`` characters (or, on a page with
+little text, half of its densest window), and dives where a window has none
+left; all lines between are the main text, those of links alone too.
 
 Where a page marks its article (``article``, ``main``, ``role=main``,
-``itemprop=articleBody``), every line outside it has no length, and any
-text inside it surges, so short paragraphs and headings stay whole.
+``itemprop=articleBody``), the tag takes the place of surge and dive: its
+lines are the main text, unless a run of lines outside has more text than
+it, as on a page with teasers in ``article``; then the marks say nothing.
 
 Defined results: null, empty or text-free html gives an empty text; html
 cut off anywhere is read to its end, unclosed elements end with their
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -176,23 +179,36 @@ def _open_block(stack) -> str:
     return stack[k][0] if k >= 0 else ""
 
 
-def main_lines(lines: list[tuple[str, int, bool]], window: int = WINDOW, surge: int = SURGE) -> list[str]:
-    """The lines between each surge and its dive."""
-    marked = any(a for *_, a in lines)
-    lengths = [0 if marked and not a else len(t) if marked else n for t, n, a in lines]
-    least = 1 if marked else surge
+def runs(lengths: list[int], window: int, surge: int) -> list[tuple[int, int]]:
+    """(start, end) of each surge and its dive; a page that is thin
+    throughout surges at half its densest window."""
     sums = [sum(lengths[i:i + window]) for i in range(len(lengths))]
-    kept, i = [], 0
-    while i < len(lines):
+    least = max(1, min(surge, max(sums, default=0) // 2))
+    out, i = [], 0
+    while i < len(lengths):
         if sums[i] >= least and lengths[i]:
             end = i
-            while end < len(lines) and (lengths[end] or sums[end] and not marked):
+            while end < len(lengths) and sums[end]:
                 end += 1
-            kept += [t for (t, *_), n in zip(lines[i:end], lengths[i:end]) if n]
+            out.append((i, end))
             i = end
         else:
             i += 1
-    return kept
+    return out
+
+
+def main_lines(lines: list[tuple[str, int, bool]], window: int = WINDOW, surge: int = SURGE) -> list[str]:
+    """The lines inside the marked article, unless a run of lines outside
+    has more text; else the lines between each surge and its dive."""
+    lengths = [n for _, n, _ in lines]
+    outside = [[n for _, n, _ in part] for marked, part in groupby(lines, key=lambda x: x[2]) if not marked]
+    rest = max((sum(part[a:z]) for part in outside for a, z in runs(part, window, surge)), default=0)
+    inside = [t for t, _, a in lines if a]
+    if inside and sum(map(len, inside)) >= rest:
+        return inside
+    if not any(lengths):                    # links alone: those of a paragraph's length
+        return [t for t, *_ in lines if len(t) >= surge]
+    return [t for a, z in runs(lengths, window, surge) for t, *_ in lines[a:z]]
 
 
 def main_text(page: str | None) -> str:
