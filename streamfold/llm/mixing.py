@@ -166,7 +166,7 @@ def apply(rows: DataFrame, plans: dict[str, Plan]) -> DataFrame:
     extra = F.exists("_sf_ranges", lambda r: (F.col("_sf_h") > r["lo"]) & (F.col("_sf_h") < r["hi"])
                      & F.col("_sf_size").between(1, r["most"]))
     return (rows.join(state, "_sf_key")
-            .withColumn("_sf_copies", F.col("_sf_copies") + extra.cast("long")).drop("_sf_ranges"))
+            .withColumn("_sf_copies", (F.col("_sf_copies") + extra.cast("long")) * (F.col("_sf_size") > 0).cast("long")).drop("_sf_ranges"))
 
 
 def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import functions as F
 
 from . import (exact_dedup, html_extract, language_id, line_dedup, mixing, sentencepiece_codec, simhash,
@@ -60,7 +59,7 @@ def op8_html_extraction(spark, sf_dir):
 
 
 def op9_url_filters(spark, sf_dir):
-    rules = mixing.local_table(spark, dict(zip(("host", "path", "verdict"), map(pa.array, zip(*URL_RULES)))))
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, URL_RULES))} AS rules(host, path, verdict)")
     return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url"), rules).drop("url")
 
 
