@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import (exact_dedup, html_extract, language_id, line_dedup, mixing, sentencepiece_codec, simhash,
-               suffix_dedup, topk, url_filter)
+from . import (automaton_dedup, exact_dedup, fill_middle, html_extract, language_id, line_dedup, mixing,
+               sentencepiece_codec, simhash, suffix_dedup, topk, url_filter)
 from .common import table
 
 # --- fixed values of the contracts ---
@@ -68,9 +68,17 @@ def op10_sentencepiece(spark, sf_dir):
                                       public_tokenizers.path(PIECE_MODEL), digests=True)
 
 
+def op11_substring_dedup(spark, sf_dir):
+    return automaton_dedup.dedup_passages(table(spark, sf_dir, "documents", "doc_id", "text"), digests=True)
+
+
+def op13_fill_in_middle(spark, sf_dir):
+    return fill_middle.fill_in_middle(table(spark, sf_dir, "documents", "doc_id", "text"), digests=True)
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_line_dedup, op3_suffix_dedup, op4_mixing, op5_language_id,
                                    op6_exact_top_k, op7_simhash, op8_html_extraction, op9_url_filters,
-                                   op10_sentencepiece)}
+                                   op10_sentencepiece, op11_substring_dedup, op13_fill_in_middle)}
 
 ORACLE_SQL = {}
 
@@ -143,3 +151,51 @@ ranked AS (
                WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)) AS best
   FROM u)
 SELECT page_id, host, path, best.r AS rule, coalesce(best.v, 'allow') AS verdict FROM ranked"""
+
+
+ORACLE_SQL["op11_substring_dedup"] = r"""
+WITH words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)),
+wins AS (
+  SELECT doc_id, pos, word, string_agg(word, ' ') OVER w AS win, count(*) OVER w AS n
+  FROM words WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+firsts AS (SELECT win, min(doc_id) AS first FROM wins WHERE n = 13 GROUP BY win),
+marked AS (
+  SELECT w.doc_id, pos, word, n = 13 AND first < w.doc_id AS later FROM wins w LEFT JOIN firsts f USING (win)),
+covered AS (
+  SELECT doc_id, pos, word, max(CAST(later AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY pos
+           ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) = 1 AS gone
+  FROM marked),
+per_doc AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone), '') AS kept
+  FROM covered GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN per_doc p USING (doc_id)"""
+
+ORACLE_SQL["op13_fill_in_middle"] = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tok,
+         sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+d AS (
+  SELECT doc_id, t, tok, len(tok) AS n,
+         CAST('0x' || h[1:8] AS BIGINT) % (len(tok) + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (len(tok) + 1) AS b,
+         CAST('0x' || h[17:24] AS BIGINT) % 100 AS c, CAST('0x' || h[25:32] AS BIGINT) % 100 AS s
+  FROM t),
+p AS (
+  SELECT doc_id, t, n, array_to_string(tok[:least(a, b)], '') AS pre,
+         array_to_string(tok[least(a, b) + 1:greatest(a, b)], '') AS mid,
+         array_to_string(tok[greatest(a, b) + 1:], '') AS suf,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 50 THEN 'plain'
+              WHEN s < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p"""
