@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import (automaton_dedup, exact_dedup, fill_middle, html_extract, language_id, line_dedup, mixing,
-               sentencepiece_codec, simhash, suffix_dedup, topk, url_filter)
+from . import (automaton_dedup, conversation_trie, exact_dedup, fill_middle, html_extract, language_id, line_dedup,
+               mixing, sentencepiece_codec, simhash, suffix_dedup, topk, url_filter)
 from .common import table
 
 # --- fixed values of the contracts ---
@@ -72,13 +72,18 @@ def op11_substring_dedup(spark, sf_dir):
     return automaton_dedup.dedup_passages(table(spark, sf_dir, "documents", "doc_id", "text"), digests=True)
 
 
+def op12_conversation_trie(spark, sf_dir):
+    return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"),
+                                               rebuild=conversation_trie.with_shared_heads)
+
+
 def op13_fill_in_middle(spark, sf_dir):
     return fill_middle.fill_in_middle(table(spark, sf_dir, "documents", "doc_id", "text"), digests=True)
 
 
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_line_dedup, op3_suffix_dedup, op4_mixing, op5_language_id,
                                    op6_exact_top_k, op7_simhash, op8_html_extraction, op9_url_filters,
-                                   op10_sentencepiece, op11_substring_dedup, op13_fill_in_middle)}
+                                   op10_sentencepiece, op11_substring_dedup, op12_conversation_trie, op13_fill_in_middle)}
 
 ORACLE_SQL = {}
 
@@ -175,6 +180,46 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_re
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents d LEFT JOIN per_doc p USING (doc_id)"""
 
+ORACLE_SQL["op12_conversation_trie"] = """
+WITH RECURSIVE tab(i, k, v) AS (
+  SELECT i, 0, i FROM (SELECT unnest(range(256)) AS i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM tab WHERE k < 8),
+crc_table AS (SELECT list(v ORDER BY i) AS crcs FROM tab WHERE k = 8),
+turns AS (
+  SELECT conv_id, said, chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, said) AS pos
+  FROM (SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+               sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS said
+        FROM conversations WHERE conv_id IS NOT NULL)),
+heads AS (
+  SELECT conv_id, xor(list_reduce(list_prepend(4294967295, list_transform(
+           string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+           lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), crc_table),
+rebuilt AS (
+  SELECT h.conv_id, t.said, t.chars, 0 AS part, t.pos FROM heads h JOIN turns t ON t.conv_id = h.conv_id - h.conv_id % 100 AND pos <= h
+  UNION ALL SELECT h.conv_id, t.said, t.chars, 1, t.pos FROM heads h JOIN turns t USING (conv_id) WHERE pos > h),
+paths AS (
+  SELECT conv_id, chars, row_number() OVER w AS depth, sha256(string_agg(said, '') OVER w) AS k FROM rebuilt
+  WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM heads),
+steps AS (
+  SELECT *, lag(k) OVER (PARTITION BY conv_id ORDER BY depth) AS up,
+         depth = max(depth) OVER (PARTITION BY conv_id) AS ending FROM paths),
+nodes AS (
+  SELECT k, any_value(up) AS up, any_value(depth) AS depth, any_value(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ending), '')) AS ends_sha256
+  FROM steps GROUP BY k),
+kids AS (SELECT up AS k, count(*) AS n_children FROM nodes GROUP BY up),
+full_nodes AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * chars AS saved FROM nodes n LEFT JOIN kids USING (k)),
+sums AS (
+  SELECT p.k, count(*) FILTER (n.n_children = 0) AS n_leaves, sum(n.saved) AS saved_tokens
+  FROM full_nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY p.k)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sums s USING (k) LEFT JOIN nodes u ON u.k = n.up"""
+
 ORACLE_SQL["op13_fill_in_middle"] = r"""
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS t,
