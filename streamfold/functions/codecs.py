@@ -37,6 +37,17 @@ def decode_json(col, schema: StructType | str) -> Column:
                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **JSON_OPTIONS})
 
 
+REASON_EMPTY = "no value"
+REASON_TYPE = "not of the declared type"
+
+
+def record_reason(raw, decoded) -> Column:
+    """COD-05/COD-06: why a record is set aside, or NULL: it has no value, or
+    ``decoded`` (of ``decode_json``) is corrupt."""
+    return (F.when(_c(raw).isNull(), F.lit(REASON_EMPTY))
+            .when(_c(decoded).getField(CORRUPT).isNotNull(), F.lit(REASON_TYPE)))
+
+
 # --- fixed values -----------------------------------------------------------
 # Zero value per simple type, used where a missing JSON field must read as
 # the zero value rather than NULL (Q21).

@@ -10,7 +10,7 @@ reduced map-side, and the pair key spreads one user's pairs over tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codecs import split_rejects
@@ -22,6 +22,35 @@ REASON_ACTION = "unknown action"
 # ---------------------------------------------------------------------------
 
 
+def event_reason(value_col: str = "value"):
+    """Why a block event is malformed, or NULL."""
+    parts = F.split(F.col(value_col), ":", -1)
+    return (F.when(F.col(value_col).isNull() | (F.size(parts) != 3), F.lit(REASON_FORMAT))
+            .when(~parts.getItem(0).isin(*ACTIONS), F.lit(REASON_ACTION)))
+
+
+def tag_block_events(events: DataFrame) -> DataFrame:
+    """Every event with its reason (NULL: valid) and, where valid, its parts:
+    what ``parse_block_events`` gives as two tables, in one."""
+    p = F.split("value", ":", -1)
+    part = [F.when(F.col("reason").isNull(), F.get(p, F.lit(i))) for i in range(3)]
+    return events.withColumn("reason", event_reason()).select(
+        "key", "value", "offset", "reason", F.when(F.col("reason").isNull(), F.col("key")).alias("user_id"),
+        part[0].alias("action"), part[1].alias("blocker_id"), part[2].alias("blocked_id"))
+
+
+def set_changes(parsed: DataFrame) -> DataFrame:
+    """AGG-04 as a log: the events that alter their user's set of blocked
+    ids (a block of an id that is blocked already, and an unblock of one that
+    is not, alter nothing), as ``user_id, blocked_id, offset, change``.  An
+    id's events are few; a user's many are spread by pair."""
+    w = Window.partitionBy("user_id", "blocked_id").orderBy("offset")
+    before = F.coalesce(F.lag("action").over(w), F.lit("unblock"))
+    return (parsed.withColumn("_sf_before", before).filter(F.col("action") != F.col("_sf_before"))
+            .select("user_id", "blocked_id", "offset",
+                    F.when(F.col("action") == "block", F.lit("added")).otherwise(F.lit("removed")).alias("change")))
+
+
 def parse_block_events(events: DataFrame, key_col: str = "key", value_col: str = "value",
                        offset_col: str = "offset", extra: tuple[str, ...] = ()
                        ) -> tuple[DataFrame, DataFrame]:
@@ -31,10 +60,7 @@ def parse_block_events(events: DataFrame, key_col: str = "key", value_col: str =
     The state key is the record key (Q10); ``blocker_id`` from the text is
     kept so that mismatches can be flagged.
     """
-    parts = F.split(F.col(value_col), ":", -1)
-    reason = (F.when(F.col(value_col).isNull() | (F.size(parts) != 3), F.lit(REASON_FORMAT))
-              .when(~parts.getItem(0).isin(*ACTIONS), F.lit(REASON_ACTION)))
-    good, bad = split_rejects(events, reason, keep=[key_col, value_col, offset_col])
+    good, bad = split_rejects(events, event_reason(value_col), keep=[key_col, value_col, offset_col])
     p = F.split(F.col(value_col), ":", -1)
     good = good.select(F.col(key_col).alias("user_id"), p.getItem(0).alias("action"),
                        p.getItem(1).alias("blocker_id"), p.getItem(2).alias("blocked_id"),

@@ -54,19 +54,31 @@ REASON_TOMBSTONE = "tombstone"
 REASON_GARBAGE = "not a change record"
 
 
+def change_reason(value: str, table: str = "table", op: str = "op"):
+    """Why a record is no change, or NULL."""
+    return (F.when(F.col(value).isNull(), F.lit(REASON_TOMBSTONE))
+            .when(F.col(table).isNull() | F.col(op).isNull(), F.lit(REASON_GARBAGE)))
+
+
+def change_rejects(records: DataFrame, include: list[str] | None = None, topic_prefix: str = "pg") -> DataFrame:
+    """COD-05: records without a value (tombstones) and values that do not
+    decode to a change with a table and an operation; they keep topic,
+    partition, offset, the raw value and a reason.  Only the two fields that
+    decide are decoded."""
+    if include:
+        records = records.filter(F.col("topic").isin(*[f"{topic_prefix}.{t}" for t in include]))
+    e = decode_json("value", "op STRING, source STRUCT<table: STRING>")
+    d = records.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"), e.alias("e")).select(
+        "*", F.col("e.source.table").alias("table"), F.col("e.op").alias("op"))
+    return d.withColumn("reason", change_reason("value")).filter("reason is not null").drop("e", "table", "op")
+
+
 def split_changes(records: DataFrame, include: list[str] | None = None,
                   topic_prefix: str = "pg") -> tuple[DataFrame, DataFrame]:
-    """COD-05: (decoded changes, rejects).  Rejects are records without a
-    value (tombstones) and values that do not decode to a change with a
-    table and an operation; they keep topic, partition, offset, the raw
-    value and a reason."""
-    decoded = decode_changes(records, include, topic_prefix, raw=True)
-    reason = (F.when(F.col("raw").isNull(), F.lit(REASON_TOMBSTONE))
-              .when(F.col("table").isNull() | F.col("op").isNull(), F.lit(REASON_GARBAGE)))
-    tagged = decoded.withColumn("reason", reason)
-    rejects = tagged.filter("reason is not null").select(
-        "topic", "partition", "offset", F.col("raw").cast("string").alias("value"), "reason")
-    return tagged.filter("reason is null").drop("raw", "reason"), rejects
+    """COD-05: (decoded changes, rejects)."""
+    decoded = decode_changes(records, include, topic_prefix, raw=True).withColumn("reason", change_reason("raw"))
+    return (decoded.filter("reason is null").drop("raw", "reason"),
+            change_rejects(records, include, topic_prefix))
 
 
 def _n_changes():
@@ -82,10 +94,16 @@ def image(col: str):
     return F.when(c.isNull() | F.is_variant_null(c), F.lit(None)).otherwise(c)
 
 
+def current_image():
+    """The image after the change, or the one before a delete."""
+    return F.coalesce(image("after"), image("before"))
+
+
 MICROS_TIMESTAMP = "timestamp_micros"
 
 
-def _field(img, name: str, typ: str):
+def field(img, name: str, typ: str):
+    """One typed field of a row image."""
     if typ == MICROS_TIMESTAMP:
         # Row timestamps without zone travel as microseconds of wall-clock
         # time; read them back as that wall clock.
@@ -98,10 +116,10 @@ def typed_projection(decoded: DataFrame, fields: dict[str, str]) -> DataFrame:
     """CDC-02: typed columns from the current image (``after``, or
     ``before`` for deletes).  ``fields`` maps column name to SQL type, or
     to ``timestamp_micros`` for a microsecond wall clock (TIMESTAMP_NTZ)."""
-    img = F.coalesce(image("after"), image("before"))
+    img = current_image()
     return decoded.select(
         "table", "op", "lsn", "key_id",
-        *[_field(img, name, typ).alias(name) for name, typ in fields.items()])
+        *[field(img, name, typ).alias(name) for name, typ in fields.items()])
 
 
 def route(decoded: DataFrame, table: str) -> DataFrame:

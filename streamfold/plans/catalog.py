@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.codecs import CORRUPT, string_codec
+from ..functions.codecs import CORRUPT, decode_json, record_reason, split_rejects, string_codec
 from ..functions.text import LETTER_RUN
 from ..functions.timefmt import utc_wall_clock
 from ..operators import (batching, blocklist, cdc, censor, dictionary, ingest, joins,
@@ -105,6 +105,12 @@ def q_block_event_rejects(spark, sf_dir):
     return bad.select("key", "value", F.col("offset").alias("event_offset"), "reason")
 
 
+def q_block_changes(spark, sf_dir):
+    """AGG-04: the events that alter a user's set of blocked ids."""
+    good, _ = parsed_block_events(spark, sf_dir)
+    return blocklist.set_changes(good).withColumnRenamed("offset", "event_offset")
+
+
 def q_user_block_lookup(spark, sf_dir):
     """JOIN-06: every customer's block list."""
     good, _ = parsed_block_events(spark, sf_dir)
@@ -140,6 +146,15 @@ def q_json_round_trip(spark, sf_dir):
             .withColumn("is_corrupt", F.col(CORRUPT).isNotNull()).drop(CORRUPT))
 
 
+def q_record_rejects(spark, sf_dir):
+    """COD-05, COD-06: event records without a value, without JSON, or with
+    a field of another type than declared."""
+    rec = fixtures.mistyped(fixtures.kafka_records(spark, sf_dir))
+    d = rec.select(F.col("partition").alias("topic_partition"), F.col("offset").alias("record_offset"),
+                   string_codec("value").alias("value"), decode_json("value", EVENT_SCHEMA_DDL).alias("v"))
+    return split_rejects(d, record_reason("value", "v"), ["topic_partition", "record_offset", "value"])[1]
+
+
 def q_order_records(spark, sf_dir):
     """SNK-01, SNK-02, COD-02: orders as sink records, once keyed by user and
     once without a key."""
@@ -264,7 +279,13 @@ def q_cdc_op_counts(spark, sf_dir):
 
 def q_cdc_rejects(spark, sf_dir):
     """COD-05: tombstones and garbage among the change records."""
-    return cdc.split_changes(fixtures.cdc_records_with_rejects(spark, sf_dir), list(CDC_TABLES))[1]
+    return cdc.change_rejects(fixtures.cdc_records_with_rejects(spark, sf_dir), list(CDC_TABLES))
+
+
+def q_cdc_accepted_state(spark, sf_dir):
+    """COD-05, CDC-06: the table state from what is left without the rejects."""
+    good, _ = cdc.split_changes(fixtures.cdc_records_with_rejects(spark, sf_dir), list(CDC_TABLES))
+    return cdc.current_state(good, CDC_FIELDS)
 
 
 def q_cdc_current_state(spark, sf_dir):
@@ -353,11 +374,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bad_word_lookup": q_bad_word_lookup,
     "block_list": q_block_list,
     "block_event_rejects": q_block_event_rejects,
+    "block_changes": q_block_changes,
     "user_block_lookup": q_user_block_lookup,
     "ingest_messages": q_ingest_messages,
     "ingest_block_requests": q_ingest_block_requests,
     "ingest_bad_words": q_ingest_bad_words,
     "json_round_trip": q_json_round_trip,
+    "record_rejects": q_record_rejects,
     "order_records": q_order_records,
     "record_headers": q_record_headers,
     "square_values": q_square_values,
@@ -375,6 +398,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cdc_decode": q_cdc_decode,
     "cdc_op_counts": q_cdc_op_counts,
     "cdc_rejects": q_cdc_rejects,
+    "cdc_accepted_state": q_cdc_accepted_state,
     "cdc_current_state": q_cdc_current_state,
     "cdc_delay": q_cdc_delay,
     "cdc_users": q_cdc_users,

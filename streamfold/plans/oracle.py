@@ -110,6 +110,12 @@ SELECT key, value, ev_offset AS event_offset,
 FROM bp WHERE NOT (len(p) = 3 AND p[1] IN ('block', 'unblock'))
 """
 
+BLOCK_CHANGES = "WITH " + BLOCKS + """,
+c AS (SELECT *, lag(action, 1, 'unblock') OVER (PARTITION BY user_id, blocked_id ORDER BY ev_offset) AS before FROM valid)
+SELECT user_id, blocked_id, ev_offset AS event_offset, CASE action WHEN 'block' THEN 'added' ELSE 'removed' END AS change
+FROM c WHERE action <> before
+"""
+
 USER_BLOCK_LOOKUP = "WITH " + BLOCKS + """,
 req AS (SELECT CAST(c_custkey AS VARCHAR) AS user_id FROM customer)
 SELECT r.user_id, b.blocked_id, CASE WHEN b.user_id IS NULL THEN 'not_found' ELSE 'found' END AS status
@@ -181,6 +187,14 @@ SELECT CAST(user_id AS VARCHAR) AS record_key, CAST(user_id % 3 AS INTEGER) AS t
 FROM events
 """
 
+RECORD_REJECTS = """
+SELECT CAST(user_id % 3 AS INTEGER) AS topic_partition, event_id AS record_offset,
+       CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 89 = 0 THEN 'no json'
+            WHEN event_id % 83 = 0 THEN '{"event_id":"seven","user_id":1}' ELSE 'null' END AS value,
+       CASE WHEN event_id % 97 = 0 THEN 'no value' ELSE 'not of the declared type' END AS reason
+FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0 OR event_id % 79 = 0
+"""
+
 ORDER_RECORDS = """
 WITH v AS (SELECT CAST(o_custkey AS VARCHAR) AS u, '{"user_id":' || o_custkey || ',"order_id":' || o_orderkey
            || ',"order_amount":' || CAST(floor(o_totalprice) AS BIGINT) || '}' AS value FROM orders)
@@ -305,6 +319,18 @@ SELECT 'pg.public.' || CASE WHEN event_id % 500 % 2 = 0 THEN 'users' ELSE 'order
 FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0
 """
 
+CDC_ACCEPTED_STATE = "WITH " + CDC + """,
+l AS (SELECT "table", key_id, arg_max(op, lsn) AS op, max(lsn) AS lsn,
+             arg_max(id, lsn) AS id, arg_max(value, lsn) AS value
+      FROM c WHERE lsn % 97 <> 0 AND lsn % 89 <> 0 GROUP BY 1, 2)
+SELECT "table", key_id, lsn, id, value FROM l WHERE op <> 'd'
+"""
+
+DELIVERY_COUNTS = """
+SELECT CASE WHEN event_id % 97 = 0 OR event_id % 89 = 0 THEN 'rejected' ELSE 'good' END AS output, count(*) AS n_records
+FROM events GROUP BY 1
+"""
+
 CDC_CURRENT_STATE = "WITH " + CDC + """,
 l AS (SELECT "table", key_id, arg_max(op, lsn) AS op, max(lsn) AS lsn,
              arg_max(id, lsn) AS id, arg_max(value, lsn) AS value
@@ -422,6 +448,9 @@ FROM rate
     }
 
 
+# SQL of stream queries that have no batch query of their own.
+STREAM_SQL = {"delivery_counts": DELIVERY_COUNTS}
+
 ORACLE_SQL: dict[str, str] = {
     "censor_messages": CENSOR,
     "censor_messages_large_dictionary": CENSOR,
@@ -432,11 +461,13 @@ ORACLE_SQL: dict[str, str] = {
     "bad_word_lookup": BAD_WORD_LOOKUP,
     "block_list": BLOCK_LIST,
     "block_event_rejects": BLOCK_EVENT_REJECTS,
+    "block_changes": BLOCK_CHANGES,
     "user_block_lookup": USER_BLOCK_LOOKUP,
     "ingest_messages": INGEST_MESSAGES,
     "ingest_block_requests": INGEST_BLOCK_REQUESTS,
     "ingest_bad_words": INGEST_BAD_WORDS,
     "json_round_trip": JSON_ROUND_TRIP,
+    "record_rejects": RECORD_REJECTS,
     "order_records": ORDER_RECORDS,
     "record_headers": RECORD_HEADERS,
     "square_values": SQUARE_VALUES,
@@ -454,6 +485,7 @@ ORACLE_SQL: dict[str, str] = {
     "cdc_decode": CDC_DECODE,
     "cdc_op_counts": CDC_OP_COUNTS,
     "cdc_rejects": CDC_REJECTS,
+    "cdc_accepted_state": CDC_ACCEPTED_STATE,
     "cdc_current_state": CDC_CURRENT_STATE,
     "cdc_delay": CDC_DELAY,
     "cdc_users": CDC_USERS,

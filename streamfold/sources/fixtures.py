@@ -83,7 +83,10 @@ def block_events_from(e: DataFrame) -> DataFrame:
 
 def timed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``view`` events as messages with a send time, for the as-of replay."""
-    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    return timed_messages_from(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type"))
+
+
+def timed_messages_from(e: DataFrame) -> DataFrame:
     return (e.filter(F.col("event_type") == "view")
              .select(F.col("event_id").alias("id"),
                      (F.col("event_id") % 7).cast("string").alias("from_user_id"),
@@ -183,9 +186,22 @@ def cdc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_records_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``cdc_records`` in which some values are gone (tombstones) or no JSON."""
+    return spoiled(cdc_records(spark, sf_dir))
+
+
+def spoiled(records: DataFrame) -> DataFrame:
+    """``records`` in which some values are gone (tombstones) or no JSON."""
     value = (F.when(F.col("offset") % 97 == 0, F.lit(None))
              .when(F.col("offset") % 89 == 0, F.lit("no json").cast("binary")).otherwise(F.col("value")))
-    return cdc_records(spark, sf_dir).withColumn("value", value)
+    return records.withColumn("value", value)
+
+
+def mistyped(records: DataFrame) -> DataFrame:
+    """``spoiled`` records of which some more hold a field of the wrong type
+    or ``null`` instead of an object."""
+    value = (F.when(F.col("offset") % 83 == 0, F.lit('{"event_id":"seven","user_id":1}').cast("binary"))
+             .when(F.col("offset") % 79 == 0, F.lit("null").cast("binary")).otherwise(F.col("value")))
+    return spoiled(records.withColumn("value", value))
 
 
 def cdc_records_from(e: DataFrame) -> DataFrame:
@@ -250,17 +266,22 @@ def _user(domain: Column) -> dict[str, Column]:
             "created_us": F.lit(USERS_FROM_US) + F.col("c_custkey") * 1_000_000}
 
 
+def user_change_records(customers: DataFrame) -> DataFrame:
+    """Change records of ``users`` with full row images."""
+    c = _with_ops(customers.select("c_custkey", "c_name"), "c_custkey", 3, 5)
+    u = _user(F.when(F.col("op") == "c", F.lit("example.com")).otherwise(F.lit("example.org")))
+    return _change_records(
+        c, F.lit("users"), F.col("c_custkey"), F.col("op"),
+        F.struct(u["created_us"].alias("created_at"), u["email"].alias("email"), u["id"].alias("id"),
+                 u["name"].alias("name")), F.col("lsn"), u["created_us"], F.lit(1000).cast("bigint"))
+
+
 def row_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change records with full row images: ``customer`` as ``users``,
     ``orders`` as ``orders``, and ``part`` as ``products``, a table that
     consumers leave out (FLT-05)."""
     delay = F.lit(1000).cast("bigint")
-    c = _with_ops(read_table(spark, sf_dir, "customer", "c_custkey", "c_name"), "c_custkey", 3, 5)
-    u = _user(F.when(F.col("op") == "c", F.lit("example.com")).otherwise(F.lit("example.org")))
-    users = _change_records(
-        c, F.lit("users"), F.col("c_custkey"), F.col("op"),
-        F.struct(u["created_us"].alias("created_at"), u["email"].alias("email"), u["id"].alias("id"),
-                 u["name"].alias("name")), F.col("lsn"), u["created_us"], delay)
+    users = user_change_records(read_table(spark, sf_dir, "customer", "c_custkey", "c_name"))
     o = _with_ops(read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),
                   "o_orderkey", 4)
     date_us = epoch_micros("o_orderdate")

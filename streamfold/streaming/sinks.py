@@ -47,50 +47,22 @@ def run_each(queries: dict[str, Callable[[], None]]) -> dict[str, BaseException]
     return {name: f.exception() for name, f in running.items() if f.exception() is not None}
 
 
-class DeliveryCounter:
-    """SNK-03 / AGG-08: counts rows that streaming queries have processed,
-    from their progress events (``numInputRows``), without touching data.
-
-    ``spark.streams.addListener(counter.listener())``.
-    """
-
-    def __init__(self) -> None:
-        self.rows: dict[str, int] = {}
-
-    def listener(self):
-        from pyspark.sql.streaming import StreamingQueryListener
-        counter = self
-
-        class _L(StreamingQueryListener):
-            def onQueryStarted(self, event):
-                pass
-
-            def onQueryProgress(self, event):
-                p = event.progress
-                key = p.name or str(p.id)
-                counter.rows[key] = counter.rows.get(key, 0) + int(p.numInputRows)
-
-            def onQueryIdle(self, event):
-                pass
-
-            def onQueryTerminated(self, event):
-                pass
-
-        return _L()
+def batch_folder(path: str, batch_id: int) -> str:
+    return f"{path}/batch={batch_id:012d}"
 
 
 def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     """SNK-08/SNK-10: write each micro-batch to ``path/batch=<id>``
     (overwrite: a replayed batch replaces its own output)."""
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+        df.write.mode("overwrite").parquet(batch_folder(path, batch_id))
     return write
 
 
-def _missing(e: AnalysisException) -> bool:
+def missing_path(e: Exception) -> bool:
     """Whether the path does not exist; anything else must not read as an
     empty table."""
-    return e.getCondition() == "PATH_NOT_FOUND"
+    return isinstance(e, AnalysisException) and e.getCondition() == "PATH_NOT_FOUND"
 
 
 def read_batches(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
@@ -100,6 +72,6 @@ def read_batches(spark: SparkSession, path: str, schema: str, before: int | None
         got = spark.read.schema(f"{schema}, batch bigint").parquet(path)
         return (got if before is None else got.filter(F.col("batch") < before)).drop("batch")
     except AnalysisException as e:
-        if not _missing(e):
+        if not missing_path(e):
             raise
         return spark.createDataFrame([], schema)

@@ -32,6 +32,18 @@ def read_state(spark: SparkSession, checkpoint: str) -> DataFrame | None:
         return None
 
 
+def read_variable(spark: SparkSession, checkpoint: str, variable: str) -> DataFrame | None:
+    """Key and value of a processor's state variable (of a map state one row
+    per entry, with ``user_map_key`` and ``user_map_value``), as of the last
+    committed micro-batch; None when it has not committed any."""
+    try:
+        return spark.read.format("statestore").option("stateVarName", variable).load(checkpoint)
+    except PySparkException as e:
+        if e.getCondition() != "STDS_COMMITTED_BATCH_UNAVAILABLE":
+            raise
+        return None
+
+
 def read_latest(spark: SparkSession, checkpoint: str, schema: str) -> DataFrame:
     """The table of a ``latest_stream`` query; ``schema`` names its columns,
     keys first, and is the schema of an empty table."""

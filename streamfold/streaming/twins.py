@@ -15,12 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_word
-from ..functions.timefmt import utc_wall_clock
+from ..functions import codecs
+from ..functions.codecs import decode_json
+from ..functions.timefmt import utc_instant, utc_wall_clock
 from ..operators import batching, blocklist, cdc, censor, dictionary, metrics
-from ..plans.catalog import header_rows
+from ..plans.catalog import EVENT_SCHEMA_DDL, USER_FIELDS, header_rows
 from ..session import scratch_path
 from ..sources import fixtures
 from ..sources.kafka import read_record_stream
+from . import outputs, processors
 from .sinks import batch_writer, read_batches, run_to_end
 from .sources import table_stream
 from .state import latest_stream, read_latest, read_state
@@ -199,6 +202,150 @@ def q_stream_record_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
+# ---- good records and rejects of one stream (COD-05, COD-06) -------------------
+
+CDC_GOOD = "table string, op string, lsn bigint, key_id bigint, id int, value double"
+CDC_REJECT = "topic string, partition int, offset bigint, raw string, reason string"
+BLOCK_GOOD = "user_id string, blocked_id string, offset bigint, last_action string"
+BLOCK_REJECT = "key string, value string, offset bigint, reason string"
+RECORD_REJECT = "partition int, offset bigint, raw string, reason string"
+
+
+def tagged_changes(records: DataFrame) -> DataFrame:
+    """Change records, decoded once, with the columns of both outputs."""
+    decoded = cdc.decode_changes(records, list(CDC_TABLES), raw=True)
+    rejected = outputs.tagged(decoded, cdc.change_reason("raw"))
+    img = cdc.current_image()
+    return rejected.select(
+        "table", "op", "lsn", "key_id", *[cdc.field(img, n, t).alias(n) for n, t in CDC_FIELDS.items()],
+        "topic", "partition", "offset", F.when(F.col("reason").isNotNull(), F.col("raw").cast("string")).alias("raw"),
+        "reason", outputs.OUTPUT)
+
+
+def split_changes(spark: SparkSession, sf_dir: str, root: str, name: str | None = None) -> str:
+    """Stream the change records, some of them broken, to good changes and
+    rejects; returns the folder of both."""
+    rec = fixtures.spoiled(fixtures.cdc_records_from(table_stream(spark, sf_dir, "events")))
+    outputs.run_split(tagged_changes(rec), f"{root}/ckpt", f"{root}/out", name)
+    return f"{root}/out"
+
+
+def q_stream_cdc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """COD-05: twin of ``cdc_rejects``: what is no change is set aside and
+    the stream goes on; the good changes lie beside (``stream_cdc_accepted``)."""
+    path = split_changes(spark, sf_dir, scratch_path(spark, "stream_cdc_rejects"))
+    return outputs.read_output(spark, path, outputs.REJECTED, CDC_REJECT).withColumnRenamed("raw", "value")
+
+
+def q_stream_cdc_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """COD-05, CDC-02, STR-02: the table state folded from the good output of
+    the split, which is the input of the next query."""
+    root = scratch_path(spark, "stream_cdc_accepted")
+    good = outputs.stream_output(spark, split_changes(spark, sf_dir, f"{root}/split"), outputs.GOOD, CDC_GOOD)
+    run_to_end(latest_stream(good, ["table", "key_id"], "lsn", ["op", *CDC_FIELDS]), f"{root}/ckpt", output_mode="update")
+    st = read_latest(spark, f"{root}/ckpt", CDC_STATE)
+    return st.filter(F.col("op") != "d").select("table", "key_id", "lsn", *CDC_FIELDS)
+
+
+def q_stream_block_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """COD-05, COD-06: twin of ``block_event_rejects``; the pair table is
+    folded from the good output."""
+    root = scratch_path(spark, "stream_block_rejects")
+    split_block_events(spark, table_stream(spark, sf_dir, "events"), root)
+    return outputs.read_output(spark, f"{root}/out", outputs.REJECTED, BLOCK_REJECT).withColumnRenamed("offset", "event_offset")
+
+
+def split_block_events(spark: SparkSession, events: DataFrame, root: str) -> None:
+    """Block events to rejects and good events, and from these the pair
+    table in the state at ``root/ckpt_pairs``."""
+    parts = blocklist.tag_block_events(fixtures.block_events_from(events))
+    both = outputs.tagged(parts, F.col("reason")).withColumnRenamed("action", "last_action")
+    outputs.run_split(both.drop("blocker_id"), f"{root}/ckpt", f"{root}/out")
+    good = outputs.stream_output(spark, f"{root}/out", outputs.GOOD, BLOCK_GOOD)
+    run_to_end(latest_stream(good, ["user_id", "blocked_id"], "offset", ["last_action"]), f"{root}/ckpt_pairs", output_mode="update")
+
+
+def tagged_records(records: DataFrame) -> DataFrame:
+    """Event records, decoded once; a value that is missing, no JSON, null or
+    of another type than the schema is a reject."""
+    d = records.select("partition", "offset", F.col("value").cast("string").alias("raw"), decode_json("value", EVENT_SCHEMA_DDL).alias("v"))
+    reason = codecs.record_reason("raw", "v")
+    return outputs.tagged(d, reason).withColumn("raw", F.when(F.col("reason").isNotNull(), F.col("raw")))
+
+
+def q_stream_record_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """COD-06, SRC-08: twin of ``record_rejects``."""
+    root = scratch_path(spark, "stream_record_rejects")
+    rec = fixtures.mistyped(fixtures.kafka_records_from(table_stream(spark, sf_dir, "events")))
+    outputs.run_split(tagged_records(rec), f"{root}/ckpt", f"{root}/out")
+    got = outputs.read_output(spark, f"{root}/out", outputs.REJECTED, RECORD_REJECT)
+    return got.select(F.col("partition").alias("topic_partition"), F.col("offset").alias("record_offset"),
+                      F.col("raw").alias("value"), "reason")
+
+
+def q_stream_delivery_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-03, AGG-08: rows delivered to each output of the split, as Spark
+    observed them while they were written."""
+    root = scratch_path(spark, "stream_delivery_counts")
+    with outputs.DeliveryCounter(spark) as counter:
+        split_changes(spark, sf_dir, root, name="delivery_counts")
+    n = counter.counts()
+    return spark.createDataFrame([(o, n.get(("delivery_counts", o), 0)) for o in (outputs.GOOD, outputs.REJECTED)],
+                                 "output string, n_records bigint")
+
+
+# ---- tables by state variables -----------------------------------------------------
+
+def q_stream_cdc_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-11, CDC-06: twin of ``cdc_snapshot_state``: the users' snapshot is
+    the initial state, and the changes captured after it stream in."""
+    ckpt = scratch_path(spark, "stream_cdc_snapshot")
+    snapshot = fixtures.users_snapshot(spark, sf_dir).withColumns({"op": F.lit("r"), "lsn": F.lit(0).cast("bigint")})
+    records = fixtures.user_change_records(table_stream(spark, sf_dir, "customer"))
+    changes = cdc.typed_projection(cdc.decode_changes(records, include=["public.users"]), USER_FIELDS).filter("op <> 'c'")
+    run_to_end(processors.latest_from_snapshot(snapshot, changes, ["table", "key_id"], "lsn"), ckpt, output_mode="update")
+    st = processors.read_snapshot_table(spark, ckpt, snapshot, changes.columns)
+    return st.filter("op <> 'd'").select("table", "key_id", "lsn", *USER_FIELDS)
+
+
+def q_stream_block_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-04, STR-03: twin of ``block_changes``: each event that alters a
+    user's set, which is a map state of one entry per blocked id."""
+    root = scratch_path(spark, "stream_block_changes")
+    good, _ = blocklist.parse_block_events(fixtures.block_events_from(table_stream(spark, sf_dir, "events")))
+    run_to_end(processors.block_changes(good), f"{root}/ckpt", path=f"{root}/out")
+    return spark.read.schema(processors.CHANGE_OUTPUT).parquet(f"{root}/out").withColumnRenamed("offset", "event_offset")
+
+
+REPLAY_DELAY = "40 days"        # how far out of order the log's files may come
+
+
+def q_stream_replay_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOIN-04, STR-05: twin of ``censor_replay_asof``: messages wait in event
+    time and are judged by the blocks of their own time, in whatever order
+    the files come."""
+    root = scratch_path(spark, "stream_replay_asof")
+    return replayed(spark, table_stream(spark, sf_dir, "events"), root, REPLAY_DELAY)
+
+
+def replayed(spark: SparkSession, events: DataFrame, root: str, delay: str) -> DataFrame:
+    """The replay over a log that ends: its events, then a heartbeat."""
+    at = events.withColumn("ts", utc_instant("ts"))
+    good, _ = blocklist.parse_block_events(fixtures.block_events_from(at), extra=("ts",))
+    rows = processors.replay_rows(fixtures.timed_messages_from(at), good)
+    beats, out = f"{root}/beats", f"{root}/out"
+    processors.no_beats(spark, beats)
+
+    def run() -> None:
+        got = processors.replay_asof(rows, spark.readStream.schema(processors.REPLAY_SCHEMA).parquet(beats), delay)
+        run_to_end(got, f"{root}/ckpt", path=out)
+    run()
+    processors.heartbeat(spark, beats, "2200-01-01")
+    run()
+    got = spark.read.schema(processors.REPLAY_OUTPUT).parquet(out)
+    return got.select("id", "from_user_id", "to_user_id", utc_wall_clock(F.timestamp_micros("us")).alias("ts"), "block_state")
+
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_block_list": q_stream_block_list,
     "stream_dictionary": q_stream_dictionary,
@@ -209,6 +356,14 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_metric_rate": q_stream_metric_rate,
     "stream_two_groups": q_stream_two_groups,
     "stream_record_headers": q_stream_record_headers,
+    "stream_cdc_rejects": q_stream_cdc_rejects,
+    "stream_cdc_accepted": q_stream_cdc_accepted,
+    "stream_block_rejects": q_stream_block_rejects,
+    "stream_record_rejects": q_stream_record_rejects,
+    "stream_delivery_counts": q_stream_delivery_counts,
+    "stream_cdc_snapshot": q_stream_cdc_snapshot,
+    "stream_block_changes": q_stream_block_changes,
+    "stream_replay_asof": q_stream_replay_asof,
 }
 
 # Twin -> batch query whose oracle SQL states the same result.
@@ -221,6 +376,14 @@ STREAM_ORACLE = {
     "stream_cdc_state": "cdc_current_state",
     "stream_metric_rate": "metric_rate",
     "stream_record_headers": "record_headers",
+    "stream_cdc_rejects": "cdc_rejects",
+    "stream_cdc_accepted": "cdc_accepted_state",
+    "stream_block_rejects": "block_event_rejects",
+    "stream_record_rejects": "record_rejects",
+    "stream_delivery_counts": "delivery_counts",
+    "stream_cdc_snapshot": "cdc_snapshot_state",
+    "stream_block_changes": "block_changes",
+    "stream_replay_asof": "censor_replay_asof",
 }
 
 # With one input file the stream runs as one micro-batch, so consumer

@@ -172,15 +172,16 @@ def test_insert_defaults(spark):
 
 
 def test_run_each_and_counter(spark):
-    from streamfold.streaming.sinks import DeliveryCounter, run_each
+    from streamfold.streaming.outputs import DeliveryCounter
+    from streamfold.streaming.sinks import run_each
 
     def bad():
         raise PermissionError("topic-2: not authorized")
 
     failed = run_each({"topic-1": lambda: None, "topic-2": bad})
     assert list(failed) == ["topic-2"]
-    c = DeliveryCounter()
-    assert c.listener() is not None and c.rows == {}
+    with DeliveryCounter(spark) as c:
+        assert c.counts() == {}
 
 
 def test_route_quantiles_and_key_mismatch(spark):
