@@ -12,6 +12,7 @@ Fixed values that must equal the reference's behaviour:
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -71,15 +72,26 @@ def mask_words(text: Column, buckets: Column) -> Column:
     """FN-06: letter runs of ``text`` whose lower-case form is in ``buckets``
     (``word_buckets``) become their mask (FN-04); everything else is copied.
     A word has no blank, so a search for `` word `` in its bucket is exact."""
-    def masked(s: Column) -> Column:
-        w = F.lower(s)
+    def listed(w: Column) -> Column:
         bucket = F.get(buckets, F.pmod(F.hash(w), F.size(buckets)))
-        return F.when(F.contains(bucket, F.concat(F.lit(" "), w, F.lit(" "))), word_mask(w)).otherwise(s)
-    return F.array_join(F.transform(segments(text), masked), "")
+        return F.contains(bucket, F.concat(F.lit(" "), w, F.lit(" ")))
+    return mask_words_if(text, listed)
+
+
+def mask_words_if(text: Column, listed: Callable[[Column], Column]) -> Column:
+    """FN-06: letter runs whose lower-case form is ``listed`` become their
+    mask; everything else is copied."""
+    cut = segments(text)
+    # Each run is lower-cased once: a lambda would do it anew for every use.
+    return F.array_join(F.zip_with(cut, F.transform(cut, F.lower),
+                                   lambda s, w: F.when(listed(w), word_mask(w)).otherwise(s)), "")
+
+
+GAP = 64            # code points between two special characters of one searched range
 
 
 @lru_cache(maxsize=1)
-def _special_upper_table() -> tuple[str, str]:
+def _special_upper_table() -> tuple[str, str, str]:
     """Characters whose full upper-case form is longer than one code point,
     and their simple upper form.
 
@@ -87,7 +99,8 @@ def _special_upper_table() -> tuple[str, str]:
     ``ß`` -> ``SS``; the reference upper-cases rune by rune with the simple
     mapping, which keeps such a character or maps it to its single-code-point
     title case.  The table is derived from Python's Unicode database by that
-    rule.
+    rule.  Third, a class of a few ranges that hold them all: to search it
+    is cheaper than to search for each.
     """
     src, dst = [], []
     for cp in range(sys.maxunicode + 1):
@@ -96,15 +109,21 @@ def _special_upper_table() -> tuple[str, str]:
             title = ch.title()
             src.append(ch)
             dst.append(title if len(title) == 1 else ch)
-    return "".join(src), "".join(dst)
+    ranges: list[list[int]] = []
+    for cp in map(ord, src):
+        if ranges and cp - ranges[-1][1] <= GAP:
+            ranges[-1][1] = cp
+        else:
+            ranges.append([cp, cp])
+    return "".join(src), "".join(dst), "[" + "".join("\\x{%X}-\\x{%X}" % (a, z) for a, z in ranges) + "]"
 
 
 def rune_upper(col) -> Column:
     """FN-02: upper-case with the per-code-point simple mapping.  Runs of
     special characters are mapped by table, everything else by ``upper``."""
-    src, dst = _special_upper_table()
+    src, dst, near = _special_upper_table()
     c, special = _c(col), "[" + src + "]"
     runs = F.regexp_extract_all(c, F.lit(f"({special}+|[^{src}]+)"), 1)
     slow = F.array_join(F.transform(
         runs, lambda r: F.when(r.rlike(special), F.translate(r, src, dst)).otherwise(F.upper(r))), "")
-    return F.when(c.rlike(special), slow).otherwise(F.upper(c))
+    return F.when(c.rlike(near) & c.rlike(special), slow).otherwise(F.upper(c))

@@ -120,3 +120,42 @@ def test_text_functions(spark):
     assert got[0][0] == "STRAßE ﬀ ᾼ ABC"
     assert got[1][1] == "x y"
     assert got[2][1] == "​z"      # zero-width space is not white space
+
+
+def _lists(spark, n, long=False):
+    words = [(f"{'w' * 70 if long else 'w'}{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}",) for i in range(n)]
+    return dictionary.bad_word_dictionary(spark.createDataFrame(words, "word string"))
+
+
+def test_short_and_long_lists_mask_alike(spark):
+    """The set and the join give the same texts, on either side of the bound."""
+    from streamfold.operators import censor
+    words = _lists(spark, 300)
+    rows = [(i, str(i % 3), "9", t) for i, t in enumerate([None, "", "waaa Wbaa, x", "wzza waaa", "waaaw", "waba-WABA éwcaa", "waaa Wbaa, x"])]
+    msgs = spark.createDataFrame(rows, "id int, from_user_id string, to_user_id string, text string")
+    want = {0: None, 1: "", 2: "**** ****, x", 3: "wzza ****", 4: "waaaw", 5: "****-**** éwcaa", 6: "**** ****, x"}
+    for most in (0, 299, 300, 1 << 16):
+        got = censor.mask_messages(msgs, words, set_words=most)
+        assert {r.id: r.text for r in got.collect()} == want and got.columns == msgs.columns
+    long = censor.mask_messages(spark.createDataFrame([(1, "a " + "w" * 70 + "aaa")], "id int, text string"), _lists(spark, 3, True))
+    assert long.first().text == "a " + "*" * 73         # too long a word for the set: joined
+    none = censor.mask_messages(msgs, words.limit(0))
+    assert {r.id: r.text for r in none.collect()} == {r[0]: r[3] for r in rows}
+
+
+def test_way_is_chosen_while_the_query_runs(spark):
+    """A short list: no message and no word leaves its task, and the way of
+    the join is gone from the final plan; a long list: a word is tested
+    before it is shuffled."""
+    from streamfold.operators import censor
+    from tests.test_plans import plan
+    msgs = spark.createDataFrame([(1, "waaa b")], "id int, text string")
+    for most, short in ((1 << 16, True), (10, False)):
+        df = censor.mask_messages(msgs, _lists(spark, 30), set_words=most)
+        df.collect()
+        final = plan(df, "simple").split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+        assert ("_sf_key" in final) != short and "Union" not in final.split("Subquery")[0]
+    words = [line for line in final.splitlines()]
+    test = next(i for i, line in enumerate(words) if "Filter getbit" in line or "getbit(" in line and "Filter" in line)
+    made = next(i for i, line in enumerate(words) if "Generate explode" in line)
+    assert test < made and not any("Exchange" in line for line in words[test:made])
