@@ -76,6 +76,23 @@ def encode_json(*cols, pretty: bool = False) -> Column:
     return F.to_json(F.struct(*[_c(c) for c in cols]), opts)
 
 
+CSV_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"', **JSON_OPTIONS}
+
+
+def decode_csv(col, schema: str) -> Column:
+    """UDF-04: the same contract as ``decode_json`` for one line of comma
+    separated values; ``schema`` is a DDL string."""
+    return F.from_csv(_c(col).cast("string"), with_corrupt_field(schema), CSV_OPTIONS)
+
+
+def encode_csv(*cols) -> Column:
+    """UDF-04: one line of comma separated values."""
+    return F.to_csv(F.struct(*[_c(c) for c in cols]), {"escape": '"', **JSON_OPTIONS})
+
+
+CODECS = {"json": (encode_json, decode_json), "csv": (encode_csv, decode_csv)}
+
+
 def string_codec(col) -> Column:
     """COD-03: bytes to text."""
     return _c(col).cast("string")

@@ -166,9 +166,46 @@ def capture_delay(decoded: DataFrame) -> DataFrame:
         F.max(delay).alias("max_delay_us")).filter("n_changes > 0")
 
 
-def delay_quantiles(decoded: DataFrame, probs=(0.5, 0.95, 0.99)) -> DataFrame:
-    """CDC-07: approximate delay quantiles per table (bounded-memory sketch)."""
-    delay = (F.col("ts_us") - F.col("source_ts_us"))
-    return (decoded.groupBy("table").agg(F.percentile_approx(delay, list(probs)).alias("quantiles"),
-                                         _n_changes().alias("n_changes"))
-            .filter("n_changes > 0").drop("n_changes"))
+# Rank error of a merged sketch of 200 items (the default), with room.
+QUANTILE_ERROR = 0.03
+
+
+def delay_sketches(decoded: DataFrame) -> DataFrame:
+    """CDC-07: a quantile sketch of the delays per table and day of commit,
+    of bounded size whatever the number of changes.  Sketches can be kept
+    and merged later (``merged_quantiles``)."""
+    day = F.to_date(F.timestamp_micros("source_ts_us"))
+    d = decoded.select("table", day.alias("day"), (F.col("ts_us") - F.col("source_ts_us")).alias("delay"))
+    return (d.groupBy("table", "day").agg(F.expr("kll_sketch_agg_bigint(delay)").alias("sketch"), F.count("delay").alias("n_delays"))
+            .filter("n_delays > 0"))
+
+
+def merged_quantiles(sketches: DataFrame, probs=(0.5, 0.95, 0.99)) -> DataFrame:
+    """(table, n_delays, probability, quantile) of all days together."""
+    merged = sketches.groupBy("table").agg(F.expr("kll_merge_agg_bigint(sketch)").alias("sketch"), F.sum("n_delays").alias("n_delays"))
+    each = [F.struct(F.lit(float(p)).alias("probability"), F.expr(f"kll_sketch_get_quantile_bigint(sketch, {float(p)}D)").alias("quantile"))
+            for p in probs]
+    return merged.select("table", "n_delays", F.explode(F.array(*each)).alias("q")).select("table", "n_delays", "q.*")
+
+
+def quantile_ranks(decoded: DataFrame, quantiles: DataFrame, error: float = QUANTILE_ERROR) -> DataFrame:
+    """Quantiles held against all delays: whether the exact rank of each is
+    within ``error`` of its probability."""
+    q = quantiles.withColumnsRenamed({"table": "_sf_table"})
+    d = decoded.select("table", (F.col("ts_us") - F.col("source_ts_us")).alias("delay"))
+    ranks = d.join(q, F.col("table") == F.col("_sf_table")).groupBy("table", "probability").agg(
+        F.first("n_delays").alias("n_delays"), F.count_if(F.col("delay") < F.col("quantile")).alias("below"),
+        F.count_if(F.col("delay") <= F.col("quantile")).alias("upto"))
+    near = ((F.col("below") / F.col("n_delays") <= F.col("probability") + error)
+            & (F.col("upto") / F.col("n_delays") >= F.col("probability") - error))
+    return ranks.select("table", F.col("n_delays").alias("n_changes"), "probability", near.alias("within_error"))
+
+
+def discovered_columns(decoded: DataFrame) -> DataFrame:
+    """CDC-01 for row images of unknown shape: per table the columns its
+    images have, the type that holds all their values, and in how many
+    images each is."""
+    images = decoded.select("table", current_image().alias("image")).filter(F.col("image").isNotNull())
+    return images.sparkSession.sql(
+        "SELECT i.table, e.key AS column, schema_of_variant_agg(e.value) AS type, count(*) AS n_images "
+        "FROM {images} AS i, LATERAL variant_explode(i.image) AS e GROUP BY i.table, e.key", images=images)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import epoch_micros, utc_wall_clock
-from .scan import latest_per_key, running_sums, time_order
+from .scan import latest_per_key, running_last, running_sums, time_order
 
 # --- fixed values -----------------------------------------------------------
 # Rename rules, first match wins: (pattern, name template, label templates).
@@ -40,6 +40,10 @@ RATE_PANELS = (
     ("source_record_poll_rate", "kafka_connect_source_task.*_source_record_poll_rate.*"),
     ("source_record_write_rate", "kafka_connect_source_task.*_source_record_write_rate.*"),
 )
+TOTAL_PANELS = (
+    ("source_record_poll_total", "kafka_connect_source_task.*_source_record_poll_total.*"),
+    ("source_record_write_total", "kafka_connect_source_task.*_source_record_write_total.*"),
+)
 SCRAPE_INTERVAL_SECONDS = 5
 # ---------------------------------------------------------------------------
 
@@ -158,9 +162,28 @@ def gauge_steps(tagged: DataFrame, interval_s: int = SCRAPE_INTERVAL_SECONDS) ->
             .select("panel", *SERIES, utc_wall_clock(F.col("w.start")).alias("window_start"), "value"))
 
 
-def cumulative(rates: DataFrame) -> DataFrame:
-    """MET-05: running total of records per panel over window starts."""
-    r = rates.withColumn("_sf_w", epoch_micros("window_start"))
-    out = running_sums(r, ["panel"], "_sf_w", {"cumulative": "n_records"},
-                       span=3600 * 1_000_000 * 24)
-    return out.select("panel", "window_start", "n_records", "cumulative")
+DAY_MICROS = 24 * 3600 * 1_000_000
+
+
+def increases(tagged: DataFrame) -> DataFrame:
+    """How much each sample of a counter adds: the difference to the last
+    value of its series; a counter that fell has started anew, and adds its
+    whole value; the first sample adds nothing.  Series are scanned in
+    chunks of a day, so that a series of any length is in no single task."""
+    r = tagged.withColumn("_sf_us", epoch_micros("ts"))
+    seen = running_last(r, ["panel", *SERIES], "_sf_us", "value", "_sf_prev", span=DAY_MICROS,
+                        order_tiebreak=["sample_id"], before=True)
+    prev, now = F.col("_sf_prev"), F.col("value")
+    return seen.withColumn("increase", F.when(prev.isNull(), F.lit(0.0)).when(now >= prev, now - prev).otherwise(now)).drop(
+        "_sf_prev", "_sf_us")
+
+
+def cumulative(tagged: DataFrame, interval_s: int = SCRAPE_INTERVAL_SECONDS) -> DataFrame:
+    """MET-05: per series of the total panels and step, the increase and the
+    running total of increases, which restarts of a counter do not lower."""
+    w = F.window("ts", f"{interval_s} seconds")
+    steps = (increases(tagged).groupBy("panel", *SERIES, w.alias("w")).agg(F.sum("increase").alias("increase"))
+             .select("panel", *SERIES, utc_wall_clock(F.col("w.start")).alias("window_start"), "increase")
+             .withColumn("_sf_w", epoch_micros("window_start")))
+    out = running_sums(steps, ["panel", *SERIES], "_sf_w", {"cumulative": "increase"}, span=DAY_MICROS)
+    return out.select("panel", *SERIES, "window_start", "increase", "cumulative")

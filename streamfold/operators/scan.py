@@ -75,10 +75,10 @@ def running_sums(df: DataFrame, keys: list[str], order: str, sums: dict[str, Col
 
 def running_last(df: DataFrame, keys: list[str], order: str, value: str, out: str,
                  span: int = DEFAULT_SPAN, order_tiebreak: list[str] | None = None,
-                 hot_rows: int = 0) -> DataFrame:
+                 hot_rows: int = 0, before: bool = False) -> DataFrame:
     """Add ``out``: the last non-null ``value`` per ``keys`` up to and
     including the current row in ``order`` (``last(value, true)`` over an
-    unbounded-preceding frame).
+    unbounded-preceding frame); with ``before`` up to the row before it.
 
     Keys of at most ``hot_rows`` rows are one chunk and carry nothing; only
     the keys above are cut by ``span``.  So the carry table has a row per
@@ -94,7 +94,7 @@ def running_last(df: DataFrame, keys: list[str], order: str, value: str, out: st
                 .withColumn(_CHUNK, F.when(F.col("_sf_hot"), F.col(_CHUNK))).drop("_sf_hot")
                 .repartition(*keys, _CHUNK))
     w_local = (Window.partitionBy(*keys, _CHUNK).orderBy(*ob)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+               .rowsBetween(Window.unboundedPreceding, -1 if before else Window.currentRow))
     local = base.withColumn("_sf_loc", F.last(value, ignorenulls=True).over(w_local))
 
     # One row per (key, chunk): its last non-null value, or NULL when it has

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.codecs import CORRUPT, decode_json, record_reason, split_rejects, string_codec
+from ..functions.codecs import CODECS, CORRUPT, decode_json, record_reason, split_rejects, string_codec
 from ..functions.text import LETTER_RUN
 from ..functions.timefmt import utc_wall_clock
 from ..operators import (batching, blocklist, cdc, censor, dictionary, ingest, joins,
@@ -105,6 +105,12 @@ def q_block_event_rejects(spark, sf_dir):
     return bad.select("key", "value", F.col("offset").alias("event_offset"), "reason")
 
 
+def q_block_pair_state(spark, sf_dir):
+    """AGG-04: the last action per pair, with the offset it came at."""
+    good, _ = parsed_block_events(spark, sf_dir)
+    return blocklist.block_pair_state(good).withColumnRenamed("offset", "event_offset")
+
+
 def q_block_changes(spark, sf_dir):
     """AGG-04: the events that alter a user's set of blocked ids."""
     good, _ = parsed_block_events(spark, sf_dir)
@@ -155,6 +161,15 @@ def q_record_rejects(spark, sf_dir):
     return split_rejects(d, record_reason("value", "v"), ["topic_partition", "record_offset", "value"])[1]
 
 
+def q_csv_round_trip(spark, sf_dir):
+    """UDF-04: orders through the codec of comma separated values."""
+    encode, decode = CODECS["csv"]
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice")
+    lines = o.select(encode(*o.columns).alias("line"))
+    got = lines.select(decode("line", "o_orderkey BIGINT, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING, o_totalprice DOUBLE").alias("v"))
+    return got.select("v.*").withColumn("is_corrupt", F.col(CORRUPT).isNotNull()).drop(CORRUPT)
+
+
 def q_order_records(spark, sf_dir):
     """SNK-01, SNK-02, COD-02: orders as sink records, once keyed by user and
     once without a key."""
@@ -321,6 +336,18 @@ def q_cdc_delay(spark, sf_dir):
     return cdc.capture_delay(decoded_changes(spark, sf_dir))
 
 
+def q_cdc_delay_quantiles(spark, sf_dir):
+    """CDC-07: quantiles from sketches per table and day, merged, and held
+    against the exact ranks."""
+    d = decoded_changes(spark, sf_dir)
+    return cdc.quantile_ranks(d, cdc.merged_quantiles(cdc.delay_sketches(d)))
+
+
+def q_cdc_discovered_schema(spark, sf_dir):
+    """CDC-01: columns and types of the tables, found from their images."""
+    return cdc.discovered_columns(cdc.decode_changes(fixtures.row_change_records(spark, sf_dir)))
+
+
 # ---- metrics ---------------------------------------------------------------------
 
 def renamed_metrics(spark, sf_dir):
@@ -360,8 +387,8 @@ def q_metric_rate(spark, sf_dir):
 
 
 def q_metric_cumulative(spark, sf_dir):
-    """MET-05."""
-    return metrics.cumulative(metrics.record_rate(rate_tagged(spark, sf_dir)))
+    """MET-05: running totals of the poll and write counters."""
+    return metrics.cumulative(metrics.rename_metrics(fixtures.metric_samples(spark, sf_dir), panels=metrics.TOTAL_PANELS))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -374,6 +401,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bad_word_lookup": q_bad_word_lookup,
     "block_list": q_block_list,
     "block_event_rejects": q_block_event_rejects,
+    "block_pair_state": q_block_pair_state,
     "block_changes": q_block_changes,
     "user_block_lookup": q_user_block_lookup,
     "ingest_messages": q_ingest_messages,
@@ -381,6 +409,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_bad_words": q_ingest_bad_words,
     "json_round_trip": q_json_round_trip,
     "record_rejects": q_record_rejects,
+    "csv_round_trip": q_csv_round_trip,
     "order_records": q_order_records,
     "record_headers": q_record_headers,
     "square_values": q_square_values,
@@ -401,6 +430,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cdc_accepted_state": q_cdc_accepted_state,
     "cdc_current_state": q_cdc_current_state,
     "cdc_delay": q_cdc_delay,
+    "cdc_delay_quantiles": q_cdc_delay_quantiles,
+    "cdc_discovered_schema": q_cdc_discovered_schema,
     "cdc_users": q_cdc_users,
     "cdc_orders": q_cdc_orders,
     "cdc_snapshot_state": q_cdc_snapshot_state,

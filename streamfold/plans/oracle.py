@@ -4,10 +4,10 @@ independently of the Spark code."""
 
 from __future__ import annotations
 
-from ..functions.text import EDGE_SPACE
+# Unicode white space at either end (RE2).
+EDGE_SPACE = r"^[\t\n\x{0B}\f\r\x{85}\p{Z}]+|[\t\n\x{0B}\f\r\x{85}\p{Z}]+$"
+
 
-# DuckDB regular expressions are RE2; the patterns below use only syntax
-# shared with Java's engine.
 def _trim(x: str) -> str:
     return "regexp_replace(" + x + ", '" + EDGE_SPACE + "', '', 'g')"
 
@@ -110,6 +110,11 @@ SELECT key, value, ev_offset AS event_offset,
 FROM bp WHERE NOT (len(p) = 3 AND p[1] IN ('block', 'unblock'))
 """
 
+BLOCK_PAIR_STATE = "WITH " + BLOCKS + """
+SELECT user_id, blocked_id, arg_max(action, ev_offset) AS last_action, max(ev_offset) AS event_offset
+FROM valid GROUP BY user_id, blocked_id
+"""
+
 BLOCK_CHANGES = "WITH " + BLOCKS + """,
 c AS (SELECT *, lag(action, 1, 'unblock') OVER (PARTITION BY user_id, blocked_id ORDER BY ev_offset) AS before FROM valid)
 SELECT user_id, blocked_id, ev_offset AS event_offset, CASE action WHEN 'block' THEN 'added' ELSE 'removed' END AS change
@@ -195,6 +200,10 @@ SELECT CAST(user_id % 3 AS INTEGER) AS topic_partition, event_id AS record_offse
 FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0 OR event_id % 79 = 0
 """
 
+CSV_ROUND_TRIP = """
+SELECT o_orderkey, o_orderdate, o_orderpriority, o_totalprice, false AS is_corrupt FROM orders
+"""
+
 ORDER_RECORDS = """
 WITH v AS (SELECT CAST(o_custkey AS VARCHAR) AS u, '{"user_id":' || o_custkey || ',"order_id":' || o_orderkey
            || ',"order_amount":' || CAST(floor(o_totalprice) AS BIGINT) || '}' AS value FROM orders)
@@ -338,6 +347,23 @@ l AS (SELECT "table", key_id, arg_max(op, lsn) AS op, max(lsn) AS lsn,
 SELECT "table", key_id, lsn, id, value FROM l WHERE op <> 'd'
 """
 
+CDC_DELAY_QUANTILES = "WITH " + CDC + """
+SELECT "table", count(*) AS n_changes, p.probability, true AS within_error
+FROM c CROSS JOIN (VALUES (CAST(0.5 AS DOUBLE)), (0.95), (0.99)) AS p(probability) GROUP BY "table", p.probability
+"""
+
+CDC_DISCOVERED_SCHEMA = """
+WITH n("table", n_images) AS (
+  SELECT 'users', count(*) + count(*) FILTER (c_custkey % 3 = 0) + count(*) FILTER (c_custkey % 5 = 0) FROM customer
+  UNION ALL SELECT 'orders', count(*) + count(*) FILTER (o_orderkey % 4 = 0) FROM orders
+  UNION ALL SELECT 'products', count(*) FROM part),
+cols("table", "column", type) AS (VALUES
+  ('users', 'created_at', 'BIGINT'), ('users', 'email', 'STRING'), ('users', 'id', 'BIGINT'), ('users', 'name', 'STRING'),
+  ('orders', 'id', 'BIGINT'), ('orders', 'user_id', 'BIGINT'), ('orders', 'product_name', 'STRING'),
+  ('orders', 'quantity', 'BIGINT'), ('orders', 'order_date', 'BIGINT'), ('products', 'id', 'BIGINT'), ('products', 'name', 'STRING'))
+SELECT "table", "column", type, n_images FROM cols JOIN n USING ("table")
+"""
+
 CDC_USERS = """
 WITH ops(op, n, every) AS (VALUES ('c', 1, 1), ('u', 2, 3), ('d', 3, 5))
 SELECT 'users' AS "table", op, c_custkey * 4 + n AS lsn, c_custkey AS key_id, CAST(c_custkey AS INTEGER) AS id,
@@ -369,84 +395,76 @@ SELECT "table", count(*) AS n_changes, avg(delay_us) AS avg_delay_us,
 FROM c GROUP BY 1
 """
 
-_SRC = "'kafka.connect<type=source-task-metrics, connector=connector-' || CAST(user_id % 3 AS VARCHAR) || ', task=' || CAST(user_id % 2 AS VARCHAR) || '>"
+# Names, labels and panels as the reference's rules and dashboard give them,
+# written out: none of them comes from the code under test.
 SAMPLES = """
-s AS (
-  SELECT event_id AS sample_id, ts, value,
-         CASE event_type
-           WHEN 'signup' THEN 'kafka.connect<type=connect-worker-metrics>connector-count'
-           WHEN 'error' THEN 'kafka.connect<type=connect-worker-metrics>task-count'
-           WHEN 'click' THEN """ + _SRC + """source-record-poll-rate'
-           WHEN 'view' THEN """ + _SRC + """source-record-write-rate'
-           WHEN 'purchase' THEN """ + _SRC + """source-record-poll-total'
-         END AS metric
-  FROM events)"""
-
-
-def _renamed() -> str:
-    from ..operators.metrics import RENAME_RULES, LABELS
-    import re
-
-    def dd(t: str) -> str:
-        return re.sub(r"\$(\d)", r"\\\1", t)
-
-    def case(pick) -> str:
-        parts = []
-        for pattern, template, labs in RENAME_RULES:
-            a = "^(?:" + pattern + ")$"
-            v = pick(a, template, labs)
-            parts.append(f"WHEN regexp_full_match(metric, '{pattern}') THEN {v}")
-        return "CASE " + " ".join(parts) + " END"
-
-    name = case(lambda a, t, labs: f"regexp_replace(metric, '{a}', '{dd(t)}')")
-    safe = f"regexp_replace(regexp_replace(lower({name}), '[^A-Za-z0-9:_]', '_', 'g'), '_+', '_', 'g')"
-    labels = []
-    for lab in LABELS:
-        labels.append(case(lambda a, t, labs, lab=lab:
-                           f"regexp_replace(metric, '{a}', '{dd(labs[lab])}')" if lab in labs
-                           else "CAST(NULL AS VARCHAR)") + f" AS {lab}")
-    return (",\nr0 AS (SELECT sample_id, ts, value, " + safe + " AS name, " + ", ".join(labels)
-            + " FROM s),\nr AS (SELECT * FROM r0 WHERE name IS NOT NULL)")
-
-
-def _metric_sqls() -> dict[str, str]:
-    from ..operators.metrics import MAX_PANELS, RATE_PANELS
-    head = "WITH " + SAMPLES + _renamed()
-    rename = head + "\nSELECT sample_id, name, connector, task, client_id, ts, value FROM r\n"
-    latest = (head + ",\nlatest AS (SELECT name, connector, task, client_id, arg_max(value, ts) AS value"
-              " FROM r GROUP BY ALL)\n")
-    panels = "\nUNION ALL\n".join(
-        f"SELECT '{p}' AS panel, max(value) AS value, count(*) AS n_series FROM latest "
-        f"WHERE regexp_full_match(name, '{pat}')" for p, pat in MAX_PANELS)
-    scrape = (head + """
-SELECT name, connector, task, client_id, make_timestamp(epoch_us(ts) // 5000000 * 5000000) AS window_start,
-       arg_max(value, ts) AS value, count(*) AS n_samples
-FROM r GROUP BY ALL
-""")
-    sel = "\nUNION ALL\n".join(
-        f"SELECT '{p}' AS panel, ts FROM r WHERE regexp_full_match(name, '{pat}')"
-        for p, pat in RATE_PANELS)
-    rate_cte = (head + ",\nsel AS (" + sel + "),\nrate AS (SELECT panel, make_timestamp(epoch_us(ts) // 5000000 * 5000000) AS window_start,"
-                " count(*) AS n_records, count(*) / 5.0 AS per_second FROM sel GROUP BY 1, 2)\n")
-    gauge = head + ",\nsel AS (" + "\nUNION ALL\n".join(
-        f"SELECT '{p}' AS panel, * FROM r WHERE regexp_full_match(name, '{pat}')" for p, pat in RATE_PANELS) + """)
-SELECT panel, name, connector, task, client_id,
-       make_timestamp(epoch_us(ts) // 5000000 * 5000000) AS window_start, arg_max(value, ts) AS value
-FROM sel GROUP BY ALL
-"""
-    return {
-        "metric_gauge": gauge,
-        "metric_rename": rename,
-        "metric_max_latest": latest + panels + "\n",
-        "metric_scrape": scrape,
-        "metric_rate": rate_cte + "SELECT panel, window_start, n_records, CAST(per_second AS DOUBLE) AS per_second FROM rate\n",
-        "metric_cumulative": rate_cte + """SELECT panel, window_start, n_records,
-       CAST(sum(n_records) OVER (PARTITION BY panel ORDER BY window_start
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative
-FROM rate
-""",
-    }
-
+k AS (
+  SELECT event_id AS sample_id, ts, event_id % 13 AS kind, user_id % 3 AS c, user_id % 2 AS t,
+         CASE WHEN event_id % 13 IN (2, 3, 9, 10) THEN CAST(event_id // 13 % 40 * 10 + user_id % 3 AS DOUBLE) ELSE value END AS value
+  FROM events),
+r AS (
+  SELECT sample_id, ts, value,
+         CASE kind
+           WHEN 0 THEN 'kafka_connect_worker_connector_count'
+           WHEN 1 THEN 'kafka_connect_worker_task_count'
+           WHEN 2 THEN 'kafka_connect_worker_connector_startup_attempts_total'
+           WHEN 3 THEN 'kafka_connect_worker_connector_startup_success_total'
+           WHEN 4 THEN 'kafka_connect_connector_connector_' || c || '_status'
+           WHEN 5 THEN 'kafka_connect_task_connector_' || c || '_' || t || '_batch_size_avg'
+           WHEN 6 THEN 'kafka_connect_sink_task_connector_' || c || '_' || t || '_sink_record_send_rate'
+           WHEN 7 THEN 'kafka_connect_source_task_connector_' || c || '_' || t || '_source_record_poll_rate'
+           WHEN 8 THEN 'kafka_connect_source_task_connector_' || c || '_' || t || '_source_record_write_rate'
+           WHEN 9 THEN 'kafka_connect_source_task_connector_' || c || '_' || t || '_source_record_poll_total'
+           WHEN 10 THEN 'kafka_connect_source_task_connector_' || c || '_' || t || '_source_record_write_total'
+           WHEN 11 THEN 'kafka_consumer_fetch_manager_records_lag'
+         END AS name,
+         CASE WHEN kind BETWEEN 4 AND 10 THEN 'connector-' || c END AS connector,
+         CASE WHEN kind BETWEEN 5 AND 10 THEN CAST(t AS VARCHAR) END AS task,
+         CASE WHEN kind = 11 THEN 'client-' || t END AS client_id,
+         CASE kind WHEN 0 THEN 'worker_connector_count' WHEN 1 THEN 'worker_task_count'
+                   WHEN 2 THEN 'connector_startup_attempts' WHEN 3 THEN 'connector_startup_success'
+                   WHEN 7 THEN 'source_record_poll_rate' WHEN 8 THEN 'source_record_write_rate'
+                   WHEN 9 THEN 'source_record_poll_total' WHEN 10 THEN 'source_record_write_total' END AS panel,
+         make_timestamp(epoch_us(ts) // 5000000 * 5000000) AS window_start
+  FROM k WHERE kind < 12)"""
+
+METRIC_RENAME = "WITH " + SAMPLES + "\nSELECT sample_id, name, connector, task, client_id, ts, value FROM r\n"
+
+METRIC_MAX_LATEST = "WITH " + SAMPLES + """,
+latest AS (SELECT panel, name, connector, task, arg_max(value, ts) AS value FROM r
+           WHERE panel IS NOT NULL AND panel NOT IN ('source_record_poll_rate', 'source_record_write_rate')
+           GROUP BY panel, name, connector, task),
+panels(panel) AS (VALUES ('worker_connector_count'), ('worker_task_count'), ('source_record_poll_total'),
+                         ('source_record_write_total'), ('connector_startup_attempts'), ('connector_startup_success'))
+SELECT panel, max(value) AS value, count(name) AS n_series FROM panels LEFT JOIN latest USING (panel) GROUP BY panel
+"""
+
+METRIC_SCRAPE = "WITH " + SAMPLES + """
+SELECT name, connector, task, client_id, window_start, arg_max(value, ts) AS value, count(*) AS n_samples
+FROM r GROUP BY name, connector, task, client_id, window_start
+"""
+
+METRIC_GAUGE = "WITH " + SAMPLES + """
+SELECT panel, name, connector, task, client_id, window_start, arg_max(value, ts) AS value
+FROM r WHERE panel IN ('source_record_poll_rate', 'source_record_write_rate') GROUP BY panel, name, connector, task, client_id, window_start
+"""
+
+METRIC_RATE = "WITH " + SAMPLES + """
+SELECT panel, window_start, count(*) AS n_records, count(*) / CAST(5 AS DOUBLE) AS per_second
+FROM r WHERE panel IN ('source_record_poll_rate', 'source_record_write_rate') GROUP BY panel, window_start
+"""
+
+METRIC_CUMULATIVE = "WITH " + SAMPLES + """,
+d AS (SELECT *, lag(value) OVER (PARTITION BY panel, name, connector, task ORDER BY ts, sample_id) AS prev
+      FROM r WHERE panel IN ('source_record_poll_total', 'source_record_write_total')),
+steps AS (
+  SELECT panel, name, connector, task, client_id, window_start,
+         sum(CASE WHEN prev IS NULL THEN 0 WHEN value >= prev THEN value - prev ELSE value END) AS increase
+  FROM d GROUP BY panel, name, connector, task, client_id, window_start)
+SELECT *, sum(increase) OVER (PARTITION BY panel, name, connector, task ORDER BY window_start
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative
+FROM steps
+"""
 
 # SQL of stream queries that have no batch query of their own.
 STREAM_SQL = {"delivery_counts": DELIVERY_COUNTS}
@@ -461,6 +479,7 @@ ORACLE_SQL: dict[str, str] = {
     "bad_word_lookup": BAD_WORD_LOOKUP,
     "block_list": BLOCK_LIST,
     "block_event_rejects": BLOCK_EVENT_REJECTS,
+    "block_pair_state": BLOCK_PAIR_STATE,
     "block_changes": BLOCK_CHANGES,
     "user_block_lookup": USER_BLOCK_LOOKUP,
     "ingest_messages": INGEST_MESSAGES,
@@ -468,6 +487,7 @@ ORACLE_SQL: dict[str, str] = {
     "ingest_bad_words": INGEST_BAD_WORDS,
     "json_round_trip": JSON_ROUND_TRIP,
     "record_rejects": RECORD_REJECTS,
+    "csv_round_trip": CSV_ROUND_TRIP,
     "order_records": ORDER_RECORDS,
     "record_headers": RECORD_HEADERS,
     "square_values": SQUARE_VALUES,
@@ -488,8 +508,15 @@ ORACLE_SQL: dict[str, str] = {
     "cdc_accepted_state": CDC_ACCEPTED_STATE,
     "cdc_current_state": CDC_CURRENT_STATE,
     "cdc_delay": CDC_DELAY,
+    "cdc_delay_quantiles": CDC_DELAY_QUANTILES,
+    "cdc_discovered_schema": CDC_DISCOVERED_SCHEMA,
     "cdc_users": CDC_USERS,
     "cdc_orders": CDC_ORDERS,
     "cdc_snapshot_state": CDC_SNAPSHOT_STATE,
-    **_metric_sqls(),
+    "metric_rename": METRIC_RENAME,
+    "metric_max_latest": METRIC_MAX_LATEST,
+    "metric_scrape": METRIC_SCRAPE,
+    "metric_gauge": METRIC_GAUGE,
+    "metric_rate": METRIC_RATE,
+    "metric_cumulative": METRIC_CUMULATIVE,
 }

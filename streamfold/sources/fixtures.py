@@ -8,6 +8,8 @@ size grows with the table and nothing passes through the driver.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,17 +31,24 @@ CDC_SCHEMA = "public"
 CDC_KEY_SPACE = 500
 USERS_FROM_US = 1_704_067_200_000_000      # 2024-01-01
 CDC_OP_BY_TYPE = {"signup": "c", "error": "d"}      # everything else: "u"
-# Metric samples: bean and attribute per event type.
-METRIC_BY_TYPE = {
-    "signup": ("kafka.connect<type=connect-worker-metrics>", "connector-count"),
-    "error": ("kafka.connect<type=connect-worker-metrics>", "task-count"),
-    "click": ("kafka.connect<type=source-task-metrics, connector={c}, task={t}>",
-              "source-record-poll-rate"),
-    "view": ("kafka.connect<type=source-task-metrics, connector={c}, task={t}>",
-             "source-record-write-rate"),
-    "purchase": ("kafka.connect<type=source-task-metrics, connector={c}, task={t}>",
-                 "source-record-poll-total"),
-}
+# Metric samples: bean ({c}: connector, {t}: task, {k}: client) and attribute
+# by event_id modulo their number; the last is no rule's.
+METRICS = (
+    ("kafka.connect<type=connect-worker-metrics>", "connector-count"),
+    ("kafka.connect<type=connect-worker-metrics>", "task-count"),
+    ("kafka.connect<type=connect-worker-metrics>", "connector-startup-attempts-total"),
+    ("kafka.connect<type=connect-worker-metrics>", "connector-startup-success-total"),
+    ("kafka.connect<type=connector-metrics, connector={c}>", "status"),
+    ("kafka.connect<type=connector-task-metrics, connector={c}, task={t}>", "batch-size-avg"),
+    ("kafka.connect<type=sink-task-metrics, connector={c}, task={t}>", "sink-record-send-rate"),
+    ("kafka.connect<type=source-task-metrics, connector={c}, task={t}>", "source-record-poll-rate"),
+    ("kafka.connect<type=source-task-metrics, connector={c}, task={t}>", "source-record-write-rate"),
+    ("kafka.connect<type=source-task-metrics, connector={c}, task={t}>", "source-record-poll-total"),
+    ("kafka.connect<type=source-task-metrics, connector={c}, task={t}>", "source-record-write-total"),
+    ("kafka.consumer<type=consumer-fetch-manager-metrics, client-id={k}>", "records-lag"),
+    ("java.lang<type=Memory>", "HeapMemoryUsage"),
+)
+COUNTER_STEPS = 40              # samples of a kind until its counters start anew
 # ---------------------------------------------------------------------------
 
 
@@ -300,23 +309,22 @@ def row_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as JMX metric samples: sample_id, metric, ts, value."""
-    return metric_samples_from(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id",
-                                          "event_type", "value"))
+    """``events`` as JMX metric samples: sample_id, metric, ts, value.  Totals
+    are counters that rise and at times start anew; other values are the
+    events'."""
+    return metric_samples_from(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "value"))
 
 
 def metric_samples_from(e: DataFrame) -> DataFrame:
-    conn = F.concat(F.lit("connector-"), (F.col("user_id") % 3).cast("string"))
-    task = (F.col("user_id") % 2).cast("string")
-    names = {}
-    for t, (bean, attr) in METRIC_BY_TYPE.items():
-        parts = bean.split("{c}")
-        if len(parts) == 1:
-            names[t] = F.lit(bean + attr)
-        else:
-            head, rest = parts
-            mid, tail = rest.split("{t}")
-            names[t] = F.concat(F.lit(head), conn, F.lit(mid), task, F.lit(tail + attr))
-    return e.select(F.col("event_id").alias("sample_id"),
-                    _case(F.col("event_type"), names).alias("metric"),
-                    utc_instant("ts").alias("ts"), "value")
+    values = {"{c}": F.concat(F.lit("connector-"), (F.col("user_id") % 3).cast("string")),
+              "{t}": (F.col("user_id") % 2).cast("string"),
+              "{k}": F.concat(F.lit("client-"), (F.col("user_id") % 2).cast("string"))}
+    kind, metric, counter = F.col("event_id") % len(METRICS), None, F.lit(False)
+    for i, (bean, attribute) in enumerate(METRICS):
+        name = F.concat(*[values.get(x, F.lit(x)) for x in re.split(r"({\w})", bean + attribute)])
+        metric = F.when(kind == i, name) if metric is None else metric.when(kind == i, name)
+        if attribute.endswith("-total"):
+            counter = counter | (kind == i)
+    step = F.floor(F.col("event_id") / len(METRICS)) % COUNTER_STEPS
+    return e.select(F.col("event_id").alias("sample_id"), metric.alias("metric"), utc_instant("ts").alias("ts"),
+                    F.when(counter, (step * 10 + F.col("user_id") % 3).cast("double")).otherwise(F.col("value")).alias("value"))

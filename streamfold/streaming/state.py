@@ -50,3 +50,33 @@ def read_latest(spark: SparkSession, checkpoint: str, schema: str) -> DataFrame:
     empty = spark.createDataFrame([], schema)
     state = read_state(spark, checkpoint)
     return empty if state is None else state.select("key.*", "value.max.*").select(*empty.columns)
+
+
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+
+
+def keep_changelog(spark: SparkSession) -> None:
+    """Have the state stores of queries started from now on log changes, so
+    that ``read_changes`` can read them."""
+    spark.conf.set(CHANGELOG, "true")
+
+
+def read_changes(spark: SparkSession, checkpoint: str, schema: str, first_batch: int = 0,
+                 last_batch: int | None = None) -> DataFrame:
+    """A ``latest_stream`` table as a feed: batch, change (``update`` or
+    ``delete``) and the row as it was written, from the state's change log.
+    It goes as far back as the state keeps batches."""
+    r = spark.read.format("statestore").option("readChangeFeed", True).option("changeStartBatchId", first_batch)
+    if last_batch is not None:
+        r = r.option("changeEndBatchId", last_batch)
+    cols = spark.createDataFrame([], schema).columns
+    return r.load(checkpoint).select(F.col("batch_id").alias("batch"), F.col("change_type").alias("change"), "key.*", "value.max.*").select(
+        "batch", "change", *cols)
+
+
+def replayed_changes(feed: DataFrame, keys: list[str], upto: int | None = None) -> DataFrame:
+    """The table that a feed leads to, as of batch ``upto``."""
+    own = feed if upto is None else feed.filter(F.col("batch") <= upto)
+    values = [c for c in feed.columns if c not in (*keys, "batch")]
+    last = own.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("row"))
+    return last.filter("row.change <> 'delete'").select(*keys, *[F.col(f"row.{c}").alias(c) for c in values if c != "change"])

@@ -26,7 +26,7 @@ from ..sources.kafka import read_record_stream
 from . import outputs, processors
 from .sinks import batch_writer, read_batches, run_to_end
 from .sources import table_stream
-from .state import latest_stream, read_latest, read_state
+from .state import keep_changelog, latest_stream, read_changes, read_latest, read_state, replayed_changes
 from .stateful import SPEND_OUTPUT, spend_category_batches, spend_category_stream
 
 CDC_TABLES = ("public.users", "public.orders")
@@ -317,6 +317,16 @@ def q_stream_block_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(processors.CHANGE_OUTPUT).parquet(f"{root}/out").withColumnRenamed("offset", "event_offset")
 
 
+def q_stream_block_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-09, SNK-07: the pair table's changes as a feed, played back to the
+    table."""
+    ckpt = scratch_path(spark, "stream_block_feed")
+    keep_changelog(spark)
+    build_block_state(spark, table_stream(spark, sf_dir, "events"), ckpt)
+    feed = read_changes(spark, ckpt, PAIR_STATE)
+    return replayed_changes(feed, ["user_id", "blocked_id"]).withColumnRenamed("offset", "event_offset")
+
+
 REPLAY_DELAY = "40 days"        # how far out of order the log's files may come
 
 
@@ -363,6 +373,7 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_delivery_counts": q_stream_delivery_counts,
     "stream_cdc_snapshot": q_stream_cdc_snapshot,
     "stream_block_changes": q_stream_block_changes,
+    "stream_block_feed": q_stream_block_feed,
     "stream_replay_asof": q_stream_replay_asof,
 }
 
@@ -383,6 +394,7 @@ STREAM_ORACLE = {
     "stream_delivery_counts": "delivery_counts",
     "stream_cdc_snapshot": "cdc_snapshot_state",
     "stream_block_changes": "block_changes",
+    "stream_block_feed": "block_pair_state",
     "stream_replay_asof": "censor_replay_asof",
 }
 

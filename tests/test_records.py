@@ -191,8 +191,8 @@ def test_route_quantiles_and_key_mismatch(spark):
                            include=["public.users", "public.orders"])
     users = cdc.route(d, "users")
     assert users.count() > 0 and users.filter("table <> 'users'").count() == 0
-    q = {r.table: r.quantiles for r in cdc.delay_quantiles(d).collect()}
-    assert set(q) == {"users", "orders"} and all(len(v) == 3 and v[0] <= v[2] for v in q.values())
+    q = cdc.merged_quantiles(cdc.delay_sketches(d))
+    assert {(r.table, r.probability) for r in q.collect()} == {(t, p) for t in ("users", "orders") for p in (0.5, 0.95, 0.99)}
     ev = spark.createDataFrame([("1", "block:1:2", 1), ("3", "block:4:2", 2)],
                                "key string, value string, offset bigint")
     good, _ = blocklist.parse_block_events(ev)
@@ -276,3 +276,76 @@ def test_queries_run_at_the_same_time():
         met.wait()
         raise RuntimeError("no access")
     assert list(run_each({"a": met.wait, "b": fail})) == ["b"]
+
+
+def test_merged_sketches_are_as_good_as_stated(spark):
+    """Sketches of many days, merged, are within the stated rank error; a
+    quantile that is off is found out."""
+    from pyspark.sql import functions as F
+    d = spark.range(200_000).select(
+        F.lit("t").alias("table"), (F.col("id") * 1_000_000_007 % 86_400_000_000 * 30).alias("source_ts_us"), F.col("id")).withColumn(
+        "ts_us", F.col("source_ts_us") + F.pow(F.col("id") % 1000, 2).cast("bigint"))
+    sketches = cdc.delay_sketches(d)
+    assert sketches.count() == 30 and sketches.agg(F.max(F.length("sketch"))).first()[0] < 20_000
+    q = cdc.merged_quantiles(sketches, (0.01, 0.5, 0.999))
+    ranks = cdc.quantile_ranks(d, q).collect()
+    assert len(ranks) == 3 and all(r.within_error and r.n_changes == 200_000 for r in ranks)
+    off = cdc.quantile_ranks(d, q.withColumn("quantile", F.col("quantile") * 2 + 1)).filter("probability = 0.5").first()
+    assert not off.within_error
+    none = d.limit(0)
+    assert cdc.quantile_ranks(none, cdc.merged_quantiles(cdc.delay_sketches(none))).count() == 0
+
+
+def test_discovered_columns(spark):
+    """Types that hold all values; columns that only some images have."""
+    def change(image, before="null", op="u"):
+        return (f'{{"before":{before},"after":{image},"source":{{"schema":"s","table":"t","lsn":1}},"op":"{op}","ts_ms":1,"ts_us":1}}',)
+    rows = [change('{"id":1,"v":1}'), change('{"id":2,"v":1.5,"x":"a"}'), change("null", '{"id":3,"y":[1]}', "d"), (None,)]
+    recs = spark.createDataFrame([("k", *r) for r in rows], "key string, value string").selectExpr(
+        "CAST(key AS BINARY) AS key", "CAST(value AS BINARY) AS value", "'pg.s.t' AS topic", "0 AS partition", "0L AS offset")
+    got = {r.column: (r.type, r.n_images) for r in cdc.discovered_columns(cdc.decode_changes(recs)).collect()}
+    assert got["id"] == ("BIGINT", 3) and got["v"][1] == 2 and got["v"][0] in ("DOUBLE", "DECIMAL(2,1)", "DECIMAL(11,1)", "DECIMAL(20,1)", "DECIMAL(21,1)")
+    assert got["x"] == ("STRING", 1) and got["y"] == ("ARRAY<BIGINT>", 1) and set(got) == {"id", "v", "x", "y"}
+
+
+def test_csv_codec(spark):
+    from streamfold.functions.codecs import CODECS
+    encode, decode = CODECS["csv"]
+    rows = spark.createDataFrame([(1, 'a "quoted", text', 1.5), (2, None, None), (3, "two\tparts", -0.25)], "i int, s string, d double")
+    back = rows.select(decode(encode("i", "s", "d"), "i INT, s STRING, d DOUBLE").alias("v")).select("v.*")
+    assert [tuple(r)[:3] for r in back.orderBy("i").collect()] == [tuple(r) for r in rows.orderBy("i").collect()]
+    bad = spark.createDataFrame([("x,y,z",)], "line string").select(decode("line", "i INT, s STRING, d DOUBLE").alias("v")).first().v
+    assert bad["_corrupt"] == "x,y,z" and bad.i is None
+
+
+def test_counter_increases(spark, monkeypatch):
+    """Counters that start anew, the first sample, ties in time, and a series
+    that spans many chunks."""
+    from pyspark.sql import functions as F
+    name = "kafka.connect<type=source-task-metrics, connector=c, task=0>source-record-poll-total"
+    day = 86_400_000_000
+    values = [5.0, 8.0, 8.0, 2.0, 2.0, 9.0]
+    rows = [(i, name, i // 2 * day, v) for i, v in enumerate(values)]
+    s = spark.createDataFrame(rows, "sample_id bigint, metric string, us bigint, value double").withColumn("ts", F.timestamp_micros("us"))
+    tagged = metrics.rename_metrics(s, panels=metrics.TOTAL_PANELS)
+    got = [r.increase for r in metrics.increases(tagged).orderBy("sample_id").collect()]
+    assert got == [0.0, 3.0, 0.0, 2.0, 0.0, 7.0]
+    steps = metrics.cumulative(tagged).orderBy("window_start").collect()
+    assert [(r.increase, r.cumulative) for r in steps] == [(3.0, 3.0), (2.0, 5.0), (7.0, 12.0)]
+    monkeypatch.setattr(metrics, "DAY_MICROS", 10_000_000)
+    many = spark.range(3000).select(F.col("id").alias("sample_id"), F.lit(name).alias("metric"),
+                                    F.timestamp_micros(F.col("id") * 1_000_000).alias("ts"), (F.col("id") * 7 % 100).cast("double").alias("value"))
+    total = metrics.cumulative(metrics.rename_metrics(many, panels=metrics.TOTAL_PANELS)).agg(F.max("cumulative")).first()[0]
+    vs = [i * 7 % 100 for i in range(3000)]
+    assert total == sum(b - a if b >= a else b for a, b in zip(vs, vs[1:]))
+
+
+def test_metric_samples_reach_every_rule_and_panel(spark):
+    from streamfold.sources import fixtures
+    s = fixtures.metric_samples(spark, "/root/testdata/sf0.001")
+    names = [r.metric for r in s.select("metric").distinct().collect()]
+    import re
+    for pattern, _, _ in metrics.RENAME_RULES:
+        assert any(re.fullmatch(pattern, n) for n in names), pattern
+    assert any(not any(re.fullmatch(p, n) for p, _, _ in metrics.RENAME_RULES) for n in names)
+    assert all(r.n_series > 0 for r in metrics.max_of_latest(metrics.rename_metrics(s)).collect())

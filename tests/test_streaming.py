@@ -61,6 +61,7 @@ def same(a, b):
     ("stream_record_rejects", "record_rejects"),
     ("stream_cdc_snapshot", "cdc_snapshot_state"),
     ("stream_block_changes", "block_changes"),
+    ("stream_block_feed", "block_pair_state"),
 ])
 def test_twin_over_many_batches(spark, multi_batch, twin, batch):
     assert same(twins.STREAM_QUERIES[twin](spark, multi_batch), catalog.QUERIES[batch](spark, SF))
@@ -220,6 +221,27 @@ def test_snapshot_then_changes(spark, tmp_path):
     assert got == {1: ("r", 10, "one"), 2: ("u", 12, "new"), 3: ("d", 14, None), 4: ("u", 15, None)}
 
 
+def test_feed_replays_to_the_table_at_every_batch(spark, split_dir, tmp_path):
+    """The change log of the state leads to the table as it was after each
+    micro-batch, and names the batch of every change."""
+    from streamfold.streaming import state
+    schema = spark.read.parquet(f"{SF}/events.parquet").schema
+    src, ckpt = f"{tmp_path}/events", f"{tmp_path}/ckpt"
+    os.makedirs(src)
+    state.keep_changelog(spark)
+    tables = []
+    for f in sorted(f for f in os.listdir(f"{split_dir}/events.parquet") if f.endswith(".parquet")):
+        os.symlink(f"{split_dir}/events.parquet/{f}", f"{src}/{f}")
+        twins.build_block_state(spark, dir_stream(spark, src, schema, 1), ckpt)
+        tables.append({tuple(r) for r in read_latest(spark, ckpt, twins.PAIR_STATE).collect()})
+    feed = state.read_changes(spark, ckpt, twins.PAIR_STATE)
+    batches = sorted(r.batch for r in feed.select("batch").distinct().collect())
+    assert len(batches) == len(tables) == 4
+    for batch, table in zip(batches, tables):
+        got = state.replayed_changes(feed, ["user_id", "blocked_id"], upto=batch)
+        assert {tuple(r) for r in got.select("user_id", "blocked_id", "offset", "last_action").collect()} == table
+
+
 def test_block_set_of_one_large_user(spark, tmp_path):
     """100,000 blocks of one user are 100,000 map entries; one more event
     touches one of them."""
