@@ -20,8 +20,8 @@ nor the stream is the corpus:
    document of their occurrences, and streams the passages through it:
    where the matched length reaches ``WINDOW``, the state of that length
    names the first document;
-4. the answer of a passage goes back to its occurrences, as one join on a
-   128-bit digest that AQE can split for a passage half the corpus holds.
+4. the answer of a passage goes back to its occurrences, as one join on
+   128 bits of digest that AQE can split for a passage half the corpus holds.
 
 An anchor with over ``HOT`` occurrences (a phrase with other neighbours in
 each document) would fill its shard: its windows are dealt one by one, by
@@ -52,11 +52,10 @@ from .words import is_blank, word_bounds
 WINDOW = 13
 GRAM = 4
 SPAN = WINDOW - GRAM + 1          # anchors a window can have
-HOT = 1 << 14                     # occurrences of one anchor that are dealt together
+HOT = 1 << 15                     # occurrences of one anchor that are dealt together
 SHARD_ROWS = 1 << 13              # passages of a shard, on average
 CUT = 1 << 20                     # bytes hashed at a time
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD)]
-PASSAGE = "route bigint, seg binary, digest binary, doc bigint, start bigint"
 
 
 class Automaton:
@@ -84,64 +83,70 @@ class Automaton:
         return r
 
     def add(self, words: list, doc: int) -> None:
-        at = 0
+        at, moves, length, least = 0, self.next, self.length, self.least
         for w in words:
-            q = self.next[at].get(w)
+            q = moves[at].get(w)
             if q is not None:
-                at = q if self.length[q] == self.length[at] + 1 else self._split(at, w, q)
+                at = q if length[q] == length[at] + 1 else self._split(at, w, q)
             else:
-                new, p = self._state({}, 0, self.length[at] + 1), at
-                while p >= 0 and w not in self.next[p]:
-                    self.next[p][w] = new
+                new, p = self._state({}, 0, length[at] + 1), at
+                while p >= 0 and w not in moves[p]:
+                    moves[p][w] = new
                     p = self.link[p]
                 if p >= 0:
-                    q = self.next[p][w]
-                    self.link[new] = q if self.length[q] == self.length[p] + 1 else self._split(p, w, q)
+                    q = moves[p][w]
+                    self.link[new] = q if length[q] == length[p] + 1 else self._split(p, w, q)
                 at = new
-            if doc < self.least[at]:
-                self.least[at] = doc
+            if doc < least[at]:
+                least[at] = doc
 
     def settle(self) -> None:
         """Smallest documents, from longer sequences to their suffixes."""
-        for s in sorted(range(1, len(self.link)), key=self.length.__getitem__, reverse=True):
-            up = self.link[s]
-            if self.least[s] < self.least[up]:
-                self.least[up] = self.least[s]
+        least, link = self.least, self.link
+        for s in np.argsort(-np.array(self.length), kind="stable").tolist():
+            up = link[s]
+            if up > 0 and least[s] < least[up]:
+                least[up] = least[s]
 
     def firsts(self, words: list, k: int) -> list[int]:
         """For each window of ``k`` words the first document that has it
         (LAST: none), by matching statistics."""
         out, at, matched = [], 0, 0
-        for i, w in enumerate(words):
-            while at and w not in self.next[at]:
-                at = self.link[at]
-                matched = self.length[at]
-            if w in self.next[at]:
-                at, matched = self.next[at][w], matched + 1
-            while at and self.length[self.link[at]] >= k:                # the state of the last k words
-                at = self.link[at]
-                matched = self.length[at]
-            if i + 1 >= k:
-                out.append(self.least[at] if matched >= k else LAST)
-        return out
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+        moves, link, length, least = self.next, self.link, self.length, self.least
+        for w in words:
+            to = moves[at].get(w)
+            while to is None and at:
+                at = link[at]
+                matched = length[at]
+                to = moves[at].get(w)
+            if to is not None:
+                at, matched = to, matched + 1
+            while at and length[link[at]] >= k:           # the state of the last k words
+                at = link[at]
+                matched = length[at]
+            out.append(least[at] if matched >= k else LAST)
+        return out[k - 1:]
+
+
+def powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number modulo 2^64, and of its inverse."""
-    base = int(_ODD[0])
-    return (np.cumprod(np.full(n, base, np.uint64)), np.cumprod(np.full(n, pow(base, -1, 1 << 64), np.uint64)))
+    return (np.cumprod(np.full(n, base, np.uint64)), np.cumprod(np.full(n, pow(int(base), -1, 1 << 64), np.uint64)))
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    return (h ^ (h >> np.uint64(29))) * _ODD[2]
 
 
-def word_hashes(text: bytes, starts: np.ndarray, ends: np.ndarray, cut: int = CUT) -> np.ndarray:
+def word_hashes(text: bytes, starts: np.ndarray, ends: np.ndarray, cut: int = CUT, base: np.uint64 = _ODD[0]) -> np.ndarray:
     """64-bit hash of each word; equal words have equal hashes in any text."""
     out = np.zeros(len(starts), np.uint64)
-    up, down = powers(min(cut, len(text)))
+    up, down = powers(base, min(cut, len(text)))
     i = 0
     while i < len(starts):
         a = starts[i]
         j = int(np.searchsorted(ends, a + cut, side="right"))
         if j <= i:                                        # one word of over ``cut`` bytes
-            out[i] = xxhash.xxh64_intdigest(text[a:ends[i]])
+            out[i] = xxhash.xxh64_intdigest(text[a:ends[i]], int(base))
             i += 1
             continue
         b = np.frombuffer(text, np.uint8, count=int(ends[j - 1] - a), offset=int(a))
@@ -150,7 +155,15 @@ def word_hashes(text: bytes, starts: np.ndarray, ends: np.ndarray, cut: int = CU
         own = starts[i:j] - a
         out[i:j] = np.add.reduceat(terms, own) * down[own]
         i = j
-    return (out ^ (out >> np.uint64(29))) * _ODD[2]
+    return mixed(out)
+
+
+def sequence_hashes(words: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """64-bit hash of each sequence of words ``first`` to ``after``, whose
+    word hashes are given."""
+    up, down = powers(_ODD[0], len(words))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * up)))
+    return mixed((sums[after] - sums[first]) * down[first] + (after - first).astype(np.uint64)) if len(words) else np.zeros(0, np.uint64)
 
 
 def run_hashes(words: np.ndarray, k: int) -> np.ndarray:
@@ -175,6 +188,11 @@ class Batch:
         self.base = np.searchsorted(self.starts, edge - [len(t) + 1 for t in texts])    # first word of each document
         self.words = word_hashes(self.text, self.starts, self.ends)
 
+    def digests(self, first: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Two independent 64-bit hashes of each sequence of words."""
+        other = word_hashes(self.text, self.starts, self.ends, base=_ODD[1])
+        return np.column_stack([sequence_hashes(w, first, after).view(np.int64) for w in (self.words, other)])
+
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(document, first window, last window, hash) of each run of
         windows that share an anchor; windows as numbers of their first word."""
@@ -222,7 +240,8 @@ def repeated_anchors(rows: DataFrame, hot: int) -> DataFrame:
     anchors = anchor_rows(rows)
     shared = stored(anchors.groupBy("h").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.sum("n").alias("n"))
                     .filter("least < most").select("h", (F.col("n") > hot).alias("crowd")), "automaton_anchors")
-    return (anchors.join(shared, "h").groupBy("doc")
+    # A hash table of what repeats, not a sort of all anchors.
+    return (anchors.join(shared.hint("shuffle_hash"), "h").groupBy("doc")
             .agg(F.collect_set("h").alias("keys"), F.collect_set(F.when(F.col("crowd"), F.col("h"))).alias("hot")))
 
 
@@ -234,59 +253,74 @@ def copies(rows: DataFrame) -> DataFrame:
     return said.join(groups, "d").filter("doc > least").groupBy("doc").agg(F.lit(True).alias("copy"))
 
 
-def passages(marked: DataFrame) -> DataFrame:
-    """One row per passage of a document around an anchor that repeats: the
-    shard's key, the words, their digest, and the number of the first word."""
+def passages(marked: DataFrame, words: bool) -> DataFrame:
+    """The passages of documents around anchors that repeat.  With ``words``
+    route (the shard's key), seg (the words), their two digests, and the
+    smallest and largest document, a row for each distinct one of some
+    documents; else the digests, document and first word of every passage."""
     def run(b: pa.RecordBatch):
         docs = b.column(0).to_numpy(zero_copy_only=False)
-        lists = [b.column(i).to_pylist() for i in (2, 3)]
         batch = Batch(utf8(b.column(1)))
         own, first, last, h = batch.anchors()
 
-        def told(keys: list[list[int]]) -> np.ndarray:     # which anchors their documents list
-            salt = np.arange(1, len(keys) + 1, dtype=np.uint64) * _ODD[1]
-            listed = [np.array(k, np.int64).view(np.uint64) + salt[i:i + 1] for i, k in enumerate(keys)]
+        def told(lists: list[list[int]]) -> np.ndarray:    # which anchors their documents list
+            salt = np.arange(1, len(lists) + 1, dtype=np.uint64) * _ODD[1]
+            listed = [np.array(k, np.int64).view(np.uint64) + salt[i:i + 1] for i, k in enumerate(lists)]
             return np.isin(h + salt[own], np.concatenate(listed))
-        crowd = told(lists[1])
-        whole = run_hashes(batch.words, WINDOW).view(np.int64)
-        cols: list[list] = [[], [], [], [], []]
-        for i in np.flatnonzero(told(lists[0])):
-            a, z, d = int(first[i]), int(last[i]), int(own[i])
-            parts = [(w, w, int(whole[w])) for w in range(a, z + 1)] if crowd[i] else [(a, z, int(h[i].view(np.int64)))]
-            for p, q, route in parts:
-                seg = batch.passage(p, q)
-                for col, x in zip(cols, (route, seg, xxhash.xxh3_128_digest(seg), int(docs[d]), p - int(batch.base[d]))):
-                    col.append(x)
-        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["route", "seg", "digest", "doc", "start"])
-    return map_batches(marked.select("doc", "text", "keys", "hot"), run, PASSAGE)
+        use = told(b.column(2).to_pylist())
+        alone = told(b.column(3).to_pylist())[use]         # dealt window by window
+        own, first, last, h = own[use], first[use], last[use], h[use]
+        many = np.where(alone, last - first + 1, 1)
+        at = np.repeat(np.arange(len(own)), many)          # the anchor of each passage
+        step = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
+        a = first[at] + step
+        z = np.where(alone[at], a, last[at])
+        d = docs[own[at]]
+        two = batch.digests(a, z + WINDOW)
+        if not words:
+            yield pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(d, pa.int64()),
+                                              pa.array(a - batch.base[own[at]], pa.int64())], ["d1", "d2", "doc", "start"])
+            return
+        route = np.where(alone[at], run_hashes(batch.words, WINDOW)[a].view(np.int64) if len(a) else 0, h[at].view(np.int64))
+        order = np.lexsort((d, two[:, 1], two[:, 0]))
+        new = np.concatenate(([True], (two[order][1:] != two[order][:-1]).any(axis=1)))[:len(order)]
+        i = order[new]                                     # the smallest document of each distinct passage
+        j = order[np.append(np.flatnonzero(new)[1:] - 1, len(order) - 1)] if len(order) else order
+        segs = [batch.passage(p, q) for p, q in zip(a[i].tolist(), z[i].tolist())]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(route[i], pa.int64()), pa.array(segs, pa.binary()), pa.array(two[i, 0]), pa.array(two[i, 1]),
+             pa.array(d[i], pa.int64()), pa.array(d[j], pa.int64())], ["route", "seg", "d1", "d2", "least", "most"])
+    return map_batches(marked.select("doc", "text", "keys", "hot"), run,
+                       "route bigint, seg binary, d1 bigint, d2 bigint, least bigint, most bigint" if words
+                       else "d1 bigint, d2 bigint, doc bigint, start bigint")
 
 
 def first_documents(found: DataFrame, shards: int) -> DataFrame:
-    """(digest, firsts): the first document of each window of the distinct
+    """(d1, d2, firsts): the first document of each window of the distinct
     passages, from the automaton of their shard.  Passages whose windows no
     later document has are left out."""
     ship()
-    refs = (found.groupBy("route", "seg", "digest").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-            .withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards))))
+    # Dealt by shard once; equal passages fold behind that exchange, in Spark's
+    # hash aggregate, so a shard's task holds distinct ones alone.
+    refs = (found.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards))).repartition("shard")
+            .groupBy("shard", "route", "seg", "d1", "d2").agg(F.min("least").alias("least"), F.max("most").alias("most")))
 
     def run(t: pa.Table) -> pa.Table:
-        auto, rows = Automaton(), [(s.split(b" "), d) for s, d in zip(t.column("seg").to_pylist(), t.column("least").to_pylist())]
-        for words, doc in rows:
-            auto.add(words, doc)
+        auto, words = Automaton(), [s.split(b" ") for s in t.column("seg").to_pylist()]
+        for w, doc in zip(words, t.column("least").to_pylist()):
+            auto.add(w, doc)
         auto.settle()
-        got = [auto.firsts(words, WINDOW) for words, _ in rows]
+        got = [auto.firsts(w, WINDOW) for w in words]
         use = [i for i, (f, most) in enumerate(zip(got, t.column("most").to_pylist())) if min(f) < most]
-        return pa.table({"digest": t.column("digest").take(pa.array(use, pa.int64())).cast(pa.binary()),
-                         "firsts": pa.array([got[i] for i in use], pa.list_(pa.int64()))})
-    return refs.groupBy("shard").applyInArrow(run, "digest binary, firsts array<bigint>")
+        pick = t.select(["d1", "d2"]).take(pa.array(use, pa.int64()))
+        return pick.append_column("firsts", pa.array([got[i] for i in use], pa.list_(pa.int64())))
+    return refs.groupBy("shard").applyInArrow(run, "d1 bigint, d2 bigint, firsts array<bigint>")
 
 
-def repeated_spans(marked: DataFrame, shards: int) -> DataFrame:
-    """(doc, spans): covered words of each document, as start, end, ..."""
-    found = passages(marked)
-    told = (found.select("digest", "doc", "start").join(first_documents(found, shards), "digest")
-            .filter(F.array_min("firsts") < F.col("doc")))
+def repeated_windows(marked: DataFrame, shards: int) -> DataFrame:
+    """(doc, wins): the first words of the covered windows of each document."""
+    firsts = first_documents(passages(marked, True), shards)
+    told = passages(marked, False).join(firsts, ["d1", "d2"]).filter(F.array_min("firsts") < F.col("doc"))
     covered = F.filter(F.transform("firsts", lambda f, i: F.when(f < F.col("doc"), F.col("start") + i)), lambda x: x.isNotNull())
     return told.select("doc", covered.alias("wins")).groupBy("doc").agg(F.flatten(F.collect_list("wins")).alias("wins"))
 
@@ -321,7 +355,7 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whole = stored(copies(rows), "automaton_copied")
     shards = 1 + (shared.agg(F.sum(F.size("keys"))).first()[0] or 0) // shard_rows
     marked = rows.join(shared, "doc").join(whole, "doc", "left").filter("copy is null").select("doc", "text", "keys", "hot")
-    full = rows.join(repeated_spans(marked, shards), "doc", "left").join(whole, "doc", "left").withColumnRenamed(
+    full = rows.join(repeated_windows(marked, shards), "doc", "left").join(whole, "doc", "left").withColumnRenamed(
         "doc", "_sf_doc").select(doc_id.alias("doc_id"), "text", "wins", F.coalesce("copy", F.lit(False)).alias("copy"))
 
     def run(b: pa.RecordBatch):
