@@ -1,18 +1,34 @@
 """HTML extraction by line-block distribution (operator 8).
 
 Markup is stripped to lines: one line for each block of text.  A line's
-length is its text outside links; lines inside elements that never hold
-the article (menus, headers, footers, sidebars, notices, adverts, forms,
-comments; by element, role, class or id) have no length.  Lengths are
-summed over sliding windows of ``WINDOW`` lines.  Text surges at a line
-that begins a window of at least ``SURGE`` characters (or, on a page with
-little text, half of its densest window), and dives where a window has none
-left; all lines between are the main text, those of links alone too.
+length is its text outside links.  Lines inside elements that never hold the
+article by element, role, or by being hidden (menus, headers, footers,
+sidebars, forms) are no lines.
+
+A class or id only raises a suspicion.  An element so named goes when the
+text agrees: it is mostly links, or holds less than half of the text of the
+article (of the page, when no article is marked), or of one or two lines
+less than nine tenths, or lies outside a marked article.  An element that holds, or
+is, a marked article or its heading never goes by its name, nor does a
+paragraph, heading, list item, quote or cell inside a marked article, unless
+the name says more than one word (``cookie-notice``).  Reader comments are
+no part of an article however long they are: a name that says comments goes
+without evidence.
+
+Lengths are summed over sliding windows of ``WINDOW`` lines.  Text surges
+at a line that begins a window of at least ``SURGE`` characters (or, on a
+page with little text, half of its densest window), and dives where a window
+has none left; all lines between are the main text, those of links alone too.
 
 Where a page marks its article (``article``, ``main``, ``role=main``,
-``itemprop=articleBody``), the tag takes the place of surge and dive: its
-lines are the main text, unless a run of lines outside has more text than
-it, as on a page with teasers in ``article``; then the marks say nothing.
+``itemprop=articleBody``), the mark is a weight: lines inside count at least
+``SURGE``, lines outside count nothing, so that windows surge where the mark
+begins and dive where it ends.  A mark has no weight when a run of lines
+outside has more text than all lines inside, as on a page with teasers in
+``article``.
+
+Every tag costs the same on average, however many elements are open: open
+elements are kept by name, and what encloses a word is a linked list.
 
 Defined results: null, empty or text-free html gives an empty text; html
 cut off anywhere is read to its end, unclosed elements end with their
@@ -59,16 +75,22 @@ OUT_WORD = re.compile(
     r"|(?:banner|google)[_-]ads?|(?:social|share|sharing)[_-](?:links|share|buttons|icons|bar)|related[_-](?:posts|articles|links|stories)"
     r"|comments?[_-](?:list|area|section|form|body|wrapper)|newsletter[_-](?:signup|form|box)|skip[_-]link)(?=\s|$)", re.I)
 COMMENT = re.compile(r"(?:^|\s)(?:comments?|comment[_-](?:body|content)|(?:div-)?comment-\d+)(?=\s|$)", re.I)
+# Reader comments by any of these parts of a class or id, unless the element only says whether there are any.
+COMMENTS = re.compile(r"(?:^|\s)(?!(?:no|has|with)[_-])(?:[\w-]*[_-])?(?:comments?(?:list)?|disqus|replies|respond)(?:[_-](?:list|thread|area|section"
+                      r"|form|body|wrapper|container|content|box|embed))?(?=\s|$)", re.I)
+COMPOUND = re.compile(r"[_-]")
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
-ATTR = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+TEXT = frozenset("p li dd dt blockquote pre td th figcaption".split()) | HEADING      # of an article, whatever their names
+HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+ATTR = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 # What a start tag ends if it is still open.
 ENDED_BY = {"p": BLOCKS, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
             "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"])}
 
 
 def _kind(name: str, attrs: str, in_article: bool) -> str:
-    """'out', 'main', 'named' (out by its class or id alone) or '' for an
-    element."""
+    """'out', 'main', 'comments', 'named' (suspected by its class or id) or
+    '' for an element."""
     got = {}
     if attrs and ("=" in attrs or "hidden" in attrs):
         got = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in ATTR.finditer(attrs)}
@@ -76,50 +98,75 @@ def _kind(name: str, attrs: str, in_article: bool) -> str:
     # A header inside the article holds its heading; a page's holds its name.
     if name in OUT and not (name == "header" and in_article) or role in OUT_ROLE:
         return "out"
-    if "hidden" in got or got.get("aria-hidden", "").lower() == "true":
+    if "hidden" in got or got.get("aria-hidden", "").lower() == "true" or HIDDEN.search(got.get("style", "")):
         return "out"
+    names = f"{got.get('class', '')} {got.get('id', '')}"
     if name in ("article", "main") or role == "main" or got.get("itemprop", "").lower() == "articlebody":
-        named = f"{got.get('class', '')} {got.get('id', '')}"
-        return "out" if COMMENT.search(named) else "main"
-    if name not in ("body", "html") and OUT_WORD.search(f"{got.get('class', '')} {got.get('id', '')}"):
-        return "named"
-    return ""
+        return "out" if COMMENT.search(names) else "main"
+    if name in ("body", "html"):
+        return ""
+    if COMMENTS.search(names) and not (in_article and name in TEXT):
+        return "comments"
+    said = OUT_WORD.search(names)
+    return "named" if said and not (in_article and name in TEXT and not COMPOUND.search(said[0])) else ""
+
+
+class _Named:
+    """An element that may go, in the list of those around it."""
+    __slots__ = ("up", "comments", "inside", "keep", "text", "link", "blocks", "gone")
+
+    def __init__(self, up: _Named | None, comments: bool, inside: bool) -> None:
+        self.up, self.comments, self.inside = up, comments, inside
+        self.keep, self.text, self.link, self.blocks, self.gone = False, 0, 0, 0, False
+
+
+def _keep(at: _Named | None) -> None:
+    """These elements don't go by name, nor do those around them."""
+    while at is not None and not at.keep:
+        at.keep = True
+        at = at.up
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """(text, length outside links, inside a marked article) of each block
-    of text that may belong to the article.  An element that is out by name
-    alone stays when it holds, or is, a marked article or its heading: the
-    first h1 of the article or, without a marked one, of the page; else the
-    heading with which the article begins."""
-    held, words = [], []                                # words: (text, in a link, named elements around it)
-    stack: list[tuple[str, str, list[bool]]] = []       # [True] while an element is out by name
-    named: tuple = ()
-    first: dict[bool, tuple] = {}                       # named elements around the first h1, inside an article or not
-    opening: tuple | None = None                        # ... around the heading with which the article begins
+    of text that may belong to the article.  An element that is suspected
+    stays when it holds, or is, a marked article or its heading: the first
+    h1 of the article or, without a marked one, of the page; else the heading
+    with which the article begins."""
+    held, words = [], []                                # words: (text, in a link, the innermost suspect around it)
+    stack: list[tuple] = []                             # (name, kind, the innermost suspect outside it)
+    where: dict[str, list[int]] = {}                    # places in the stack, by name
+    blocks: list[int] = []                              # places of blocks in the stack
+    headings: list[str] = []                            # open headings
+    suspects: list[_Named] = []
+    named: _Named | None = None
+    first: dict[bool, _Named | None] = {}               # around the first h1, inside an article or not
+    opening: list = []                                  # around the heading with which the article begins
     out = article = links = 0
 
     def flush() -> None:
-        nonlocal opening
-        about = next((w[2] for w in words if w[0].strip()), None)
+        about = next((w for w in words if w[0].strip()), None)
         if about is not None:
-            tag = next((e[0] for e in reversed(stack) if e[0] in HEADING), "")
+            tag = headings[-1] if headings else ""
             if tag == "h1":
-                first.setdefault(article > 0, about)
-            if article and opening is None:
-                opening = about if tag else ()
+                first.setdefault(article > 0, about[2])
+            if article and not opening:
+                opening.append(about[2] if tag else None)
             held.append((words.copy(), article > 0))
         words.clear()
 
     def leave(k: int) -> None:
         nonlocal out, article, links, named
-        for name, kind, _ in stack[k:]:
+        while len(stack) > k:
+            name, kind, named = stack.pop()
+            where[name].pop()
+            if name in BLOCKS:
+                blocks.pop()
+            if name in HEADING:
+                headings.pop()
             out -= kind == "out"
             article -= kind == "main"
             links -= name == "a"
-        if any(e[1] == "named" for e in stack[k:]):
-            named = tuple(e[2] for e in stack[:k] if e[1] == "named")
-        del stack[k:]
 
     def say(text: str) -> None:
         if text and not out:
@@ -137,32 +184,35 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         elif name == "br":
             say(" ")
         if m["close"] or m["close2"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    leave(k)
-                    break
+            if where.get(name):
+                leave(where[name][-1])
             continue
         if name in VOID:
             continue
-        while stack and name in ENDED_BY.get(_open_block(stack), ()):
-            leave(_last_block(stack))
+        while blocks and name in ENDED_BY.get(stack[blocks[-1]][0], ()):
+            leave(blocks[-1])
         kind = _kind(name, m["attrs"] or m["attrs2"] or "", article > 0)
         if kind == "main" and not out:
-            for e in stack:
-                e[2][0] = False
-        stack.append((name, kind, [kind == "named"]))
-        if kind == "named":
-            named = (*named, stack[-1][2])
+            _keep(named)
+        where.setdefault(name, []).append(len(stack))
+        if name in BLOCKS:
+            blocks.append(len(stack))
+        if name in HEADING:
+            headings.append(name)
+        stack.append((name, kind, named))
+        if kind in ("named", "comments"):
+            named = _Named(named, kind == "comments", article > 0)
+            suspects.append(named)
         out += kind == "out"
         article += kind == "main"
         links += name == "a"
     say(page[at:])
     flush()
-    for e in first.get(any(a for _, a in held), opening or ()):
-        e[0] = False
+    _keep(first.get(any(a for _, a in held), opening[0] if opening else None))
+    _judge(held, suspects)
     lines = []
     for ws, inside in held:
-        ws = [w for w in ws if not any(e[0] for e in w[2])]
+        ws = [w for w in ws if w[2] is None or not w[2].gone]
         text = " ".join(_html.unescape("".join(w[0] for w in ws)).split())
         if text:
             link = sum(len("".join(_html.unescape(w[0]).split())) for w in ws if w[1])
@@ -170,13 +220,28 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     return lines
 
 
-def _last_block(stack) -> int:
-    return next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in BLOCKS), -1)
-
-
-def _open_block(stack) -> str:
-    k = _last_block(stack)
-    return stack[k][0] if k >= 0 else ""
+def _judge(held: list, suspects: list[_Named]) -> None:
+    """Decide from the text which suspects go; what is inside goes along."""
+    whole = {True: 0, False: 0}                          # text of the article, of the page
+    for ws, inside in held:
+        for text, link, at in ws:
+            n = len(text) - text.count(" ")
+            whole[False] += n
+            whole[True] += n if inside else 0
+            if at is not None:
+                at.text += n
+                at.link += n if link else 0
+        if ws[-1][2] is not None:
+            ws[-1][2].blocks += 1
+    for e in reversed(suspects):                         # inner ones come later
+        if e.up is not None:
+            e.up.text += e.text
+            e.up.link += e.link
+            e.up.blocks += e.blocks
+    for e in suspects:
+        agrees = (e.comments or 2 * e.link > e.text or 2 * e.text < whole[e.inside] or e.blocks < WINDOW and 10 * e.text < 9 * whole[e.inside]
+                  or whole[True] > 0 and not e.inside)
+        e.gone = not e.keep and agrees or e.up is not None and e.up.gone
 
 
 def runs(lengths: list[int], window: int, surge: int) -> list[tuple[int, int]]:
@@ -198,17 +263,20 @@ def runs(lengths: list[int], window: int, surge: int) -> list[tuple[int, int]]:
 
 
 def main_lines(lines: list[tuple[str, int, bool]], window: int = WINDOW, surge: int = SURGE) -> list[str]:
-    """The lines inside the marked article, unless a run of lines outside
-    has more text; else the lines between each surge and its dive."""
+    """The lines between each surge and its dive, in windows of lengths that
+    a trusted mark weighs."""
     lengths = [n for _, n, _ in lines]
     outside = [[n for _, n, _ in part] for marked, part in groupby(lines, key=lambda x: x[2]) if not marked]
     rest = max((sum(part[a:z]) for part in outside for a, z in runs(part, window, surge)), default=0)
-    inside = [t for t, _, a in lines if a]
-    if inside and sum(map(len, inside)) >= rest:
-        return inside
-    if not any(lengths):                    # links alone: those of a paragraph's length
-        return [t for t, *_ in lines if len(t) >= surge]
-    return [t for a, z in runs(lengths, window, surge) for t, *_ in lines[a:z]]
+    marked = sum(len(t) for t, _, a in lines if a)
+    if marked and marked >= rest:
+        lengths = [max(n, surge) if a else 0 for _, n, a in lines]
+    elif not any(lengths):                  # links alone: those of about a paragraph's length
+        least = min(surge, max((len(t) for t, *_ in lines), default=0) // 2)
+        return [t for t, *_ in lines if len(t) >= least and t.count(" ") >= 4]
+    else:
+        marked = 0
+    return [t for a, z in runs(lengths, window, surge) for t, _, inside in lines[a:z] if inside or not marked]
 
 
 def main_text(page: str | None) -> str:
