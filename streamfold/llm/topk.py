@@ -1,18 +1,23 @@
 """Exact top-k inner-product search by pivot-table elimination (operator 6).
 
-Vectors become integers, ``floor(1024 * x)``.  With |q| and |x| known, the
-inner product is ``(|q|^2 + |x|^2 - d(q, x)^2) / 2``, and for every pivot p
-``d(q, x) >= |d(q, p) - d(x, p)|``.  The distances to ``PIVOTS`` pivots are
-computed once per vector; the largest lower bound over the pivots bounds a
-candidate's score from above.  Candidates are scored in the order of their
+Vectors become integers, ``floor(1024 * x)``.  Pivots are vectors of the
+table, each the farthest from the span of those before it, seven for every
+eight dimensions.  A vector's distances to all pivots fix its coordinates in
+their span and its distance from the span, and the pivot table keeps them in
+this form, once per vector.  Of the lower bounds that the distances give,
+the largest is ``d(q, x)^2 >= |c(q) - c(x)|^2 + (r(q) - r(x))^2``, with c the
+coordinates and r the distance from the span: no single pivot's
+``|d(q, p) - d(x, p)|`` is larger.  As ``2 q.x = |q|^2 + |x|^2 - d^2``, it
+bounds a score from above.  Candidates are scored in the order of their
 bounds until the k-th best score exceeds the next bound: exact, however
 good the pivots are.
 
 Queries meet candidates block by block: vectors are dealt by hash into
-blocks of about ``BLOCK``, every pair of a query block and a candidate
-block is one group of bounded size, and the k best of each pair are ranked
-again per query.  The pivots, at most ``PIVOTS`` vectors picked far apart from a
-sample of ``PIVOT_SAMPLE``, are all that goes through the driver.
+blocks of about ``BLOCK`` and ``QUERY_BLOCK``, and each pair of blocks is one
+group of bounded size.  A first pass over one block per query gives it a
+k-th score, below which no other block scores anything.  The k best of each
+pair are ranked again per query.  The pivots, picked from a sample of
+``PIVOT_SAMPLE`` vectors, are all that goes through the driver.
 
 Defined results: vectors that are null, or hold a null or non-finite
 component, and rows without an id take no part; vectors of another length
@@ -33,11 +38,12 @@ from pyspark.sql import functions as F
 from .common import map_batches, ship, stored
 
 SCALE = 1024.0
-PIVOTS = 32
+PIVOT_SHARE = 0.875        # pivots per dimension
 PIVOT_SAMPLE = 1024
+SPREAD = 1e-2              # least distance of a pivot from the span of the others, of the farthest's
 BLOCK = 4096
-QUERY_BLOCK = 512
-STEP = 256                 # candidates scored between two looks at the bounds
+QUERY_BLOCK = 4096
+STEP = 32                  # candidates scored between two looks at the bounds
 EXACT = float(1 << 53)
 
 
@@ -66,33 +72,47 @@ def vectors(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return map_batches(rows, run, "id bigint, dim int, vec binary")
 
 
-def pick_pivots(vecs: DataFrame, pivots: int = PIVOTS, sample: int = PIVOT_SAMPLE) -> dict[int, np.ndarray]:
-    """Per vector length, vectors far from each other, from the ``sample``
-    vectors with the smallest hashes."""
+def span_of(m: np.ndarray, pivots: int) -> np.ndarray:
+    """An orthonormal basis of the span of up to ``pivots`` rows of ``m``,
+    each the farthest from the span of those before it."""
+    rest, basis, most = m.copy(), [], 0.0
+    for _ in range(min(pivots, len(m))):
+        far = np.linalg.norm(rest, axis=1)
+        i = int(np.argmax(far))
+        most = most or far[i]
+        if far[i] <= SPREAD * most:
+            break
+        b = rest[i] / far[i]
+        for _ in range(2):                             # once more, against rounding
+            for c in basis:
+                b = b - (b @ c) * c
+            b /= np.linalg.norm(b)
+        basis.append(b)
+        rest = rest - np.outer(rest @ b, b)
+    return np.stack(basis) if basis else np.zeros((0, m.shape[1]))
+
+
+def pick_pivots(vecs: DataFrame, pivots: int | None = None, sample: int = PIVOT_SAMPLE) -> dict[int, np.ndarray]:
+    """Per vector length the span of its pivots, from the ``sample`` vectors
+    with the smallest hashes."""
     got = vecs.orderBy(F.xxhash64("id", "vec"), "id").limit(sample).toPandas()
-    out = {}
-    for dim, g in got.groupby("dim"):
-        m = np.stack([np.frombuffer(v, "<f8") for v in g["vec"]])
-        far, own = np.full(len(m), np.inf), []
-        for _ in range(min(pivots, len(m))):
-            own.append(int(np.argmax(far)))
-            far = np.minimum(far, np.linalg.norm(m - m[own[-1]], axis=1))
-        out[int(dim)] = m[own]
-    return out
+    return {int(dim): span_of(_matrix(g["vec"]), pivots or max(1, round(PIVOT_SHARE * dim))) for dim, g in got.groupby("dim") if dim}
 
 
 def with_distances(vecs: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
-    """The pivot table: (id, dim, vec, norm2, dist)."""
+    """The pivot table: (id, dim, vec, norm, dist): where a vector is in the
+    pivots' span, and last its distance from the span."""
     def run(b: pa.RecordBatch):
-        n2, ds = [], []
+        norms, ds = [], []
         for dim, v in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
             a = np.frombuffer(v, "<f8")
-            p = pivots.get(dim, np.zeros((0, dim)))
-            n2.append(float(a @ a))
-            ds.append(np.linalg.norm(p - a, axis=1).astype("<f8").tobytes())
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n2, pa.float64()), pa.array(ds, pa.binary())],
-                                         ["id", "dim", "vec", "norm2", "dist"])
-    return map_batches(vecs, run, "id bigint, dim int, vec binary, norm2 double, dist binary")
+            c = pivots.get(dim, np.zeros((0, dim))) @ a
+            n2 = float(a @ a)
+            norms.append(n2 ** .5)
+            ds.append(np.append(c, max(0.0, n2 - float(c @ c)) ** .5).astype("<f8").tobytes())
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(norms, pa.float64()), pa.array(ds, pa.binary())],
+                                         ["id", "dim", "vec", "norm", "dist"])
+    return map_batches(vecs, run, "id bigint, dim int, vec binary, norm double, dist binary")
 
 
 def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -108,53 +128,66 @@ def _matrix(col) -> np.ndarray:
     return np.stack([np.frombuffer(v, "<f8") for v in col])
 
 
-def search_block(cand: pd.DataFrame, query: pd.DataFrame, k: int) -> list[tuple]:
-    """(query id, query vector's hash, id, score): the k best of each query
-    among the candidates, by falling bound until none can enter."""
-    x, xd, xn, ids = _matrix(cand["vec"]), _matrix(cand["dist"]), cand["norm2"].to_numpy(), cand["id"].to_numpy()
-    q, qd, qn = _matrix(query["vec"]), _matrix(query["dist"]), query["norm2"].to_numpy()
-    out = []
-    for i, qid in enumerate(query["id"].tolist()):
-        low = np.abs(xd - qd[i]).max(axis=1) if xd.shape[1] else np.zeros(len(x))
-        size = qn[i] + xn
-        # The bound is rounded up by far more than the error of these doubles.
-        bound = (size - low * low) / 2 + 1e-9 * (size + low * low) + 1
-        bound[ids == qid] = -np.inf
+def search_block(cand: pd.DataFrame, query: pd.DataFrame, k: int) -> tuple[list[tuple], int]:
+    """(query id, query vector's hash, id, score) of the k best of each
+    query among the candidates, by falling bound until none can enter, and
+    how many were scored.  Scores under a query's ``least`` may be left out."""
+    x, xd, xn, ids = _matrix(cand["vec"]), _matrix(cand["dist"]), cand["norm"].to_numpy(), cand["id"].to_numpy()
+    q, qd, qn = _matrix(query["vec"]), _matrix(query["dist"]), query["norm"].to_numpy()
+    least = query["least"].to_numpy(dtype=np.float64) if "least" in query else np.full(len(query), -np.inf)
+    out, scored = [], 0
+    for i, (qid, h) in enumerate(zip(query["id"].tolist(), query["qh"].tolist())):
+        # Rounded up by far more than the error of these doubles.
+        bound = xd @ qd[i] + 1e-9 * qn[i] * xn + 1
+        bound[(ids == qid) | (bound < least[i])] = -np.inf
         order = np.argsort(-bound, kind="stable")
         best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for a in range(0, len(order), STEP):
             at = order[a:a + STEP]
-            if bound[at[0]] == -np.inf or len(best) == k and bound[at[0]] < float(best[-1]):
+            floor = float(best[-1]) if len(best) == k else -np.inf
+            at = at[(bound[at] >= floor) & (bound[at] > -np.inf)]
+            if not len(at):
                 break
-            at = at[bound[at] > -np.inf]
+            scored += len(at)
             best, best_ids = np.concatenate((best, products(x[at], q[i]))), np.concatenate((best_ids, ids[at]))
             top = np.lexsort((best_ids, -best.astype(object) if (best == -(1 << 63)).any() else -best))[:k]
             best, best_ids = best[top], best_ids[top]
-        h = int(query["qh"].iloc[i])
         out += [(qid, h, v, s) for v, s in zip(best_ids.tolist(), best.tolist())]
-    return out
+    return out, scored
+
+
+def search(cand: DataFrame, ask: DataFrame, k: int) -> DataFrame:
+    """(query_id, qh, vec_id, score): the k best of each query in each block
+    (dim, cb, qb) that it meets."""
+    ship()
+
+    def run(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        got = search_block(c, q, k)[0] if len(c) and len(q) else []
+        return pd.DataFrame(got, columns=["query_id", "qh", "vec_id", "score"]).astype("int64")
+    keys = ["dim", "cb", "qb"]
+    return (cand.groupBy(*keys).cogroup(ask.groupBy(*keys))
+            .applyInPandas(run, "query_id bigint, qh bigint, vec_id bigint, score bigint"))
 
 
 def top_k(table: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding",
-          block: int = BLOCK, query_block: int = QUERY_BLOCK, pivots: int = PIVOTS) -> DataFrame:
+          block: int = BLOCK, query_block: int = QUERY_BLOCK, pivots: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: for each row where ``is_query``
     (a column of ``id``) holds, its ``k`` best partners in the table."""
-    ship()
     vecs = vectors(table, id_col, vec_col)
     rows = stored(with_distances(vecs, pick_pivots(vecs, pivots)), "pivot_table")
-    queries = rows.filter(is_query).withColumn("qh", F.xxhash64("vec")).dropDuplicates(["id", "vec"])
+    queries = stored(rows.filter(is_query).withColumn("qh", F.xxhash64("vec")).dropDuplicates(["id", "vec"]), "pivot_queries")
     n, nq = rows.count(), queries.count()
     blocks, qblocks = 1 + n // block, 1 + nq // query_block
-    cand = (rows.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-            .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1)))))
-    ask = (queries.withColumn("qb", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(qblocks)).cast("int"))
-           .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
-
-    def run(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        got = search_block(c, q, k) if len(c) and len(q) else []
-        return pd.DataFrame(got, columns=["query_id", "qh", "vec_id", "score"]).astype("int64")
-    keys = ["dim", "cb", "qb"]
-    near = (cand.groupBy(*keys).cogroup(ask.groupBy(*keys))
-            .applyInPandas(run, "query_id bigint, qh bigint, vec_id bigint, score bigint"))
+    cb = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    cand = rows.withColumn("cb", cb).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1))))
+    ask = queries.withColumn("qb", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(qblocks)).cast("int"))
+    if blocks > 1:
+        # One block first: its k-th score holds against all other blocks.
+        start = search(cand, ask.withColumn("cb", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(blocks)).cast("int")), k)
+        start = stored(start.groupBy(F.col("query_id").alias("id"), "qh").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
+                       .filter(F.col("n") >= k).drop("n"), "least_scores")
+        least = F.coalesce(F.col("least").cast("double"), F.lit(float("-inf")))
+        ask = ask.join(start, ["id", "qh"], "left").withColumn("least", least)
+    near = search(cand, ask.withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))), k)
     rank = F.row_number().over(Window.partitionBy("query_id", "qh").orderBy(F.desc("score"), "vec_id"))
     return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
