@@ -85,27 +85,27 @@ def running_last(df: DataFrame, keys: list[str], order: str, value: str, out: st
     chunk of a hot key, and none for the many small keys."""
     ob = [order, *(order_tiebreak or [])]
     base = _chunked(df, order, span)
+    # One row per (key, chunk): its last non-null value, or NULL when it has
+    # none (max_by skips rows whose ordering value is NULL), and its rows.
+    tail_order = F.when(F.col(value).isNotNull(), F.struct(*[F.col(c) for c in ob]))
+    per_chunk = base.groupBy(*keys, _CHUNK).agg(F.max_by(F.col(value), tail_order).alias("_sf_tail"),
+                                                F.count(F.lit(1)).alias("_sf_n"))
+    w_key = Window.partitionBy(*keys)
+    w_prev = w_key.orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_chunk.select(*keys, _CHUNK, F.last("_sf_tail", ignorenulls=True).over(w_prev).alias("_sf_carry"),
+                               F.sum("_sf_n").over(w_key).alias("_sf_rows"))
+    carry = carried.filter(F.col("_sf_rows") > hot_rows).drop("_sf_rows") if hot_rows else carried.drop("_sf_rows")
     if hot_rows:
-        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sf_n"))
-        hot = counted.filter(F.col("_sf_n") > hot_rows).withColumn("_sf_hot", F.lit(True)).drop("_sf_n")
-        # Dealt by key and chunk at once: dealt by key alone, as the join
-        # leaves them, a hot key's rows would meet in one task.
+        # Hot keys come from the same small table as their carries.  Dealt by
+        # key and chunk at once: dealt by key alone, as the join leaves them,
+        # a hot key's rows would meet in one task.
+        hot = carry.select(*keys).distinct().withColumn("_sf_hot", F.lit(True))
         base = (_join_back(base, hot, keys, "left")
                 .withColumn(_CHUNK, F.when(F.col("_sf_hot"), F.col(_CHUNK))).drop("_sf_hot")
                 .repartition(*keys, _CHUNK))
     w_local = (Window.partitionBy(*keys, _CHUNK).orderBy(*ob)
                .rowsBetween(Window.unboundedPreceding, -1 if before else Window.currentRow))
     local = base.withColumn("_sf_loc", F.last(value, ignorenulls=True).over(w_local))
-
-    # One row per (key, chunk): its last non-null value, or NULL when it has
-    # none (max_by skips rows whose ordering value is NULL).
-    tail_order = F.when(F.col(value).isNotNull(), F.struct(*[F.col(c) for c in ob]))
-    tails = base.filter(F.col(_CHUNK).isNotNull()) if hot_rows else base
-    per_chunk = tails.groupBy(*keys, _CHUNK).agg(F.max_by(F.col(value), tail_order).alias("_sf_tail"))
-    w_prev = (Window.partitionBy(*keys).orderBy(_CHUNK)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carry = per_chunk.select(*keys, _CHUNK,
-                             F.last("_sf_tail", ignorenulls=True).over(w_prev).alias("_sf_carry"))
     res = (_join_back(local, carry, [*keys, _CHUNK], "left" if hot_rows else "inner")
            .withColumn(out, F.coalesce(F.col("_sf_loc"), F.col("_sf_carry"))))
     return res.drop(_CHUNK, "_sf_loc", "_sf_carry")
