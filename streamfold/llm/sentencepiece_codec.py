@@ -2,12 +2,14 @@
 
 No piece of such a model holds a white-space marker after another
 character, so no merge crosses the start of a marked word.  Every task
-keeps a table from distinct marked words to their ids; a word is
-segmented by the library when it is first met, and documents are put
-together from the table by position.  The table is emptied at
-``max_chunks`` entries, which bounds its memory and changes no result.
-(The table is kept per task: one for all words would shuffle a row for
-each word of the corpus and grow without bound.)
+keeps a table of distinct marked words: their ids as text, and what they
+decode to behind another word.  A batch of documents is cut into marked
+words, those that the table lacks are segmented by the library, all
+together and each once, and documents are put together from the table by
+position.  The table is emptied when it holds ``MAX_CHUNKS`` words, which
+bounds its memory and changes no result.
+(The table is kept per task: one for the corpus would shuffle a row for
+each distinct word of each document, and its ids back; README has figures.)
 
 A model whose pieces do cross markers, or whose normaliser does more than
 mark spaces, is refused by ``chunkable``; ``encode`` then gives whole
@@ -30,20 +32,75 @@ from .common import map_batches
 
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
-MAX_CHUNKS = 100_000
-MAX_CHUNK_CHARS = 64          # longer words are segmented without being kept
+MAX_CHUNKS = 500_000
+MAX_CHUNK_CHARS = 64          # longer words are segmented once a batch, without being kept
+BEFORE = "a"                  # a word behind this one decodes as it does inside a text
 SCHEMA = "doc_id bigint, ids array<int>, decoded string"
 DIGEST_SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
-_LOADED: dict[str, tuple] = {}
+_LOADED: dict[str, Codec] = {}
 
 
-def load(path: str):
-    """(processor, chunkable) of a model file, once per worker process."""
-    if path not in _LOADED:
+class Codec:
+    """A model and its table of distinct marked words."""
+
+    def __init__(self, path: str) -> None:
         import sentencepiece
-        sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        _LOADED[path] = (sp, chunkable(sp), {})
+        self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.by_chunk = chunkable(self.sp)
+        self.ids: dict[str, str] = {}              # marked word to its ids as text
+        self.back: dict[str, str] = {}             # marked word to what it decodes to inside a text
+        self.before = self.sp.encode(BEFORE)
+        self.skip = len(self.sp.decode(self.before))
+
+    def look_up(self, chunks: set[str]) -> None:
+        """Have the table hold all of ``chunks``."""
+        new = [c for c in chunks if c not in self.ids]
+        if not new:
+            return
+        if len(self.ids) + len(new) > MAX_CHUNKS:
+            self.forget()
+            new = list(chunks)
+        # The library marks the start of a text, but leaves an empty one empty.
+        bare = [self.sp.piece_to_id(MARK)]
+        got = [ids if len(c) > 1 else bare for c, ids in zip(new, self.sp.encode([c[1:] for c in new]))]
+        self.ids.update(zip(new, [" ".join(map(str, ids)) for ids in got]))
+        self.back.update(zip(new, [t[self.skip:] for t in self.sp.decode([self.before + ids for ids in got])]))
+
+    def drop_long(self, chunks: set[str]) -> None:
+        for c in chunks:
+            if len(c) > MAX_CHUNK_CHARS:
+                del self.ids[c], self.back[c]
+
+    def forget(self) -> None:
+        self.ids.clear()
+        self.back.clear()
+
+    def encoded(self, texts: list[str]) -> list[tuple[str, str]]:
+        """(all ids as text, with the end id; the decoded text) of each text."""
+        end = str(self.sp.eos_id())
+        if not self.by_chunk:
+            every = self.sp.encode(texts)
+            return [(" ".join(map(str, [*ids, end])), self.sp.decode(ids)) for ids in every]
+        parts = [CHUNK.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        own = set().union(*parts)
+        self.look_up(own)
+        out = []
+        for chunks in parts:
+            if chunks:
+                said = " ".join(map(self.ids.__getitem__, chunks))
+                first = self.sp.decode(list(map(int, self.ids[chunks[0]].split())))       # nothing stands before it
+                out.append((f"{said} {end}", first + "".join(map(self.back.__getitem__, chunks[1:]))))
+            else:
+                out.append((end, ""))
+        self.drop_long(own)
+        return out
+
+
+def load(path: str) -> Codec:
+    """The codec of a model file, once per worker process."""
+    if path not in _LOADED:
+        _LOADED[path] = Codec(path)
     return _LOADED[path]
 
 
@@ -55,40 +112,6 @@ def chunkable(sp) -> bool:
     return plain and not crossing and sp.piece_to_id(MARK) != sp.unk_id()
 
 
-def encode_text(text: str, sp, table: dict) -> list[tuple[list[int], str]]:
-    """(ids, ids as text) of each marked word of ``text``, in order."""
-    if not text:
-        return []
-    out = []
-    for chunk in CHUNK.findall(MARK + text.replace(" ", MARK)):
-        got = table.get(chunk)
-        if got is None:
-            # The library marks the start of a text, but leaves an empty one empty.
-            ids = sp.encode(chunk[1:]) if len(chunk) > 1 else [sp.piece_to_id(MARK)]
-            got = (ids, " ".join(map(str, ids)))
-            if len(chunk) <= MAX_CHUNK_CHARS:
-                if len(table) >= MAX_CHUNKS:
-                    table.clear()
-                table[chunk] = got
-        out.append(got)
-    return out
-
-
-def _ids(text: str, model_path: str) -> tuple[list[int], str, str]:
-    """All ids with the end id, the same as text, and the decoded text."""
-    sp, by_chunk, table = load(model_path)
-    end = sp.eos_id()
-    if by_chunk:
-        parts = encode_text(text, sp, table)
-        ids = [i for p in parts for i in p[0]]
-        said = " ".join([p[1] for p in parts] + [str(end)])
-    else:
-        ids = sp.encode(text)
-        said = " ".join(map(str, [*ids, end]))
-    ids.append(end)
-    return ids, said, sp.decode(ids)
-
-
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
            digests: bool = False) -> DataFrame:
     """doc_id, ids and decoded text per document; with ``digests`` the
@@ -97,28 +120,24 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
 
     def run(b: pa.RecordBatch):
         texts = [t or "" for t in b.column(1).to_pylist()]
+        got = load(model_path).encoded(texts)
         if digests:
-            n, a, d = [], [], []
-            for t in texts:
-                ids, said, back = _ids(t, model_path)
-                n.append(len(ids))
-                a.append(hashlib.sha256(said.encode()).hexdigest())
-                d.append(hashlib.sha256(back.encode()).hexdigest())
-            cols = [pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())]
+            cols = [pa.array([said.count(" ") + 1 for said, _ in got], pa.int64()),
+                    pa.array([hashlib.sha256(said.encode()).hexdigest() for said, _ in got], pa.string()),
+                    pa.array([hashlib.sha256(back.encode()).hexdigest() for _, back in got], pa.string())]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         else:
-            got = [_ids(t, model_path) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([g[0] for g in got], pa.list_(pa.int32())),
-                 pa.array([g[2] for g in got], pa.string())], ["doc_id", "ids", "decoded"])
+                [b.column(0), pa.array([list(map(int, said.split())) for said, _ in got], pa.list_(pa.int32())),
+                 pa.array([back for _, back in got], pa.string())], ["doc_id", "ids", "decoded"])
     return map_batches(rows, run, DIGEST_SCHEMA if digests else SCHEMA)
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     """doc_id and text of ``ids`` by the library's decode."""
     def run(b: pa.RecordBatch):
-        sp = load(model_path)[0]
+        sp = load(model_path).sp
         texts = [None if i is None else sp.decode(i) for i in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
     return map_batches(encoded.select("doc_id", "ids"), run, "doc_id bigint, text string")
