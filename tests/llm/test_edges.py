@@ -247,3 +247,21 @@ def test_stages(spark, docs, tmp_path):
         assert (now.count() > 0) == (start is docs)
     assert {r.doc_id for r in now.collect()} == set()
     assert corpus_pipeline.run(spark, str(tmp_path)).filter("doc_id = 9").count() > 0
+
+
+def test_pieces_are_the_librarys(monkeypatch):
+    """Any text, in any batch, with a table that is emptied all the time:
+    what the library gives for the whole text."""
+    import random
+
+    import sentencepiece
+    sp, r = sentencepiece.SentencePieceProcessor(model_file=MODEL), random.Random(0)
+    parts = ["a", "b", " ", "  ", "▁", "\n", "\t", "é", "ß", "\U0001F600", "中", "<s>", "</s>", "<unk>", "\x00", "ﬁ", "word", "1", " ⁇ ", "́", "x" * 70]
+    for most in (3, 500_000):
+        monkeypatch.setattr(sentencepiece_codec, "MAX_CHUNKS", most)
+        codec = sentencepiece_codec.Codec(MODEL)
+        for _ in range(300):
+            texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 12))) for _ in range(r.randint(1, 20))]
+            ids = [sp.encode(t, add_eos=True) for t in texts]
+            assert codec.encoded(texts) == [(" ".join(map(str, i)), sp.decode(i)) for i in ids]
+            assert all(len(c) <= sentencepiece_codec.MAX_CHUNK_CHARS for c in codec.ids) and set(codec.ids) == set(codec.back)
