@@ -15,8 +15,10 @@ texts share a digest, the documents are matched by digest and text.
 
 Defined results: a null text counts as empty; rows without an id are
 grouped, but only lend their id to a group when no row has one; rows that
-repeat an id and a text are one document and are both ``kept``; an empty
-table gives an empty result; other columns are ignored.
+repeat an id and a text are one document, of which ``exact_groups`` calls
+every row kept; ``exact_dedup`` leaves one row per text, also of rows that
+repeat an id and of rows without one; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -63,10 +65,15 @@ def is_kept() -> Column:
     return F.col("id").eqNullSafe(F.col("keep"))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, all columns; rows without an id stay only
-    when no equal text has one."""
-    kept = (exact_groups(docs, id_col, text_col).filter(is_kept())
-            .select(F.col("id").alias("_sf_id"), F.col("d").alias("_sf_d")).distinct())
-    d = sha256(normalised(nonnull_text(text_col)))
-    return docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("_sf_id")) & (d == F.col("_sf_d")), "left_semi")
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
+    """One row per text, all columns: the one with the smallest id, rows
+    without an id last; of rows that are alike so far, the first as they are
+    stored.  Rows are numbered once, in a stored copy, and combined as in
+    ``combine``, with the number as the last key of the order."""
+    cols = docs.columns
+    rows = stored(docs.withColumn("_sf_row", F.monotonically_increasing_id()), "exact_rows")
+    order = F.struct(F.col(f"`{id_col}`").isNull().alias("loose"), F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col("_sf_row").alias("row"))
+    keyed = rows.select(order.alias("o"), normalised(nonnull_text(text_col)).alias("t")).withColumn("d", sha256(F.col("t")))
+    salted = keyed.groupBy("d", F.pmod(F.xxhash64("o"), F.lit(salts)).alias("salt"), "t").agg(F.min("o").alias("o"))
+    first = salted.groupBy("d", "t").agg(F.min("o").alias("o")).select(F.col("o.row").alias("_sf_first"))
+    return rows.join(first, F.col("_sf_row") == F.col("_sf_first"), "left_semi").select(*[F.col(f"`{c}`") for c in cols])

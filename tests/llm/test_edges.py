@@ -57,6 +57,11 @@ def test_exact(spark, docs, empty):
         assert len(rows) == len(ROWS)
     kept = [r.doc_id for r in exact_dedup.exact_dedup(docs).collect()]
     assert 1 not in kept and 11 not in kept and 9 in kept and kept.count(None) == 1
+    repeated = spark.createDataFrame([(None, "one"), (None, "one"), (None, "one"), (3, "x  y"), (3, "x y"), (3, "x y"), (None, "x y"),
+                                      (5, None), (5, ""), (4, "z")], "doc_id bigint, text string").repartition(4)
+    left = sorted((r.doc_id, (r.text or "").split()) for r in exact_dedup.exact_dedup(repeated).collect() if r.doc_id is not None)
+    assert left == [(3, ["x", "y"]), (4, ["z"]), (5, [])]
+    assert [r.text for r in exact_dedup.exact_dedup(repeated).filter("doc_id is null").collect()] == ["one"]
     assert exact_dedup.exact_groups(empty).count() == 0 and exact_dedup.exact_dedup(empty).columns == empty.columns
 
 
