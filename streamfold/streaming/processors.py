@@ -23,13 +23,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.timefmt import epoch_micros
+from . import stateful
 from .state import read_variable
+from .stateful import merged_runs
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _ready(spark: SparkSession) -> None:
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    for module in (sys.modules[__name__], stateful):
+        cloudpickle.register_pickle_by_value(module)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
@@ -111,27 +114,30 @@ class BlockSet(StatefulProcessor):
         self.blocked = handle.getMapState("blocked", "blocked_id string", "offset bigint")
 
     def handleInputRows(self, key, rows, timerValues):
-        # Frames are kept as (blocked, offset, action) arrays; the state is
-        # asked once per id, never for the whole set.
-        frames = list(rows)
-        batch = pd.concat([f[["blocked_id", "offset", "action"]] for f in frames], ignore_index=True)
-        batch = batch.sort_values(["blocked_id", "offset"], kind="stable", ignore_index=True)
-        ids, offsets = batch["blocked_id"].to_numpy(), batch["offset"].to_numpy(dtype=np.int64)
-        adds = batch["action"].to_numpy() == "block"
-        starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
-        held = np.array([self.blocked.containsKey((ids[i],)) for i in starts], dtype=bool)
-        before = np.concatenate(([False], adds[:-1]))
-        before[starts] = held
-        alters = adds != before
-        ends = np.append(starts[1:], len(ids)) - 1
-        for i, was in zip(ends, held):
-            if adds[i] and not was:
-                self.blocked.updateValue((ids[i],), (int(offsets[i]),))
-            elif was and not adds[i]:
-                self.blocked.removeKey((ids[i],))
-        if alters.any():
-            yield pd.DataFrame({"user_id": np.full(int(alters.sum()), key[0], dtype=object), "blocked_id": ids[alters],
-                                "offset": offsets[alters], "change": np.where(adds[alters], "added", "removed")})
+        # Frames are let go as they come; the state is asked once per id of a
+        # piece, never for the whole set.
+        runs = []
+        for f in rows:
+            at = np.argsort(f["offset"].to_numpy(dtype=np.int64), kind="stable")
+            runs.append((f["offset"].to_numpy(dtype=np.int64)[at], f["blocked_id"].to_numpy(dtype=object)[at],
+                         (f["action"] == "block").to_numpy()[at]))
+        for offsets, ids, adds in merged_runs(runs):
+            order = np.argsort(ids.astype(str), kind="stable")
+            offsets, ids, adds = offsets[order], ids[order], adds[order]
+            starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+            held = np.array([self.blocked.containsKey((ids[i],)) for i in starts], dtype=bool)
+            before = np.concatenate(([False], adds[:-1]))
+            before[starts] = held
+            alters = adds != before
+            ends = np.append(starts[1:], len(ids)) - 1
+            for i, was in zip(ends, held):
+                if adds[i] and not was:
+                    self.blocked.updateValue((ids[i],), (int(offsets[i]),))
+                elif was and not adds[i]:
+                    self.blocked.removeKey((ids[i],))
+            if alters.any():
+                yield pd.DataFrame({"user_id": np.full(int(alters.sum()), key[0], dtype=object), "blocked_id": ids[alters],
+                                    "offset": offsets[alters], "change": np.where(adds[alters], "added", "removed")})
 
     def close(self) -> None:
         pass

@@ -33,6 +33,35 @@ def _bands(totals: np.ndarray) -> np.ndarray:
                     np.where(totals >= SILVER_FROM, SILVER, BRONZE)).astype(object)
 
 
+MERGE_ROWS = 1 << 14            # records of a key that are folded at a time
+
+
+def _sorted_run(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(offset, amount, order id) of a frame, by offset."""
+    cols = tuple(frame[c].to_numpy(dtype=np.int64) for c in ("offset", "order_amount", "order_id"))
+    if (np.diff(cols[0]) >= 0).all():
+        return tuple(c.copy() for c in cols)
+    at = np.argsort(cols[0], kind="stable")
+    return tuple(c[at] for c in cols)
+
+
+def merged_runs(runs: list[tuple[np.ndarray, ...]], rows: int = MERGE_ROWS):
+    """Sorted runs as one, in pieces of about ``rows`` records: what all runs
+    have up to an offset is sorted and given, so that a piece beyond the runs
+    is all that is held.  Equal offsets are never parted."""
+    at = [0] * len(runs)
+    share = max(1, rows // max(1, len(runs)))
+    while any(a < len(r[0]) for a, r in zip(at, runs)):
+        # The least of the runs' next bounds: no run has fewer than its share below.
+        upto = min(r[0][min(a + share, len(r[0])) - 1] for a, r in zip(at, runs) if a < len(r[0]))
+        ends = [int(np.searchsorted(r[0], upto, side="right")) for r in runs]
+        parts = [tuple(c[a:z] for c in r) for a, z, r in zip(at, ends, runs) if z > a]
+        at = [max(a, z) for a, z in zip(at, ends)]
+        cols = [np.concatenate(c) for c in zip(*parts)]
+        order = np.argsort(cols[0], kind="stable")
+        yield tuple(c[order] for c in cols)
+
+
 class SpendCategoryProcessor(StatefulProcessor):
     """Running total per user; emit ``(user, order, offset, total,
     category)`` when the category differs from the stored one."""
@@ -43,27 +72,23 @@ class SpendCategoryProcessor(StatefulProcessor):
         self.state = handle.getValueState("spend", "total bigint, category string")
 
     def handleInputRows(self, key, rows, timerValues):
-        frames = list(rows)
-        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        if not batch["offset"].is_monotonic_increasing:
-            batch = batch.sort_values("offset", kind="stable")
+        # Only offset, amount and id of a record are held, 24 bytes each, as
+        # runs sorted frame by frame; the frames themselves are let go.
+        runs = [_sorted_run(f) for f in rows]
         stored = self.state.get()
         total, current = (int(stored[0]), stored[1]) if stored is not None else (0, None)
-        # Vectorised fold: totals are a cumulative sum; a record emits when
-        # its band differs from the band before it (the stored one first).
-        totals = total + np.cumsum(batch["order_amount"].to_numpy(dtype=np.int64))
-        cats = _bands(totals)
-        before = np.concatenate([np.array([current], dtype=object), cats[:-1]])
-        emit = before != cats
-        self.state.update((int(totals[-1]), str(cats[-1])))
-        if not emit.any():
-            return
-        yield pd.DataFrame({
-            "user_id": np.full(int(emit.sum()), key[0], dtype=np.int64),
-            "order_id": batch["order_id"].to_numpy(dtype=np.int64)[emit],
-            "offset": batch["offset"].to_numpy(dtype=np.int64)[emit],
-            "total": totals[emit],
-            "category": cats[emit].astype(str)})
+        for offset, amount, order in merged_runs(runs):
+            # Vectorised fold: totals are a cumulative sum; a record emits when
+            # its band differs from the band before it (the stored one first).
+            totals = total + np.cumsum(amount)
+            cats = _bands(totals)
+            before = np.concatenate([np.array([current], dtype=object), cats[:-1]])
+            emit = before != cats
+            total, current = int(totals[-1]), str(cats[-1])
+            if emit.any():
+                yield pd.DataFrame({"user_id": np.full(int(emit.sum()), key[0], dtype=np.int64), "order_id": order[emit],
+                                    "offset": offset[emit], "total": totals[emit], "category": cats[emit].astype(str)})
+        self.state.update((total, current))
 
     def close(self) -> None:
         pass

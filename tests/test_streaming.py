@@ -149,6 +149,53 @@ def test_missing_table_is_an_error(spark, tmp_path):
         table_stream(spark, str(tmp_path), "events")
 
 
+def test_merged_runs_are_one_sorted_run():
+    import numpy as np
+    r = np.random.default_rng(1)
+    for sizes in ([], [5], [1000, 3, 0, 400], [64] * 20):
+        runs = [tuple(c[np.argsort(x, kind="stable")] for c in (x, x * 2, x * 3)) for x in (r.integers(0, 300, n) for n in sizes)]
+        got = list(stateful.merged_runs(runs, rows=50))
+        every = np.concatenate([g[0] for g in got]) if got else np.zeros(0)
+        assert every.tolist() == sorted(x for run in runs for x in run[0].tolist())
+        assert all((g[1] == 2 * g[0]).all() and (g[2] == 3 * g[0]).all() for g in got)
+        assert all(a[0][-1] < b[0][0] for a, b in zip(got, got[1:]))          # equal offsets are together
+
+
+def test_one_user_with_a_third_of_the_rows_in_bounded_memory():
+    """Frames are let go as they come: what the fold holds is 24 bytes a
+    record and a piece, not the frames."""
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    class Held:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, v):
+            self.value = v
+    frames, rows = 200, 10_000
+
+    def batch():
+        r = np.random.default_rng(2)
+        for i in range(frames):          # offsets of all frames interleave
+            offset = r.permutation(rows) * frames + i
+            yield pd.DataFrame({"offset": offset, "order_amount": np.ones(rows, np.int64), "order_id": offset,
+                                "note": ["x" * 200 + str(k) for k in range(rows)]})
+    p = stateful.SpendCategoryProcessor()
+    p.state = Held()
+    tracemalloc.start()
+    out = pd.concat(p.handleInputRows((7,), batch(), None))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert p.state.value == (frames * rows, "gold") and out["total"].tolist() == [1, 500_000, 1_000_000]
+    assert out["offset"].tolist() == [0, 499_999, 999_999]
+    assert peak < 24 * frames * rows + 40_000_000
+
+
 # ---- several outputs of one stream ---------------------------------------------
 
 def test_outputs_add_up_and_replay_exactly(spark, multi_batch, tmp_path):
