@@ -274,6 +274,13 @@ def q_order_orphans(spark, sf_dir):
     return joins.orphan_orders(o, c)
 
 
+def q_order_orphans_after_deletes(spark, sf_dir):
+    """JOIN-07 over CDC-06: orders whose customer the change feed deleted."""
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    users = q_cdc_snapshot_state(spark, sf_dir).select(F.col("key_id").alias("c_custkey"))
+    return joins.orphan_orders(o, users)
+
+
 # ---- change data capture ---------------------------------------------------------
 
 def decoded_changes(spark, sf_dir):
@@ -424,6 +431,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_groups": q_batch_groups,
     "order_customer_join": q_order_customer_join,
     "order_orphans": q_order_orphans,
+    "order_orphans_after_deletes": q_order_orphans_after_deletes,
     "cdc_decode": q_cdc_decode,
     "cdc_op_counts": q_cdc_op_counts,
     "cdc_rejects": q_cdc_rejects,

@@ -303,6 +303,11 @@ SELECT o_orderkey, o_custkey FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)
 """
 
+ORDER_ORPHANS_AFTER_DELETES = """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_custkey % 5 <> 0)
+"""
+
 CDC = """
 c AS (
   SELECT CASE WHEN (event_id % 500) % 2 = 0 THEN 'users' ELSE 'orders' END AS "table",
@@ -502,6 +507,7 @@ ORACLE_SQL: dict[str, str] = {
     "batch_groups": BATCH_GROUPS,
     "order_customer_join": ORDER_CUSTOMER_JOIN,
     "order_orphans": ORDER_ORPHANS,
+    "order_orphans_after_deletes": ORDER_ORPHANS_AFTER_DELETES,
     "cdc_decode": CDC_DECODE,
     "cdc_op_counts": CDC_OP_COUNTS,
     "cdc_rejects": CDC_REJECTS,
