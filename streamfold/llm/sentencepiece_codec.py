@@ -2,8 +2,8 @@
 
 No piece of such a model holds a white-space marker after another
 character, so no merge crosses the start of a marked word.  Every task
-keeps a table of distinct marked words: their ids as text, and what they
-decode to behind another word.  A batch of documents is cut into marked
+keeps a table of distinct marked words: their ids as text and, where that
+is not the word itself, what they decode to behind another word.  A batch of documents is cut into marked
 words, those that the table lacks are segmented by the library, all
 together and each once, and documents are put together from the table by
 position.  The table is emptied when it holds ``MAX_CHUNKS`` words, which
@@ -49,7 +49,7 @@ class Codec:
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
         self.by_chunk = chunkable(self.sp)
         self.ids: dict[str, str] = {}              # marked word to its ids as text
-        self.back: dict[str, str] = {}             # marked word to what it decodes to inside a text
+        self.odd: dict[str, str] = {}              # what a word decodes to inside a text, where that is not the word
         self.before = self.sp.encode(BEFORE)
         self.skip = len(self.sp.decode(self.before))
 
@@ -63,34 +63,39 @@ class Codec:
             new = list(chunks)
         # The library marks the start of a text, but leaves an empty one empty.
         bare = [self.sp.piece_to_id(MARK)]
-        got = [ids if len(c) > 1 else bare for c, ids in zip(new, self.sp.encode([c[1:] for c in new]))]
+        got = [ids if len(c) > 1 else bare for c, ids in zip(new, self.sp.encode([c[1:] for c in new], num_threads=1))]
         self.ids.update(zip(new, [" ".join(map(str, ids)) for ids in got]))
-        self.back.update(zip(new, [t[self.skip:] for t in self.sp.decode([self.before + ids for ids in got])]))
+        for c, t in zip(new, self.sp.decode([self.before + ids for ids in got], num_threads=1)):
+            if t[self.skip:] != c.replace(MARK, " "):
+                self.odd[c] = t[self.skip:]
 
     def drop_long(self, chunks: set[str]) -> None:
         for c in chunks:
             if len(c) > MAX_CHUNK_CHARS:
-                del self.ids[c], self.back[c]
+                del self.ids[c]
+                self.odd.pop(c, None)
 
     def forget(self) -> None:
         self.ids.clear()
-        self.back.clear()
+        self.odd.clear()
 
     def encoded(self, texts: list[str]) -> list[tuple[str, str]]:
         """(all ids as text, with the end id; the decoded text) of each text."""
         end = str(self.sp.eos_id())
         if not self.by_chunk:
-            every = self.sp.encode(texts)
+            every = self.sp.encode(texts, num_threads=1)
             return [(" ".join(map(str, [*ids, end])), self.sp.decode(ids)) for ids in every]
         parts = [CHUNK.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         own = set().union(*parts)
         self.look_up(own)
+        odd = {c: self.odd[c].replace(" ", MARK) for c in own & self.odd.keys()}
         out = []
         for chunks in parts:
             if chunks:
                 said = " ".join(map(self.ids.__getitem__, chunks))
                 first = self.sp.decode(list(map(int, self.ids[chunks[0]].split())))       # nothing stands before it
-                out.append((f"{said} {end}", first + "".join(map(self.back.__getitem__, chunks[1:]))))
+                rest = [odd.get(c, c) for c in chunks[1:]] if odd else chunks[1:]
+                out.append((f"{said} {end}", first + "".join(rest).replace(MARK, " ")))
             else:
                 out.append((end, ""))
         self.drop_long(own)
