@@ -5,7 +5,9 @@
 * ``block_changes`` (AGG-04, STR-03): a user's blocked ids as a map state,
   one entry per id, and a row per event that alters the set;
 * ``replay_asof`` (JOIN-04, STR-05): messages wait in event time until the
-  watermark has passed, and are judged by the blocks of their own time.
+  watermark has passed, and are judged by the blocks of their own time;
+* ``scrape_windows`` (MET-06): windows of each series that are final once the
+  series' own time is a delay past them, and what came too late, as it came.
 
 Processors travel by value; workers need not have this package.  A key's
 rows may come in several frames and in any order within a micro-batch.
@@ -251,3 +253,99 @@ def replay_asof(rows: DataFrame, beats: DataFrame, delay: str) -> DataFrame:
     # Heartbeats go on to the processor: a filter would drop them before the watermark.
     return (timed.groupBy("to_user_id", "from_user_id")
             .transformWithStateInPandas(AsOfReplay(), REPLAY_OUTPUT, "Append", "EventTime"))
+
+
+# ---- windows of a series, and what comes too late -------------------------------------
+
+SCRAPE_KEYS = ["name", "connector", "task", "client_id"]
+SCRAPE_OUTPUT = ("name string, connector string, task string, client_id string, output string, slot bigint, us bigint, "
+                 "sample_id bigint, value double, n_samples bigint")
+WINDOW, LATE = "window", "late"
+
+
+class ScrapeWindows(StatefulProcessor):
+    """The last sample and the number of samples of each window of a series.
+
+    A series has a time of its own, its greatest sample time.  A window whose
+    end lies ``delay`` before it is final: it is given out once and
+    forgotten.  A sample of a window that was final before its micro-batch is
+    late and is given out as it is, so windows and late samples together
+    hold every sample.  Open windows, at most delay by interval of them, are
+    the state; samples are folded in time order, piece by piece."""
+
+    def __init__(self, interval_us: int, delay_us: int) -> None:
+        self.interval, self.delay = interval_us, delay_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.open = handle.getMapState("open", "slot bigint", "us bigint, sample_id bigint, value double, n_samples bigint")
+        self.clock = handle.getValueState("clock", "us bigint")
+
+    def handleInputRows(self, key, rows, timerValues):
+        runs = []
+        for f in rows:
+            us, ids = f["us"].to_numpy(dtype=np.int64), f["sample_id"].to_numpy(dtype=np.int64)
+            at = np.lexsort((ids, us))
+            runs.append((us[at], ids[at], f["value"].to_numpy(dtype=np.float64)[at]))
+        stored = self.clock.get()
+        clock = int(stored[0]) if stored is not None else None
+        closed = None if clock is None else clock - self.delay              # windows that ended by then are final
+        stateful_open = {int(k[0]): tuple(v) for k, v in self.open.iterator()}
+        held = dict(stateful_open)
+        for us, ids, values in merged_runs(runs):
+            at = np.lexsort((ids, us))
+            us, ids, values = us[at], ids[at], values[at]
+            slot = us // self.interval
+            if closed is not None:
+                late = (slot + 1) * self.interval <= closed
+                if late.any():
+                    yield self._rows(key, LATE, slot[late], us[late], ids[late], values[late], np.ones(int(late.sum()), np.int64))
+                    us, ids, values, slot = us[~late], ids[~late], values[~late], slot[~late]
+            if not len(us):
+                continue
+            ends = np.flatnonzero(np.append(slot[1:] != slot[:-1], True))
+            counts = np.diff(np.concatenate(([-1], ends)))
+            for i, n in zip(ends.tolist(), counts.tolist()):
+                s, now = int(slot[i]), (int(us[i]), int(ids[i]), float(values[i]))
+                old = held.get(s)
+                held[s] = (*(max(now, old[:3], key=lambda r: r[:2]) if old else now), n + (old[3] if old else 0))
+            clock = int(us[-1]) if clock is None else max(clock, int(us[-1]))
+            done = sorted(s for s in held if (s + 1) * self.interval <= clock - self.delay)
+            if done:
+                cols = [np.array(c) for c in zip(*(held.pop(s) for s in done))]
+                yield self._rows(key, WINDOW, np.array(done, np.int64), *cols)
+        for s, was in stateful_open.items():
+            if s not in held:
+                self.open.removeKey((s,))
+        for s, row in held.items():
+            if stateful_open.get(s) != row:
+                self.open.updateValue((s,), row)
+        if clock is not None and (stored is None or clock != stored[0]):
+            self.clock.update((clock,))
+
+    @staticmethod
+    def _rows(key, output: str, slot, us, ids, values, n) -> pd.DataFrame:
+        size = len(slot)
+        out = {k: np.full(size, v, dtype=object) for k, v in zip(SCRAPE_KEYS, key)}
+        return pd.DataFrame({**out, "output": np.full(size, output, dtype=object), "slot": slot, "us": us, "sample_id": ids,
+                             "value": values.astype(np.float64), "n_samples": n})
+
+    def close(self) -> None:
+        pass
+
+
+def scrape_windows(renamed: DataFrame, interval_s: int, delay_s: int) -> DataFrame:
+    """Final windows and late samples of renamed samples (``name``, the
+    labels, sample_id, ts, value), marked by ``output``."""
+    _ready(renamed.sparkSession)
+    rows = renamed.select(*SCRAPE_KEYS, epoch_micros("ts").alias("us"), "sample_id", "value")
+    return rows.groupBy(*SCRAPE_KEYS).transformWithStateInPandas(
+        ScrapeWindows(interval_s * 1_000_000, delay_s * 1_000_000), SCRAPE_OUTPUT, "Append", "None")
+
+
+def read_open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The windows that are not final yet, from the map state."""
+    cols = "name string, connector string, task string, client_id string, slot bigint, us bigint, sample_id bigint, value double, n_samples bigint"
+    state = read_variable(spark, checkpoint, "open")
+    if state is None:
+        return spark.createDataFrame([], cols)
+    return state.select("key.*", "user_map_key.slot", "user_map_value.*")

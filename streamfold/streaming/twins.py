@@ -160,6 +160,33 @@ def q_stream_metric_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("value.count") / F.lit(float(iv))).alias("per_second"))
 
 
+SCRAPE_DELAY_SECONDS = 600
+SCRAPE_ROW = ("name string, connector string, task string, client_id string, slot bigint, us bigint, sample_id bigint, "
+              "value double, n_samples bigint")
+
+
+def scraped(spark: SparkSession, samples: DataFrame, root: str, delay_s: int = SCRAPE_DELAY_SECONDS) -> dict[str, DataFrame]:
+    """Stream samples to final windows and late samples; with the windows
+    that are open still, from the state."""
+    rows = _rename_stream(samples).filter(F.col("name").isNotNull())
+    out = processors.scrape_windows(rows, metrics.SCRAPE_INTERVAL_SECONDS, delay_s)
+    run_to_end(out, f"{root}/ckpt", foreach_batch=outputs.outputs_writer(f"{root}/out"))
+    parts = {o: outputs.read_output(spark, f"{root}/out", o, SCRAPE_ROW) for o in (processors.WINDOW, processors.LATE)}
+    return {**parts, "open": processors.read_open_windows(spark, f"{root}/ckpt")}
+
+
+def q_stream_metric_scrape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MET-06: twin of ``metric_scrape``: final windows, windows that are
+    still open, and late samples together hold every sample."""
+    root = scratch_path(spark, "stream_metric_scrape")
+    got = scraped(spark, fixtures.metric_samples_from(table_stream(spark, sf_dir, "events")), root)
+    iv = metrics.SCRAPE_INTERVAL_SECONDS * 1_000_000
+    every = got["window"].unionByName(got["late"]).unionByName(got["open"])
+    return (every.groupBy(*metrics.SERIES, "slot")
+            .agg(F.max_by("value", F.struct("us", "sample_id")).alias("value"), F.sum("n_samples").alias("n_samples"))
+            .select(*metrics.SERIES, utc_wall_clock(F.timestamp_micros(F.col("slot") * iv)).alias("window_start"), "value", "n_samples"))
+
+
 def _rename_stream(stream: DataFrame) -> DataFrame:
     """MET-01 on a stream: regex rules per record (no distinct pre-pass).
     Unmatched records keep a NULL name and drop out at panel tagging."""
@@ -368,6 +395,7 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_spend_category_state": q_stream_spend_category_state,
     "stream_cdc_state": q_stream_cdc_state,
     "stream_metric_rate": q_stream_metric_rate,
+    "stream_metric_scrape": q_stream_metric_scrape,
     "stream_two_groups": q_stream_two_groups,
     "stream_record_headers": q_stream_record_headers,
     "stream_cdc_rejects": q_stream_cdc_rejects,
@@ -390,6 +418,7 @@ STREAM_ORACLE = {
     "stream_spend_category_state": "spend_category_changes",
     "stream_cdc_state": "cdc_current_state",
     "stream_metric_rate": "metric_rate",
+    "stream_metric_scrape": "metric_scrape",
     "stream_record_headers": "record_headers",
     "stream_cdc_rejects": "cdc_rejects",
     "stream_cdc_accepted": "cdc_accepted_state",

@@ -62,6 +62,7 @@ def same(a, b):
     ("stream_cdc_snapshot", "cdc_snapshot_state"),
     ("stream_block_changes", "block_changes"),
     ("stream_block_feed", "block_pair_state"),
+    ("stream_metric_scrape", "metric_scrape"),
 ])
 def test_twin_over_many_batches(spark, multi_batch, twin, batch):
     assert same(twins.STREAM_QUERIES[twin](spark, multi_batch), catalog.QUERIES[batch](spark, SF))
@@ -342,3 +343,45 @@ def test_replay_judges_as_time_goes_on(spark, multi_batch, tmp_path):
         processors.heartbeat = beat
     want = catalog.QUERIES["censor_replay_asof"](spark, SF)
     assert same(got, want) and want.count() * 3 // 4 < seen[0] <= want.count()
+
+
+def test_late_samples_are_kept_beside_final_windows(spark, split_dir, tmp_path):
+    """Files out of order, a short delay: samples of windows that are final
+    come out as late, windows come out once, and nothing is lost."""
+    from streamfold.sources import fixtures
+    src = f"{tmp_path}/events"
+    os.makedirs(src)
+    files = sorted(f for f in os.listdir(f"{split_dir}/events.parquet") if f.endswith(".parquet"))
+    for i, f in enumerate([files[1], files[0], files[3], files[2]]):
+        with open(f"{split_dir}/events.parquet/{f}", "rb") as a, open(f"{src}/{f}", "wb") as b:
+            b.write(a.read())
+        os.utime(f"{src}/{f}", (1_700_000_000 + 60 * i,) * 2)
+    events = dir_stream(spark, src, spark.read.parquet(f"{SF}/events.parquet").schema, 1)
+    got = twins.scraped(spark, fixtures.metric_samples_from(events), str(tmp_path), delay_s=3600)
+    late, windows, still = (got[k].collect() for k in ("late", "window", "open"))
+    n = sum(r.n_samples for r in catalog.QUERIES["metric_scrape"](spark, SF).collect())
+    assert sum(r.n_samples for r in [*late, *windows, *still]) == n
+    ids = [(r.name, r.connector, r.task, r.client_id, r.slot) for r in [*windows, *still]]
+    assert len(ids) == len(set(ids)) and len(late) > n // 4 and windows
+
+
+def test_windows_of_one_series(spark, tmp_path):
+    """Ties in time go to the larger id; a window takes samples of several
+    micro-batches while it is open, and none when it is final."""
+    from pyspark.sql import functions as F
+    from streamfold.streaming import processors
+    cols, src = "name string, sample_id bigint, s double, value double", f"{tmp_path}/in"
+    batches = [[("a", 1, 0.0, 1.0), ("a", 3, 2.0, 3.0), ("a", 2, 2.0, 2.0)], [("a", 4, 1.0, 9.0), ("a", 5, 14.0, 5.0)],
+               [("a", 6, 4.0, 6.0), ("a", 7, 10.0, 7.0), ("b", 8, 3.0, 8.0)]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, cols).coalesce(1).write.mode("append").parquet(src)
+        parts_in_order(src, i)
+    none = F.lit(None).cast("string")
+    stream = dir_stream(spark, src, cols, 1).select("name", none.alias("connector"), none.alias("task"), none.alias("client_id"), "sample_id",
+                                                    F.timestamp_micros((F.col("s") * 1e6).cast("bigint")).alias("ts"), "value")
+    out = f"{tmp_path}/out"
+    sinks.run_to_end(processors.scrape_windows(stream, 5, 5), f"{tmp_path}/ckpt", path=out)
+    got = {(r.name, r.output, r.slot, r.sample_id, r.value, r.n_samples) for r in spark.read.schema(processors.SCRAPE_OUTPUT).parquet(out).collect()}
+    still = {(r.name, r.slot, r.sample_id, r.value, r.n_samples) for r in processors.read_open_windows(spark, f"{tmp_path}/ckpt").collect()}
+    assert got == {("a", "window", 0, 3, 3.0, 4), ("a", "late", 0, 6, 6.0, 1)}
+    assert still == {("a", 2, 5, 5.0, 2), ("b", 0, 8, 8.0, 1)}
