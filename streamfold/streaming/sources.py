@@ -11,13 +11,6 @@ FILES_PER_TRIGGER = 64      # bounds a micro-batch; set per stream or by FILES_C
 FILES_CONF = "streamfold.maxFilesPerTrigger"
 
 
-def _is_directory(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` is a folder of part files; fails if nothing is there."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getFileStatus(p).isDirectory()
-
-
 def table_stream(spark: SparkSession, sf_dir: str, name: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream the files of one table in ``sf_dir``: the part files of the
@@ -27,10 +20,10 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str,
     A micro-batch reads at most ``max_files_per_trigger`` files.
     """
     path = table_path(sf_dir, name)
+    table = spark.read.parquet(path)                # fails if nothing is there
     files = max_files_per_trigger or spark.conf.get(FILES_CONF, str(FILES_PER_TRIGGER))
-    r = (spark.readStream.schema(spark.read.parquet(path).schema)
-         .option("maxFilesPerTrigger", str(files)))
-    if _is_directory(spark, path):
+    r = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", str(files))
+    if [f.rsplit("/", 1)[-1] for f in table.inputFiles()] != [f"{name}.parquet"]:
         return r.parquet(path)
     return r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
