@@ -256,10 +256,11 @@ def finish(small: DataFrame) -> DataFrame:
 
 def subtree_sums(nodes: DataFrame, paths: DataFrame, root: int | None, component: int = COMPONENT) -> DataFrame:
     """(o, d, leaves, saves): childless nodes and saved tokens of each subtree."""
-    active = nodes.select(
+    # Stored, as a join on the constants would have no key.
+    active = stored(nodes.select(
         "o", "d", "po", F.lit(root).cast("bigint").alias("to"), F.lit(0).cast("bigint").alias("td"), "sub",
         (F.col("n_children") == 0).cast("bigint").alias("leaf"), ((F.col("n_convs") - 1) * F.col("chars")).alias("saved"),
-        F.lit(0).cast("bigint").alias("leaves"), F.lit(0).cast("bigint").alias("saves"))
+        F.lit(0).cast("bigint").alias("leaves"), F.lit(0).cast("bigint").alias("saves")), "trie_start")
     smalls, sums = [], []
     while got := split_round(active, paths, component):
         small, done, active = got
