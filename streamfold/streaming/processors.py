@@ -11,6 +11,9 @@
 
 Processors travel by value; workers need not have this package.  A key's
 rows may come in several frames and in any order within a micro-batch.
+Where keys are as many as records, a group is a bucket of keys
+(``stateful.key_bucket``): Spark's cost of a group is milliseconds, that of
+a key in it a row of a state entry.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +31,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from ..functions.timefmt import epoch_micros
 from . import stateful
 from .state import read_variable
-from .stateful import merged_runs
+from .stateful import BUCKET, PAGE, by_page, key_bucket, key_page, merged_runs, packed, unpacked
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -163,54 +167,134 @@ def read_block_sets(spark: SparkSession, checkpoint: str) -> DataFrame:
 
 # ---- as-of replay in event time ------------------------------------------------------
 
+REPLAY_PAIR, REPLAY_NUMBERS = ["to_user_id", "from_user_id"], ["us", "offset", "id", "kind", PAGE]
 REPLAY_INPUT = ["to_user_id", "from_user_id", "ts", "us", "offset", "id", "kind"]
 UNBLOCK, BLOCK, MESSAGE, BEAT = 0, 1, -1, 2          # kinds of rows
 REPLAY_OUTPUT = "id bigint, from_user_id string, to_user_id string, us bigint, block_state string"
-SLOT_MS = 3_600_000
+HOUR_MS = 3_600_000
+SPAN_MS = 24 * HOUR_MS          # time of one piece of the state
+JUDGED_ROWS = 1 << 16           # rows of a bucket that are put in order at a time, and a span more
 
 
 class AsOfReplay(StatefulProcessor):
-    """Blocks and messages of a (receiver, sender) pair, held by the hour
-    until the watermark has passed it; then the hour is put in order and
-    its messages are judged.  One hour of a pair is in memory at a time.
-    Every state access is a call to the state server, so there are few."""
+    """Blocks and messages of a bucket of (receiver, sender) pairs, held
+    until the watermark has passed their hour; then they are put in order and
+    the messages are judged, some ``JUDGED_ROWS`` rows at a time.  Every
+    state access is a call to the state server, so there are few: a piece of
+    Arrow rows per span of time and micro-batch goes in and comes out once
+    (that in which the watermark stands goes back), and the last actions of
+    the pairs are pages."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.slots = handle.getMapState("slots", "slot bigint", "us array<bigint>, offset array<bigint>, id array<bigint>, kind array<int>")
-        self.last = handle.getValueState("last", "kind int")
+        self.spans = handle.getValueState("spans", "span array<bigint>, pieces array<int>, hour array<bigint>")
+        self.rows = handle.getMapState("rows", "span bigint, piece int", "rows binary")
+        self.last = handle.getMapState("last", "page int", "pairs binary")
 
     def handleInputRows(self, key, rows, timerValues):
+        spans = self._spans()
+        first = min((h for _, h in spans.values()), default=None)
+        batches, n = [], 0
         for frame in rows:
             frame = frame[frame["kind"] != BEAT]
-            cols = [frame[c].to_numpy(dtype=np.int64) for c in ("us", "offset", "id", "kind")]
-            slot = cols[0] // (SLOT_MS * 1000)
-            for s in np.unique(slot).tolist():
-                new = [c[slot == s].tolist() for c in cols]
-                held = self.slots.getValue((s,))
-                if held is None:
-                    self.handle.registerTimer((s + 1) * SLOT_MS)
-                    self.slots.updateValue((s,), tuple(new))
-                else:
-                    self.slots.updateValue((s,), tuple(list(a) + b for a, b in zip(held, new)))
+            if len(frame):
+                numbers = [pa.array(frame[c].to_numpy(dtype=np.int64)) for c in REPLAY_NUMBERS]
+                pair = [pa.array(frame[c], pa.string(), from_pandas=True) for c in REPLAY_PAIR]
+                batches.append(pa.table([*pair, *numbers], names=[*REPLAY_PAIR, *REPLAY_NUMBERS]))
+                n += len(frame)
+            if n >= JUDGED_ROWS:
+                self._hold(pa.concat_tables(batches), spans)
+                batches, n = [], 0
+        if batches:
+            self._hold(pa.concat_tables(batches), spans)
+        self._wait(spans, first)
         return iter(())
 
+    def _spans(self) -> dict[int, tuple[int, int]]:
+        """Per span its pieces and the first hour of its rows."""
+        held = self.spans.get()
+        return {s: (n, h) for s, n, h in zip(*held)} if held is not None else {}
+
+    def _wait(self, spans: dict[int, tuple[int, int]], first: int | None = None) -> None:
+        """Keep ``spans`` and wake when their first hour has passed, unless
+        a timer waits for ``first``, no later hour."""
+        if not spans:
+            return self.spans.clear()
+        self.spans.update((list(spans), [n for n, _ in spans.values()], [h for _, h in spans.values()]))
+        least = min(h for _, h in spans.values())
+        if first is None or least < first:
+            self.handle.registerTimer((least + 1) * HOUR_MS)
+
+    def _hold(self, table: pa.Table, spans: dict[int, tuple[int, int]]) -> None:
+        us = table["us"].to_numpy()
+        for s, at in by_page(us // (SPAN_MS * 1000)):
+            n, hour = spans.get(s, (0, None))
+            least = int(us[at].min() // (HOUR_MS * 1000))
+            self.rows.updateValue((s, n), (packed(table.take(at)),))
+            spans[s] = (n + 1, least if hour is None else min(hour, least))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        s = expiredTimerInfo.getExpiryTimeInMs() // SLOT_MS - 1        # timers of a key expire in order
-        done = self.last.get()
-        us, offset, ids, kind = (np.array(c, dtype=np.int64) for c in self.slots.getValue((s,)))
-        order = np.lexsort((offset, us))
-        us, ids, kind = us[order], ids[order], kind[order]
+        spans = self._spans()
+        upto = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) // HOUR_MS      # hours below are over
+        over = sorted(s for s, (_, hour) in spans.items() if hour < upto)
+        if not over:
+            return
+        stored, last, waiting, batches, n = {}, {}, None, [], 0
+        for s in over:
+            for i in range(spans.pop(s)[0]):
+                piece = unpacked(self.rows.getValue((s, i))[0])
+                self.rows.removeKey((s, i))
+                done = piece["us"].to_numpy() // (HOUR_MS * 1000) < upto
+                if not done.all():
+                    waiting = piece.filter(~done) if waiting is None else pa.concat_tables([waiting, piece.filter(~done)])
+                batches.append(piece.filter(done))
+                n += len(batches[-1])
+            if n >= JUDGED_ROWS or s == over[-1]:
+                judged = self._judged(pa.concat_tables(batches), stored, last)
+                if len(judged):
+                    yield judged
+                batches, n = [], 0
+        for page, kinds in last.items():
+            if kinds != stored[page]:
+                names = [[p[i] for p in kinds] for i in (0, 1)]
+                self.last.updateValue((page,), (packed(pa.table([*[pa.array(x, pa.string()) for x in names], pa.array(kinds.values(), pa.int64())],
+                                                                names=[*REPLAY_PAIR, "kind"])),))
+        if waiting is not None:
+            self._hold(waiting, spans)
+        self._wait(spans)
+
+    def _page(self, page: int) -> dict[tuple, int]:
+        """The last action of each pair of a page."""
+        cell = self.last.getValue((page,))
+        if cell is None:
+            return {}
+        to, sender, kind = (c.to_pylist() for c in unpacked(cell[0]).columns)
+        return dict(zip(zip(to, sender), kind))
+
+    def _judged(self, table: pa.Table, stored: dict, last: dict) -> pd.DataFrame:
+        """The delivered messages of whole hours; ``last`` goes on, page by page."""
+        to, to_ids = pd.factorize(table["to_user_id"].to_pandas(), use_na_sentinel=False)
+        sender, sender_ids = pd.factorize(table["from_user_id"].to_pandas(), use_na_sentinel=False)
+        to_ids, sender_ids = (np.where(pd.isna(u), None, u) for u in (np.asarray(to_ids, object), np.asarray(sender_ids, object)))
+        us, offset, ids, kind, page = (table[c].to_numpy() for c in REPLAY_NUMBERS)
+        order = np.lexsort((offset, us, sender, to))
+        to, sender, us, ids, kind = to[order], sender[order], us[order], ids[order], kind[order]
+        starts = np.flatnonzero(np.concatenate(([True], (to[1:] != to[:-1]) | (sender[1:] != sender[:-1]))))
+        pairs = list(zip(to_ids[to[starts]].tolist(), sender_ids[sender[starts]].tolist()))
+        pages = page[order][starts].tolist()
+        for p in set(pages) - set(last):
+            stored[p] = self._page(p)
+            last[p] = dict(stored[p])
+        sizes = np.diff(np.append(starts, len(kind)))
+        carry = np.repeat(np.array([last[p].get(pair, MESSAGE) for p, pair in zip(pages, pairs)], dtype=np.int64), sizes)
         at = np.maximum.accumulate(np.where(kind == MESSAGE, -1, np.arange(len(kind))))
-        state = np.where(at >= 0, kind[at], done[0] if done is not None else MESSAGE)     # the last action before each
-        if done is None or done[0] != state[-1]:
-            self.last.update((int(state[-1]),))
-        self.slots.removeKey((s,))
+        state = np.where(at >= np.repeat(starts, sizes), kind[at], carry)     # the last action before each
+        for p, pair, k in zip(pages, pairs, state[starts + sizes - 1].tolist()):
+            if k != MESSAGE:
+                last[p][pair] = k
         kept = (kind == MESSAGE) & (state != BLOCK)
-        if kept.any():
-            yield pd.DataFrame({"id": ids[kept], "from_user_id": np.full(int(kept.sum()), key[1], dtype=object),
-                                "to_user_id": np.full(int(kept.sum()), key[0], dtype=object), "us": us[kept],
-                                "block_state": np.where(state[kept] == UNBLOCK, "unblock", None)})
+        return pd.DataFrame({"id": ids[kept], "from_user_id": sender_ids[sender[kept]], "to_user_id": to_ids[to[kept]],
+                             "us": us[kept], "block_state": np.where(state[kept] == UNBLOCK, "unblock", None)})
 
     def close(self) -> None:
         pass
@@ -251,7 +335,7 @@ def replay_asof(rows: DataFrame, beats: DataFrame, delay: str) -> DataFrame:
     _ready(rows.sparkSession)
     timed = rows.select(*REPLAY_INPUT).unionByName(beats.select(*REPLAY_INPUT)).withWatermark("ts", delay)
     # Heartbeats go on to the processor: a filter would drop them before the watermark.
-    return (timed.groupBy("to_user_id", "from_user_id")
+    return (timed.withColumns({BUCKET: key_bucket(rows.sparkSession, REPLAY_PAIR), PAGE: key_page(REPLAY_PAIR)}).groupBy(BUCKET)
             .transformWithStateInPandas(AsOfReplay(), REPLAY_OUTPUT, "Append", "EventTime"))
 
 

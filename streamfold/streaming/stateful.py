@@ -18,8 +18,10 @@ import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.spend import BRONZE, GOLD, GOLD_FROM, SILVER, SILVER_FROM
@@ -33,6 +35,47 @@ def _bands(totals: np.ndarray) -> np.ndarray:
                     np.where(totals >= SILVER_FROM, SILVER, BRONZE)).astype(object)
 
 
+# Where keys are many, a group is a bucket of keys and its state a few pages
+# of Arrow rows, a row per key: a call to the state server costs about as much
+# as a thousand rows of a page, and a group more than that.
+BUCKET, PAGE = "sf_bucket", "sf_page"        # a frame would rename what begins with _
+STATE_BUCKETS = 256             # groups of a stream that has many keys
+STATE_PAGES = 16                # pages of a group
+BUCKETS_CONF = "streamfold.stateBuckets"
+
+
+def key_bucket(spark: SparkSession, keys: list[str]) -> Column:
+    """The bucket of a row's key, one of ``BUCKETS_CONF``.  The number is to
+    leave a page some MB and to exceed the cluster's cores; it is part of a
+    checkpoint and stays for as long as that is used."""
+    n = int(spark.conf.get(BUCKETS_CONF, str(STATE_BUCKETS)))
+    return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
+
+
+def key_page(keys: list[str]) -> Column:
+    """The page of a row's key in its bucket."""
+    return F.pmod(F.hash(*keys), F.lit(STATE_PAGES)).cast("bigint")
+
+
+def packed(rows: pa.Table) -> bytes:
+    """Rows as an Arrow stream, which names its columns."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as w:
+        w.write_table(rows.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(cell) -> pa.Table:
+    return pa.ipc.open_stream(pa.py_buffer(bytes(cell))).read_all()
+
+
+def by_page(pages: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(page, its rows) of every page, rows as they come."""
+    at = np.argsort(pages, kind="stable")
+    starts = np.flatnonzero(np.concatenate(([True], np.diff(pages[at]) != 0)))
+    return [(int(pages[part[0]]), part) for part in np.split(at, starts[1:])]
+
+
 MERGE_ROWS = 1 << 14            # records of a key that are folded at a time
 
 
@@ -116,8 +159,6 @@ def spend_category_batches(spark, state_path: str, out_path: str):
     own folder (exact on replay); a reader takes the last row per user of
     the batches before it.  What it reads grows with the batches run, so a
     stream without an end keeps its state in ``SpendCategoryProcessor``."""
-    from pyspark.sql import functions as F
-
     from ..operators.scan import latest_per_key, running_sums
     from ..operators.spend import band
     from .sinks import batch_writer, read_batches
