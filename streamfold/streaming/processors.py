@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.timefmt import epoch_micros
@@ -44,68 +45,117 @@ def _ready(spark: SparkSession) -> None:
 
 # ---- a snapshot, then its changes ------------------------------------------------
 
+LEAST = -(1 << 63)              # order of a row that has none
+
+
 class LatestRow(StatefulProcessor):
-    """The row with the greatest order per key.  An equal order does not
-    replace: a replayed change alters nothing, and a change as old as the
-    snapshot or older is part of it."""
+    """The row with the greatest order per key, for a bucket of keys in
+    pages.  An equal order does not replace: a replayed change alters
+    nothing, and a change as old as the snapshot or older is part of it.
+    Changes are reduced frame by frame; a page that they alter is read and
+    written once a micro-batch.  The snapshot, which has a key once, comes
+    before all changes: its frames are pieces of the pages, as they are."""
 
-    def __init__(self, order: str, columns: list[str], schema: str) -> None:
-        self.order, self.columns, self.schema = order, columns, schema
+    def __init__(self, keys: list[str], order: str, schema: pa.Schema, whole: list[str]) -> None:
+        self.keys, self.order, self.schema, self.whole = keys, order, schema, whole
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.row = handle.getValueState("row", self.schema)
+        self.pages = handle.getMapState("row", "page int, piece int", "rows binary")
+        self.bucket, self.pieces = None, {}
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self._fold([initialState])
+        if key != self.bucket:
+            self.bucket, self.pieces = key, {}
+        rows = self._arrow(initialState)
+        for page, at in by_page(initialState[PAGE].to_numpy(dtype=np.int64)):
+            n = self.pieces.get(page, 0)
+            self.pages.updateValue((page, n), (packed(rows.take(at)),))
+            self.pieces[page] = n + 1
 
     def handleInputRows(self, key, rows, timerValues):
-        self._fold(rows)
+        changes, pages = [], []
+        for frame in rows:
+            table = self._arrow(frame)
+            at = self._latest(table)
+            changes.append(table.take(at))
+            pages.append(frame[PAGE].to_numpy(dtype=np.int64)[at])
+        every = pa.concat_tables(changes)
+        for page, at in by_page(np.concatenate(pages)):
+            held = self._held(page)
+            n = sum(map(len, held))
+            table = pa.concat_tables([*held, every.take(at)])
+            best = self._latest(table)
+            if (best >= n).any():
+                self.pages.updateValue((page, 0), (packed(table.take(best)),))
+                for i in range(1, len(held)):
+                    self.pages.removeKey((page, i))
         return iter(())
 
-    def _fold(self, frames) -> None:
-        at = self.columns.index(self.order)
-        stored = self.row.get()
-        best = stored
-        for frame in frames:
-            i = int(frame[self.order].to_numpy().argmax())
-            if best is None or frame[self.order].iat[i] > best[at]:
-                best = tuple(_plain(frame[c].iat[i]) for c in self.columns)
-        if best is not stored:
-            self.row.update(best)
+    def _held(self, page: int) -> list[pa.Table]:
+        held = []
+        while (cell := self.pages.getValue((page, len(held)))) is not None:
+            held.append(unpacked(cell[0]))
+        return held
+
+    def _arrow(self, frame: pd.DataFrame) -> pa.Table:
+        return pa.table([self._column(frame[f.name], f) for f in self.schema], schema=self.schema)
+
+    def _column(self, cells: pd.Series, field: pa.Field) -> pa.Array:
+        if field.name == self.order:
+            order = cells.to_numpy(dtype=np.int64)
+            return pa.array(order, mask=order == LEAST)
+        if field.name in self.whole:
+            return pa.array(cells, pa.string(), from_pandas=True).cast(field.type)
+        return pa.array(cells, field.type, from_pandas=True)
+
+    def _latest(self, table: pa.Table) -> np.ndarray:
+        """Each key's row of the greatest order, the first of equal ones."""
+        keys = pd.DataFrame({k: table[k].cast(pa.string()).to_pandas() for k in self.keys})
+        key = keys.groupby(self.keys, dropna=False, sort=False).ngroup().to_numpy()
+        at = np.lexsort((-np.arange(len(key)), table[self.order].fill_null(LEAST).to_numpy(), key))
+        return np.sort(at[np.append(np.diff(key[at]) != 0, True)])
 
     def close(self) -> None:
         pass
 
 
-def _plain(v):
-    """A pandas cell as the state takes it."""
-    if v is None or v is pd.NaT or (isinstance(v, float) and np.isnan(v)):
-        return None
-    if isinstance(v, pd.Timestamp):
-        return v.to_pydatetime()
-    return v.item() if hasattr(v, "item") else v
-
-
 def latest_from_snapshot(snapshot: DataFrame, changes: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The table of ``snapshot`` and a stream of ``changes``, which have the
     same columns, kept in Spark's state (run it with ``outputMode("update")``,
     read it with ``read_snapshot_table``).  The snapshot is the state that
-    the first micro-batch starts from; it is not sent through the stream."""
-    _ready(changes.sparkSession)
-    names = [c for c in changes.columns if c not in keys]
-    schema = ", ".join(f"`{n}` {t}" for n, t in changes.dtypes if n in names)
-    return changes.groupBy(*keys).transformWithStateInPandas(
-        LatestRow(order, names, schema), "done boolean", "Update", "None",
-        initialState=snapshot.select(*changes.columns).groupBy(*keys))
+    the first micro-batch starts from; it is not sent through the stream.
+    ``order`` is a bigint; rows without one come before all others."""
+    spark = changes.sparkSession
+    _ready(spark)
+    schema = to_arrow_schema(changes.schema)
+    # pandas has no integers beside nulls: they go as text, the order without nulls.
+    whole = [f.name for f in schema if pa.types.is_integer(f.type) and f.name != order]
+
+    def bucketed(rows: DataFrame) -> DataFrame:
+        cells = [F.col(c).cast("string").alias(c) if c in whole else F.col(c) for c in changes.columns if c != order]
+        return rows.select(key_bucket(spark, keys).alias(BUCKET), key_page(keys).alias(PAGE), *cells,
+                           F.coalesce(order, F.lit(LEAST)).alias(order))
+    first = bucketed(snapshot)
+    row = F.max_by(F.struct(*[c for c in first.columns if c not in keys]), order).alias("_sf_row")
+    once = first.groupBy(*keys).agg(row).select(*keys, "_sf_row.*").select(*first.columns)
+    return bucketed(changes).groupBy(BUCKET).transformWithStateInPandas(
+        LatestRow(keys, order, schema, whole), "done boolean", "Update", "None", initialState=once.groupBy(BUCKET))
 
 
 def read_snapshot_table(spark: SparkSession, checkpoint: str, snapshot: DataFrame, columns: list[str]) -> DataFrame:
     """The table as of the last committed micro-batch; the snapshot itself
     while no change has come."""
     state = read_variable(spark, checkpoint, "row")
+    table = snapshot.select(*columns)
     if state is None:
-        return snapshot.select(*columns)
-    return state.select("key.*", "value.*").select(*columns)
+        return table
+    _ready(spark)
+
+    def rows(batches):
+        for batch in batches:
+            for cell in batch.column(0):
+                yield from unpacked(cell.as_py()).select(columns).to_batches()
+    return state.select("user_map_value.rows").mapInArrow(rows, table.schema)
 
 
 # ---- blocked ids as a map ----------------------------------------------------------
