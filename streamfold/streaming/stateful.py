@@ -7,8 +7,8 @@ modification-time order, so files must be written in log order.
 
 ``outputMode("update")`` gives one row per key per micro-batch; the spend
 chain emits per record (a running total per order, a category only when
-it changes), so it runs as one ``transformWithStateInPandas`` with two
-value states per user.  State lives in the RocksDB state store and is
+it changes), so it runs as one ``transformWithStateInPandas`` with a
+row per user in its state.  State lives in the RocksDB state store and is
 checkpointed with the query.
 """
 
@@ -79,9 +79,12 @@ def by_page(pages: np.ndarray) -> list[tuple[int, np.ndarray]]:
 MERGE_ROWS = 1 << 14            # records of a key that are folded at a time
 
 
-def _sorted_run(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(offset, amount, order id) of a frame, by offset."""
-    cols = tuple(frame[c].to_numpy(dtype=np.int64) for c in ("offset", "order_amount", "order_id"))
+FOLDED = ("offset", "order_amount", "order_id")
+
+
+def _sorted_run(frame: pd.DataFrame, columns: tuple[str, ...] = FOLDED) -> tuple[np.ndarray, ...]:
+    """The columns of a frame, by offset."""
+    cols = tuple(frame[c].to_numpy(dtype=np.int64) for c in columns)
     if (np.diff(cols[0]) >= 0).all():
         return tuple(c.copy() for c in cols)
     at = np.argsort(cols[0], kind="stable")
@@ -105,6 +108,29 @@ def merged_runs(runs: list[tuple[np.ndarray, ...]], rows: int = MERGE_ROWS):
         yield tuple(c[order] for c in cols)
 
 
+def _fold_spend(user: np.ndarray, offset: np.ndarray, amount: np.ndarray, order: np.ndarray, held: dict) -> pd.DataFrame:
+    """The records of a piece that change their user's category; ``held``
+    has each user's (total, category) and goes on."""
+    # Vectorised fold: totals are a cumulative sum per user; a record emits when
+    # its band differs from the band before it (the stored one first).
+    at = np.argsort(user, kind="stable")
+    user, offset, amount, order = user[at], offset[at], amount[at], order[at]
+    starts = np.flatnonzero(np.concatenate(([True], user[1:] != user[:-1])))
+    sizes = np.diff(np.append(starts, len(user)))
+    users = user[starts].tolist()
+    stored = [held.get(u, (0, None)) for u in users]
+    sums = np.cumsum(amount)
+    totals = sums + np.repeat(np.array([t for t, _ in stored], np.int64) - (sums[starts] - amount[starts]), sizes)
+    cats = _bands(totals)
+    before = np.concatenate([np.array([None], dtype=object), cats[:-1]])
+    before[starts] = [c for _, c in stored]
+    emit = before != cats
+    ends = starts + sizes - 1
+    held.update(zip(users, zip(totals[ends].tolist(), cats[ends].tolist())))
+    return pd.DataFrame({"user_id": user[emit], "order_id": order[emit], "offset": offset[emit], "total": totals[emit],
+                         "category": cats[emit].astype(str)})
+
+
 class SpendCategoryProcessor(StatefulProcessor):
     """Running total per user; emit ``(user, order, offset, total,
     category)`` when the category differs from the stored one."""
@@ -119,33 +145,60 @@ class SpendCategoryProcessor(StatefulProcessor):
         # runs sorted frame by frame; the frames themselves are let go.
         runs = [_sorted_run(f) for f in rows]
         stored = self.state.get()
-        total, current = (int(stored[0]), stored[1]) if stored is not None else (0, None)
-        for offset, amount, order in merged_runs(runs):
-            # Vectorised fold: totals are a cumulative sum; a record emits when
-            # its band differs from the band before it (the stored one first).
-            totals = total + np.cumsum(amount)
-            cats = _bands(totals)
-            before = np.concatenate([np.array([current], dtype=object), cats[:-1]])
-            emit = before != cats
-            total, current = int(totals[-1]), str(cats[-1])
-            if emit.any():
-                yield pd.DataFrame({"user_id": np.full(int(emit.sum()), key[0], dtype=np.int64), "order_id": order[emit],
-                                    "offset": offset[emit], "total": totals[emit], "category": cats[emit].astype(str)})
-        self.state.update((total, current))
+        held = {0: (int(stored[0]), stored[1])} if stored is not None else {}
+        for piece in merged_runs(runs):
+            changes = _fold_spend(np.zeros(len(piece[0]), np.int64), *piece, held)
+            if len(changes):
+                yield changes.assign(user_id=np.full(len(changes), key[0], dtype=np.int64))
+        self.state.update(held[0])
 
     def close(self) -> None:
         pass
 
 
+class SpendCategoryBuckets(SpendCategoryProcessor):
+    """The same for a bucket of users, whose state is pages of a row per
+    user; ``user_id`` is null in the bucket below zero."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.pages = handle.getMapState("spend", "page int", "users binary")
+        self.schema = pa.schema([("user_id", pa.int64()), ("total", pa.int64()), ("category", pa.string())])
+
+    def handleInputRows(self, key, rows, timerValues):
+        # 32 bytes a record are held, and the pages of the users met.
+        runs, pages = [], {}
+        for f in rows:
+            runs.append(_sorted_run(f, (*FOLDED, "user_id")))
+            pages.update(zip(f["user_id"].tolist(), f[PAGE].tolist()))
+        held, some = {}, self.pages.exists()
+        for page in sorted(set(pages.values())) if some else []:
+            cell = self.pages.getValue((page,))
+            if cell is not None:
+                user, total, category = (c.to_pylist() for c in unpacked(cell[0]).columns)
+                held.update(zip(user, zip(total, category)))
+                pages.update((u, page) for u in user)
+        for offset, amount, order, user in merged_runs(runs):
+            changes = _fold_spend(user, offset, amount, order, held)
+            if len(changes):
+                yield changes if key[0] >= 0 else changes.assign(user_id=pd.array([None] * len(changes), dtype="Int64"))
+        user = np.fromiter(held, np.int64, len(held))
+        every = pa.table([pa.array(user), pa.array([t for t, _ in held.values()], pa.int64()),
+                          pa.array([c for _, c in held.values()], pa.string())], schema=self.schema)
+        for page, at in by_page(np.array([pages[u] for u in held], dtype=np.int64)):
+            self.pages.updateValue((page,), (packed(every.take(at)),))
+
+
 def spend_category_stream(orders: DataFrame) -> DataFrame:
     """Category changes of a stream of orders (``user_id, order_id,
-    order_amount, offset``)."""
+    order_amount, offset``).  Users are folded by buckets."""
     spark = orders.sparkSession
     # The processor travels by value: workers need not have this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return (orders.groupBy("user_id")
-            .transformWithStateInPandas(SpendCategoryProcessor(), SPEND_OUTPUT, "Append", "None"))
+    bucket = F.when(F.col("user_id").isNull(), -1).otherwise(key_bucket(spark, ["user_id"]))
+    rows = orders.select(bucket.alias(BUCKET), key_page(["user_id"]).alias(PAGE),
+                         F.coalesce("user_id", F.lit(0).cast("bigint")).alias("user_id"), "order_id", "order_amount", "offset")
+    return rows.groupBy(BUCKET).transformWithStateInPandas(SpendCategoryBuckets(), SPEND_OUTPUT, "Append", "None")
 
 
 SPEND_STATE = "user_id bigint, total bigint, category string, offset bigint"
